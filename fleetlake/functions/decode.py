@@ -35,6 +35,9 @@ def decode_strict(df, schema=MESSAGE_SCHEMA, keep=(), corrupt=False):
 # An integer literal with optional blanks around it.
 INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 
+# A metric whose value is in quotes.
+QUOTED_METRIC = r'"col_[0-9]+"\s*:\s*"'
+
 # Closes the array a lenient message is wrapped in; its presence proves that nothing
 # followed the message's own object.
 END = "end of message"
@@ -57,28 +60,38 @@ def _lenient_label(label):
 def decode_lenient(df, features=tuple(FEATURES), keep=()):
     """Messages that are exactly one JSON object with a usable label; all others are dropped.
 
-    Fields that are absent are NULL. Metrics may be quoted numbers. One parse gives
+    Fields that are absent are NULL. Metrics may be quoted numbers; only messages that have
+    such are parsed as text and cast, which takes three times as long. One parse gives
     everything: the label is read as a variant because its token type matters.
     """
     text = F.col("value").cast("string")
-    fields = ", ".join(
-        [f"`{name}` string" for name in ("send_timestamp", *KEY)]
-        + ["`label` variant"]
-        + [f"`{name}` string" for name in features]
-        + [f"`{END}` boolean"]
-    )
     wrapped = F.concat(F.lit("["), text, F.lit(f',{{"{END}":true}}]'))
-    parts = F.from_json(wrapped, f"array<struct<{fields}>>", {"allowSingleQuotes": "false"})
-    whole = df.select(*keep, F.when(F.is_valid_utf8(text), parts).alias("parts"))
+    names = ["send_timestamp", *KEY]
+
+    def parse(metric_type):
+        fields = ", ".join(
+            [f"`{name}` string" for name in names]
+            + ["`label` variant"]
+            + [f"`{name}` {metric_type}" for name in features]
+            + [f"`{END}` boolean"]
+        )
+        return F.from_json(wrapped, f"array<struct<{fields}>>", {"allowSingleQuotes": "false"})
+
+    def cast_metrics(part):
+        metrics = [F.trim(part[name], F.lit('"')).try_cast("double").alias(name) for name in features]
+        others = [part[name].alias(name) for name in (*names, "label")]
+        return F.when(part.isNotNull(), F.struct(*others, *metrics, part[END].alias(END)))
+
+    parts = (
+        F.when(~F.is_valid_utf8(text), F.lit(None))
+        .when(text.rlike(QUOTED_METRIC), F.transform(parse("string"), cast_metrics))
+        .otherwise(parse("double"))
+    )
+    whole = df.select(*keep, parts.alias("parts"))
     message, end = F.get("parts", F.lit(0)), F.get("parts", F.lit(1))[END]
     proper = F.when((F.size("parts") == 2) & end & message.isNotNull(), F.array(message))
-    rows = whole.select(*keep, F.inline(proper)).select(
-        *keep,
-        "send_timestamp",
-        *KEY,
-        _lenient_label(F.col("label")).alias("label"),
-        *[F.trim(F.col(name), F.lit('"')).try_cast("double").alias(name) for name in features],
-    )
+    rows = whole.select(*keep, F.inline(proper))
+    rows = rows.select(*keep, *names, _lenient_label(F.col("label")).alias("label"), *features)
     return rows.filter(F.col("label").isNotNull())
 
 

@@ -10,28 +10,37 @@ from fleetlake.functions.decode import decode_lenient, decode_strict, parse_send
 from fleetlake.functions.shape import fill_missing, rename_features, stamp_send_time
 from fleetlake.operators.dedup import first_wins
 from fleetlake.operators.features import mutual_information, pca_loadings, top_k
-from fleetlake.operators.filters import only_split, recent, split_valid
+from fleetlake.operators.filters import cutoff, only_split, recent, split_valid
 from fleetlake.schema import ARRIVAL, FEATURE_NAMES, KEY
 from fleetlake.sinks.export import export, export_path
 from fleetlake.sinks.topic import envelope
 from fleetlake.streaming.ingest import merge_stream
 
 
-def recent_samples(messages, as_of, days=1):
-    """Topic messages to recent samples with a complete key, in arrival order columns."""
-    samples = recent(decode_strict(messages, keep=ARRIVAL), as_of, days)
+def recent_samples(messages, as_of, days=1, selective=False):
+    """Topic messages to recent samples with a complete key and their arrival order.
+
+    ``selective`` looks at the send time alone first and parses only recent messages in
+    full. That pays when the topic reaches back much further than ``days``.
+    """
+    if selective:
+        sent = F.from_json(F.col("value").cast("string"), "send_timestamp string")["send_timestamp"]
+        messages = messages.filter(F.try_to_timestamp(sent) >= cutoff(as_of, days))
+        samples = decode_strict(messages, keep=ARRIVAL)
+    else:
+        samples = recent(decode_strict(messages, keep=ARRIVAL), as_of, days)
     return parse_send_timestamp(split_valid(samples)[0])
 
 
-def backfill_append(messages, table, as_of, days=1):
+def backfill_append(messages, table, as_of, days=1, selective=False):
     """Recent messages, first of each key, appended to a table that has none of the keys."""
-    table.ensure().append(first_wins(recent_samples(messages, as_of, days)))
+    table.ensure().append(first_wins(recent_samples(messages, as_of, days, selective)))
     return table
 
 
-def backfill_merge(messages, table, as_of, days=1):
+def backfill_merge(messages, table, as_of, days=1, selective=False):
     """Recent messages merged into a table that may hold some of the keys."""
-    table.ensure().insert_if_absent(recent_samples(messages, as_of, days))
+    table.ensure().insert_if_absent(recent_samples(messages, as_of, days, selective))
     return table
 
 

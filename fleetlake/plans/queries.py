@@ -54,6 +54,12 @@ def _topic(spark, name):
     return FileTopic(spark, scratch(spark, name))
 
 
+def _filled_topic(spark, messages):
+    topic = _topic(spark, "topic")
+    topic.write(messages)
+    return topic
+
+
 def _checkpoint(spark):
     return scratch(spark, "checkpoint")
 
@@ -92,15 +98,13 @@ def _source_id():
 
 @query
 def scan_topic_batch(spark, sf_dir):
-    topic = _topic(spark, "topic")
-    topic.write(adapter.messages(spark, sf_dir))
+    topic = _filled_topic(spark, adapter.messages(spark, sf_dir))
     return topic.read().select("topic", "offset", F.col("key").cast("string").alias("msg_key"))
 
 
 @query
 def stream_topic_scan(spark, sf_dir):
-    topic, out = _topic(spark, "topic"), scratch(spark, "scanned")
-    topic.write(adapter.messages(spark, sf_dir))
+    topic, out = _filled_topic(spark, adapter.messages(spark, sf_dir)), scratch(spark, "scanned")
     rows = topic.read_stream().select("topic", "offset", F.col("key").cast("string").alias("msg_key"))
     ingest.append_stream(rows, out, _checkpoint(spark)).awaitTermination()
     return spark.read.schema(rows.schema).parquet(out)
@@ -222,8 +226,7 @@ def ensure_table_idempotent(spark, sf_dir):
 
 @query
 def sink_topic_envelope(spark, sf_dir):
-    topic = _topic(spark, "topic")
-    topic.write(adapter.messages(spark, sf_dir))
+    topic = _filled_topic(spark, adapter.messages(spark, sf_dir))
     return topic.read().groupBy(F.col("key").cast("string").alias("msg_key")).agg(F.count("*").alias("n"))
 
 
@@ -451,8 +454,7 @@ def stream_merge_chunked(spark, sf_dir):
 
 @query
 def stream_dedup_watermark(spark, sf_dir):
-    topic, out = _topic(spark, "topic"), scratch(spark, "distinct")
-    topic.write(adapter.messages(spark, sf_dir))
+    topic, out = _filled_topic(spark, adapter.messages(spark, sf_dir)), scratch(spark, "distinct")
     samples = decode.parse_send_timestamp(decode.decode_strict(topic.read_stream()))
     keys = ingest.dedup_stream(samples.select(*KEY, "send_timestamp"), "send_timestamp", "31 days").select(*_keys())
     ingest.append_stream(keys, out, _checkpoint(spark)).awaitTermination()
@@ -471,8 +473,8 @@ def stream_batch_counts(spark, sf_dir):
 
 @query
 def stream_quarantine(spark, sf_dir):
-    table, topic, bad = _table(spark, "cleaned"), _topic(spark, "topic"), scratch(spark, "quarantine")
-    topic.write(adapter.all_messages(spark, sf_dir))
+    table, bad = _table(spark, "cleaned"), scratch(spark, "quarantine")
+    topic = _filled_topic(spark, adapter.all_messages(spark, sf_dir))
     jobs.stream_ingest(topic.read_stream(), table, _checkpoint(spark), quarantine=bad).awaitTermination()
     rows = spark.read.schema("partition int, offset long, reason string").parquet(f"{bad}/*")
     return rows.select(_kind(), _source_id(), "reason")
@@ -588,28 +590,28 @@ def union_splits(spark, sf_dir):
 @query
 def job_backfill_append(spark, sf_dir):
     latest = adapter.latest_time(spark, sf_dir)
-    return _stored(jobs.backfill_append(adapter.messages(spark, sf_dir), _table(spark, "backfill"), latest, DAYS))
+    topic = _filled_topic(spark, adapter.messages(spark, sf_dir))
+    return _stored(jobs.backfill_append(topic.read(), _table(spark, "backfill"), latest, DAYS, selective=True))
 
 
 @query
 def job_backfill_merge(spark, sf_dir):
     table = _earlier_table(spark, sf_dir, "backfill")
-    jobs.backfill_merge(adapter.messages(spark, sf_dir), table, adapter.latest_time(spark, sf_dir), DAYS)
+    topic = _filled_topic(spark, adapter.messages(spark, sf_dir))
+    jobs.backfill_merge(topic.read(), table, adapter.latest_time(spark, sf_dir), DAYS, selective=True)
     return _stored(table)
 
 
 @query
 def job_stream_ingest(spark, sf_dir):
-    table, topic = _table(spark, "ingested"), _topic(spark, "topic")
-    topic.write(adapter.all_messages(spark, sf_dir))
+    table, topic = _table(spark, "ingested"), _filled_topic(spark, adapter.all_messages(spark, sf_dir))
     jobs.stream_ingest(topic.read_stream(), table, _checkpoint(spark)).awaitTermination()
     return _stored(table)
 
 
 @query
 def job_consume_merge(spark, sf_dir):
-    table, topic = _table(spark, "consumed"), _topic(spark, "topic")
-    topic.write(adapter.all_messages(spark, sf_dir))
+    table, topic = _table(spark, "consumed"), _filled_topic(spark, adapter.all_messages(spark, sf_dir))
     jobs.consume_merge(topic.read_group(), table, _checkpoint(spark)).awaitTermination()
     return table.read().select(*_keys(), _sent(), "label")
 
