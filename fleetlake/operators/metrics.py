@@ -1,7 +1,5 @@
 """Metric queries: newest value per series, sums by label, counter rates, alerts."""
 
-from functools import reduce
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -107,14 +105,19 @@ def topic_rate(df, **rate):
     return counter_rate(df, **rate).groupBy("topic", "window_start").agg(F.sum("rate").alias("rate"))
 
 
-def alert_rows(*rules):
-    """Alerts out of ``(rule, totals, name column, condition)`` entries.
+def alert_rows(df, rules, **newest):
+    """Alerts of several rules in one pass: ``rule``, ``name`` and the ``total`` that fired.
 
-    ``totals`` is a frame such as ``lag_by_group`` returns and ``condition`` one on its
-    ``total``, e.g. ``F.col("total") >= 10000``.
+    A rule is ``(rule, metric, label, condition)``: the newest values of ``metric`` are summed
+    by ``label``, and ``condition`` says of that total whether it fires, e.g.
+    ``("lag", LAG, "consumergroup", lambda total: total >= 10000)``. One rule per metric.
     """
-    fired = [
-        totals.filter(condition).select(F.lit(rule).alias("rule"), F.col(name).alias("name"), "total")
-        for rule, totals, name, condition in rules
-    ]
-    return reduce(lambda a, b: a.unionAll(b), fired)
+    values = latest_per_series(df.filter(F.col("metric").isin(*[metric for _, metric, _, _ in rules])), **newest)
+    rule, name, fires = F, F, F
+    for title, metric, label, condition in rules:
+        mine = F.col("metric") == metric
+        rule = rule.when(mine, F.lit(title))
+        name = name.when(mine, F.col(label))
+        fires = fires.when(F.col("rule") == title, condition(F.col("total")))
+    totals = values.groupBy(rule.alias("rule"), name.alias("name")).agg(F.sum("value").alias("total"))
+    return totals.filter(fires)

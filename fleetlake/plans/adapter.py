@@ -22,6 +22,15 @@ def events(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def spread(df, by):
+    """``df`` over all cores if its scan has fewer tasks than there are cores, else as it is.
+
+    One small file is one scan task, which would then do all the widening and encoding.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
+
+
 def latest_time(spark, sf_dir):
     """The time of the newest event, as a scalar subquery: nothing is run here."""
     return events(spark, sf_dir).select(F.max("ts")).scalar()
@@ -39,7 +48,7 @@ def samples(spark, sf_dir, keep=("event_id",)):
         "col_1": F.get_json_object("props", "$.k").try_cast("double"),
         **{f"col_{i}": (F.col("event_id") * (i + 1) % 97).cast("double") / 97.0 for i in range(2, len(FEATURES))},
     }
-    return events(spark, sf_dir).select(*keep, *[derived[name].alias(name) for name in COLUMNS])
+    return spread(events(spark, sf_dir), "event_id").select(*keep, *[derived[name].alias(name) for name in COLUMNS])
 
 
 def messages(spark, sf_dir):

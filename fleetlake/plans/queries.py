@@ -524,12 +524,11 @@ def topic_rate(spark, sf_dir):
 
 @query
 def alert_rows(spark, sf_dir):
-    samples = adapter.metric_samples(spark, sf_dir)
-    order = ["ts", "event_id"]
-    return metrics.alert_rows(
-        ("lag", metrics.lag_by_group(samples, order=order), "consumergroup", F.col("total") >= 4000),
-        ("under_replicated", metrics.under_replicated(samples, order=order), "topic", F.col("total") > 0),
-    )
+    rules = [
+        ("lag", metric_source.LAG, "consumergroup", lambda total: total >= 4000),
+        ("under_replicated", metric_source.UNDER_REPLICATED, "topic", lambda total: total > 0),
+    ]
+    return metrics.alert_rows(adapter.metric_samples(spark, sf_dir), rules, order=["ts", "event_id"])
 
 
 # Feature analysis

@@ -65,7 +65,10 @@ def append_stream(df, path, checkpoint, available_now=True):
 def dedup_stream(df, event_time, delay, key=tuple(KEY)):
     """Keep one row per key among rows at most ``delay`` apart, with bounded state.
 
-    ``event_time`` must be a timestamp with zone; a zone-less one is cast first.
+    Rows are first reduced per key and reading task, then per key, so a key with very
+    many rows is not sent to one task as a whole. ``event_time`` must be a
+    timestamp with zone; a zone-less one is cast first.
     """
-    timed = df.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
+    timed = df.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
+    spread = timed.withColumn("_task", F.spark_partition_id())
+    return spread.dropDuplicatesWithinWatermark([*key, "_task"]).drop("_task").dropDuplicatesWithinWatermark(list(key))
