@@ -26,23 +26,8 @@ def catalog_stats(df, features=tuple(FEATURES)):
     is multiplied by the number of metrics; only those 38 results meet the catalog,
     whose size is fixed.
     """
-    totals = df.agg(
-        *[F.count(name).alias(f"{name}_n") for name in features],
-        *[F.sum(name).alias(f"{name}_sum") for name in features],
-    ).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("column"),
-                        F.col(f"{name}_n").alias("n"),
-                        F.col(f"{name}_sum").alias("total"),
-                    )
-                    for name in features
-                ]
-            )
-        )
-    )
+    sums = ", ".join(f"struct('{name}' AS column, count({name}) AS n, sum({name}) AS total)" for name in features)
+    totals = df.selectExpr(f"array({sums}) AS sums").selectExpr("inline(sums)")
     return (
         totals.join(F.broadcast(feature_catalog(df.sparkSession)), "column")
         .groupBy("feature_group", "influence", "tier")

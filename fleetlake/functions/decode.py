@@ -65,7 +65,6 @@ def decode_lenient(df, features=tuple(FEATURES), keep=()):
     everything: the label is read as a variant because its token type matters.
     """
     text = F.col("value").cast("string")
-    wrapped = F.concat(F.lit("["), text, F.lit(f',{{"{END}":true}}]'))
     names = ["send_timestamp", *KEY]
 
     def parse(metric_type):
@@ -75,17 +74,20 @@ def decode_lenient(df, features=tuple(FEATURES), keep=()):
             + [f"`{name}` {metric_type}" for name in features]
             + [f"`{END}` boolean"]
         )
-        return F.from_json(wrapped, f"array<struct<{fields}>>", {"allowSingleQuotes": "false"})
-
-    def cast_metrics(part):
-        metrics = [F.trim(part[name], F.lit('"')).try_cast("double").alias(name) for name in features]
-        others = [part[name].alias(name) for name in (*names, "label")]
-        return F.when(part.isNotNull(), F.struct(*others, *metrics, part[END].alias(END)))
-
+        wrapped = f"""concat('[', cast(value AS string), ',{{"{END}":true}}]')"""
+        return f"from_json({wrapped}, 'array<struct<{fields}>>', map('allowSingleQuotes', 'false'))"
+
+    # The text of an unquoted NaN comes with quotes.
+    fields = (
+        [f"'{name}', part.`{name}`" for name in (*names, "label")]
+        + [f"'{name}', try_cast(trim(BOTH '\"' FROM part.`{name}`) AS double)" for name in features]
+        + [f"'{END}', part.`{END}`"]
+    )
+    cast = f"transform({parse('string')}, part -> if(part IS NULL, NULL, named_struct({', '.join(fields)})))"
     parts = (
         F.when(~F.is_valid_utf8(text), F.lit(None))
-        .when(text.rlike(QUOTED_METRIC), F.transform(parse("string"), cast_metrics))
-        .otherwise(parse("double"))
+        .when(text.rlike(QUOTED_METRIC), F.expr(cast))
+        .otherwise(F.expr(parse("double")))
     )
     whole = df.select(*keep, parts.alias("parts"))
     message, end = F.get("parts", F.lit(0)), F.get("parts", F.lit(1))[END]

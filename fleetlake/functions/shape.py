@@ -24,13 +24,11 @@ def select_prefix(df, prefix="col_", keep=()):
 def conform(df, schema=TABLE_SCHEMA, keep=()):
     """Exactly the columns of ``schema``, in order and type; a missing one is NULL."""
     have = set(df.columns)
-    return df.select(
-        *keep,
-        *[
-            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema.fields
-        ],
-    )
+    fixed = [
+        f"try_cast({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in schema.fields
+    ]
+    return df.selectExpr(*keep, *fixed)
 
 
 def to_str(column):
@@ -57,13 +55,15 @@ def sniff_number(df, column="text", keep=()):
 
 def parse_fields(df, features=tuple(FEATURES), keep=()):
     """Type a frame of text columns: key fields text, label int, metrics double."""
-    declared = set(KEY) | {"label", *features}
-    return df.select(
+    metrics = [f"try_cast(`{name}` AS double) AS `{name}`" for name in features if name in df.columns]
+    label = ["try_cast(label AS int) AS label"] if "label" in df.columns else []
+    declared = {*KEY, "label", *features, *keep}
+    return df.withColumns({name: to_str(name) for name in KEY if name in df.columns}).selectExpr(
         *keep,
-        *[to_str(name).alias(name) for name in KEY if name in df.columns],
-        *[F.col(name).try_cast("int").alias(name) for name in ("label",) if name in df.columns],
-        *[F.col(name).try_cast("double").alias(name) for name in features if name in df.columns],
-        *[name for name in df.columns if name not in declared and name not in keep],
+        *[f"`{name}`" for name in KEY if name in df.columns],
+        *label,
+        *metrics,
+        *[f"`{name}`" for name in df.columns if name not in declared],
     )
 
 
@@ -95,7 +95,8 @@ def encode_json(df, columns=tuple(COLUMNS), keep=()):
     Times must already be text: the JSON writer cuts timestamps to milliseconds.
     Fields that are NULL are written as null, so each message names all its fields.
     """
-    body = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    names = ", ".join(f"`{name}`" for name in columns)
+    body = F.expr(f"to_json(struct({names}), map('ignoreNullFields', 'false'))")
     return df.select(*keep, message_key().cast("binary").alias("key"), body.cast("binary").alias("value"))
 
 

@@ -27,19 +27,21 @@ def pca_loadings(df, features=tuple(FEATURES), k=10, names=None):
     """
     features = list(features)
     k = min(k, len(features))
-    filled = fill_missing(df.select(*[F.col(name).cast("double").alias(name) for name in features]), features)
+    filled = fill_missing(df.selectExpr(*_doubles(features)), features)
     vectors = filled.select(array_to_vector(F.array(*features)).alias("x"))
     components = PCA(k=k, inputCol="x", outputCol="y").fit(vectors).pc.toArray()
     rows = [(name, float(abs(share))) for name, share in zip(names or features, components[:, 0])]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
+def _doubles(features):
+    return [f"cast(`{name}` AS double) AS `{name}`" for name in features]
+
+
 def feature_ranges(df, features):
     """(lowest, highest) value of each feature: one pass, one row."""
-    lows = [F.min(name).alias(f"lo_{i}") for i, name in enumerate(features)]
-    highs = [F.max(name).alias(f"hi_{i}") for i, name in enumerate(features)]
-    row = df.agg(*lows, *highs).first()
-    return [(row[f"lo_{i}"], row[f"hi_{i}"]) for i in range(len(features))]
+    both = ", ".join(f"struct(min(`{name}`) AS low, max(`{name}`) AS high)" for name in features)
+    return [tuple(pair) for pair in df.selectExpr(f"array({both}) AS ranges").first()["ranges"]]
 
 
 def mutual_information(df, features=tuple(FEATURES), label="label", bins=10, ranges=None, names=None):
@@ -52,31 +54,25 @@ def mutual_information(df, features=tuple(FEATURES), label="label", bins=10, ran
     """
     features = list(features)
     names = list(names or features)
-    rows = fill_missing(
-        df.filter(F.col(label).isNotNull()).select(
-            *[F.col(name).cast("double").alias(name) for name in features], F.col(label).alias("_label")
-        ),
-        features,
-    )
+    labelled = df.filter(F.col(label).isNotNull())
+    rows = fill_missing(labelled.selectExpr(f"`{label}` AS _label", *_doubles(features)), features)
     ranges = ranges or feature_ranges(rows, features)
 
     def bin_of(name, low, high):
         if low is None or high <= low:
-            return F.lit(0)
-        place = F.floor((F.col(name) - F.lit(float(low))) / F.lit((float(high) - float(low)) / bins))
-        return F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)).cast("int")
+            return "0"
+        width = (float(high) - float(low)) / bins
+        place = f"floor((`{name}` - {float(low)!r}D) / {width!r}D)"
+        return f"cast(least(greatest({place}, 0), {bins - 1}) AS int)"
 
-    cells = rows.select(
-        "_label",
-        F.posexplode(F.array(*[bin_of(n, *r) for n, r in zip(features, ranges)])).alias("_feature", "_bin"),
-    )
+    codes = ", ".join(bin_of(name, *span) for name, span in zip(features, ranges))
+    cells = rows.selectExpr("_label", f"posexplode(array({codes})) AS (_feature, _bin)")
     joint = cells.groupBy("_feature", "_bin", "_label").agg(F.count("*").alias("n"))
     shares = (
         joint.withColumn("_all", F.sum("n").over(Window.partitionBy("_feature")))
         .withColumn("_in_bin", F.sum("n").over(Window.partitionBy("_feature", "_bin")))
         .withColumn("_of_label", F.sum("n").over(Window.partitionBy("_feature", "_label")))
     )
-    gain = F.log(F.col("n") * F.col("_all") / (F.col("_in_bin").cast("double") * F.col("_of_label")))
-    return shares.groupBy("_feature").agg((F.sum(F.col("n") * gain) / F.max("_all")).alias("mi")).select(
-        F.element_at(F.array(*[F.lit(name) for name in names]), F.col("_feature") + 1).alias("feature"), "mi"
-    )
+    gain = F.log(F.col("n").cast("double") * F.col("_all") / (F.col("_in_bin").cast("double") * F.col("_of_label")))
+    information = shares.groupBy("_feature").agg((F.sum(F.col("n") * gain) / F.max("_all")).alias("mi"))
+    return information.select(F.get(F.lit(names), F.col("_feature")).alias("feature"), "mi")

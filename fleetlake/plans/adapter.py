@@ -38,17 +38,19 @@ def latest_time(spark, sf_dir):
 
 def samples(spark, sf_dir, keep=("event_id",)):
     """All events as samples; the send time is ISO text."""
+    train = ", ".join(f"'{name}'" for name in TRAIN)
     derived = {
-        "send_timestamp": F.date_format("ts", SEND_FORMAT),
-        "machine": F.concat(F.lit("machine-"), F.col("user_id")),
-        "timestamp": F.date_format("ts", "yyyy-MM-dd"),
-        "usage": F.when(F.col("event_type").isin(*TRAIN), "train").otherwise("test"),
-        "label": F.when(F.col("event_type") == "error", 1.0).otherwise(0.0),
-        "col_0": F.col("value"),
-        "col_1": F.get_json_object("props", "$.k").try_cast("double"),
-        **{f"col_{i}": (F.col("event_id") * (i + 1) % 97).cast("double") / 97.0 for i in range(2, len(FEATURES))},
+        "send_timestamp": f'date_format(ts, "{SEND_FORMAT}")',
+        "machine": "concat('machine-', user_id)",
+        "timestamp": "date_format(ts, 'yyyy-MM-dd')",
+        "usage": f"if(event_type IN ({train}), 'train', 'test')",
+        "label": "if(event_type = 'error', 1D, 0D)",
+        "col_0": "value",
+        "col_1": "try_cast(get_json_object(props, '$.k') AS double)",
+        **{f"col_{i}": f"cast(event_id * {i + 1} % 97 AS double) / 97D" for i in range(2, len(FEATURES))},
     }
-    return spread(events(spark, sf_dir), "event_id").select(*keep, *[derived[name].alias(name) for name in COLUMNS])
+    wide = [f"{derived[name]} AS `{name}`" for name in COLUMNS]
+    return spread(events(spark, sf_dir), "event_id").selectExpr(*keep, *wide)
 
 
 def messages(spark, sf_dir):
@@ -75,8 +77,8 @@ def damaged_messages(spark, sf_dir):
     documents the id as partition -1.
     """
     whole = samples(spark, sf_dir, keep=["event_id", "event_type"])
-    text = F.to_json(F.struct(*COLUMNS))
-    machine = F.to_json(F.struct("machine"))
+    text = F.expr(f"to_json(struct({', '.join(COLUMNS)}))")
+    machine = F.expr("to_json(struct(machine))")
     opened = F.left(machine, F.length(machine) - 1)
     body = (
         F.when(F.col("event_type") == "click", F.left(text, F.length(text) - 1))

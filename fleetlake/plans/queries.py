@@ -536,7 +536,7 @@ def alert_rows(spark, sf_dir):
 
 def _embeddings(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return rows.select("label", *[F.get("embedding", F.lit(i)).alias(name) for i, name in enumerate(DIMENSIONS)])
+    return rows.selectExpr("label", *[f"get(embedding, {i}) AS {name}" for i, name in enumerate(DIMENSIONS)])
 
 
 @query

@@ -21,6 +21,7 @@ def build_session(app_name, zone="Asia/Seoul", master=None, **conf):
     settings = {
         "spark.sql.session.timeZone": zone,
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
