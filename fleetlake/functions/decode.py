@@ -22,8 +22,8 @@ def decode_strict(df, schema=MESSAGE_SCHEMA, keep=(), corrupt=False):
     """Every message becomes one row of ``schema``; what does not fit becomes NULL.
 
     ``keep`` names envelope columns to carry along, a smaller ``schema`` saves parsing. With
-    ``corrupt`` the text of a message that is no JSON object is returned in
-    ``_corrupt_record``.
+    ``corrupt`` the text of a message that is no JSON object, or has a field of another
+    type, is returned in ``_corrupt_record``.
     """
     fields = schema
     if corrupt:

@@ -90,7 +90,8 @@ def damaged_messages(spark, sf_dir):
     broken = whole.select(
         F.lit(-2).alias("partition"), (-1 - F.col("event_id")).alias("offset"), body.cast("binary").alias("value")
     )
-    prose = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+    documents = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
+    prose = documents.select(
         F.lit(-1).alias("partition"), F.col("doc_id").alias("offset"), F.col("text").cast("binary").alias("value")
     )
     return broken.unionAll(prose)

@@ -1,0 +1,124 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from fleetlake.functions.decode import decode_strict, parse_send_timestamp
+from fleetlake.plans import jobs
+from fleetlake.schema import KEY
+from fleetlake.session import scratch
+from fleetlake.sinks.table import KeyedTable
+from fleetlake.sources.topic import FileTopic
+from fleetlake.streaming import ingest
+
+
+def payload(machine, tick, value, **more):
+    body = {"send_timestamp": f"2024-01-01T00:00:{value:02d}.000000", "machine": machine, "timestamp": tick, "usage": "train", "col_0": value}
+    return json.dumps({**body, "label": 0, **more})
+
+
+@pytest.fixture
+def place(spark):
+    return FileTopic(spark, scratch(spark, "topic")), KeyedTable(spark, scratch(spark, "table")), scratch(spark, "checkpoint")
+
+
+def stored(table):
+    rows = table.read().collect()
+    found = {(row.machine, row.timestamp): row.col_0 for row in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def test_ingest_resumes_and_first_wins(messages, place):
+    topic, table, checkpoint = place
+    topic.write(messages([payload("a", "1", 1), payload("a", "1", 2), payload("b", "1", 3)]))
+    jobs.stream_ingest(topic.read_stream(), table, checkpoint).awaitTermination()
+    assert stored(table) == {("a", "1"): 1.0, ("b", "1"): 3.0}
+    topic.write(messages([payload("a", "1", 4), payload("c", "1", 5)], start=10))
+    jobs.stream_ingest(topic.read_stream(), table, checkpoint).awaitTermination()
+    assert stored(table) == {("a", "1"): 1.0, ("b", "1"): 3.0, ("c", "1"): 5.0}
+    query = jobs.stream_ingest(topic.read_stream(), table, checkpoint)
+    query.awaitTermination()
+    assert sum(progress["numInputRows"] for progress in query.recentProgress) == 0
+
+
+def test_quarantine_and_counts(spark, messages, place):
+    topic, table, checkpoint = place
+    bad, counted = scratch(spark, "bad"), scratch(spark, "counts")
+    topic.write(messages([payload("a", "1", 1), "junk", payload(None, "1", 2)]))
+    jobs.stream_ingest(topic.read_stream(), table, checkpoint, bad, counted).awaitTermination()
+    assert stored(table) == {("a", "1"): 1.0}
+    assert sorted(row.reason for row in spark.read.parquet(f"{bad}/*").collect()) == ["machine", "machine,timestamp,usage"]
+    assert [tuple(row) for row in spark.read.parquet(f"{counted}/*").collect()] == [(0, 3)]
+
+
+def test_a_batch_run_twice_changes_nothing(spark, messages, place):
+    topic, table, _ = place
+    table.ensure()
+    bad, counted = scratch(spark, "bad"), scratch(spark, "counts")
+    merge = ingest.merge_batches(table, bad, counted)
+    first = parse_send_timestamp(decode_strict(messages([payload("a", "1", 1)]), keep=["partition", "offset"]))
+    second = parse_send_timestamp(decode_strict(messages([payload("a", "1", 2), payload("b", "1", 3), "x"]), keep=["partition", "offset"]))
+    merge(first, 0)
+    for _ in range(2):
+        merge(second, 1)
+        assert stored(table) == {("a", "1"): 1.0, ("b", "1"): 3.0}
+        assert spark.read.parquet(f"{bad}/*").count() == 1
+        assert sorted(tuple(row) for row in spark.read.parquet(f"{counted}/*").collect()) == [(0, 1), (1, 3)]
+
+
+def test_chunks_equal_one_batch(messages, place, spark):
+    topic, table, checkpoint = place
+    texts = [payload(f"m{i % 7}", str(i % 5), i % 60) for i in range(70)]
+    topic.write(messages(texts), files=6)
+    query = jobs.consume_merge(topic.read_group(max_files=2), table, checkpoint)
+    query.awaitTermination()
+    assert len(query.recentProgress) == 3
+    whole = KeyedTable(spark, scratch(spark, "whole")).ensure()
+    jobs.backfill_merge(topic.read(), whole, "2024-01-02 00:00:00", 7)
+    assert stored(table).keys() == stored(whole).keys() and len(stored(whole)) == 35
+
+
+def test_recency_on_a_stream_is_opt_in(messages, place):
+    topic, table, checkpoint = place
+    topic.write(messages([payload("a", "1", 1), payload("a", "2", 30)]))
+    jobs.stream_ingest(topic.read_stream(), table, checkpoint, as_of="2024-01-02 00:00:10", days=1).awaitTermination()
+    assert stored(table) == {("a", "2"): 30.0}
+
+
+def test_dedup_stream_across_batches(spark, messages, place):
+    topic, _, checkpoint = place
+    out = scratch(spark, "distinct")
+
+    def run():
+        rows = parse_send_timestamp(decode_strict(topic.read_stream())).select(*KEY, "send_timestamp")
+        ingest.append_stream(ingest.dedup_stream(rows, "send_timestamp", "1 day"), out, checkpoint).awaitTermination()
+        return sorted((row.machine, row.timestamp) for row in spark.read.parquet(out).collect())
+
+    topic.write(messages([payload("a", "1", 1)] * 5 + [payload("b", "1", 2)]), files=3)
+    assert run() == [("a", "1"), ("b", "1")]
+    topic.write(messages([payload("a", "1", 3), payload("c", "1", 4)]))
+    assert run() == [("a", "1"), ("b", "1"), ("c", "1")]
+
+
+@pytest.mark.parametrize("selective", [True, False])
+def test_backfill_jobs(spark, messages, selective):
+    topic = messages([payload("a", "1", 1), payload("a", "1", 2), payload("b", "1", 3), "junk", payload("c", None, 4), payload("d", "1", 5, send_timestamp="2023-01-01T00:00:00")])
+    table = KeyedTable(spark, scratch(spark, "table"))
+    jobs.backfill_append(topic, table, "2024-01-02 00:00:00", 1, selective)
+    assert stored(table) == {("a", "1"): 1.0, ("b", "1"): 3.0}
+    more = messages([payload("b", "1", 6), payload("e", "1", 7)], start=50)
+    jobs.backfill_merge(more, table, "2024-01-02 00:00:00", 1, selective)
+    assert stored(table) == {("a", "1"): 1.0, ("b", "1"): 3.0, ("e", "1"): 7.0}
+
+
+def test_empty_topic_gives_empty_table(spark, messages):
+    table = KeyedTable(spark, scratch(spark, "table"))
+    jobs.backfill_merge(messages([]), table, "2024-01-02 00:00:00")
+    jobs.backfill_append(messages([]), table, "2024-01-02 00:00:00")
+    assert stored(table) == {}
+
+
+def test_watermark_takes_zoneless_times(spark, place):
+    rows = spark.readStream.format("rate").load().withColumn("t", F.col("timestamp").cast("timestamp_ntz"))
+    assert ingest.dedup_stream(rows.withColumn("k", F.lit(1)), "t", "1 hour", ["k"]).isStreaming
