@@ -15,7 +15,11 @@ def connection():
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query_equals_sql(spark, connection, name):
-    assert check.compare(spark, connection, SF, name, entry.oracle_sql().get(name)) is None
+    frame = entry.queries()[name](spark, SF)
+    plan = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "simple")
+    for operator in ("PythonUDF", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in plan
+    assert check.compare(connection, frame, entry.oracle_sql().get(name)) is None
 
 
 def test_entry_gives_rows(spark):
