@@ -1,5 +1,6 @@
 """Row counts along a pipeline, and rates."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from fleetlake.schema import KEY
@@ -22,6 +23,15 @@ def stage_counts(df, stages, key=tuple(KEY)):
     )
 
 
+def counted(df):
+    """``df`` and an observation whose ``rows`` is known once an action on it has run.
+
+    The count is taken along the way of the write itself, so nothing is read twice.
+    """
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def throughput(rows, seconds):
     """Rows per second of a write, given what an ``Observation`` counted."""
     return rows / seconds if seconds > 0 else float("inf")

@@ -57,46 +57,55 @@ def _step(now, before):
     return F.when(now >= before, now - before).when(now < before, now)
 
 
-def counter_rate(df, labels=("topic", "part"), window="5 minutes", metric=OFFSET, order=("ts",), slices=8):
+# Samples of one series in one window that a single task may order.
+SAMPLES_PER_SLICE = 250_000
+
+
+def _slices(rows, group):
+    """Into how many parts to cut a window so that no part of a series is too long for a task."""
+    most = rows.groupBy(*group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    return 1 + most // SAMPLES_PER_SLICE
+
+
+def counter_rate(df, labels=("topic", "part"), window="5 minutes", metric=OFFSET, order=("ts",), slices=None):
     """Growth per second of every counter series in every window.
 
     Restarts are added back. A series with one sample in a window, or with all of
     them at the same time, has no rate there. The growth is divided by the time between
     first and last sample; it is not extrapolated to the window's ends.
 
-    Samples are ordered within ``slices`` parts of each window and the parts are then
-    chained, so one series in one window is not the work of a single task.
+    Samples have to be ordered, which one task does for a whole series and window. A first
+    counting pass finds out whether one is too long for that; then windows are cut into
+    ``slices`` by time that are ordered apart and chained by their ends.
     """
     if metric is not None:
         df = df.filter(F.col("metric") == metric)
     group = [*labels, "window_start"]
     rows = df.select(*labels, F.window("ts", window).alias("_in"), "ts", "value", F.struct(*order).alias("_at"))
     rows = rows.select("*", F.col("_in.start").alias("window_start"), F.col("_in.end").alias("_end"))
-    micros = [F.unix_micros(F.col(name).cast("timestamp")) for name in ("ts", "window_start", "_end")]
-    part = F.floor((micros[0] - micros[1]) * F.lit(slices) / (micros[2] - micros[1]))
-    rows = rows.withColumn("_slice", part).drop("_in", "_end")
-
-    inside = Window.partitionBy(*group, "_slice").orderBy("_at")
-    rows = rows.withColumn("_before", F.lag("value").over(inside))
-    parts = rows.groupBy(*group, "_slice").agg(
-        F.sum(_step(F.col("value"), F.col("_before"))).alias("_grown"),
-        F.min("ts").alias("_from"),
-        F.max("ts").alias("_to"),
-        F.min_by("value", "_at").alias("_first"),
-        F.max_by("value", "_at").alias("_last"),
-    )
-    chain = Window.partitionBy(*group).orderBy("_slice")
-    gap = _step(F.col("_first"), F.lag("_last").over(chain))
-    chained = parts.withColumn("_gap", gap)
-    seconds = (
-        F.unix_micros(F.max("_to").cast("timestamp")) - F.unix_micros(F.min("_from").cast("timestamp"))
-    ) / 1e6
-    grown = F.coalesce(F.sum("_grown"), F.lit(0.0)) + F.coalesce(F.sum("_gap"), F.lit(0.0))
-    return (
-        chained.groupBy(*group)
-        .agg(grown.alias("_grown"), seconds.alias("_seconds"))
-        .filter(F.col("_seconds") > 0)
-        .select(*group, (F.col("_grown") / F.col("_seconds")).alias("rate"))
+    slices = slices or _slices(rows, group)
+    if slices > 1:
+        ts, start, end = [F.unix_micros(F.col(name).cast("timestamp")) for name in ("ts", "window_start", "_end")]
+        rows = rows.withColumn("_slice", F.floor((ts - start) * F.lit(slices) / (end - start)))
+
+    ordered = group if slices == 1 else [*group, "_slice"]
+    before = F.lag("value").over(Window.partitionBy(*ordered).orderBy("_at"))
+    steps = rows.withColumn("_grown", _step(F.col("value"), before))
+    grown, times = F.sum("_grown").alias("_grown"), [F.min("ts").alias("_from"), F.max("ts").alias("_to")]
+    if slices == 1:
+        totals = steps.groupBy(*group).agg(grown, *times)
+    else:
+        ends = [F.min_by("value", "_at").alias("_first"), F.max_by("value", "_at").alias("_last")]
+        parts = steps.groupBy(*ordered).agg(grown, *times, *ends)
+        before = F.lag("_last").over(Window.partitionBy(*group).orderBy("_slice"))
+        chained = parts.withColumn("_gap", _step(F.col("_first"), before))
+        added = F.coalesce("_grown", F.lit(0.0)) + F.coalesce("_gap", F.lit(0.0))
+        totals = chained.groupBy(*group).agg(
+            F.sum(added).alias("_grown"), F.min("_from").alias("_from"), F.max("_to").alias("_to")
+        )
+    micros = F.unix_micros(F.col("_to").cast("timestamp")) - F.unix_micros(F.col("_from").cast("timestamp"))
+    return totals.filter(F.col("_to") > F.col("_from")).select(
+        *group, (F.col("_grown") / (micros / F.lit(1e6))).alias("rate")
     )
 
 

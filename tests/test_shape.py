@@ -120,3 +120,5 @@ def test_guard_match_preview_counts(spark):
     found = counts.stage_counts(rows, {"loaded": None, "train": F.col("usage") == "train"}).collect()
     assert [tuple(row) for row in found] == [("loaded", 12), ("train", 6), ("distinct_keys", 3)]
     assert counts.throughput(10, 4) == 2.5
+    watched, seen = counts.counted(rows)
+    assert len(watched.collect()) == seen.get["rows"] == 12
