@@ -80,12 +80,12 @@ def csv_to_table(samples, table, as_of):
     return table
 
 
-def rank_features(samples, label="label", bins=10, k=10):
-    """The most telling metrics by mutual information, and by first principal component."""
+def rank_features(samples, method="information", label="label", bins=10, k=10):
+    """The ``k`` most telling metrics, by mutual information with the label or by ``component``
+    (their share in the first principal component)."""
     named = rename_features(fill_missing(samples))
-    information = mutual_information(named, FEATURE_NAMES, label, bins)
-    loadings = pca_loadings(named, FEATURE_NAMES)
-    return (
-        top_k(information, "mi", k, tie=["feature"]),
-        top_k(loadings, "importance", k, tie=["feature"]),
-    )
+    if method == "information":
+        return top_k(mutual_information(named, FEATURE_NAMES, label, bins), "mi", k, tie=["feature"])
+    if method == "component":
+        return top_k(pca_loadings(named, FEATURE_NAMES), "importance", k, tie=["feature"])
+    raise ValueError(f"unknown method: {method!r}")

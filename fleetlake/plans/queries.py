@@ -446,7 +446,7 @@ def stream_merge(spark, sf_dir):
 def stream_merge_chunked(spark, sf_dir):
     table, topic = _table(spark, "chunked"), _topic(spark, "topic")
     messages = adapter.messages(spark, sf_dir)
-    pieces = max(8, messages.rdd.getNumPartitions())
+    pieces = max(8, adapter.events(spark, sf_dir).rdd.getNumPartitions())
     topic.write(messages, pieces)
     jobs.consume_merge(topic.read_group(max_files=pieces // 4), table, _checkpoint(spark)).awaitTermination()
     return table.read().groupBy(F.col("usage").alias("split")).agg(F.count("*").alias("n"))
@@ -651,5 +651,10 @@ def job_csv_to_table(spark, sf_dir):
 
 @query
 def job_feature_rank(spark, sf_dir):
-    information, _ = jobs.rank_features(adapter.samples(spark, sf_dir))
+    information = jobs.rank_features(adapter.samples(spark, sf_dir))
     return information.withColumn("mi", F.round("mi", 9))
+
+
+@query
+def job_feature_rank_component(spark, sf_dir):
+    return jobs.rank_features(adapter.samples(spark, sf_dir), "component")

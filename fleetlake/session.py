@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_local_folders = {}
+_folders = {}
 
 
 def build_session(app_name, zone="Asia/Seoul", master=None, **conf):
@@ -45,24 +45,39 @@ def object_store_conf(access_key, secret_key, endpoint):
 def scratch(spark, purpose):
     """A new, not yet existing folder that every executor can reach.
 
-    It lies below the folder named in ``spark.checkpoint.dir``. Only a local-mode
-    session may go without that setting; it gets a temporary folder.
+    It lies below the folder named in ``spark.checkpoint.dir`` and goes when the application
+    ends. Only a local-mode session may go without that setting; it gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = _local_folders.get(app)
-        if base is None:
-            base = _local_folders[app] = tempfile.mkdtemp(prefix="fleetlake-")
-    return f"{base}/fleetlake/{app}/{purpose}-{uuid.uuid4().hex}"
+    if app not in _folders:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+            base = tempfile.mkdtemp(prefix="fleetlake-")
+        _folders[app] = f"{base}/fleetlake/{app}"
+        files, folder = _files(spark, _folders[app])
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{_folders[app]}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _files(spark, path):
+    """The Hadoop file system of a path, and the path."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def drop_scratch(spark, path):
     """Remove a folder that ``scratch`` named."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = _files(spark, path)
+    files.delete(folder, True)
+
+
+def list_folder(spark, path):
+    """Names of the entries of a folder."""
+    files, folder = _files(spark, path)
+    return [item.getPath().getName() for item in files.listStatus(folder)]
 
 
 def broadcast_limit(spark):

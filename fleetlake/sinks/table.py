@@ -7,7 +7,8 @@ from fleetlake.functions.shape import conform
 from fleetlake.operators.dedup import first_wins
 from fleetlake.operators.merge import DuplicateKeyError, KeyProfile, conflicts, new_rows
 from fleetlake.schema import ARRIVAL, KEY, TABLE_SCHEMA
-from fleetlake.session import drop_scratch, scratch
+from fleetlake.session import drop_scratch, list_folder, scratch
+from fleetlake.sources.jdbc import read_jdbc_table
 
 BATCH = "batch_id"
 
@@ -38,9 +39,7 @@ class KeyedTable:
 
     def next_batch(self):
         """A batch id above all existing ones."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [item.getPath().getName() for item in files.listStatus(folder)]
+        names = list_folder(self.spark, self.path)
         ids = [int(name.split("=")[1]) for name in names if name.startswith(f"{BATCH}=")]
         return max(ids, default=-1) + 1
 
@@ -105,6 +104,9 @@ class JdbcTable:
         columns = [f"{f.name} {DATABASE_TYPES[f.dataType.simpleString()]}" for f in self.schema.fields]
         return f"CREATE TABLE IF NOT EXISTS {self.table} ({', '.join(columns)}, PRIMARY KEY ({', '.join(self.key)}))"
 
+    def staging_sql(self, staging):
+        return [f"CREATE TABLE IF NOT EXISTS {staging} (LIKE {self.table})", f"TRUNCATE {staging}"]
+
     def merge_sql(self, staging):
         columns = ", ".join(self.schema.names)
         return (
@@ -133,13 +135,15 @@ class JdbcTable:
         self._execute(self.create_sql())
         return self
 
-    def read(self):
-        return self.spark.read.format("jdbc").options(url=self.url, dbtable=self.table, **self.options).load()
+    def read(self, predicates=None):
+        return read_jdbc_table(self.spark, self.url, self.table, predicates, **self.options)
+
+    def _append(self, rows, table):
+        rows.write.format("jdbc").options(url=self.url, dbtable=table, **self.options).mode("append").save()
 
     def append(self, df, batch_id=None):
         """Add rows as they are; the database refuses a key that is taken."""
-        rows = conform(df, self.schema)
-        rows.write.format("jdbc").options(url=self.url, dbtable=self.table, **self.options).mode("append").save()
+        self._append(conform(df, self.schema), self.table)
 
     insert_strict = append
 
@@ -147,6 +151,6 @@ class JdbcTable:
         """Add the first row of every key that is not in the table yet; safe to run again."""
         staging = f"{self.table}_staging_{'batch' if batch_id is None else batch_id}"
         rows = first_wins(conform(df, self.schema, keep=order), self.key, order).select(*self.schema.names)
-        target = {"url": self.url, "dbtable": staging, **self.options}
-        rows.write.format("jdbc").options(**target).mode("overwrite").save()
+        self._execute(*self.staging_sql(staging))
+        self._append(rows, staging)
         self._execute(self.merge_sql(staging), f"DROP TABLE {staging}")

@@ -28,6 +28,7 @@ def test_database_statements(spark):
     assert merged.startswith("INSERT INTO lake (send_timestamp, machine,") and " FROM lake_staging_7 " in merged
     assert merged.endswith("ON CONFLICT (machine, timestamp, usage) DO NOTHING")
     assert table.options["batchsize"] == "500"
+    assert table.staging_sql("s") == ["CREATE TABLE IF NOT EXISTS s (LIKE lake)", "TRUNCATE s"]
 
 
 def test_day_predicates_cover_everything_once():

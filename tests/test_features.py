@@ -73,6 +73,6 @@ def test_rank_features(spark):
         rows.append((float(y), *[float(v) for v in draw.normal(size=38)]))
     rows = [(r[0], r[1] + 50 * r[0], *r[2:]) for r in rows]
     frame = spark.createDataFrame(rows, ", ".join(["label double", *[f"{n} double" for n in FEATURES]]))
-    information, loadings = jobs.rank_features(frame, k=3)
+    information, loadings = jobs.rank_features(frame, k=3), jobs.rank_features(frame, "component", k=3)
     assert information.first().feature == loadings.first().feature == FEATURE_NAMES[0]
     assert information.count() == loadings.count() == 3

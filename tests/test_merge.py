@@ -136,8 +136,10 @@ def test_staging_is_removed(spark, samples, table, monkeypatch):
     assert named and not os.path.exists(named[0])
 
 
-def test_scratch_uses_the_shared_folder(tmp_path):
+def test_scratch_uses_the_shared_folder(spark, tmp_path):
     class Session:
+        _jvm, _jsc = spark._jvm, spark._jsc
+
         class sparkContext:
             applicationId, master = "app-1", "spark://host:7077"
 
@@ -150,5 +152,6 @@ def test_scratch_uses_the_shared_folder(tmp_path):
 
     assert scratch(Session, "x").startswith(f"{tmp_path}/fleetlake/app-1/x-")
     Session.conf.value = None
+    Session.sparkContext.applicationId = "app-2"
     with pytest.raises(ValueError):
         scratch(Session, "x")
