@@ -16,12 +16,16 @@ class DuplicateKeyError(ValueError):
 
 
 def not_in_target(incoming, target, key=tuple(KEY)):
-    """Incoming rows whose key the target does not hold. Only the target's keys are read."""
+    """Incoming rows whose key the target does not hold. Only the target's keys are read.
+
+    A key with very many incoming rows is split by Spark's adaptive skew join, which needs the
+    target to be a plain scan; a target that is itself computed is written first.
+    """
     return incoming.join(target.select(*key), list(key), "left_anti")
 
 
 def ignored_rows(incoming, target, key=tuple(KEY)):
-    """Incoming rows whose key the target holds already."""
+    """Incoming rows whose key the target holds already; on skew see ``not_in_target``."""
     return incoming.join(target.select(*key), list(key), "left_semi")
 
 

@@ -102,26 +102,20 @@ def all_messages(spark, sf_dir):
     return messages(spark, sf_dir).unionAll(conform(damaged_messages(spark, sf_dir), ENVELOPE_SCHEMA))
 
 
-def metric_samples(spark, sf_dir):
-    """Five scraped metrics per event; the counter starts again after every 5000 messages."""
-    topic, part = F.col("event_type"), (F.col("user_id") % 3).cast("int")
-    group = F.concat(F.lit("g"), F.col("user_id") % 2)
-    none, nobody = F.lit(None).cast("int"), F.lit(None).cast("string")
-
-    def sample(metric, topic, part, group, value):
-        return F.struct(
-            F.lit(metric).alias("metric"),
-            topic.alias("topic"),
-            part.alias("part"),
-            group.alias("consumergroup"),
-            value.cast("double").alias("value"),
-        )
-
-    scraped = F.array(
-        sample(LAG, topic, part, group, F.col("event_id") % 500),
-        sample(OFFSET, topic, part, nobody, F.col("event_id") % 5000),
-        sample(UNDER_REPLICATED, topic, part, nobody, (F.col("event_id") % 11 == 0).cast("int")),
-        sample(BROKERS, nobody, none, nobody, F.lit(3)),
-        sample(MEMBERS, nobody, none, group, F.col("user_id") % 5),
-    )
-    return events(spark, sf_dir).select("ts", "event_id", F.inline(scraped))
+def metric_samples(spark, sf_dir, metrics=(LAG, OFFSET, UNDER_REPLICATED, BROKERS, MEMBERS)):
+    """The named metrics scraped at every event; the counter starts again after 5000 messages."""
+    topic, part, group = "event_type", "cast(user_id % 3 AS int)", "concat('g', user_id % 2)"
+    scraped = {
+        LAG: (topic, part, group, "event_id % 500"),
+        OFFSET: (topic, part, "NULL", "event_id % 5000"),
+        UNDER_REPLICATED: (topic, part, "NULL", "int(event_id % 11 = 0)"),
+        BROKERS: ("NULL", "NULL", "NULL", "3"),
+        MEMBERS: ("NULL", "NULL", group, "user_id % 5"),
+    }
+    structs = [
+        f"struct('{name}' AS metric, cast({t} AS string) AS topic, cast({p} AS int) AS part, "
+        f"cast({g} AS string) AS consumergroup, cast({v} AS double) AS value)"
+        for name, (t, p, g, v) in scraped.items()
+        if name in metrics
+    ]
+    return events(spark, sf_dir).selectExpr("ts", "event_id", f"inline(array({', '.join(structs)}))")

@@ -79,10 +79,6 @@ def _earlier_table(spark, sf_dir, name):
     return table
 
 
-def _earlier_keys(spark, sf_dir):
-    return first_wins(adapter.earlier(adapter.samples(spark, sf_dir, keep=["event_id", "event_type"])), order=["event_id"])
-
-
 def _kind():
     return (
         F.when(F.col("partition") == -2, "damaged").when(F.col("partition") == -1, "document").otherwise("sample")
@@ -214,7 +210,8 @@ def merge_twice(spark, sf_dir):
 
 @query
 def sink_insert_strict_conflicts(spark, sf_dir):
-    found = merge.conflicts(adapter.samples(spark, sf_dir), _earlier_keys(spark, sf_dir))
+    target = _earlier_table(spark, sf_dir, "target").read()
+    found = merge.conflicts(adapter.samples(spark, sf_dir), target)
     return found.select(*_keys(), "n", "in_target")
 
 
@@ -387,7 +384,7 @@ def empty_input(spark, sf_dir):
 
 @query
 def metric_label_match(spark, sf_dir):
-    samples = adapter.metric_samples(spark, sf_dir)
+    samples = adapter.metric_samples(spark, sf_dir, [metric_source.LAG])
     found = filters.match_labels(
         samples, equals={"metric": metric_source.LAG, "consumergroup": "g1"}, regex={"topic": "click|view"}
     )
@@ -399,13 +396,15 @@ def metric_label_match(spark, sf_dir):
 
 @query
 def conflict_anti_join(spark, sf_dir):
-    rows = merge.not_in_target(adapter.samples(spark, sf_dir), _earlier_keys(spark, sf_dir))
+    target = _earlier_table(spark, sf_dir, "target").read()
+    rows = merge.not_in_target(adapter.samples(spark, sf_dir), target)
     return rows.select(*_keys(), "event_id")
 
 
 @query
 def conflict_semi_join(spark, sf_dir):
-    rows = merge.ignored_rows(adapter.samples(spark, sf_dir), _earlier_keys(spark, sf_dir))
+    target = _earlier_table(spark, sf_dir, "target").read()
+    rows = merge.ignored_rows(adapter.samples(spark, sf_dir), target)
     return rows.select(*_keys(), "event_id")
 
 
@@ -490,35 +489,37 @@ def latest_by_series(spark, sf_dir):
 
 @query
 def latest_gauges(spark, sf_dir):
-    samples = adapter.metric_samples(spark, sf_dir)
     wanted = [metric_source.BROKERS, metric_source.MEMBERS]
+    samples = adapter.metric_samples(spark, sf_dir, wanted)
     return metrics.latest_gauges(samples, wanted, ["metric", "consumergroup"], order=["ts", "event_id"])
 
 
 @query
 def lag_by_group(spark, sf_dir):
-    return metrics.lag_by_group(adapter.metric_samples(spark, sf_dir), order=["ts", "event_id"])
+    return metrics.lag_by_group(adapter.metric_samples(spark, sf_dir, [metric_source.LAG]), order=["ts", "event_id"])
 
 
 @query
 def lag_by_group_topic(spark, sf_dir):
-    return metrics.lag_by_group_topic(adapter.metric_samples(spark, sf_dir), order=["ts", "event_id"])
+    return metrics.lag_by_group_topic(adapter.metric_samples(spark, sf_dir, [metric_source.LAG]), order=["ts", "event_id"])
 
 
 @query
 def under_replicated_by_topic(spark, sf_dir):
-    return metrics.under_replicated(adapter.metric_samples(spark, sf_dir), order=["ts", "event_id"])
+    return metrics.under_replicated(adapter.metric_samples(spark, sf_dir, [metric_source.UNDER_REPLICATED]), order=["ts", "event_id"])
 
 
 @query
 def counter_rate(spark, sf_dir):
-    rates = metrics.counter_rate(adapter.metric_samples(spark, sf_dir), window="6 hours", order=["ts", "event_id"])
+    samples = adapter.metric_samples(spark, sf_dir, [metric_source.OFFSET])
+    rates = metrics.counter_rate(samples, window="6 hours", order=["ts", "event_id"])
     return rates.withColumn("rate", F.round("rate", 9))
 
 
 @query
 def topic_rate(spark, sf_dir):
-    rates = metrics.topic_rate(adapter.metric_samples(spark, sf_dir), window="6 hours", order=["ts", "event_id"])
+    samples = adapter.metric_samples(spark, sf_dir, [metric_source.OFFSET])
+    rates = metrics.topic_rate(samples, window="6 hours", order=["ts", "event_id"])
     return rates.withColumn("rate", F.round("rate", 9))
 
 
@@ -528,7 +529,8 @@ def alert_rows(spark, sf_dir):
         ("lag", metric_source.LAG, "consumergroup", lambda total: total >= 4000),
         ("under_replicated", metric_source.UNDER_REPLICATED, "topic", lambda total: total > 0),
     ]
-    return metrics.alert_rows(adapter.metric_samples(spark, sf_dir), rules, order=["ts", "event_id"])
+    samples = adapter.metric_samples(spark, sf_dir, [metric for _, metric, _, _ in rules])
+    return metrics.alert_rows(samples, rules, order=["ts", "event_id"])
 
 
 # Feature analysis

@@ -1,7 +1,7 @@
 """The plans that make the operators hold at scale."""
 
 import __spark_entry__ as entry
-from fleetlake.operators.merge import KeyProfile, new_rows
+from fleetlake.operators.merge import KeyProfile, new_rows, not_in_target
 from fleetlake.session import scratch
 from fleetlake.sinks.table import KeyedTable
 
@@ -47,3 +47,27 @@ def test_long_series_are_sliced(spark, monkeypatch):
     monkeypatch.setattr("fleetlake.operators.metrics.SAMPLES_PER_SLICE", 1)
     assert "_slice" in plan(run(spark, SF))
     assert sorted(map(tuple, run(spark, SF).collect())) == whole
+
+
+def test_a_hot_key_is_split_in_a_conflict_join(spark, samples):
+    table = KeyedTable(spark, scratch(spark, "table")).ensure()
+    table.append(samples([("m", str(i), "train", i, 0.0) for i in range(0, 400, 2)]))
+    incoming = spark.range(0, 44000, 1, 8).selectExpr(
+        "'m' AS machine", "if(id < 40000, '7', string(id % 400)) AS timestamp", "'train' AS usage", "uuid() AS text"
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        left = not_in_target(incoming, table.read()).select("timestamp", "text")
+        assert len(left.collect()) == 2000 + 40000
+        assert "skew=true" in spark._jvm.PythonSQLUtils.explainString(left._jdf.queryExecution(), "simple")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
