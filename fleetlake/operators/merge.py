@@ -70,7 +70,7 @@ def new_rows(fresh, target, key=tuple(KEY), profile=None):
 
     Without ``profile`` both sides are shuffled by key. A ``profile`` of the fresh keys bounds
     the target scan, and if all those keys are small enough to broadcast, the target
-    is not shuffled at all: its few matching keys are looked up where they are stored.
+    is not shuffled at all: the matching keys are looked up where they are stored.
     """
     if profile is None:
         return not_in_target(fresh, target, key)
@@ -78,6 +78,5 @@ def new_rows(fresh, target, key=tuple(KEY), profile=None):
         return fresh
     near = profile.within(target.select(*key))
     if profile.bytes <= broadcast_limit(fresh.sparkSession):
-        # The target holds a key once, so what is found is no larger than what was measured.
-        near = F.broadcast(near.join(F.broadcast(fresh.select(*key)), list(key), "left_semi"))
+        near = near.join(F.broadcast(fresh.select(*key)), list(key), "left_semi")
     return not_in_target(fresh, near, key)

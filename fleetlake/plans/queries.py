@@ -10,7 +10,7 @@ from fleetlake.functions import catalog, decode, shape
 from fleetlake.operators import counts, features, filters, merge, metrics
 from fleetlake.operators.dedup import first_wins
 from fleetlake.plans import adapter, jobs
-from fleetlake.schema import ARRIVAL, FEATURES, KEY
+from fleetlake.schema import ARRIVAL, FEATURES, KEY, message_fields
 from fleetlake.session import scratch
 from fleetlake.sinks import export as exports
 from fleetlake.sinks.table import KeyedTable
@@ -111,7 +111,8 @@ def stream_resume(spark, sf_dir):
     topic, out, checkpoint = _topic(spark, "topic"), scratch(spark, "resumed"), _checkpoint(spark)
     for segment in adapter.segments(spark, sf_dir):
         topic.write(segment)
-        samples = decode.decode_strict(topic.read_group(), keep=["offset"]).select(*_keys(), F.col("offset").alias("event_id"))
+        samples = decode.decode_strict(topic.read_group(), message_fields(*KEY), keep=["offset"])
+        samples = samples.select(*_keys(), F.col("offset").alias("event_id"))
         ingest.append_stream(samples, out, checkpoint).awaitTermination()
     return spark.read.schema(samples.schema).parquet(out)
 
@@ -253,7 +254,8 @@ def preview_topn(spark, sf_dir):
 
 @query
 def decode_strict(spark, sf_dir):
-    rows = decode.decode_strict(adapter.all_messages(spark, sf_dir), keep=ARRIVAL)
+    fields = message_fields(*KEY, "label", "col_0")
+    rows = decode.decode_strict(adapter.all_messages(spark, sf_dir), fields, keep=ARRIVAL)
     return rows.select(_kind(), _source_id(), *_keys(), "label", "col_0")
 
 
@@ -319,7 +321,8 @@ def stamp_send_time(spark, sf_dir):
 
 @query
 def encode_decode_roundtrip(spark, sf_dir):
-    rows = decode.decode_strict(adapter.messages(spark, sf_dir), keep=["offset"])
+    fields = message_fields("send_timestamp", "col_0", "col_1", "col_37")
+    rows = decode.decode_strict(adapter.messages(spark, sf_dir), fields, keep=["offset"])
     return rows.select(
         F.col("offset").alias("event_id"), F.col("send_timestamp").alias("send_text"), "col_0", "col_1", "col_37"
     )
@@ -359,7 +362,7 @@ def fill_missing(spark, sf_dir):
 
 @query
 def filter_recent(spark, sf_dir):
-    rows = decode.decode_strict(adapter.messages(spark, sf_dir), keep=["offset"])
+    rows = decode.decode_strict(adapter.messages(spark, sf_dir), message_fields("send_timestamp"), keep=["offset"])
     kept = filters.recent(rows, adapter.latest_time(spark, sf_dir), DAYS)
     return kept.select(F.col("offset").alias("event_id"))
 
@@ -371,7 +374,7 @@ def filter_split(spark, sf_dir):
 
 @query
 def quarantine_rows(spark, sf_dir):
-    rows = decode.decode_strict(adapter.all_messages(spark, sf_dir), keep=ARRIVAL)
+    rows = decode.decode_strict(adapter.all_messages(spark, sf_dir), message_fields(*KEY), keep=ARRIVAL)
     return filters.split_valid(rows)[1].select(_kind(), _source_id(), "reason")
 
 
@@ -410,7 +413,8 @@ def conflict_semi_join(spark, sf_dir):
 
 @query
 def dedup_first_wins(spark, sf_dir):
-    rows = first_wins(decode.decode_strict(adapter.messages(spark, sf_dir), keep=ARRIVAL))
+    fields = message_fields(*KEY, "col_0")
+    rows = first_wins(decode.decode_strict(adapter.messages(spark, sf_dir), fields, keep=ARRIVAL))
     return rows.select(*_keys(), F.col("offset").alias("event_id"), "col_0")
 
 
@@ -454,8 +458,9 @@ def stream_merge_chunked(spark, sf_dir):
 @query
 def stream_dedup_watermark(spark, sf_dir):
     topic, out = _filled_topic(spark, adapter.messages(spark, sf_dir)), scratch(spark, "distinct")
-    samples = decode.parse_send_timestamp(decode.decode_strict(topic.read_stream()))
-    keys = ingest.dedup_stream(samples.select(*KEY, "send_timestamp"), "send_timestamp", "31 days").select(*_keys())
+    fields = message_fields(*KEY, "send_timestamp")
+    samples = decode.parse_send_timestamp(decode.decode_strict(topic.read_stream(), fields))
+    keys = ingest.dedup_stream(samples, "send_timestamp", "31 days").select(*_keys())
     ingest.append_stream(keys, out, _checkpoint(spark)).awaitTermination()
     return spark.read.schema(keys.schema).parquet(out)
 
@@ -467,7 +472,7 @@ def stream_batch_counts(spark, sf_dir):
     for segment in adapter.segments(spark, sf_dir):
         topic.write(segment)
         jobs.stream_ingest(topic.read_stream(), table, checkpoint, counts=counted).awaitTermination()
-    return spark.read.schema("batch long, n long").parquet(f"{counted}/*")
+    return spark.read.schema("batch long, n long").parquet(f"{counted}/*/*")
 
 
 @query
@@ -475,7 +480,7 @@ def stream_quarantine(spark, sf_dir):
     table, bad = _table(spark, "cleaned"), scratch(spark, "quarantine")
     topic = _filled_topic(spark, adapter.all_messages(spark, sf_dir))
     jobs.stream_ingest(topic.read_stream(), table, _checkpoint(spark), quarantine=bad).awaitTermination()
-    rows = spark.read.schema("partition int, offset long, reason string").parquet(f"{bad}/*")
+    rows = spark.read.schema("partition int, offset long, reason string").parquet(f"{bad}/*/*")
     return rows.select(_kind(), _source_id(), "reason")
 
 
@@ -639,7 +644,7 @@ def job_export_train_csv(spark, sf_dir):
 def job_csv_to_topic(spark, sf_dir):
     topic = _topic(spark, "topic")
     jobs.csv_to_topic(_train_files(spark, sf_dir), topic, "2024-02-01 00:00:00")
-    rows = decode.decode_strict(topic.read(), keep=["key"])
+    rows = decode.decode_strict(topic.read(), message_fields("timestamp", "label", "col_0"), keep=["key"])
     return rows.select(F.col("key").cast("string").alias("msg_key"), F.col("timestamp").alias("tick"), "label", "col_0")
 
 

@@ -10,49 +10,58 @@ from fleetlake.schema import ARRIVAL, KEY, TABLE_SCHEMA
 from fleetlake.session import drop_scratch, list_folder, scratch
 from fleetlake.sources.jdbc import read_jdbc_table
 
-BATCH = "batch_id"
+# The writer of jobs that run once.
+LOADS = "loads"
 
 
 class KeyedTable:
-    """A Parquet table that never holds a key twice, one directory per batch.
+    """A Parquet table that never holds a key twice, one directory per writer and batch.
 
-    Writing batch N only looks at batches before N and replaces directory N. So a batch
-    that is run again after a failure gives the same rows, and adds none.
-    One writer at a time: files cannot enforce the key between two writers.
+    A writer is a name whose batches are numbered: all one-off loads together, or one stream,
+    which is named by the id in its checkpoint. Writing batch N looks at everything but that
+    writer's batches from N on, and replaces directory N. So a batch that is run again after a
+    failure gives the same rows, adds none, and cannot touch those of another writer.
+    Only one batch may be written at a time: files cannot enforce a key.
     """
 
     def __init__(self, spark, path, schema=TABLE_SCHEMA, key=tuple(KEY)):
         self.spark, self.path, self.schema, self.key = spark, path, schema, key
 
+    def _folder(self, writer, batch_id):
+        return f"{self.path}/writer={writer}/batch_id={batch_id}"
+
     def ensure(self):
         """Create the table if it does not exist; an existing one is left alone."""
-        self.spark.createDataFrame([], self.schema).write.mode("ignore").parquet(f"{self.path}/{BATCH}=-1")
+        self.spark.createDataFrame([], self.schema).write.mode("ignore").parquet(self._folder(LOADS, -1))
         return self
 
     def read(self, before=None):
-        """All rows, or those of the batches before ``before``."""
-        stored = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
+        """All rows, or with ``before=(writer, batch)`` all but that writer's batches from there on."""
+        places = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
+        stored = T.StructType([*self.schema.fields, *places])
         rows = self.spark.read.schema(stored).option("basePath", self.path).parquet(self.path)
         if before is not None:
-            rows = rows.filter(F.col(BATCH) < before)
+            writer, batch_id = before
+            rows = rows.filter((F.col("writer") != writer) | (F.col("batch_id") < batch_id))
         return rows.select(*self.schema.names)
 
-    def next_batch(self):
-        """A batch id above all existing ones."""
-        names = list_folder(self.spark, self.path)
-        ids = [int(name.split("=")[1]) for name in names if name.startswith(f"{BATCH}=")]
-        return max(ids, default=-1) + 1
+    def next_batch(self, writer=LOADS):
+        """A batch number above all that the writer has used."""
+        names = list_folder(self.spark, f"{self.path}/writer={writer}")
+        return max([int(name.split("=")[1]) for name in names if "=" in name], default=-1) + 1
 
-    def _write(self, df, batch_id):
-        batch_id = self.next_batch() if batch_id is None else batch_id
-        df.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+    def _write(self, df, batch_id, writer):
+        df.write.mode("overwrite").parquet(self._folder(writer, batch_id))
         return batch_id
 
-    def append(self, df, batch_id=None):
+    def append(self, df, batch_id=None, writer=LOADS):
         """Add rows as they are; the caller vouches for the key."""
-        return self._write(conform(df, self.schema), batch_id)
+        return self._write(conform(df, self.schema), self._batch(batch_id, writer), writer)
+
+    def _batch(self, batch_id, writer):
+        return self.next_batch(writer) if batch_id is None else batch_id
 
-    def insert_if_absent(self, df, batch_id=None, order=tuple(ARRIVAL), measure=True):
+    def insert_if_absent(self, df, batch_id=None, order=tuple(ARRIVAL), measure=True, writer=LOADS):
         """Add the first row of every key that is not in the table yet.
 
         With ``measure`` the deduplicated rows are first written to a staging folder. The input
@@ -60,28 +69,29 @@ class KeyedTable:
         rows the second time), and the size and range of its keys decide how the
         table is searched. Turn it off when the input is about as large as the table.
         """
-        batch_id = self.next_batch() if batch_id is None else batch_id
+        batch_id = self._batch(batch_id, writer)
         fresh = first_wins(conform(df, self.schema, keep=order), self.key, order).select(*self.schema.names)
-        held = self.read(before=batch_id)
+        held = self.read(before=(writer, batch_id))
         if not measure:
-            return self._write(new_rows(fresh, held, self.key), batch_id)
+            return self._write(new_rows(fresh, held, self.key), batch_id, writer)
         staging = scratch(self.spark, "staging")
         try:
             fresh.write.parquet(staging)
             staged = self.spark.read.schema(self.schema).parquet(staging)
-            return self._write(new_rows(staged, held, self.key, KeyProfile(staged, self.key)), batch_id)
+            added = new_rows(staged, held, self.key, KeyProfile(staged, self.key))
+            return self._write(added, batch_id, writer)
         finally:
             drop_scratch(self.spark, staging)
 
-    def insert_strict(self, df, batch_id=None):
+    def insert_strict(self, df, batch_id=None, writer=LOADS):
         """Add all rows, or none if any key is taken or repeated."""
         rows = conform(df, self.schema)
-        batch_id = self.next_batch() if batch_id is None else batch_id
-        taken = conflicts(rows, self.read(before=batch_id), self.key)
+        batch_id = self._batch(batch_id, writer)
+        taken = conflicts(rows, self.read(before=(writer, batch_id)), self.key)
         first = taken.first()
         if first is not None:
             raise DuplicateKeyError(f"key exists already or is repeated: {first.asDict()}")
-        return self._write(rows, batch_id)
+        return self._write(rows, batch_id, writer)
 
 
 # Column types in the database.
@@ -141,15 +151,15 @@ class JdbcTable:
     def _append(self, rows, table):
         rows.write.format("jdbc").options(url=self.url, dbtable=table, **self.options).mode("append").save()
 
-    def append(self, df, batch_id=None):
+    def append(self, df, batch_id=None, writer=LOADS):
         """Add rows as they are; the database refuses a key that is taken."""
         self._append(conform(df, self.schema), self.table)
 
     insert_strict = append
 
-    def insert_if_absent(self, df, batch_id=None, order=tuple(ARRIVAL)):
+    def insert_if_absent(self, df, batch_id=None, order=tuple(ARRIVAL), measure=True, writer=LOADS):
         """Add the first row of every key that is not in the table yet; safe to run again."""
-        staging = f"{self.table}_staging_{'batch' if batch_id is None else batch_id}"
+        staging = f"{self.table}_staging_{writer.replace('-', '_')}"
         rows = first_wins(conform(df, self.schema, keep=order), self.key, order).select(*self.schema.names)
         self._execute(*self.staging_sql(staging))
         self._append(rows, staging)

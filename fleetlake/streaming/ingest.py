@@ -1,5 +1,7 @@
 """Streaming ingest: topic stream to keyed table, batch by batch."""
 
+import json
+
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
@@ -22,36 +24,43 @@ def write_stream(df, checkpoint, each_batch, available_now=True, interval=None):
     return writer.start()
 
 
-def merge_batches(table, quarantine=None, counts=None, order=tuple(ARRIVAL)):
-    """A ``foreachBatch`` function that merges each micro-batch into ``table``.
+def query_id(spark, checkpoint):
+    """The id a query keeps for as long as its checkpoint lives."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
 
-    Rows without a complete key go to the folder ``quarantine``. The folder ``counts``
-    gets the row counts of each batch. All three are written under the batch id, so a
+def merge_batch(batch_df, batch_id, table, writer, quarantine=None, counts=None, order=tuple(ARRIVAL)):
+    """Merge one micro-batch into ``table``.
+
+    Rows without a complete key go below the folder ``quarantine``. The folder ``counts``
+    gets the number of rows. All three are written under the writer and batch id, so a
     repeated batch replaces its own output. When a batch has more than one use it is kept
     meanwhile, on disk if need be; losing an executor only means reading its part again.
     """
-
-    def merge(batch_df, batch_id):
-        shared = bool(quarantine or counts)
-        batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK) if shared else batch_df
-        try:
-            valid, bad = split_valid(batch, KEY)
-            table.insert_if_absent(valid, batch_id, order)
-            if quarantine:
-                bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-            if counts:
-                row = batch.agg(F.lit(batch_id).cast("long").alias("batch"), F.count("*").alias("n"))
-                row.write.mode("overwrite").parquet(f"{counts}/batch_id={batch_id}")
-        finally:
-            if shared:
-                batch.unpersist()
-
-    return merge
+    shared = bool(quarantine or counts)
+    batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK) if shared else batch_df
+    place = f"writer={writer}/batch_id={batch_id}"
+    try:
+        valid, bad = split_valid(batch, KEY)
+        table.insert_if_absent(valid, batch_id, order, writer=writer)
+        if quarantine:
+            bad.write.mode("overwrite").parquet(f"{quarantine}/{place}")
+        if counts:
+            row = batch.agg(F.lit(batch_id).cast("long").alias("batch"), F.count("*").alias("n"))
+            row.write.mode("overwrite").parquet(f"{counts}/{place}")
+    finally:
+        if shared:
+            batch.unpersist()
 
 
 def merge_stream(df, table, checkpoint, quarantine=None, counts=None, order=tuple(ARRIVAL), **trigger):
     """Insert a stream of samples into ``table``, each key once."""
-    return write_stream(df, checkpoint, merge_batches(table, quarantine, counts, order), **trigger)
+
+    def merge(batch_df, batch_id):
+        writer = query_id(df.sparkSession, checkpoint)
+        merge_batch(batch_df, batch_id, table, writer, quarantine, counts, order)
+
+    return write_stream(df, checkpoint, merge, **trigger)
 
 
 def append_stream(df, path, checkpoint, available_now=True):

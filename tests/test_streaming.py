@@ -48,23 +48,26 @@ def test_quarantine_and_counts(spark, messages, place):
     topic.write(messages([payload("a", "1", 1), "junk", payload(None, "1", 2)]))
     jobs.stream_ingest(topic.read_stream(), table, checkpoint, bad, counted).awaitTermination()
     assert stored(table) == {("a", "1"): 1.0}
-    assert sorted(row.reason for row in spark.read.parquet(f"{bad}/*").collect()) == ["machine", "machine,timestamp,usage"]
-    assert [tuple(row) for row in spark.read.parquet(f"{counted}/*").collect()] == [(0, 3)]
+    assert sorted(row.reason for row in spark.read.parquet(f"{bad}/*/*").collect()) == ["machine", "machine,timestamp,usage"]
+    assert [tuple(row) for row in spark.read.parquet(f"{counted}/*/*").collect()] == [(0, 3)]
 
 
 def test_a_batch_run_twice_changes_nothing(spark, messages, place):
     topic, table, _ = place
     table.ensure()
     bad, counted = scratch(spark, "bad"), scratch(spark, "counts")
-    merge = ingest.merge_batches(table, bad, counted)
+
+    def merge(batch, batch_id):
+        ingest.merge_batch(batch, batch_id, table, "stream", bad, counted)
+
     first = parse_send_timestamp(decode_strict(messages([payload("a", "1", 1)]), keep=["partition", "offset"]))
     second = parse_send_timestamp(decode_strict(messages([payload("a", "1", 2), payload("b", "1", 3), "x"]), keep=["partition", "offset"]))
     merge(first, 0)
     for _ in range(2):
         merge(second, 1)
         assert stored(table) == {("a", "1"): 1.0, ("b", "1"): 3.0}
-        assert spark.read.parquet(f"{bad}/*").count() == 1
-        assert sorted(tuple(row) for row in spark.read.parquet(f"{counted}/*").collect()) == [(0, 1), (1, 3)]
+        assert spark.read.parquet(f"{bad}/*/*").count() == 1
+        assert sorted(tuple(row) for row in spark.read.parquet(f"{counted}/*/*").collect()) == [(0, 1), (1, 3)]
 
 
 def test_chunks_equal_one_batch(messages, place, spark):
@@ -79,6 +82,20 @@ def test_chunks_equal_one_batch(messages, place, spark):
     assert stored(table).keys() == stored(whole).keys() and len(stored(whole)) == 35
 
 
+def test_loads_and_streams_share_a_table(spark, messages, place):
+    topic, table, checkpoint = place
+    jobs.backfill_merge(messages([payload("a", "1", 1)]), table, "2024-01-02 00:00:00", 7)
+    topic.write(messages([payload("a", "1", 2), payload("b", "1", 3)]))
+    jobs.stream_ingest(topic.read_stream(), table, checkpoint).awaitTermination()
+    assert stored(table) == {("a", "1"): 1.0, ("b", "1"): 3.0}
+    jobs.backfill_merge(messages([payload("b", "1", 4), payload("c", "1", 5)]), table, "2024-01-02 00:00:00", 7)
+    assert stored(table) == {("a", "1"): 1.0, ("b", "1"): 3.0, ("c", "1"): 5.0}
+    # A new checkpoint counts its batches from 0 again and must not replace older ones.
+    topic.write(messages([payload("d", "1", 6)]))
+    jobs.stream_ingest(topic.read_stream(), table, scratch(spark, "checkpoint")).awaitTermination()
+    assert stored(table) == {("a", "1"): 1.0, ("b", "1"): 3.0, ("c", "1"): 5.0, ("d", "1"): 6.0}
+
+
 def test_recency_on_a_stream_is_opt_in(messages, place):
     topic, table, checkpoint = place
     topic.write(messages([payload("a", "1", 1), payload("a", "2", 30)]))
