@@ -127,7 +127,9 @@ def _catalog():
     return f"(VALUES {', '.join(rows)}) AS c(col, feature_group, influence, tier)"
 
 
-_LONG = "SELECT {keep} UNNEST([" + _listed(FEATURES) + "]) AS col, UNNEST([" + ", ".join(FEATURES) + "]) AS x FROM t"
+# One row per sample and metric.
+_NAMES, _VALUES = f"UNNEST([{_listed(FEATURES)}])", f"UNNEST([{', '.join(FEATURES)}])"
+_LABELLED = f"SELECT label, {_NAMES} AS feature, {_VALUES} AS x FROM t"
 _TRAIN_STORED = f"WITH {T} SELECT {_STORED} FROM t WHERE split = 'train'"
 
 ORACLES = {
@@ -173,7 +175,7 @@ SELECT event_id, field,
     "encode_decode_roundtrip": f"WITH {T} SELECT event_id, send_text, col_0, col_1, col_37 FROM t",
     "rename_features": f"WITH {T} SELECT event_id, {', '.join(f'{c} AS {n}' for c, n in NAME_OF.items())} FROM t",
     "feature_group_select": f"WITH {T} SELECT event_id, {', '.join(group_columns('disk_io'))} FROM t",
-    "feature_catalog_stats": f"""WITH {T}, x AS ({_LONG.format(keep='')})
+    "feature_catalog_stats": f"""WITH {T}, x AS (SELECT {_NAMES} AS col, {_VALUES} AS x FROM t)
 SELECT feature_group, influence, tier, count(x) AS n, round(sum(x) / count(x), 6) AS mean
 FROM x JOIN {_catalog()} USING (col) GROUP BY ALL""",
     "fill_missing": f"WITH {T} SELECT event_id, CASE WHEN event_type IN ('error', 'view') THEN 0 ELSE col_0 END AS col_0 FROM t",
@@ -231,7 +233,7 @@ QUALIFY row_number() OVER (PARTITION BY machine, tick, split ORDER BY side, even
     "job_csv_to_table": f"""WITH {T}, {FIRST} SELECT machine, tick, split, TIMESTAMP '2024-02-01 00:00:00' AS send_ts, col_0
 FROM firsts WHERE split = 'train'""",
     "job_feature_rank": f"WITH {T}, "
-    + _information(_LONG.format(keep="label,").replace(" AS col,", " AS col_name,").replace("SELECT", "SELECT col_name AS feature, x, label FROM (SELECT", 1) + ")", 10)
+    + _information(_LABELLED, 10)
     + f", named(col, feature_name) AS (VALUES {', '.join(f'({c!r}, {n!r})' for c, n in NAME_OF.items())})"
     + """ SELECT feature_name AS feature, round(mi, 9) AS mi FROM information JOIN named ON feature = col
 ORDER BY information.mi DESC, feature_name LIMIT 10""",

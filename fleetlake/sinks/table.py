@@ -1,5 +1,7 @@
 """Target tables keyed by machine, tick and split."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,24 +76,31 @@ class KeyedTable:
         held = self.read(before=(writer, batch_id))
         if not measure:
             return self._write(new_rows(fresh, held, self.key), batch_id, writer)
-        staging = scratch(self.spark, "staging")
-        try:
-            fresh.write.parquet(staging)
-            staged = self.spark.read.schema(self.schema).parquet(staging)
+        with self._staged(fresh) as staged:
             added = new_rows(staged, held, self.key, KeyProfile(staged, self.key))
             return self._write(added, batch_id, writer)
+
+    @contextmanager
+    def _staged(self, rows):
+        """The rows as a table of their own for as long as they are needed."""
+        staging = scratch(self.spark, "staging")
+        try:
+            rows.write.parquet(staging)
+            yield self.spark.read.schema(self.schema).parquet(staging)
         finally:
             drop_scratch(self.spark, staging)
 
     def insert_strict(self, df, batch_id=None, writer=LOADS):
-        """Add all rows, or none if any key is taken or repeated."""
-        rows = conform(df, self.schema)
+        """Add all rows, or none if any key is taken or repeated.
+
+        The rows are staged, so those that are checked are those that are written.
+        """
         batch_id = self._batch(batch_id, writer)
-        taken = conflicts(rows, self.read(before=(writer, batch_id)), self.key)
-        first = taken.first()
-        if first is not None:
-            raise DuplicateKeyError(f"key exists already or is repeated: {first.asDict()}")
-        return self._write(rows, batch_id, writer)
+        with self._staged(conform(df, self.schema)) as staged:
+            first = conflicts(staged, self.read(before=(writer, batch_id)), self.key).first()
+            if first is not None:
+                raise DuplicateKeyError(f"key exists already or is repeated: {first.asDict()}")
+            return self._write(staged, batch_id, writer)
 
 
 # Column types in the database.
