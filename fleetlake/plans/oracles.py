@@ -138,6 +138,7 @@ ORACLES = {
     "stream_resume": f"WITH {T} SELECT machine, tick, split, event_id FROM t",
     "scan_csv_train": f"WITH {T} SELECT machine, tick, 0 AS label, col_0 FROM t WHERE split = 'train'",
     "scan_csv_test": f"WITH {T} SELECT machine, tick, label, col_0 FROM t WHERE split = 'test'",
+    "scan_csv_by_name": f"WITH {T} SELECT machine, tick, label, col_0, col_37 FROM t WHERE split = 'test'",
     "scan_table_query": f"WITH {T} SELECT machine, tick, split, col_0 FROM t WHERE split = 'train' AND col_0 >= 10",
     "scan_table": f"WITH {T} SELECT {_STORED} FROM t",
     "scan_table_pushdown": f"{_TRAIN_STORED} AND send_ts >= {CUT}",

@@ -511,7 +511,8 @@ def lag_by_group_topic(spark, sf_dir):
 
 @query
 def under_replicated_by_topic(spark, sf_dir):
-    return metrics.under_replicated(adapter.metric_samples(spark, sf_dir, [metric_source.UNDER_REPLICATED]), order=["ts", "event_id"])
+    samples = adapter.metric_samples(spark, sf_dir, [metric_source.UNDER_REPLICATED])
+    return metrics.under_replicated(samples, order=["ts", "event_id"])
 
 
 @query
@@ -584,6 +585,13 @@ def file_order(spark, sf_dir):
     return kept.select("machine", F.col("timestamp").alias("tick"), "event_id")
 
 
+@query
+def scan_csv_by_name(spark, sf_dir):
+    path = _machine_files(spark, sf_dir, "test")
+    rows = files.read_csv_by_name(spark, path, "machine=machine-*")
+    return rows.select("machine", F.col("timestamp").alias("tick"), "label", "col_0", "col_37")
+
+
 @query
 def union_splits(spark, sf_dir):
     rows = files.union_splits(_train_files(spark, sf_dir), _test_files(spark, sf_dir))

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlake.functions.shape import conform, machine_from_path, tag_split
+from fleetlake.functions.shape import conform, machine_from_path, parse_fields, tag_split
 from fleetlake.schema import CSV_SCHEMA
 
 TRAIN_PATTERN = "machine-*/*_train.csv"
@@ -15,16 +15,27 @@ TEST_PATTERN = "{machine}/*_test.csv"
 def read_csv(spark, path, schema=CSV_SCHEMA, pattern=None, mode="PERMISSIVE", corrupt=None):
     """CSV files below ``path`` whose place matches ``pattern``.
 
-    PERMISSIVE turns unreadable text into NULL (and keeps the line in the column
-    ``corrupt`` when named), FAILFAST raises.
+    Columns are taken by place, and a header with other names is an error. PERMISSIVE turns
+    unreadable text into NULL (and keeps the line in the column ``corrupt`` when named),
+    FAILFAST raises.
     """
-    reader = spark.read.option("header", True).option("mode", mode)
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", mode)
     if corrupt:
         schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt)
     return reader.schema(schema).csv(f"{path}/{pattern}" if pattern else path)
 
 
+def read_csv_by_name(spark, path, pattern=None):
+    """CSV files whose header decides what a column is.
+
+    Known columns are typed, unreadable text in them becomes NULL; unknown columns are kept as
+    text for ``sniff_number``. All files must have the header of the first.
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    return machine_from_path(reader.csv(f"{path}/{pattern}" if pattern else path)).transform(parse_fields)
+
+
 def read_train_csv(spark, base, pattern=TRAIN_PATTERN, **options):
     """The train samples of all machines."""
     return tag_split(machine_from_path(read_csv(spark, base, pattern=pattern, **options)), "train")

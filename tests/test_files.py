@@ -63,6 +63,22 @@ def test_bad_text_and_short_rows(spark, tmp_path):
         files.read_csv(spark, str(path), mode="FAILFAST").collect()
 
 
+def test_header_is_checked(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    names = CSV_SCHEMA.names
+    path.write_text("\n".join([",".join([names[1], names[0], *names[2:]]), line("1", 0, 1.0)]) + "\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, str(path)).collect()
+
+
+def test_columns_by_name(spark, tmp_path):
+    path = tmp_path / "machine-3" / "x_train.csv"
+    path.parent.mkdir()
+    path.write_text("col_1,extra,label,timestamp,col_0\n2.5,1e3,1,007,bad\n")
+    row = files.read_csv_by_name(spark, str(tmp_path), files.TRAIN_PATTERN).first()
+    assert row.asDict() == {"machine": "machine-3", "timestamp": "007", "label": 1, "col_0": None, "col_1": 2.5, "extra": "1e3"}
+
+
 def test_file_order_decides_the_first(spark, tmp_path):
     for name, values in (("b.csv", [3.0, 4.0]), ("a.csv", [1.0, 2.0])):
         (tmp_path / name).write_text("\n".join([HEADER, *[line("1", 0, v) for v in values]]) + "\n")
