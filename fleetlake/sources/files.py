@@ -73,12 +73,16 @@ def union_splits(*frames):
 def write_machine_csv(df, path):
     """Write raw sample files below one directory per machine (``machine=<name>``).
 
-    The rebalance hint groups a machine's rows into few files and splits a machine
-    that holds too many of them over several tasks.
+    Range partitions are cut by row count: a task gets some whole machines, and so few files are
+    opened, while a machine with very many rows is cut into several tasks, by tick and, where
+    one tick has very many, at random.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         conform(df, CSV_SCHEMA, keep=["machine"])
-        .hint("rebalance", F.col("machine"))
+        .withColumn("_cut", F.rand(seed=1))
+        .repartitionByRange(tasks, "machine", "timestamp", "_cut")
+        .drop("_cut")
         .write.mode("overwrite")
         .option("header", True)
         .partitionBy("machine")
