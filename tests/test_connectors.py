@@ -53,3 +53,22 @@ def test_query_on_a_file_table(spark, samples):
     table = KeyedTable(spark, scratch(spark, "table")).ensure()
     table.append(samples([("m", "1", "train", 1, 1.0), ("m", "2", "test", 2, 2.0)]))
     assert [r.col_0 for r in read_table_query(table, "SELECT col_0 FROM {samples} WHERE usage = 'test'").collect()] == [2.0]
+
+
+def test_database_merge_goes_through_staging(spark, samples, monkeypatch):
+    done = []
+
+    def append(self, rows, table):
+        done.append((table, sorted((r.machine, r.timestamp, r.col_0) for r in rows.collect())))
+
+    monkeypatch.setattr(JdbcTable, "_execute", lambda self, *statements: done.extend(statements))
+    monkeypatch.setattr(JdbcTable, "_append", append)
+    table = JdbcTable(spark, "jdbc:postgresql://h/db", "lake")
+    table.insert_if_absent(samples([("m", "1", "train", 5, 5.0), ("m", "1", "train", 2, 2.0)]), 7, writer="a-b")
+    assert done == [
+        "CREATE TABLE IF NOT EXISTS lake_staging_a_b (LIKE lake)",
+        "TRUNCATE lake_staging_a_b",
+        ("lake_staging_a_b", [("m", "1", 2.0)]),
+        table.merge_sql("lake_staging_a_b"),
+        "DROP TABLE lake_staging_a_b",
+    ]
