@@ -8,9 +8,9 @@ that occur more than once in the corpus, whether in other documents or in the sa
 byte; the first occurrence by (doc_id, place) stays, the others go. A chunk goes if it has two lines or
 more, or is one such long line. Shorter single lines stay, however often they occur.
 
-Scale. What is shuffled to find repeats is a hash, a count and a place per chunk, combined per
-task first, so a passage in a third of all texts costs a row per task. Only the text of chunks whose hash
-repeats is shuffled for the comparison. Texts are shuffled once, to drop chunks from them.
+Scale. Texts are cut once and the chunks stored. What is shuffled to find repeats is a hash and
+two places per chunk, combined per task first, so a passage in a third of all texts costs a row per
+task; so does the comparison, which groups by the chunk's text. Texts are shuffled once, to drop chunks from them.
 
 Rows: a null text stays null and an empty one empty; neither has lines. A null doc_id takes no part
 and its row is returned as it is. Rows that repeat a document lose the same chunks. A text that
@@ -37,35 +37,28 @@ def long_line(line):
     return F.rlike(line, F.lit(rf"^\s*+(?:\S++\s++){{{LONG_LINE}}}\S"))
 
 
-def chunk_list(text, divisor=DIVISOR):
-    """The chunks of a text as an array of strings; lines in a chunk stay joined by line ends.
+def with_chunks(frame, name, divisor=DIVISOR):
+    """``frame`` with a column ``name``: the chunks of ``text`` as an array; lines in a chunk stay joined by line ends.
 
     A chunk ends after line i where (hash of line i + 31 * hash of line i - 1), shifted by 3 bits, is a
     multiple of the divisor (the line before the first has hash 0), and before and after a long line.
+    The steps are columns of their own, so each is computed once.
     """
-    lines = F.split(F.replace(text, F.lit(_ESCAPE), F.lit(_ESCAPED)), "\n")
-    facts = F.transform(lines, lambda x: F.struct(x.alias("line"), line_hash(x).alias("hash"), long_line(x).alias("long")))
-    none = F.array(F.struct(F.lit("").alias("line"), F.lit(0).cast("long").alias("hash"), F.lit(False).alias("long")))
-    triples = F.arrays_zip(
-        facts.alias("now"), F.concat(none, facts).alias("before"), F.concat(F.slice(facts, 2, F.size(lines)), none).alias("after")
-    )
-    marked = F.transform(
-        F.slice(triples, 1, F.size(lines)),
-        lambda x: F.concat(
-            x["now"]["line"],
-            F.when(
-                (F.shiftright(x["now"]["hash"] + 31 * x["before"]["hash"], 3) % divisor == 0)
-                | x["now"]["long"] | x["after"]["long"],
-                F.lit(_MARK),
-            ).otherwise(F.lit("\n")),
-        ),
-    )
-    joined = F.array_join(marked, "")
-    # The last line's own mark or line end is no part of the text.
-    ended = F.when(F.endswith(joined, F.lit(_MARK)), F.substr(joined, F.lit(1), F.length(joined) - 2)).otherwise(
-        F.substr(joined, F.lit(1), F.length(joined) - 1)
-    )
-    return F.transform(F.split(ended, _MARK), lambda c: F.replace(c, F.lit(_ESCAPED), F.lit(_ESCAPE)))
+    lines, facts, marked = f"{name}_lines", f"{name}_facts", f"{name}_marked"
+    frame = frame.withColumn(lines, F.split(F.replace("text", F.lit(_ESCAPE), F.lit(_ESCAPED)), "\n"))
+    # One number a line: its hash, doubled, plus 1 if it is long.
+    frame = frame.withColumn(facts, F.transform(lines, lambda x: line_hash(x) * 2 + long_line(x).cast("long")))
+
+    def ended(line, i):
+        now, before, after = (F.coalesce(F.get(facts, i + k), F.lit(0).cast("long")) for k in (0, -1, 1))
+        rolled = F.shiftright(F.shiftright(now, 1) + 31 * F.shiftright(before, 1), 3)
+        end = (rolled % divisor == 0) | (now % 2 == 1) | (after % 2 == 1)
+        last = i == F.size(facts) - 1
+        return F.concat(line, F.when(last, F.lit("")).when(end, F.lit(_MARK)).otherwise(F.lit("\n")))
+
+    frame = frame.withColumn(marked, F.array_join(F.transform(lines, ended), ""))
+    chunks = F.transform(F.split(marked, _MARK), lambda c: F.replace(c, F.lit(_ESCAPED), F.lit(_ESCAPE)))
+    return frame.withColumn(name, chunks).drop(lines, facts, marked)
 
 
 def passage(chunk):
@@ -76,8 +69,9 @@ def passage(chunk):
 def repeats(docs, divisor):
     """(doc_id, drop): places of the chunks of each document that occurred before, compared byte by byte."""
     whole = docs.select("doc_id", "text").where("doc_id is not null and text <> ''")
-    places = whole.select("doc_id", F.posexplode(chunk_list(F.col("text"), divisor)).alias("place", "chunk")).where(passage(F.col("chunk")))
-    places = places.withColumn("key", F.xxhash64("chunk"))
+    # The outer form: for the inner one Spark would test the size first, below the columns that hold the steps.
+    places = with_chunks(whole, "chunks", divisor).select("doc_id", F.posexplode_outer("chunks").alias("place", "chunk"))
+    places = stored(places.where(passage(F.col("chunk"))).withColumn("key", F.xxhash64("chunk")), "chunks")
     often = places.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("a"), F.max(F.struct("doc_id", "place")).alias("b"))
     often = stored(often.where("a <> b").select("key"), "repeated-keys")
     found = stored(places.join(often, "key", "left_semi"), "repeated-chunks")
@@ -91,8 +85,11 @@ def repeats(docs, divisor):
 
 def without_repeats(docs, divisor=DIVISOR):
     """The rows of ``docs``, with repeated passages cut out of ``text``; see the module's docstring."""
-    gone = repeats(docs, divisor).select(F.col("doc_id").alias("_of"), F.col("drop").alias("_drop"))
-    joined = docs.join(gone, docs["doc_id"] == gone["_of"], "left")
-    kept = F.filter(chunk_list(docs["text"], divisor), lambda c, i: ~F.array_contains(gone["_drop"], i))
-    text = F.when(gone["_drop"].isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
-    return joined.select([text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    gone = stored(repeats(docs, divisor).select(F.col("doc_id").alias("_of"), F.col("drop").alias("_drop")), "repeats")
+    inner = docs.select(docs["doc_id"].alias("_id"), docs["text"], F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("_rest"))
+    joined = inner.join(gone, F.col("_id") == F.col("_of"), "left")
+    # Only texts that lose something are cut into chunks again.
+    cut = with_chunks(joined.where("_drop is not null"), "_chunks", divisor)
+    kept = F.array_join(F.filter("_chunks", lambda c, i: ~F.array_contains("_drop", i)), "\n")
+    both = joined.where("_drop is null").select("_rest", "text").unionAll(cut.select("_rest", kept.alias("text")))
+    return both.select([F.col("text") if c == "text" else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns])
