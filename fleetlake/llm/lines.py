@@ -11,6 +11,7 @@ more, or is one such long line. Shorter single lines stay, however often they oc
 Scale. Texts are cut once and the chunks stored. What is shuffled to find repeats is a hash and
 two places per chunk, combined per task first, so a passage in a third of all texts costs a row per
 task; so does the comparison, which groups by the chunk's text. Texts are shuffled once, to drop chunks from them.
+Joins with what grows with the corpus are merge joins at every size.
 
 Rows: a null text stays null and an empty one empty; neither has lines. A null doc_id takes no part
 and its row is returned as it is. Rows that repeat a document lose the same chunks. A text that
@@ -74,7 +75,7 @@ def repeats(docs, divisor):
     places = stored(places.where(passage(F.col("chunk"))).withColumn("key", F.xxhash64("chunk")), "chunks")
     often = places.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("a"), F.max(F.struct("doc_id", "place")).alias("b"))
     often = stored(often.where("a <> b").select("key"), "repeated-keys")
-    found = stored(places.join(often, "key", "left_semi"), "repeated-chunks")
+    found = stored(places.join(often.hint("merge"), "key", "left_semi"), "repeated-chunks")
     # Grouping by the text itself is the comparison of bytes: equal hashes of unlike chunks part here.
     first = found.groupBy("key", "chunk").agg(F.min(F.struct("doc_id", "place")).alias("first"))
     unlike = first.groupBy("key").agg(F.count("first").alias("texts"))
@@ -87,7 +88,7 @@ def without_repeats(docs, divisor=DIVISOR):
     """The rows of ``docs``, with repeated passages cut out of ``text``; see the module's docstring."""
     gone = stored(repeats(docs, divisor).select(F.col("doc_id").alias("_of"), F.col("drop").alias("_drop")), "repeats")
     inner = docs.select(docs["doc_id"].alias("_id"), docs["text"], F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("_rest"))
-    joined = inner.join(gone, F.col("_id") == F.col("_of"), "left")
+    joined = inner.join(gone.hint("merge"), F.col("_id") == F.col("_of"), "left")
     # Only texts that lose something are cut into chunks again.
     cut = with_chunks(joined.where("_drop is not null"), "_chunks", divisor)
     kept = F.array_join(F.filter("_chunks", lambda c, i: ~F.array_contains("_drop", i)), "\n")

@@ -145,7 +145,8 @@ def confirmed(pairs, bodies, percent):
 
     texts_a = bodies.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     texts_b = bodies.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return map_batches(pairs.join(texts_a, "a").join(texts_b, "b").select("a", "b", "text_a", "text_b"), judge, "a long, b long, linked boolean")
+    both = pairs.hint("merge").join(texts_a, "a").hint("merge").join(texts_b, "b")
+    return map_batches(both.select("a", "b", "text_a", "text_b"), judge, "a long, b long, linked boolean")
 
 
 def across(members, tested, limit, cut):
@@ -208,13 +209,14 @@ def classes(docs, percent=85):
     reps = stored(reps.select(F.col("doc_id").alias("id"), "bands", "signature"), "representatives")
     buckets = reps.select("id", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(F.min("id").alias("centre"), F.count("id").alias("n")).where("n > 1")
-    members = stored(buckets.join(shared.select("band", "centre"), "band"), "buckets")
+    members = stored(buckets.join(shared.select("band", "centre").hint("merge"), "band"), "buckets")
     codes = reps.select("id", "signature")
     star = members.where("id <> centre").select("id", "centre").distinct()
     star = star.join(codes, "id").join(codes.select(F.col("id").alias("centre"), F.col("signature").alias("other")), "centre")
     star = star.withColumn("agreeing", agreement(F.col("signature"), F.col("other"))).where(F.col("agreeing") >= cut)
     pairs = star.groupBy(F.col("id").alias("a")).agg(F.max_by("centre", F.struct("agreeing", -F.col("centre"))).alias("b"))
-    bodies = texts(docs).join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    wanted = members.select(F.col("id").alias("doc_id")).distinct().hint("merge")
+    bodies = texts(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     bodies = stored(bodies, "bodies")
     judged = stored(confirmed(pairs, bodies, percent), "judged")
     limit = 8
