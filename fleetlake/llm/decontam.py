@@ -329,7 +329,7 @@ def proximity(docs, items, within=30):
                 for p, d in zip(place.tolist(), doc.tolist()):
                     for name, value in zip(out, (segment.ids[d], item, p - int(segment.starts[d]))):
                         out[name].append(value)
-            return out
+            return {name: np.array(values, dtype=object) for name, values in out.items()}
 
         built = stored(index(docs, phrases.vocabulary), "positional-index")
         parts.append(searched(built, phrases, near, "segment long, doc_id long, item_id string, place long").drop("segment"))

@@ -38,7 +38,7 @@ def long_line(line):
     return F.rlike(line, F.lit(rf"^\s*+(?:\S++\s++){{{LONG_LINE}}}\S"))
 
 
-def with_chunks(frame, name, divisor=DIVISOR):
+def with_chunks(frame, name, divisor=DIVISOR, text="text"):
     """``frame`` with a column ``name``: the chunks of ``text`` as an array; lines in a chunk stay joined by line ends.
 
     A chunk ends after line i where (hash of line i + 31 * hash of line i - 1), shifted by 3 bits, is a
@@ -46,7 +46,7 @@ def with_chunks(frame, name, divisor=DIVISOR):
     The steps are columns of their own, so each is computed once.
     """
     lines, facts, marked = f"{name}_lines", f"{name}_facts", f"{name}_marked"
-    frame = frame.withColumn(lines, F.split(F.replace("text", F.lit(_ESCAPE), F.lit(_ESCAPED)), "\n"))
+    frame = frame.withColumn(lines, F.split(F.replace(text, F.lit(_ESCAPE), F.lit(_ESCAPED)), "\n"))
     # One number a line: its hash, doubled, plus 1 if it is long.
     frame = frame.withColumn(facts, F.transform(lines, lambda x: line_hash(x) * 2 + long_line(x).cast("long")))
 
@@ -90,7 +90,7 @@ def without_repeats(docs, divisor=DIVISOR):
     inner = docs.select(docs["doc_id"].alias("_id"), docs["text"], F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("_rest"))
     joined = inner.join(gone.hint("merge"), F.col("_id") == F.col("_of"), "left")
     # Only texts that lose something are cut into chunks again.
-    cut = with_chunks(joined.where("_drop is not null"), "_chunks", divisor)
+    cut = with_chunks(joined.withColumn("_cut", F.when(F.col("_drop").isNotNull(), F.col("text"))), "_chunks", divisor, "_cut")
     kept = F.array_join(F.filter("_chunks", lambda c, i: ~F.array_contains("_drop", i)), "\n")
-    both = joined.where("_drop is null").select("_rest", "text").unionAll(cut.select("_rest", kept.alias("text")))
+    both = cut.select("_rest", F.coalesce(kept, "text").alias("text"))
     return both.select([F.col("text") if c == "text" else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns])

@@ -23,6 +23,7 @@ its order. Rows that repeat a doc_id are packed each. Ties in length are ordered
 piece. An empty table gives an empty result. Only doc_id and text are read.
 """
 
+import functools
 import zlib
 
 import numpy as np
@@ -36,49 +37,86 @@ GROUPS, LARGE_PER_BIN = 24, 4
 SALTS = 512
 
 
+#: For bytes.translate: ASCII that is no letter, digit or white space becomes a full stop.
+_MARKS = bytes(46 if byte < 128 and not (chr(byte).isalnum() or chr(byte) in " \t\n\r\x0b\x0c") else byte for byte in range(256))
+_ASCII = bytes(range(128))
+
+
+def plain(text):
+    """Whether no two neighbours are marks, which the tokenizer would take together; beyond ASCII only letters count."""
+    return b".." not in text.translate(_MARKS) and all(map(str.isalpha, set(text.translate(None, _ASCII).decode())))
+
+
 class Encoder:
     """Ids of texts as bytes: those of their space-separated parts, each encoded once.
 
-    A part of letters with punctuation behind is two words to the tokenizer, so both are looked up apart.
+    A sentence mark that stands alone is a word of its own to the tokenizer, so it is cut off first.
+    Parts of letters alone are encoded many at once, and told apart by the ids that end a word.
     """
 
-    BOUND = 600_000
+    BOUND = 800_000
 
     def __init__(self, path):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts, self.words = {}, {}
+        ending = {number for piece, number in self.tokenizer.get_vocab().items() if piece.endswith("</w>")}
+        self.ending = np.array([number in ending for number in range(self.tokenizer.get_vocab_size())])
+        self.parts = {}
+
+    def encode(self, many):
+        found = self.tokenizer.encode_batch_fast(many, add_special_tokens=False)
+        return [np.array(encoding.ids, "<u4").tobytes() for encoding in found]
+
+    def learn_words(self, words):
+        """Encode words of letters, some thousand in one text."""
+        for start in range(0, len(words), 2000):
+            run = words[start:start + 2000]
+            (whole,) = self.encode([b" ".join(run).decode()])
+            ends = 4 * np.flatnonzero(self.ending[np.frombuffer(whole, "<u4")]) + 4
+            if len(ends) != len(run):  # some word is more than one to the tokenizer
+                self.parts.update(zip(run, self.encode([word.decode() for word in run])))
+                continue
+            at = 0
+            for word, end in zip(run, ends.tolist()):
+                self.parts[word] = whole[at:end]
+                at = end
 
     def learn(self, parts):
-        """Encode those parts that are not known yet, in one call."""
-        if len(self.parts) + len(self.words) > self.BOUND:
-            self.parts, self.words = {}, {}
-            parts = set(parts)
-        else:
-            parts = set(parts).difference(self.parts)
-        split = {}
-        for part in parts:
-            whole = part.lower().decode()  # lower for ASCII alone, as the tokenizer does itself
-            stem = whole.rstrip(".,;:!?")
-            split[part] = (stem, whole[len(stem):]) if stem.lower().isalpha() and len(stem) < len(whole) else (whole,)
-        new = list({word for words in split.values() for word in words}.difference(self.words))
-        for start in range(0, len(new), 10_000):
-            found = self.tokenizer.encode_batch(new[start:start + 10_000], add_special_tokens=False)
-            for word, encoding in zip(new[start:start + 10_000], found):
-                self.words[word] = np.array(encoding.ids, "<u4").tobytes()
-        for part, words in split.items():
-            self.parts[part] = b"".join([self.words[word] for word in words])
+        """Encode those parts that are not known yet."""
+        new = parts.difference(self.parts)
+        if len(self.parts) + len(new) > self.BOUND:
+            self.parts, new = {}, parts
+        letters = [part for part in new if (text := part.decode()).isalpha() and text.lower().isalpha()]
+        self.learn_words(letters)
+        others = list(new.difference(letters))
+        self.parts.update(zip(others, self.encode([part.decode() for part in others])))
+
+    def cut(self, text):
+        """The parts of a text; each is encoded as it would be in the text."""
+        text = (text or b"").replace(b"\n", b" ")
+        if b"<|" not in text:
+            text = text.lower()  # ASCII alone, as the tokenizer does itself
+            if plain(text):
+                for mark in (b".", b",", b";", b":", b"!", b"?"):
+                    text = text.replace(mark, b" " + mark)
+        return text.split(b" ")
 
     def __call__(self, many):
         """Ids of each text, four bytes an id, the end id last."""
-        cut = [(text or b"").replace(b"\n", b" ").split(b" ") for text in many]
-        self.learn(part for parts in cut for part in parts)
+        cut = [self.cut(text) for text in many]
+        self.learn(set().union(*cut))
         end = np.array([END], "<u4").tobytes()
         return [b"".join(map(self.parts.__getitem__, parts)) + end for parts in cut]
 
 
-def runs_of(many, size=2_000_000):
+@functools.cache
+def encoder(path):
+    """One encoder for all tasks of a worker."""
+    return Encoder(path)
+
+
+def runs_of(many, size=1_000_000):
     """Slices of a list of texts with about ``size`` bytes each."""
     start, held = 0, 0
     for i, text in enumerate(many):
@@ -91,14 +129,11 @@ def runs_of(many, size=2_000_000):
 
 def pieces(docs, tokenizer_path, capacity=CAPACITY):
     """(doc_id, piece, start, length, ids_crc32): each document's ids and the end id, cut at the capacity."""
-    made = {}
-
     def cut(columns):
-        if not made:
-            made["encode"] = Encoder(tokenizer_path)
+        encode = encoder(tokenizer_path)
         out = {name: [] for name in ("doc_id", "piece", "start", "length", "ids_crc32")}
         for run in runs_of(columns["text"]):
-            for doc_id, ids in zip(columns["doc_id"][run], made["encode"](columns["text"][run])):
+            for doc_id, ids in zip(columns["doc_id"][run], encode(columns["text"][run])):
                 for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[start * 4:(start + capacity) * 4]
                     for name, value in zip(out, (doc_id, piece, start, len(part) // 4, zlib.crc32(part))):

@@ -188,7 +188,7 @@ def occurrences(pages):
                         state[6] = max(state[6], n)
                         state[7] += 1
             rows = [(*token, s[0], np.uint64(s[1]).astype(np.int64), s[2], bool(s[3]), s[4], s[5], s[6]) for token, s in found.items()]
-            yield pd.DataFrame(rows, columns=["host", "path", "value", "pages", "vector", "order", "off", "size", "links", "most"])
+            yield pd.DataFrame(rows, columns=["host", "path", "value", "pages", "vector", "order", "off", "size", "links", "most"], dtype=object)
 
     schema = "host string, path string, value string, pages long, vector long, order long, off boolean, size long, links long, most long"
     rows = pages.mapInPandas(count, schema)
@@ -261,8 +261,10 @@ def main_text(page, elements, fixed, named, varied):
             continue
         if path not in slots:
             steps = path.split(">")
-            slots[path] = next((p for p in (">".join(steps[:n]) for n in range(len(steps), 0, -1)) if p in elements), "")
-        if off or slots[path] not in main:
+            slot = next((p for p in (">".join(steps[:n]) for n in range(len(steps), 0, -1)) if p in elements), "")
+            # A page that departs from its host's template may still name its article.
+            slots[path] = slot in main or any(step.split(".")[0] in CONTENT for step in steps)
+        if off or not slots[path]:
             continue
         if not named:
             value = clean(run)
@@ -293,7 +295,7 @@ def extracted(pages):
                 if template[0] is None:
                     template = list(shared) if shared else [(), (), (), ()]
                 texts.append(main_text(page or "", *template))
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": pd.Series(texts, dtype=object), "n_chars": [len(t) for t in texts]})
 
     kind = dict(pages.dtypes)
     return joined.select("page_id", "url", "html", "elements", "fixed", "named", "varied").mapInPandas(

@@ -5,11 +5,13 @@ document is toxic unless none of its sentences is (noisy-or): 1 - product of (1
 per document only; the likelihood of those trains the sentence model, so a sentence can be scored by
 itself afterwards and the offending ones be pointed out (``offending``).
 
+Words count as themselves and by their beginnings of ``BEGINNINGS`` letters, so inflected forms share a weight.
+
 Training rows. Only labelled rows whose crc32 of the doc_id's text is not 2 modulo 4 (``held_out``). The
-classifier is fitted on at most ``SAMPLE`` documents and ``SAMPLE_WORDS`` words of them, the smallest by a
-hash of the id; that bound holds whatever the size of the input. At most ``FEATURES`` words, those that
-tell the labels apart best in the sample, get a weight; weights are shrunk towards zero. Scoring
-is one pass over whole texts without a shuffle.
+classifier is fitted on at most ``SAMPLE`` documents and ``SAMPLE_BYTES`` bytes of them, the smallest by a
+hash of the id; that bound holds whatever the size of the input. At most ``FEATURES`` words and beginnings,
+those that tell the labels apart best in the sample, get a weight; weights are held small by a
+quadratic penalty. Scoring is one pass over whole texts without a shuffle.
 
 Rows: a null or empty text, or one without words, has no sentence and scores 0. A null doc_id is scored and
 counts as not held out. Repeated rows are scored each; a document labelled twice is toxic if either label says
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm.common import Memo, alnum_words, map_batches, stored, texts
 
-SAMPLE, SAMPLE_WORDS, FEATURES = 20_000, 20_000_000, 4096
+SAMPLE, SAMPLE_BYTES, FEATURES = 8_000, 40_000_000, 2048
+BEGINNINGS = range(3, 9)
 THRESHOLD = 0.3
 _ENDS = re.compile(rb"[.!?\n]+|\xe3\x80\x82|\xef\xbc[\x81\x9f]")
 
@@ -51,20 +54,21 @@ def sentence_words(text):
     return [words for words in (alnum_words(part) for part in _ENDS.split(text or b"")) if words]
 
 
-def feature(word):
-    """A word's number; 0 marks the end of a sentence."""
-    return zlib.crc32(word) or 1
+def features_of(word):
+    """The numbers of a word and of its beginnings."""
+    letters = word.decode()
+    return [zlib.crc32(b"=" + word), *(zlib.crc32(b"^" + letters[:n].encode()) for n in BEGINNINGS if len(letters) > n)]
 
 
 class Model:
-    """Weights by word number and a bias; picklable and bounded by FEATURES."""
+    """Weights by feature number and a bias; picklable and bounded by FEATURES."""
 
     def __init__(self, weights, bias):
         self.weights, self.bias = weights, bias
 
     def scorer(self):
         weights, bias = self.weights, self.bias
-        memo = Memo(lambda word: weights.get(feature(word), 0.0))
+        memo = Memo(lambda word: sum([weights.get(number, 0.0) for number in features_of(word)]))
         return lambda words: bias + sum(map(memo.__getitem__, words))
 
 
@@ -73,82 +77,79 @@ def probability(margins):
     return float(-np.expm1(-np.logaddexp(0, margins).sum())) if len(margins) else 0.0
 
 
-def sampled(docs, labels, sample=SAMPLE, sample_words=SAMPLE_WORDS):
-    """The training sample: word numbers of each document (0 ends a sentence) and its label."""
+def sampled(docs, labels, sample=SAMPLE, sample_bytes=SAMPLE_BYTES):
+    """The training sample: (toxic, text), at most ``sample`` rows with ``sample_bytes`` of text."""
     known = labels.where("toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("turn", F.xxhash64("doc_id"))
     chosen = known.orderBy("turn", "doc_id").limit(sample)  # at most `sample` rows of three numbers
+    rows = texts(docs).where("text is not null").join(F.broadcast(chosen), "doc_id")
+    rows = rows.dropDuplicates(["doc_id"]).withColumn("bytes", F.octet_length("text"))
+    rows = stored(rows, "toxic-sample")
+    ahead = rows.selectExpr("toxic", "text", "sum(bytes) over (order by turn, doc_id rows unbounded preceding) as ahead")
+    return ahead.where(F.col("ahead") <= sample_bytes).select("toxic", "text").toPandas()
 
-    def numbers(columns):
-        memo = Memo(feature)
-        found = []
-        for text in columns["text"]:
-            ids = []
-            for words in sentence_words(text):
-                ids += map(memo.__getitem__, words)
-                ids.append(0)
-            found.append(ids)
-        return {
-            "toxic": columns["toxic"], "turn": columns["turn"], "doc_id": columns["doc_id"],
-            "ids": [np.array(ids, "<u4").tobytes() for ids in found], "words": [len(ids) for ids in found],
-        }
 
-    rows = texts(docs).join(F.broadcast(chosen), "doc_id")
-    rows = stored(map_batches(rows, numbers, "toxic int, turn long, doc_id long, ids binary, words long"), "toxic-sample")
-    ahead = rows.selectExpr("toxic", "ids", "sum(words) over (order by turn, doc_id, words rows unbounded preceding) as ahead")
-    return ahead.where(F.col("ahead") <= sample_words).select("toxic", "ids").toPandas()
+def expanded(sizes, flat, codes):
+    """For each code the values of its list, ``sizes`` long, in ``flat``: (place of the code, value)."""
+    first = np.cumsum(sizes) - sizes
+    n = sizes[codes]
+    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[codes], n)
+    return np.repeat(np.arange(len(codes)), n), flat[at]
 
 
-def fit(sample, features=FEATURES, rounds=400, shrink=2e-5):
-    """The model that fits document labels best under the noisy-or, by Adam steps with soft thresholds."""
+def fit(sample, features=FEATURES, rounds=300, penalty=1e-4, least_gap=2.5):
+    """The model that fits document labels best under the noisy-or, by Adam steps."""
     labels = sample["toxic"].to_numpy(np.float64) > 0
     if not len(sample) or labels.all() or not labels.any():
         return Model({}, -60.0)
-    ids = [np.frombuffer(x, "<u4") for x in sample["ids"]]
-    doc = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
-    ids = np.concatenate(ids)
-    ends = ids == 0
-    sentence = np.concatenate([[0], np.cumsum(ends)[:-1]]) if len(ids) else np.empty(0, np.int64)
-    n_sentences = int(ends.sum())
-    of_sentence = doc[ends]
-    words, word = np.unique(ids, return_inverse=True)
-    pairs = np.unique(word.astype(np.int64) * len(labels) + doc)
-    held, of = pairs // len(labels), pairs % len(labels)
-    df = np.bincount(held, minlength=len(words)).astype(float)
-    bad = np.bincount(held, weights=labels[of], minlength=len(words))
+    vocabulary, codes, sentence, of_sentence = {}, [], [], []
+    for doc, text in enumerate(sample["text"]):
+        for words in sentence_words(bytes(text)):
+            codes += [vocabulary.setdefault(word, len(vocabulary)) for word in words]
+            sentence += [len(of_sentence)] * len(words)
+            of_sentence.append(doc)
+    codes, sentence, of_sentence = (np.array(x, np.int64) for x in (codes, sentence, of_sentence))
+    n_docs = len(labels)
+    sizes = np.fromiter((len(features_of(word)) for word in vocabulary), np.int64, len(vocabulary))
+    flat = np.fromiter((number for word in vocabulary for number in features_of(word)), np.int64, int(sizes.sum()))
+    numbers, flat = np.unique(flat, return_inverse=True)
+    pairs = np.unique(codes * n_docs + of_sentence[sentence])
+    at, held = expanded(sizes, flat, pairs // n_docs)
+    pairs = np.unique(held * n_docs + (pairs % n_docs)[at])
+    held, of = pairs // n_docs, pairs % n_docs
+    df = np.bincount(held, minlength=len(numbers)).astype(float)
+    bad = np.bincount(held, weights=labels[of], minlength=len(numbers))
     rate = labels.mean()
-    gap = np.abs(bad - df * rate) / np.sqrt(df * rate * (1 - rate) * (1 - df / (len(labels) + 1)) + 1)
-    gap[(words == 0) | (df < 2)] = 0
+    gap = np.abs(bad - df * rate) / np.sqrt(df * rate * (1 - rate) * (1 - df / (n_docs + 1)) + 1)
+    gap[df < 2] = 0
     best = np.argsort(-gap, kind="stable")[:features]
-    best = best[gap[best] > 1.5]
-    place = np.full(len(words), -1)
+    best = best[gap[best] >= least_gap]
+    place = np.full(len(numbers), -1)
     place[best] = np.arange(len(best))
-    used = place[word] >= 0
-    column, row = place[word[used]], sentence[used]
-    rows, row = np.unique(row, return_inverse=True)  # only sentences that hold a chosen word differ
+    chosen = place[flat] >= 0
+    sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[chosen], minlength=len(sizes))
+    at, held = expanded(sizes, place[flat[chosen]], codes)
+    rows, row = np.unique(sentence[at], return_inverse=True)  # only sentences that hold a chosen feature differ
     owner = of_sentence[rows]
-    plain = np.bincount(of_sentence, minlength=len(labels)) - np.bincount(owner, minlength=len(labels))
+    plain = np.bincount(of_sentence, minlength=n_docs) - np.bincount(owner, minlength=n_docs)
     weights, bias = np.zeros(len(best)), -7.0
     first, second = np.zeros(len(best) + 1), np.zeros(len(best) + 1)
     for step in range(1, rounds + 1):
-        margin = bias + np.bincount(row, weights=weights[column], minlength=len(rows))
-        clean = -np.bincount(owner, weights=np.logaddexp(0, margin), minlength=len(labels)) - plain * np.logaddexp(0, bias)
-        safe = np.minimum(clean, -1e-6)
+        margin = bias + np.bincount(row, weights=weights[held], minlength=len(rows))
+        clean = -np.bincount(owner, weights=np.logaddexp(0, margin), minlength=n_docs) - plain * np.logaddexp(0, bias)
+        safe = np.clip(clean, -500, -1e-6)
         slope = np.where(labels, -1 / np.expm1(-safe), 1.0)  # of the loss by each sentence's softplus
-        pull = slope[owner] / (1 + np.exp(-margin))
+        pull = slope[owner] / (1 + np.exp(-np.clip(margin, -500, 500)))
         slopes = np.append(
-            np.bincount(column, weights=pull[row], minlength=len(best)),
-            pull.sum() + (slope * plain).sum() / (1 + np.exp(-bias)),
-        ) / len(labels)
+            np.bincount(held, weights=pull[row], minlength=len(best)) / n_docs + penalty * weights,
+            (pull.sum() + (slope * plain).sum() / (1 + np.exp(-bias))) / n_docs,
+        )
         first, second = 0.9 * first + 0.1 * slopes, 0.99 * second + 0.01 * slopes**2
-        size = 0.15 / (1 + step / 200)
-        move = size * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-        scale = size / (np.sqrt(second[:-1] / (1 - 0.99**step)) + 1e-8)
+        move = 0.15 / (1 + step / 100) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         weights = weights - move[:-1]
-        weights = np.sign(weights) * np.maximum(np.abs(weights) - np.minimum(scale * shrink, 0.05), 0)
         bias -= move[-1]
-    return Model({int(words[k]): float(w) for k, w in zip(best, weights) if w}, float(bias))
+    return Model({int(numbers[k]): float(w) for k, w in zip(best, weights) if w}, float(bias))
 
 
 def train(docs, labels):

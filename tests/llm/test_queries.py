@@ -1,0 +1,161 @@
+"""Every query of the subpackage against its SQL, or else against a brute-force version, on the smallest tables."""
+
+import math
+import zlib
+
+import numpy as np
+import pytest
+
+import check
+from fleetlake.llm.queries import REGISTERED, URL_RULES
+from fleetlake.llm.sql import ORACLES
+from tests.llm import brute
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows_of(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet").collect()
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_equals_sql(spark, name):
+    assert check.compare(check.connect(SF), REGISTERED[name](spark, SF), ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", ["op9_chat_format", "op10_line_dedup"])
+def test_native_operators_run_no_python(spark, name):
+    frame = REGISTERED[name](spark, SF)
+    plan = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "simple")
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_html_text(spark):
+    found = {r.page_id: r for r in REGISTERED["op2_html_text"](spark, SF).collect()}
+    pages = rows_of(spark, "pages")
+    assert len(found) == len(pages)
+    for page in pages:
+        row = found[page.page_id]
+        assert (row.url, row.text, row.n_chars) == (page.url, brute.article_text(page.html), len(row.text))
+
+
+def brute_rule(url):
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    end = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host, path = rest[:end].translate(brute.LOWER), rest[end:]
+    path = path[:min([path.find(c) for c in "?#" if c in path], default=len(path))]
+    fits = [r for r in URL_RULES if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+    best = max(fits, key=lambda r: len(r[0] + r[1]), default=None)
+    return host, path, best and best[0] + best[1], best and best[2]
+
+
+def brute_score(texts, order=4):
+    """A function from text to score, by dictionaries of counts instead of joins."""
+    counts = {"allow": {}, "block": {}}
+    for text, verdict, n in texts:
+        symbols = "\x02" * order + text + "\x03"
+        for i in range(order, len(symbols)):
+            for k in range(order + 1):
+                of = counts[verdict].setdefault(symbols[i - k:i], {})
+                of[symbols[i]] = of.get(symbols[i], 0) + n
+
+    def probability(table, symbols, i):
+        p = 1 / 256
+        for k in range(order + 1):
+            of = table.get(symbols[i - k:i])
+            if of:
+                p = (of.get(symbols[i], 0) + len(of) * p) / (sum(of.values()) + len(of))
+        return p
+
+    def score(text):
+        if not text:
+            return 0.0
+        symbols = "\x02" * order + text + "\x03"
+        each = [math.log(probability(counts["allow"], symbols, i) / probability(counts["block"], symbols, i)) for i in range(order, len(symbols))]
+        return sum(each) / len(each)
+
+    return score
+
+
+def test_url_filter(spark):
+    from fleetlake.llm import urls
+    from pyspark.sql import functions as F
+
+    found = {r.page_id: r for r in REGISTERED["op3_url_filter"](spark, SF).collect()}
+    pages = rows_of(spark, "pages")
+    ruled = {p.page_id: brute_rule(p.url) for p in pages}
+    texts = {}
+    for host, path, _, verdict in ruled.values():
+        texts[host + path] = (verdict, texts.get(host + path, (None, 0))[1] + 1)
+    held = spark.createDataFrame([(t,) for t in texts], "text string").select("text", (F.pmod(F.xxhash64(F.md5(F.col("text").cast("binary"))), F.lit(4)) == 0).alias("held"))
+    held = {r.text: r.held for r in held.collect()}
+    score = brute_score([(t, v, n) for t, (v, n) in texts.items() if v and not held[t]])
+    unruled = []
+    for page in pages:
+        host, path, rule, verdict = ruled[page.page_id]
+        row = found[page.page_id]
+        assert (row.host, row.path, row.rule) == (host, path, rule)
+        assert row.score == pytest.approx(score(host + path), abs=1e-9)
+        if verdict:
+            assert row.verdict == verdict
+        else:
+            unruled.append((row.score, row.verdict))
+    lowest = min([s for s, v in unruled if v == "allow"], default=9)
+    assert all(s < lowest for s, v in unruled if v == "block")
+    assert urls.BINS == 2000
+
+
+def test_toxicity(spark):
+    found = REGISTERED["op4_toxicity"](spark, SF).collect()
+    assert len(found) == len(rows_of(spark, "documents"))
+    for r in found:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+
+
+def test_packing(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rows = REGISTERED["op5_best_fit_packing"](spark, SF).collect()
+    texts = {r.doc_id: r.text for r in rows_of(spark, "documents")}
+    used, least = brute.check_packing(rows, texts, Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")))
+    assert used <= least + 2
+
+
+def test_neighbours(spark):
+    vectors = {r.vec_id: np.array(r.embedding, float) for r in rows_of(spark, "embeddings")}
+    ids = np.array(sorted(vectors))
+    matrix = np.stack([vectors[i] for i in ids])
+    found = {}
+    for r in REGISTERED["op6_nearest_neighbours"](spark, SF).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(found) == {int(i) for i in ids if i % 20 == 0}
+    right = 0
+    for query, rows in found.items():
+        rows.sort()
+        scores = (matrix * vectors[query]).sum(axis=1)
+        best = [int(ids[k]) for k in np.lexsort((ids, -scores)) if ids[k] != query][:20]
+        assert [r[0] for r in rows] == list(range(1, 21)) and query not in [r[1] for r in rows]
+        assert all(score == scores[np.searchsorted(ids, i)] for _, i, score in rows)
+        assert rows == sorted(rows, key=lambda r: (-r[2], r[1]))
+        right += len(set(best) & {r[1] for r in rows})
+    assert right >= 0.9 * 20 * len(found)
+
+
+def test_license_scan(spark):
+    phrases = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
+    found = {r.doc_id: r for r in REGISTERED["op7_license_scan"](spark, SF).collect()}
+    for doc in rows_of(spark, "documents"):
+        words, places, labels = brute.alnum_words(doc.text), [], set()
+        for label, phrase in phrases.items():
+            phrase = phrase.split()
+            here = [i for i in range(len(words)) if words[i:i + len(phrase)] == phrase]
+            places += here
+            labels |= {label} if here else set()
+        row = found[doc.doc_id]
+        assert (row.n_words, row.n_base, row.first_word, row.last_word) == (len(words), len(places), min(places, default=None), max(places, default=None))
+        assert row.base_labels == ",".join(sorted(labels)) and set(row.labels.split(",")) >= labels
+        assert ("gpl-3" in row.labels.split(",")) == ("gnu general public license version 3" in " ".join(words))
