@@ -42,9 +42,13 @@ _MARKS = bytes(46 if byte < 128 and not (chr(byte).isalnum() or chr(byte) in " \
 _ASCII = bytes(range(128))
 
 
+def _letter(char):
+    return char.isalpha() and char.lower().isalpha()
+
+
 def plain(text):
     """Whether no two neighbours are marks, which the tokenizer would take together; beyond ASCII only letters count."""
-    return b".." not in text.translate(_MARKS) and all(map(str.isalpha, set(text.translate(None, _ASCII).decode())))
+    return b".." not in text.translate(_MARKS) and all(map(_letter, set(text.translate(None, _ASCII).decode())))
 
 
 class Encoder:
