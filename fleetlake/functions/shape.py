@@ -13,7 +13,7 @@ FLOAT_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 # A file of one machine lies in a directory named after it, or in the same
 # directory as the writer's partition layout spells it.
-MACHINE_IN_PATH = r".*/(?:machine=)?(machine-[^/]+)/"
+MACHINE_IN_PATH = r"/(?:machine=)?([^/]+)/[^/]+$"
 
 
 def select_prefix(df, prefix="col_", keep=()):
@@ -36,20 +36,24 @@ def to_str(column):
     return F.replace(F.make_valid_utf8(F.col(column).cast("string")), F.lit("�"), F.lit(""))
 
 
-def sniff_number(df, column="text", keep=()):
-    """Guess the type of an undeclared text column per value.
+def sniffed_number(text):
+    """(kind, num) of a text column, guessed per value.
 
     Text with ``.``, ``e`` or ``E`` may be a float, other text an int; what does not
-    read as that number stays a string. Gives ``kind`` and ``num``.
+    read as that number stays a string.
     """
-    text = F.col(column)
     looks_float = text.rlike("[.eE]")
     kind = (
         F.when(looks_float & text.rlike(FLOAT_TEXT), "float")
         .when(~looks_float & text.rlike(INTEGER_TEXT), "int")
         .when(text.isNotNull(), "string")
     )
-    num = F.when(kind.isin("float", "int"), F.trim(text).try_cast("double"))
+    return kind, F.when(kind.isin("float", "int"), F.trim(text).try_cast("double"))
+
+
+def sniff_number(df, column="text", keep=()):
+    """Guess the type of an undeclared text column per value: ``kind`` and ``num``."""
+    kind, num = sniffed_number(F.col(column))
     return df.select(*keep, kind.alias("kind"), num.alias("num"))
 
 
@@ -74,8 +78,9 @@ def tag_split(df, split):
 
 
 def machine_from_path(df):
-    """``machine`` out of the directory of the file a row was read from."""
-    return df.withColumn("machine", F.regexp_extract(F.col("_metadata.file_path"), MACHINE_IN_PATH, 1))
+    """``machine``: the name, whatever it is, of the directory of the file a row was read from; NULL if there is none."""
+    path = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return df.withColumn("machine", F.nullif(F.regexp_extract(path, MACHINE_IN_PATH, 1), F.lit("")))
 
 
 def stamp_send_time(df, as_of=None):

@@ -39,8 +39,9 @@ def _doubles(features):
 
 
 def feature_ranges(df, features):
-    """(lowest, highest) value of each feature: one pass, one row."""
-    both = ", ".join(f"struct(min(`{name}`) AS low, max(`{name}`) AS high)" for name in features)
+    """(lowest, highest) finite value of each feature: one pass, one row."""
+    finite = {name: f"CASE WHEN abs(`{name}`) < double('infinity') THEN `{name}` END" for name in features}
+    both = ", ".join(f"struct(min({x}) AS low, max({x}) AS high)" for x in finite.values())
     return [tuple(pair) for pair in df.selectExpr(f"array({both}) AS ranges").first()["ranges"]]
 
 
@@ -48,8 +49,8 @@ def mutual_information(df, features=tuple(FEATURES), label="label", bins=10, ran
     """Mutual information, in nats, of each feature's bins with the label.
 
     Every feature is cut into ``bins`` intervals of equal width over ``ranges`` (by default
-    its lowest and highest value); probabilities are plain shares of the rows. Missing
-    values count as 0, rows without a label are left out. Counts are combined before
+    its lowest and highest finite value; infinite ones fall into the outer bins); probabilities are plain
+    shares of the rows. Missing values count as 0, rows without a label are left out. Counts are combined before
     the shuffle: at most features x bins x labels of them leave a task.
     """
     features = list(features)
@@ -62,8 +63,9 @@ def mutual_information(df, features=tuple(FEATURES), label="label", bins=10, ran
         if low is None or high <= low:
             return "0"
         width = (float(high) - float(low)) / bins
-        place = f"floor((`{name}` - {float(low)!r}D) / {width!r}D)"
-        return f"cast(least(greatest({place}, 0), {bins - 1}) AS int)"
+        place = f"least(greatest(floor((`{name}` - {float(low)!r}D) / {width!r}D), 0), {bins - 1})"
+        ends = f"WHEN `{name}` = double('infinity') THEN {bins - 1} WHEN `{name}` = double('-infinity') THEN 0"
+        return f"cast(CASE {ends} ELSE {place} END AS int)"
 
     codes = ", ".join(bin_of(name, *span) for name, span in zip(features, ranges))
     cells = rows.selectExpr("_label", f"posexplode(array({codes})) AS (_feature, _bin)")

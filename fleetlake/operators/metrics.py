@@ -8,16 +8,21 @@ from fleetlake.sources.metrics import LAG, OFFSET, UNDER_REPLICATED
 SERIES = ["metric", "topic", "part", "consumergroup"]
 
 
-def latest_per_series(df, series=tuple(SERIES), order=("ts",), as_of=None, lookback=None):
-    """The newest sample of every series: its ``ts`` and ``value``.
+def instant(df, as_of, lookback="5 minutes"):
+    """Samples that count at the moment ``as_of``: at most ``lookback`` (an interval) older, none newer.
 
-    With ``as_of`` only samples up to then count, with ``lookback`` (an interval such as
-    ``"5 minutes"``) only those at most that much older.
+    ``as_of`` (a datetime or text) is a literal of the column's own type, so both bounds reach the scan.
     """
-    if as_of is not None:
-        df = df.filter(F.col("ts") <= as_of)
-        if lookback is not None:
-            df = df.filter(F.col("ts") > as_of - F.expr(f"interval {lookback}"))
+    at = F.lit(str(as_of)).cast(dict(df.dtypes)["ts"])
+    return df.filter((F.col("ts") <= at) & (F.col("ts") > at - F.expr(f"interval {lookback}")))
+
+
+def latest_per_series(df, as_of, lookback="5 minutes", series=tuple(SERIES), order=("ts",)):
+    """The newest sample of every series at ``as_of``: its ``ts`` and ``value``; see ``instant``.
+
+    A series without a sample within ``lookback`` is stale and gives no row.
+    """
+    df = instant(df, as_of, lookback)
     if tuple(order) == ("ts",):
         # Two fixed-size buffers: a hash aggregation that sorts nothing.
         return df.groupBy(*series).agg(F.max_by("value", "ts").alias("value"), F.max("ts").alias("ts"))
@@ -25,11 +30,11 @@ def latest_per_series(df, series=tuple(SERIES), order=("ts",), as_of=None, lookb
     return df.groupBy(*series).agg(newest).select(*series, "_newest.ts", "_newest.value")
 
 
-def sum_by(df, labels, metric=None, **newest):
+def sum_by(df, labels, metric=None, *, as_of, **newest):
     """``sum by (labels)`` of the newest values of a metric."""
     if metric is not None:
         df = df.filter(F.col("metric") == metric)
-    return latest_per_series(df, **newest).groupBy(*labels).agg(F.sum("value").alias("total"))
+    return latest_per_series(df, as_of, **newest).groupBy(*labels).agg(F.sum("value").alias("total"))
 
 
 def lag_by_group(df, **newest):
@@ -47,9 +52,9 @@ def under_replicated(df, **newest):
     return sum_by(df, ["topic"], UNDER_REPLICATED, **newest)
 
 
-def latest_gauges(df, metrics, series=tuple(SERIES), **newest):
+def latest_gauges(df, metrics, as_of, **newest):
     """The newest values of the named gauges."""
-    return latest_per_series(df.filter(F.col("metric").isin(*metrics)), series, **newest)
+    return latest_per_series(df.filter(F.col("metric").isin(*metrics)), as_of, **newest)
 
 
 def _step(now, before):
@@ -57,52 +62,36 @@ def _step(now, before):
     return F.when(now >= before, now - before).when(now < before, now)
 
 
-# Samples of one series in one window that a single task may order.
-SAMPLES_PER_SLICE = 250_000
-
-
-def _slices(rows, group):
-    """Into how many parts to cut a window so that no part of a series is too long for a task."""
-    most = rows.groupBy(*group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    return 1 + most // SAMPLES_PER_SLICE
-
-
-def counter_rate(df, labels=("topic", "part"), window="5 minutes", metric=OFFSET, order=("ts",), slices=None):
+def counter_rate(df, labels=("topic", "part"), window="5 minutes", metric=OFFSET, order=("ts",)):
     """Growth per second of every counter series in every window.
 
     Restarts are added back. A series with one sample in a window, or with all of
     them at the same time, has no rate there. The growth is divided by the time between
     first and last sample; it is not extrapolated to the window's ends.
 
-    Samples have to be ordered, which one task does for a whole series and window. A first
-    counting pass finds out whether one is too long for that; then windows are cut into
-    ``slices`` by time that are ordered apart and chained by their ends.
+    Samples have to be ordered, which is done in ranges of (series, window, ``order``) of equal size: a
+    range ends wherever it is full, also within a burst, and its growth is chained to the range before by the
+    values at their ends. ``order`` begins with ``ts``; further columns part samples of one moment.
     """
+    if order[0] != "ts":
+        raise ValueError("samples are ordered by time first")
     if metric is not None:
         df = df.filter(F.col("metric") == metric)
     group = [*labels, "window_start"]
-    rows = df.select(*labels, F.window("ts", window).alias("_in"), "ts", "value", F.struct(*order).alias("_at"))
-    rows = rows.select("*", F.col("_in.start").alias("window_start"), F.col("_in.end").alias("_end"))
-    slices = slices or _slices(rows, group)
-    if slices > 1:
-        ts, start, end = [F.unix_micros(F.col(name).cast("timestamp")) for name in ("ts", "window_start", "_end")]
-        rows = rows.withColumn("_slice", F.floor((ts - start) * F.lit(slices) / (end - start)))
-
-    ordered = group if slices == 1 else [*group, "_slice"]
-    before = F.lag("value").over(Window.partitionBy(*ordered).orderBy("_at"))
-    steps = rows.withColumn("_grown", _step(F.col("value"), before))
-    grown, times = F.sum("_grown").alias("_grown"), [F.min("ts").alias("_from"), F.max("ts").alias("_to")]
-    if slices == 1:
-        totals = steps.groupBy(*group).agg(grown, *times)
-    else:
-        ends = [F.min_by("value", "_at").alias("_first"), F.max_by("value", "_at").alias("_last")]
-        parts = steps.groupBy(*ordered).agg(grown, *times, *ends)
-        before = F.lag("_last").over(Window.partitionBy(*group).orderBy("_slice"))
-        chained = parts.withColumn("_gap", _step(F.col("_first"), before))
-        added = F.coalesce("_grown", F.lit(0.0)) + F.coalesce("_gap", F.lit(0.0))
-        totals = chained.groupBy(*group).agg(
-            F.sum(added).alias("_grown"), F.min("_from").alias("_from"), F.max("_to").alias("_to")
-        )
+    rows = df.withColumn("window_start", F.window("ts", window)["start"]).select(*group, "value", *order)
+    ranged = rows.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id())
+    before = F.lag("value").over(Window.partitionBy(*group, "_range").orderBy(*order))
+    steps = ranged.withColumn("_grown", _step(F.col("value"), before)).withColumn("_at", F.struct(*order))
+    parts = steps.groupBy(*group, "_range").agg(
+        F.sum("_grown").alias("_grown"), F.min("ts").alias("_from"), F.max("ts").alias("_to"),
+        F.min_by("value", "_at").alias("_first"), F.max_by("value", "_at").alias("_last"),
+    )
+    before = F.lag("_last").over(Window.partitionBy(*group).orderBy("_range"))
+    chained = parts.withColumn("_gap", _step(F.col("_first"), before))
+    added = F.coalesce("_grown", F.lit(0.0)) + F.coalesce("_gap", F.lit(0.0))
+    totals = chained.groupBy(*group).agg(
+        F.sum(added).alias("_grown"), F.min("_from").alias("_from"), F.max("_to").alias("_to")
+    )
     micros = F.unix_micros(F.col("_to").cast("timestamp")) - F.unix_micros(F.col("_from").cast("timestamp"))
     return totals.filter(F.col("_to") > F.col("_from")).select(
         *group, (F.col("_grown") / (micros / F.lit(1e6))).alias("rate")
@@ -114,19 +103,19 @@ def topic_rate(df, **rate):
     return counter_rate(df, **rate).groupBy("topic", "window_start").agg(F.sum("rate").alias("rate"))
 
 
-def alert_rows(df, rules, **newest):
+def alert_rows(df, rules, as_of, **newest):
     """Alerts of several rules in one pass: ``rule``, ``name`` and the ``total`` that fired.
 
     A rule is ``(rule, metric, label, condition)``: the newest values of ``metric`` are summed
     by ``label``, and ``condition`` says of that total whether it fires, e.g.
-    ``("lag", LAG, "consumergroup", lambda total: total >= 10000)``. One rule per metric.
+    ``("lag", LAG, "consumergroup", lambda total: total >= 10000)``. A metric may have several rules.
     """
-    values = latest_per_series(df.filter(F.col("metric").isin(*[metric for _, metric, _, _ in rules])), **newest)
-    rule, name, fires = F, F, F
+    values = latest_per_series(df.filter(F.col("metric").isin(*[metric for _, metric, _, _ in rules])), as_of, **newest)
+    asked, fires = [], F
     for title, metric, label, condition in rules:
-        mine = F.col("metric") == metric
-        rule = rule.when(mine, F.lit(title))
-        name = name.when(mine, F.col(label))
+        mine = F.struct(F.lit(title).alias("rule"), F.col(label).cast("string").alias("name"))
+        asked.append(F.when(F.col("metric") == metric, mine))
         fires = fires.when(F.col("rule") == title, condition(F.col("total")))
-    totals = values.groupBy(rule.alias("rule"), name.alias("name")).agg(F.sum("value").alias("total"))
+    each = values.select("value", F.explode(F.array_compact(F.array(*asked))).alias("_asked"))
+    totals = each.groupBy("_asked.rule", "_asked.name").agg(F.sum("value").alias("total"))
     return totals.filter(fires)

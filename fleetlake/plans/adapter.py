@@ -23,12 +23,8 @@ def events(spark, sf_dir):
 
 
 def spread(df, by):
-    """``df`` over all cores if its scan has fewer tasks than there are cores, else as it is.
-
-    One small file is one scan task, which would then do all the widening and encoding.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
+    """``df`` dealt out by a hash of ``by``, at every size: the driver's tables may be a single file."""
+    return df.repartition(by)
 
 
 def latest_time(spark, sf_dir):

@@ -4,43 +4,64 @@ Every job is a chain of lazy steps with one write. ``as_of`` is always given by
 caller, so running a job again gives the same result.
 """
 
+import time
+
 from pyspark.sql import functions as F
 
 from fleetlake.functions.decode import decode_lenient, decode_strict, parse_send_timestamp
 from fleetlake.functions.shape import fill_missing, rename_features, stamp_send_time
+from fleetlake.operators.counts import counted, throughput
 from fleetlake.operators.dedup import first_wins
 from fleetlake.operators.features import mutual_information, pca_loadings, top_k
-from fleetlake.operators.filters import cutoff, only_split, recent, split_valid
+from fleetlake.operators.filters import cutoff, guard_empty, only_split, recent, split_valid
 from fleetlake.schema import ARRIVAL, FEATURE_NAMES, KEY
 from fleetlake.sinks.export import export, export_path
 from fleetlake.sinks.topic import envelope
+from fleetlake.sources.files import FILE_ORDER, numbered
 from fleetlake.streaming.ingest import merge_stream
 
 
-def recent_samples(messages, as_of, days=1, selective=False):
-    """Topic messages to recent samples with a complete key and their arrival order.
+def complete_and_bad(samples):
+    """Samples with a whole key and a readable send time, parsed; and the others with a ``reason``."""
+    return split_valid(parse_send_timestamp(samples), [*KEY, "send_timestamp"])
+
+
+def set_aside(samples, quarantine):
+    """The good samples, once the bad ones are in the folder ``quarantine`` (replacing an earlier run's).
+
+    Without a folder all are handed on, and the table refuses a row that has no key: the job fails, and no
+    row is lost without a trace.
+    """
+    if not quarantine:
+        return parse_send_timestamp(samples)
+    good, bad = complete_and_bad(samples)
+    bad.write.mode("overwrite").parquet(quarantine)
+    return good
+
+
+def recent_samples(messages, as_of, days=1, selective=False, quarantine=None):
+    """Topic messages to recent samples with their arrival order; see ``set_aside`` for bad ones.
 
-    ``selective`` looks at the send time alone first and parses only recent messages in
-    full. That pays when the topic reaches back much further than ``days``.
+    ``selective`` looks at the send time alone first and parses only recent messages, and those without a
+    send time, in full. That pays when the topic reaches back much further than ``days``.
     """
     if selective:
-        sent = F.from_json(F.col("value").cast("string"), "send_timestamp string")["send_timestamp"]
-        messages = messages.filter(F.try_to_timestamp(sent) >= cutoff(as_of, days))
-        samples = decode_strict(messages, keep=ARRIVAL)
-    else:
-        samples = recent(decode_strict(messages, keep=ARRIVAL), as_of, days)
-    return parse_send_timestamp(split_valid(samples)[0])
+        sent = F.try_to_timestamp(F.from_json(F.col("value").cast("string"), "send_timestamp string")["send_timestamp"])
+        late = sent >= cutoff(as_of, days)
+        messages = messages.filter(sent.isNull() | late if quarantine else late)
+    return recent(set_aside(decode_strict(messages, keep=ARRIVAL), quarantine), as_of, days)
 
 
-def backfill_append(messages, table, as_of, days=1, selective=False):
+def backfill_append(messages, table, as_of, days=1, selective=False, quarantine=None):
     """Recent messages, first of each key, appended to a table that has none of the keys."""
-    table.ensure().append(first_wins(recent_samples(messages, as_of, days, selective)))
+    table.ensure().append(first_wins(recent_samples(messages, as_of, days, selective, quarantine)))
     return table
 
 
-def backfill_merge(messages, table, as_of, days=1, selective=False):
-    """Recent messages merged into a table that may hold some of the keys."""
-    table.ensure().insert_if_absent(recent_samples(messages, as_of, days, selective))
+def backfill_merge(messages, table, as_of, days=1, selective=False, quarantine=None, measure=True):
+    """Recent messages merged into a table that may hold some of the keys; ``measure`` as in the table."""
+    rows = recent_samples(messages, as_of, days, selective, quarantine)
+    table.ensure().insert_if_absent(rows, measure=measure)
     return table
 
 
@@ -69,15 +90,37 @@ def export_split(stored, base, as_of, days=1, split="train", fmt="csv"):
 
 
 def csv_to_topic(samples, topic, as_of, **envelope_options):
-    """Samples read from files, stamped, encoded and sent to a topic."""
-    topic.write(envelope(stamp_send_time(samples, as_of), **envelope_options))
+    """Samples read from files, stamped, encoded and sent to a topic in reading order, after what it holds."""
+    rows = stamp_send_time(samples, as_of)
+    if set(FILE_ORDER) <= set(samples.columns):
+        rows, envelope_options = numbered(rows), {"offset": "arrival", **envelope_options}
+    topic.write(envelope(rows, start=topic.next_offset(), **envelope_options))
     return topic
 
 
-def csv_to_table(samples, table, as_of):
-    """Samples read from files straight into a table; a key that is taken stops the job."""
-    table.ensure().insert_strict(parse_send_timestamp(stamp_send_time(samples, as_of)))
-    return table
+def csv_to_table(samples, table, as_of, quarantine=None, corrupt=None):
+    """Samples read from files straight into a table; a key that is taken stops the job.
+
+    Bad samples are set aside; with ``corrupt`` also lines that the reader kept in the column of that name
+    because some text in them is no number. Nothing is written when nothing is left.
+    """
+    samples = stamp_send_time(samples, as_of)
+    if corrupt and quarantine:
+        broken = samples.filter(F.col(corrupt).isNotNull())
+        broken.write.mode("overwrite").parquet(f"{quarantine}/lines")
+        samples, quarantine = samples.filter(F.col(corrupt).isNull()).drop(corrupt), f"{quarantine}/keys"
+    good = set_aside(samples, quarantine)
+    if not guard_empty(good):
+        table.ensure().insert_strict(good)
+    return table.ensure()
+
+
+def timed_load(samples, load):
+    """``load(samples)`` and the rows per second that it wrote, counted on the way."""
+    rows, seen = counted(samples)
+    began = time.monotonic()
+    load(rows)
+    return throughput(seen.get["rows"], time.monotonic() - began)
 
 
 def rank_features(samples, method="information", label="label", bins=10, k=10):

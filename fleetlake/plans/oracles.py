@@ -34,7 +34,7 @@ MERGED = f"""WITH {T}, ranked AS (
     ORDER BY CASE WHEN event_type IN ({_listed(EARLIER)}) THEN 0 ELSE 1 END, event_id) AS nth FROM t)
 SELECT {_STORED} FROM ranked WHERE nth = 1"""
 DEDUPED = f"WITH {T}, {FIRST} SELECT {_STORED} FROM firsts"
-_SPLIT_KEYS = f"WITH {T}, {FIRST} SELECT split, count(*) AS n FROM firsts GROUP BY split"
+_KEYS = f"WITH {T}, {FIRST} SELECT machine, tick, split FROM firsts"
 
 # Damaged messages, by kind of event, and documents.
 _ALL = f"""SELECT 'sample' AS kind, event_id AS src_id, machine, tick, split, {{label}} AS label, col_0 FROM t
@@ -83,7 +83,7 @@ M = (
     )
     + ")"
 )
-NEWEST = """newest AS (SELECT * FROM m QUALIFY row_number() OVER (
+NEWEST = """newest AS (SELECT * FROM m WHERE ts > (SELECT max(ts) - INTERVAL 6 HOUR FROM events) QUALIFY row_number() OVER (
   PARTITION BY metric, topic, part, consumergroup ORDER BY ts DESC, event_id DESC) = 1)"""
 RATE = f"""{M}, steps AS (
   SELECT topic, part, time_bucket(INTERVAL 6 HOUR, ts) AS window_start, ts, value,
@@ -132,7 +132,28 @@ _NAMES, _VALUES = f"UNNEST([{_listed(FEATURES)}])", f"UNNEST([{', '.join(FEATURE
 _LABELLED = f"SELECT label, {_NAMES} AS feature, {_VALUES} AS x FROM t"
 _TRAIN_STORED = f"WITH {T} SELECT {_STORED} FROM t WHERE split = 'train'"
 
+def _component(source, k=10):
+    """Absolute loadings in the first principal component of rows ``(id, feature, x)``: the covariance matrix,
+    squared and normalised 20 times, leaves that component in each column."""
+    steps = ["""c AS (SELECT id, feature, x - avg(x) OVER (PARTITION BY feature) AS x FROM source)""",
+        "m0 AS MATERIALIZED (SELECT a.feature AS i, b.feature AS j, sum(a.x * b.x) AS v FROM c a JOIN c b USING (id) GROUP BY ALL)"]
+    for n in range(20):
+        steps.append(f"p{n} AS (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM m{n} a JOIN m{n} b ON a.j = b.i GROUP BY ALL)")
+        steps.append(f"m{n + 1} AS MATERIALIZED (SELECT i, j, v / max(abs(v)) OVER () AS v FROM p{n})")
+    return f"""WITH {source}, {', '.join(steps)},
+led AS (SELECT i AS feature, v FROM m20 WHERE j = (SELECT i FROM m20 WHERE i = j ORDER BY v DESC, i LIMIT 1)),
+loadings AS (SELECT feature, abs(v) / sqrt(sum(v * v) OVER ()) AS importance FROM led)
+SELECT feature, round(importance, 6) AS importance FROM loadings ORDER BY loadings.importance DESC, feature LIMIT {k}"""
+
+
 ORACLES = {
+    "pca_loadings": _component(
+        "source AS (SELECT vec_id AS id, 'd' || (generate_subscripts(embedding, 1) - 1) AS feature, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)"
+    ),
+    "job_feature_rank_component": _component(
+        f"{T}, named(col, feature) AS (VALUES {', '.join(f'({c!r}, {n!r})' for c, n in NAME_OF.items())}), "
+        f"source AS (SELECT id, named.feature, coalesce(x, 0) AS x FROM (SELECT event_id AS id, {_NAMES} AS col, {_VALUES} AS x FROM t) JOIN named USING (col))"
+    ),
     "scan_topic_batch": f"WITH {T} SELECT 'telemetry' AS topic, event_id AS \"offset\", machine || '-' || split AS msg_key FROM t",
     "stream_topic_scan": f"WITH {T} SELECT 'telemetry' AS topic, event_id AS \"offset\", machine || '-' || split AS msg_key FROM t",
     "stream_resume": f"WITH {T} SELECT machine, tick, split, event_id FROM t",
@@ -143,7 +164,7 @@ ORACLES = {
     "scan_table": f"WITH {T} SELECT {_STORED} FROM t",
     "scan_table_pushdown": f"{_TRAIN_STORED} AND send_ts >= {CUT}",
     "scan_metric_samples": f"WITH {M} SELECT ts, metric, topic, part, consumergroup, value FROM m",
-    "sink_append": f"WITH {T} SELECT split, count(*) AS n FROM t GROUP BY split",
+    "sink_append": f"WITH {T} SELECT {_STORED} FROM t",
     "merge_insert_if_absent": MERGED,
     "merge_into_empty": DEDUPED,
     "merge_twice": DEDUPED,
@@ -153,7 +174,7 @@ SELECT machine, tick, split, n, e.machine IS NOT NULL AS in_target
 FROM counted LEFT JOIN (SELECT machine, tick, split FROM early) e USING (machine, tick, split)
 WHERE n > 1 OR e.machine IS NOT NULL""",
     "ensure_table_idempotent": f"WITH {T}, {EARLY} SELECT count(*) AS n FROM early",
-    "sink_topic_envelope": f"WITH {T} SELECT machine || '-' || split AS msg_key, count(*) AS n FROM t GROUP BY ALL",
+    "sink_topic_envelope": f"WITH {T} SELECT 'telemetry' AS topic, event_id AS \"offset\", machine || '-' || split AS msg_key, send_text FROM t",
     "export_csv_roundtrip": f"WITH {T} SELECT {_STORED}, label FROM t WHERE split = 'train'",
     "export_parquet_roundtrip": f"WITH {T} SELECT {_STORED}, label FROM t WHERE split = 'train'",
     "preview_topn": f"WITH {T} SELECT machine, tick, split, event_id FROM t ORDER BY machine, tick, split, event_id LIMIT 10",
@@ -184,7 +205,7 @@ FROM x JOIN {_catalog()} USING (col) GROUP BY ALL""",
     "filter_split": f"WITH {T} SELECT event_id, split FROM t WHERE split = 'train'",
     "quarantine_rows": QUARANTINE,
     "empty_input": "SELECT count(*) AS n FROM events WHERE ts >= (SELECT max(ts) + INTERVAL 1 DAY FROM events)",
-    "metric_label_match": f"WITH {M} SELECT topic, count(*) AS n FROM m WHERE metric = '{LAG}' AND consumergroup = 'g1' AND topic IN ('click', 'view') GROUP BY topic",
+    "metric_label_match": f"WITH {M} SELECT event_id, topic, part, consumergroup, value FROM m WHERE metric = '{LAG}' AND consumergroup = 'g1' AND topic IN ('click', 'view')",
     "conflict_anti_join": f"WITH {T}, {EARLY} SELECT machine, tick, split, event_id FROM t WHERE NOT {_HELD}",
     "conflict_semi_join": f"WITH {T}, {EARLY} SELECT machine, tick, split, event_id FROM t WHERE {_HELD}",
     "dedup_first_wins": f"WITH {T}, {FIRST} SELECT machine, tick, split, event_id, col_0 FROM firsts",
@@ -195,7 +216,7 @@ UNION ALL SELECT 'train', count(*) FROM train
 UNION ALL SELECT 'distinct_keys', count(*) FROM (SELECT DISTINCT machine, tick, split FROM train)""",
     "load_rate_by_day": f"WITH {T} SELECT tick, count(*) AS n, round(count(*) / 86400.0::DOUBLE, 9) AS rows_per_s FROM t GROUP BY tick",
     "stream_merge": MERGED,
-    "stream_merge_chunked": _SPLIT_KEYS,
+    "stream_merge_chunked": _KEYS,
     "stream_dedup_watermark": f"WITH {T} SELECT DISTINCT machine, tick, split FROM t",
     "stream_batch_counts": f"""SELECT 0::BIGINT AS batch, count(*) AS n FROM events WHERE event_type IN ({_listed(EARLIER)})
 UNION ALL SELECT 1, count(*) FROM events WHERE event_type NOT IN ({_listed(EARLIER)})""",
@@ -208,18 +229,19 @@ UNION ALL SELECT 1, count(*) FROM events WHERE event_type NOT IN ({_listed(EARLI
     "counter_rate": f"WITH {RATE} SELECT topic, part, window_start, round(rate, 9) AS rate FROM rates",
     "topic_rate": f"WITH {RATE} SELECT topic, window_start, round(sum(rate), 9) AS rate FROM rates GROUP BY ALL",
     "alert_rows": f"""WITH {M}, {NEWEST}, lag AS ({_sums('consumergroup', LAG)}), replicas AS ({_sums('topic', UNDER_REPLICATED)})
-SELECT 'lag' AS rule, consumergroup AS name, total FROM lag WHERE total >= 4000
+SELECT 'lag' AS rule, consumergroup AS name, total FROM lag WHERE total >= 500
+UNION ALL SELECT 'high lag', consumergroup, total FROM lag WHERE total >= 1500
 UNION ALL SELECT 'under_replicated', topic, total FROM replicas WHERE total > 0""",
     "mutual_information": "WITH "
     + _information(
-        "SELECT 'd' || (i - 1) AS feature, CAST(embedding[i] AS DOUBLE) AS x, label FROM embeddings, range(1, 65) AS r(i)", 4
+        "SELECT 'd' || (generate_subscripts(embedding, 1) - 1) AS feature, CAST(unnest(embedding) AS DOUBLE) AS x, label FROM embeddings", 4
     )
     + " SELECT feature, round(mi, 9) AS mi FROM information",
     "topk_features": f"""WITH {T}, means AS (SELECT machine, avg(col_0) AS mean FROM t GROUP BY machine)
 SELECT machine, round(mean, 6) AS mean FROM means ORDER BY means.mean DESC, machine LIMIT 10""",
     "file_order": f"""WITH {T} SELECT machine, tick, event_id FROM t
 QUALIFY row_number() OVER (PARTITION BY machine, tick ORDER BY event_type, event_id) = 1""",
-    "union_splits": f"WITH {T} SELECT split, count(*) AS n FROM t GROUP BY split",
+    "union_splits": f"WITH {T} SELECT machine, tick, split, CASE WHEN split = 'train' THEN 0.0 ELSE label END::DOUBLE AS label, col_0 FROM t",
     "job_backfill_append": f"""WITH {T}, recent AS (SELECT * FROM t WHERE send_ts >= {CUT})
 SELECT {_STORED} FROM recent QUALIFY {_FIRST} = 1""",
     "job_backfill_merge": f"""WITH {T}, {EARLY}, both_sides AS (
@@ -230,7 +252,17 @@ QUALIFY row_number() OVER (PARTITION BY machine, tick, split ORDER BY side, even
     "job_consume_merge": f"WITH {T}, {FIRST} SELECT machine, tick, split, send_ts, label FROM firsts",
     "job_export_train": f"{_TRAIN_STORED} AND send_ts >= {CUT}",
     "job_export_train_csv": f"{_TRAIN_STORED} AND send_ts >= {CUT}",
-    "job_csv_to_topic": f"WITH {T} SELECT machine || '-train' AS msg_key, tick, 0.0::DOUBLE AS label, col_0 FROM t WHERE split = 'train'",
+    "job_csv_to_topic": f"""WITH {T} SELECT machine, tick, split, 0.0::DOUBLE AS label, col_0 FROM t WHERE split = 'train'
+QUALIFY row_number() OVER (PARTITION BY machine, tick ORDER BY CASE WHEN event_type IN ({_listed(EARLIER)}) THEN 0 ELSE 1 END, event_id) = 1""",
+    "job_csv_conflicts": f"""WITH {T} SELECT machine, tick, split, count(*) AS n, true AS in_target FROM t WHERE split = 'train' GROUP BY ALL""",
+    "job_csv_quarantine": f"WITH {T} SELECT DISTINCT machine, tick, 'bad-' || event_id AS text FROM t WHERE event_type = 'error'",
+    "machine_of_any_folder": f"WITH {T} SELECT 'db ' || substr(machine, 9) AS machine, tick, label, col_0 FROM t WHERE split = 'test'",
+    "scan_csv_headers": f"""WITH {T} SELECT machine, tick, CASE WHEN split = 'test' THEN label END AS label, CASE WHEN split = 'test' THEN col_0 END AS col_0,
+  CASE WHEN split = 'train' THEN col_1 END AS col_1, CASE WHEN split = 'train' THEN 'string' END AS kind, CASE WHEN split = 'train' THEN event_type END AS text FROM t""",
+    "job_load_rate": f"WITH {T} SELECT {_STORED} FROM t",
+    "stream_recent": f"""WITH {T}, recent AS (SELECT * FROM t WHERE send_ts >= {CUT})
+SELECT {_STORED} FROM recent QUALIFY {_FIRST} = 1""",
+    "job_backfill_quarantine": f"SELECT kind, src_id, reason || ',send_timestamp' AS reason FROM ({QUARANTINE})",
     "job_csv_to_table": f"""WITH {T}, {FIRST} SELECT machine, tick, split, TIMESTAMP '2024-02-01 00:00:00' AS send_ts, col_0
 FROM firsts WHERE split = 'train'""",
     "job_feature_rank": f"WITH {T}, "

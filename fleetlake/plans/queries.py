@@ -24,8 +24,11 @@ REGISTERED = {}
 # Days that count as recent.
 DAYS = 7
 
-# Columns of ``embeddings``, one per dimension.
-DIMENSIONS = [f"d{i}" for i in range(64)]
+# How long a metric sample counts when the newest values are asked for.
+LOOKBACK = "6 hours"
+
+# Files of a topic that is read in chunks, and files in a chunk.
+FILES, CHUNK = 8, 2
 
 
 def query(run):
@@ -184,7 +187,7 @@ def sink_append(spark, sf_dir):
     table, rows = _table(spark, "appended"), _samples(spark, sf_dir)
     for split in ("train", "test"):
         table.append(filters.only_split(rows, split))
-    return table.read().groupBy(F.col("usage").alias("split")).agg(F.count("*").alias("n"))
+    return _stored(table)
 
 
 @query
@@ -225,7 +228,8 @@ def ensure_table_idempotent(spark, sf_dir):
 @query
 def sink_topic_envelope(spark, sf_dir):
     topic = _filled_topic(spark, adapter.messages(spark, sf_dir))
-    return topic.read().groupBy(F.col("key").cast("string").alias("msg_key")).agg(F.count("*").alias("n"))
+    value = F.get_json_object(F.col("value").cast("string"), "$.send_timestamp").alias("send_text")
+    return topic.read().select("topic", "offset", F.col("key").cast("string").alias("msg_key"), value)
 
 
 def _exported(spark, sf_dir, fmt):
@@ -391,7 +395,7 @@ def metric_label_match(spark, sf_dir):
     found = filters.match_labels(
         samples, equals={"metric": metric_source.LAG, "consumergroup": "g1"}, regex={"topic": "click|view"}
     )
-    return found.groupBy("topic").agg(F.count("*").alias("n"))
+    return found.select("event_id", "topic", "part", "consumergroup", "value")
 
 
 # Conflict joins, deduplication, counts
@@ -449,10 +453,9 @@ def stream_merge(spark, sf_dir):
 def stream_merge_chunked(spark, sf_dir):
     table, topic = _table(spark, "chunked"), _topic(spark, "topic")
     messages = adapter.messages(spark, sf_dir)
-    pieces = max(8, adapter.events(spark, sf_dir).rdd.getNumPartitions())
-    topic.write(messages, pieces)
-    jobs.consume_merge(topic.read_group(max_files=pieces // 4), table, _checkpoint(spark)).awaitTermination()
-    return table.read().groupBy(F.col("usage").alias("split")).agg(F.count("*").alias("n"))
+    topic.write(messages, FILES)
+    jobs.consume_merge(topic.read_group(max_files=CHUNK), table, _checkpoint(spark)).awaitTermination()
+    return table.read().select(*_keys())
 
 
 @query
@@ -487,32 +490,39 @@ def stream_quarantine(spark, sf_dir):
 # Metric queries
 
 
+def _newest(spark, sf_dir):
+    """The moment of the newest event, and how far to look back from there."""
+    moment = adapter.events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    return {"as_of": moment, "lookback": LOOKBACK, "order": ["ts", "event_id"]}
+
+
 @query
 def latest_by_series(spark, sf_dir):
-    return metrics.latest_per_series(adapter.metric_samples(spark, sf_dir), order=["ts", "event_id"])
+    return metrics.latest_per_series(adapter.metric_samples(spark, sf_dir), **_newest(spark, sf_dir))
 
 
 @query
 def latest_gauges(spark, sf_dir):
     wanted = [metric_source.BROKERS, metric_source.MEMBERS]
     samples = adapter.metric_samples(spark, sf_dir, wanted)
-    return metrics.latest_gauges(samples, wanted, ["metric", "consumergroup"], order=["ts", "event_id"])
+    return metrics.latest_gauges(samples, wanted, series=["metric", "consumergroup"], **_newest(spark, sf_dir))
 
 
 @query
 def lag_by_group(spark, sf_dir):
-    return metrics.lag_by_group(adapter.metric_samples(spark, sf_dir, [metric_source.LAG]), order=["ts", "event_id"])
+    return metrics.lag_by_group(adapter.metric_samples(spark, sf_dir, [metric_source.LAG]), **_newest(spark, sf_dir))
 
 
 @query
 def lag_by_group_topic(spark, sf_dir):
-    return metrics.lag_by_group_topic(adapter.metric_samples(spark, sf_dir, [metric_source.LAG]), order=["ts", "event_id"])
+    samples = adapter.metric_samples(spark, sf_dir, [metric_source.LAG])
+    return metrics.lag_by_group_topic(samples, **_newest(spark, sf_dir))
 
 
 @query
 def under_replicated_by_topic(spark, sf_dir):
     samples = adapter.metric_samples(spark, sf_dir, [metric_source.UNDER_REPLICATED])
-    return metrics.under_replicated(samples, order=["ts", "event_id"])
+    return metrics.under_replicated(samples, **_newest(spark, sf_dir))
 
 
 @query
@@ -532,31 +542,38 @@ def topic_rate(spark, sf_dir):
 @query
 def alert_rows(spark, sf_dir):
     rules = [
-        ("lag", metric_source.LAG, "consumergroup", lambda total: total >= 4000),
+        ("lag", metric_source.LAG, "consumergroup", lambda total: total >= 500),
+        ("high lag", metric_source.LAG, "consumergroup", lambda total: total >= 1500),
         ("under_replicated", metric_source.UNDER_REPLICATED, "topic", lambda total: total > 0),
     ]
-    samples = adapter.metric_samples(spark, sf_dir, [metric for _, metric, _, _ in rules])
-    return metrics.alert_rows(samples, rules, order=["ts", "event_id"])
+    samples = adapter.metric_samples(spark, sf_dir, sorted({metric for _, metric, _, _ in rules}))
+    return metrics.alert_rows(samples, rules, **_newest(spark, sf_dir))
 
 
 # Feature analysis
 
 
 def _embeddings(spark, sf_dir):
+    """(names of the dimensions, a column for each); vectors of unequal length are refused."""
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return rows.selectExpr("label", *[f"get(embedding, {i}) AS {name}" for i, name in enumerate(DIMENSIONS)])
+    low, high = rows.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if low != high:
+        raise ValueError(f"embeddings of {low} to {high} dimensions")
+    names = [f"d{i}" for i in range(high)]
+    return names, rows.selectExpr("label", *[f"get(embedding, {i}) AS {name}" for i, name in enumerate(names)])
 
 
 @query
 def pca_loadings(spark, sf_dir):
-    loadings = features.pca_loadings(_embeddings(spark, sf_dir), DIMENSIONS, k=10)
-    return features.top_k(loadings, "importance", 10, tie=["feature"])
+    names, rows = _embeddings(spark, sf_dir)
+    loadings = features.top_k(features.pca_loadings(rows, names, k=10), "importance", 10, tie=["feature"])
+    return loadings.withColumn("importance", F.round("importance", 6))
 
 
 @query
 def mutual_information(spark, sf_dir):
-    information = features.mutual_information(_embeddings(spark, sf_dir), DIMENSIONS, bins=4)
-    return information.withColumn("mi", F.round("mi", 9))
+    names, rows = _embeddings(spark, sf_dir)
+    return features.mutual_information(rows, names, bins=4).withColumn("mi", F.round("mi", 9))
 
 
 @query
@@ -595,7 +612,7 @@ def scan_csv_by_name(spark, sf_dir):
 @query
 def union_splits(spark, sf_dir):
     rows = files.union_splits(_train_files(spark, sf_dir), _test_files(spark, sf_dir))
-    return rows.groupBy(F.col("usage").alias("split")).agg(F.count("*").alias("n"))
+    return rows.select("machine", F.col("timestamp").alias("tick"), F.col("usage").alias("split"), "label", "col_0")
 
 
 # Whole pipelines
@@ -610,12 +627,20 @@ def job_backfill_append(spark, sf_dir):
 
 @query
 def job_backfill_merge(spark, sf_dir):
-    table = _earlier_table(spark, sf_dir, "backfill")
-    topic = _filled_topic(spark, adapter.messages(spark, sf_dir))
-    jobs.backfill_merge(topic.read(), table, adapter.latest_time(spark, sf_dir), DAYS, selective=True)
+    table, bad = _earlier_table(spark, sf_dir, "backfill"), scratch(spark, "quarantine")
+    topic = _filled_topic(spark, adapter.all_messages(spark, sf_dir))
+    jobs.backfill_merge(topic.read(), table, adapter.latest_time(spark, sf_dir), DAYS, True, bad)
     return _stored(table)
 
 
+@query
+def job_backfill_quarantine(spark, sf_dir):
+    table, bad = _table(spark, "backfill"), scratch(spark, "quarantine")
+    topic = _filled_topic(spark, adapter.all_messages(spark, sf_dir))
+    jobs.backfill_append(topic.read(), table, adapter.latest_time(spark, sf_dir), DAYS, True, bad)
+    return spark.read.parquet(bad).select(_kind(), _source_id(), "reason")
+
+
 @query
 def job_stream_ingest(spark, sf_dir):
     table, topic = _table(spark, "ingested"), _filled_topic(spark, adapter.all_messages(spark, sf_dir))
@@ -648,20 +673,102 @@ def job_export_train_csv(spark, sf_dir):
     return _job_export(spark, sf_dir, "csv")
 
 
+def _ordered_files(spark, sf_dir, split, kinds=None):
+    """Sample files whose lines, taken by path and place, are in event order within a machine.
+
+    Files are cut by range, so a machine's files are of unlike size.
+    """
+    path = scratch(spark, f"csv-{split}")
+    rows = filters.only_split(adapter.samples(spark, sf_dir, keep=["event_id", "event_type"]), split)
+    if kinds:
+        rows = rows.filter(F.col("event_type").isin(*kinds))
+    (
+        shape.conform(rows, files.CSV_SCHEMA, keep=["machine", "event_id"])
+        .repartitionByRange("machine", "event_id")
+        .sortWithinPartitions("machine", "event_id")
+        .drop("event_id")
+        .write.option("header", True)
+        .partitionBy("machine")
+        .csv(path)
+    )
+    return path
+
+
 @query
 def job_csv_to_topic(spark, sf_dir):
     topic = _topic(spark, "topic")
-    jobs.csv_to_topic(_train_files(spark, sf_dir), topic, "2024-02-01 00:00:00")
-    rows = decode.decode_strict(topic.read(), message_fields("timestamp", "label", "col_0"), keep=["key"])
-    return rows.select(F.col("key").cast("string").alias("msg_key"), F.col("timestamp").alias("tick"), "label", "col_0")
+    for kinds in (adapter.EARLIER, None):
+        path = _ordered_files(spark, sf_dir, "train", kinds)
+        rows = files.read_train_csv(spark, path, pattern="machine=machine-*")
+        jobs.csv_to_topic(rows, topic, "2024-02-01 00:00:00")
+    rows = decode.decode_strict(topic.read(), message_fields(*KEY, "label", "col_0"), keep=ARRIVAL)
+    return first_wins(rows).select(*_keys(), "label", "col_0")
 
 
 @query
 def job_csv_to_table(spark, sf_dir):
-    path = scratch(spark, "csv-unique")
-    files.write_machine_csv(filters.only_split(first_wins(adapter.samples(spark, sf_dir), order=["event_id"])), path)
-    rows = files.read_train_csv(spark, path, pattern="machine=machine-*")
-    return _stored(jobs.csv_to_table(rows, _table(spark, "direct"), "2024-02-01 00:00:00"))
+    """All train files, whose keys are repeated, stop at their conflicts; the first of each key load."""
+    table = _table(spark, "direct")
+    rows = files.read_train_csv(spark, _ordered_files(spark, sf_dir, "train"), pattern="machine=machine-*")
+    try:
+        jobs.csv_to_table(rows, table, "2024-02-01 00:00:00")
+    except merge.DuplicateKeyError:
+        jobs.csv_to_table(first_wins(rows, order=files.FILE_ORDER), table, "2024-02-01 00:00:00")
+    return _stored(table)
+
+
+@query
+def job_csv_conflicts(spark, sf_dir):
+    """What a second load of the same files would stop at."""
+    table = _table(spark, "direct")
+    rows = files.read_train_csv(spark, _ordered_files(spark, sf_dir, "train"), pattern="machine=machine-*")
+    jobs.csv_to_table(first_wins(rows, order=files.FILE_ORDER), table, "2024-02-01 00:00:00")
+    return merge.conflicts(rows, table.read()).select(*_keys(), "n", "in_target")
+
+
+@query
+def job_csv_quarantine(spark, sf_dir):
+    """Lines with text that is no number are set aside; the metric of every error event is damaged."""
+    path, bad = scratch(spark, "csv-damaged"), scratch(spark, "quarantine")
+    rows = adapter.samples(spark, sf_dir, keep=["event_id", "event_type"])
+    text = F.when(F.col("event_type") == "error", F.concat(F.lit("bad-"), "event_id")).otherwise(F.col("col_0").cast("string"))
+    wide = rows.withColumns({"label": F.col("label").cast("int"), "col_0": text}).select("machine", *files.CSV_SCHEMA.names)
+    wide.write.option("header", True).partitionBy("machine").csv(path)
+    read = files.read_test_csv(spark, path, "machine=machine-*", pattern="{machine}", corrupt="_line")
+    first = read.dropDuplicates([*KEY, "_line"]).filter("_line IS NOT NULL").unionByName(read.filter("_line IS NULL").dropDuplicates(KEY))
+    jobs.csv_to_table(first, _table(spark, "direct"), "2024-02-01 00:00:00", bad, "_line")
+    return spark.read.parquet(f"{bad}/lines").select("machine", F.col("timestamp").alias("tick"), F.split("_line", ",")[2].alias("text"))
+
+
+@query
+def machine_of_any_folder(spark, sf_dir):
+    """Test files whose folders are named after regions, without the usual prefix."""
+    path = scratch(spark, "csv-named")
+    rows = filters.only_split(adapter.samples(spark, sf_dir), "test").withColumn("machine", F.concat(F.lit("db "), F.substring("machine", 9, 99)))
+    files.write_machine_csv(rows, path)
+    read = files.read_test_csv(spark, path, "machine=*", pattern="{machine}")
+    return read.select("machine", F.col("timestamp").alias("tick"), "label", "col_0")
+
+
+@query
+def scan_csv_headers(spark, sf_dir):
+    """Two folders of files with different headers; a column that is not declared is sniffed."""
+    rows, paths = adapter.samples(spark, sf_dir, keep=["event_type"]).withColumn("label", F.col("label").cast("int")), []
+    for split, columns in (("train", ["timestamp", "col_1", "event_type"]), ("test", ["label", "timestamp", "col_0"])):
+        paths.append(scratch(spark, f"csv-{split}"))
+        named = filters.only_split(rows, split).select("machine", *columns)
+        named.write.option("header", True).partitionBy("machine").csv(paths[-1])
+    read = files.read_csv_folders(spark, paths, "machine=machine-*")
+    read = files.sniff_unknown(read, [*KEY, "label", *FEATURES])
+    return read.select("machine", F.col("timestamp").alias("tick"), "label", "col_0", "col_1", F.col("event_type.kind").alias("kind"), F.col("event_type.text").alias("text"))
+
+
+@query
+def job_load_rate(spark, sf_dir):
+    """Whether a counted and timed load stored what it counted: A3 and F7 in one job."""
+    table = _table(spark, "timed")
+    rate = jobs.timed_load(_samples(spark, sf_dir), table.append)
+    return _stored(table).where(F.lit(rate > 0))
 
 
 @query
@@ -672,4 +779,14 @@ def job_feature_rank(spark, sf_dir):
 
 @query
 def job_feature_rank_component(spark, sf_dir):
-    return jobs.rank_features(adapter.samples(spark, sf_dir), "component")
+    ranked = jobs.rank_features(adapter.samples(spark, sf_dir), "component")
+    return ranked.withColumn("importance", F.round("importance", 6))
+
+
+@query
+def stream_recent(spark, sf_dir):
+    """A stream that is limited to recent messages (T8)."""
+    table, topic = _table(spark, "recent"), _filled_topic(spark, adapter.messages(spark, sf_dir))
+    since = adapter.events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    jobs.stream_ingest(topic.read_stream(), table, _checkpoint(spark), as_of=since, days=DAYS).awaitTermination()
+    return _stored(table)

@@ -74,6 +74,24 @@ def drop_scratch(spark, path):
     files.delete(folder, True)
 
 
+def claim(spark, path):
+    """Create the empty file ``path``; False if it is there already. Only one of several callers gets True."""
+    files, place = _files(spark, path)
+    try:
+        files.create(place, False).close()
+    except Exception:
+        if files.exists(place):
+            return False
+        raise
+    return True
+
+
+def exists(spark, path):
+    """Whether a file or folder is there."""
+    files, place = _files(spark, path)
+    return files.exists(place)
+
+
 def list_folder(spark, path):
     """Names of the entries of a folder."""
     files, folder = _files(spark, path)

@@ -1,5 +1,6 @@
 """Target tables keyed by machine, tick and split."""
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import functions as F
@@ -9,13 +10,17 @@ from fleetlake.functions.shape import conform
 from fleetlake.operators.dedup import first_wins
 from fleetlake.operators.merge import DuplicateKeyError, KeyProfile, conflicts, new_rows
 from fleetlake.schema import ARRIVAL, KEY, TABLE_SCHEMA
-from fleetlake.session import drop_scratch, list_folder, scratch
+from fleetlake.session import claim, drop_scratch, list_folder, scratch
 from fleetlake.sources.jdbc import read_jdbc_table
 
 # The writer of jobs that run once.
 LOADS = "loads"
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Another load has claimed the same batch."""
+
+
 class KeyedTable:
     """A Parquet table that never holds a key twice, one directory per writer and batch.
 
@@ -23,7 +28,9 @@ class KeyedTable:
     which is named by the id in its checkpoint. Writing batch N looks at everything but that
     writer's batches from N on, and replaces directory N. So a batch that is run again after a
     failure gives the same rows, adds none, and cannot touch those of another writer.
-    Only one batch may be written at a time: files cannot enforce a key.
+    Only one batch may be written at a time: files cannot enforce a key. Two loads that pick the same
+    number do not replace each other: the number is claimed by a file that only one of them can create.
+    A row without a complete key fails the batch, which then writes nothing.
     """
 
     def __init__(self, spark, path, schema=TABLE_SCHEMA, key=tuple(KEY)):
@@ -52,16 +59,36 @@ class KeyedTable:
         names = list_folder(self.spark, f"{self.path}/writer={writer}")
         return max([int(name.split("=")[1]) for name in names if "=" in name], default=-1) + 1
 
+    def release(self, batch_id, writer=LOADS):
+        """Give up the claim on a batch that failed, so that the next load may take its number."""
+        drop_scratch(self.spark, f"{self.path}/_claims/{writer}-{batch_id}")
+
     def _write(self, df, batch_id, writer):
+        for name in self.key:
+            refused = F.raise_error(F.lit(f"a row without {name} cannot be stored"))
+            df = df.withColumn(name, F.when(F.col(name).isNull(), refused).otherwise(F.col(name)))
         df.write.mode("overwrite").parquet(self._folder(writer, batch_id))
         return batch_id
 
     def append(self, df, batch_id=None, writer=LOADS):
         """Add rows as they are; the caller vouches for the key."""
-        return self._write(conform(df, self.schema), self._batch(batch_id, writer), writer)
+        with self._claimed(batch_id, writer) as batch:
+            return self._write(conform(df, self.schema), batch, writer)
 
-    def _batch(self, batch_id, writer):
-        return self.next_batch(writer) if batch_id is None else batch_id
+    @contextmanager
+    def _claimed(self, batch_id, writer):
+        """The batch's number; a new one is claimed, and given up again if the batch fails."""
+        if batch_id is not None:
+            yield batch_id
+            return
+        batch = self.next_batch(writer)
+        if not claim(self.spark, f"{self.path}/_claims/{writer}-{batch}"):
+            raise ConcurrentLoadError(f"batch {batch} of {writer} is claimed by a load at work, or by one whose driver was lost: see release")
+        try:
+            yield batch
+        except BaseException:
+            self.release(batch, writer)
+            raise
 
     def insert_if_absent(self, df, batch_id=None, order=tuple(ARRIVAL), measure=True, writer=LOADS):
         """Add the first row of every key that is not in the table yet.
@@ -71,14 +98,14 @@ class KeyedTable:
         rows the second time), and the size and range of its keys decide how the
         table is searched. Turn it off when the input is about as large as the table.
         """
-        batch_id = self._batch(batch_id, writer)
-        fresh = first_wins(conform(df, self.schema, keep=order), self.key, order).select(*self.schema.names)
-        held = self.read(before=(writer, batch_id))
-        if not measure:
-            return self._write(new_rows(fresh, held, self.key), batch_id, writer)
-        with self._staged(fresh) as staged:
-            added = new_rows(staged, held, self.key, KeyProfile(staged, self.key))
-            return self._write(added, batch_id, writer)
+        with self._claimed(batch_id, writer) as batch:
+            fresh = first_wins(conform(df, self.schema, keep=order), self.key, order).select(*self.schema.names)
+            held = self.read(before=(writer, batch))
+            if not measure:
+                return self._write(new_rows(fresh, held, self.key), batch, writer)
+            with self._staged(fresh) as staged:
+                added = new_rows(staged, held, self.key, KeyProfile(staged, self.key))
+                return self._write(added, batch, writer)
 
     @contextmanager
     def _staged(self, rows):
@@ -95,12 +122,11 @@ class KeyedTable:
 
         The rows are staged, so those that are checked are those that are written.
         """
-        batch_id = self._batch(batch_id, writer)
-        with self._staged(conform(df, self.schema)) as staged:
-            first = conflicts(staged, self.read(before=(writer, batch_id)), self.key).first()
+        with self._claimed(batch_id, writer) as batch, self._staged(conform(df, self.schema)) as staged:
+            first = conflicts(staged, self.read(before=(writer, batch)), self.key).first()
             if first is not None:
                 raise DuplicateKeyError(f"key exists already or is repeated: {first.asDict()}")
-            return self._write(staged, batch_id, writer)
+            return self._write(staged, batch, writer)
 
 
 # Column types in the database.
@@ -126,12 +152,12 @@ class JdbcTable:
     def staging_sql(self, staging):
         return [f"CREATE TABLE IF NOT EXISTS {staging} (LIKE {self.table})", f"TRUNCATE {staging}"]
 
-    def merge_sql(self, staging):
+    def copy_sql(self, staging):
         columns = ", ".join(self.schema.names)
-        return (
-            f"INSERT INTO {self.table} ({columns}) SELECT {columns} FROM {staging} "
-            f"ON CONFLICT ({', '.join(self.key)}) DO NOTHING"
-        )
+        return f"INSERT INTO {self.table} ({columns}) SELECT {columns} FROM {staging}"
+
+    def merge_sql(self, staging):
+        return f"{self.copy_sql(staging)} ON CONFLICT ({', '.join(self.key)}) DO NOTHING"
 
     def _execute(self, *statements):
         properties = self.spark._jvm.java.util.Properties()
@@ -164,12 +190,21 @@ class JdbcTable:
         """Add rows as they are; the database refuses a key that is taken."""
         self._append(conform(df, self.schema), self.table)
 
-    insert_strict = append
+    def _through_staging(self, rows, move):
+        """Write rows to a staging table of this run alone, ``move`` them over, and drop it whatever happens."""
+        staging = f"{self.table}_staging_{uuid.uuid4().hex[:16]}"
+        try:
+            self._execute(*self.staging_sql(staging))
+            self._append(rows, staging)
+            self._execute(move(staging))
+        finally:
+            self._execute(f"DROP TABLE IF EXISTS {staging}")
+
+    def insert_strict(self, df, batch_id=None, writer=LOADS):
+        """Add all rows in one statement, or none: the database refuses it if a key is taken or repeated."""
+        self._through_staging(conform(df, self.schema), self.copy_sql)
 
     def insert_if_absent(self, df, batch_id=None, order=tuple(ARRIVAL), measure=True, writer=LOADS):
         """Add the first row of every key that is not in the table yet; safe to run again."""
-        staging = f"{self.table}_staging_{writer.replace('-', '_')}"
         rows = first_wins(conform(df, self.schema, keep=order), self.key, order).select(*self.schema.names)
-        self._execute(*self.staging_sql(staging))
-        self._append(rows, staging)
-        self._execute(self.merge_sql(staging), f"DROP TABLE {staging}")
+        self._through_staging(rows, self.merge_sql)

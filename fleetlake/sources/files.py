@@ -2,10 +2,11 @@
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlake.functions.shape import conform, machine_from_path, parse_fields, tag_split
+from fleetlake.functions.shape import conform, machine_from_path, parse_fields, sniffed_number, tag_split
 from fleetlake.schema import CSV_SCHEMA
 
 TRAIN_PATTERN = "machine-*/*_train.csv"
@@ -30,15 +31,33 @@ def read_csv_by_name(spark, path, pattern=None):
     """CSV files whose header decides what a column is.
 
     Known columns are typed, unreadable text in them becomes NULL; unknown columns are kept as
-    text for ``sniff_number``. All files must have the header of the first.
+    text for ``sniff_number``, or typed by it with ``sniff_unknown``. All files must have the header of the first;
+    see ``read_csv_folders`` for others.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
     return machine_from_path(reader.csv(f"{path}/{pattern}" if pattern else path)).transform(parse_fields)
 
 
+def sniff_unknown(df, known):
+    """Columns beyond ``known`` as structs of ``kind`` (float, int or string), ``num`` and ``text``."""
+    sniffed = {}
+    for name in [name for name in df.columns if name not in known]:
+        kind, num = sniffed_number(F.col(name))
+        sniffed[name] = F.struct(kind.alias("kind"), num.alias("num"), F.col(name).alias("text"))
+    return df.withColumns(sniffed) if sniffed else df
+
+
+def read_csv_folders(spark, paths, pattern=None):
+    """Files of several folders, each with a header of its own, matched by column name; a missing column is NULL.
+
+    Only the headers are read while the frame is built, one per folder.
+    """
+    return union_splits(*[read_csv_by_name(spark, path, pattern) for path in paths])
+
+
 def read_train_csv(spark, base, pattern=TRAIN_PATTERN, **options):
-    """The train samples of all machines."""
-    return tag_split(machine_from_path(read_csv(spark, base, pattern=pattern, **options)), "train")
+    """The train samples of all machines, with their reading order (see ``file_order``)."""
+    return tag_split(machine_from_path(file_order(read_csv(spark, base, pattern=pattern, **options))), "train")
 
 
 def read_test_csv(spark, base, machine, pattern=TEST_PATTERN, **options):
@@ -65,6 +84,19 @@ def file_order(df):
 FILE_ORDER = ["_path", "_block", "_row"]
 
 
+def numbered(df, name="arrival", start=0):
+    """Rows of ``file_order`` numbered from ``start`` in reading order; its columns go.
+
+    Rows are counted per file range. Only those counts, one for each range that a task reads, are added up
+    in order; a row's place in its range is the distance to the range's first row id.
+    """
+    ranges = df.groupBy("_path", "_block").agg(F.count("*").alias("n"), F.min("_row").alias("_first"))
+    earlier = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.select("_path", "_block", "_first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+    number = F.lit(start) + F.col("_before") + F.col("_row") - F.col("_first")
+    return df.join(placed, ["_path", "_block"]).withColumn(name, number).drop("_first", "_before", *FILE_ORDER)
+
+
 def union_splits(*frames):
     """All rows of all frames, matched by column name."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

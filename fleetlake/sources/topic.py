@@ -1,6 +1,9 @@
 """Message topics: a broker through Spark's connector, or the same envelope kept in files."""
 
+from pyspark.sql import functions as F
+
 from fleetlake.schema import ENVELOPE_SCHEMA
+from fleetlake.session import exists
 
 
 class BrokerTopic:
@@ -34,6 +37,10 @@ class BrokerTopic:
         """From the first message on; the checkpoint of the query remembers the position."""
         return self.read_stream("earliest", max_messages)
 
+    def next_offset(self):
+        """The broker numbers what it is sent itself."""
+        return 0
+
     def write(self, df):
         """Append messages with columns ``key`` and ``value``."""
         df.select("key", "value").write.format("kafka").options(**self.write_options()).save()
@@ -61,6 +68,13 @@ class FileTopic:
 
     read_group = read_stream
 
+    def next_offset(self):
+        """An offset above all that the topic holds."""
+        if not exists(self.spark, self.path):
+            return 0
+        last = self.read().agg(F.max("offset")).first()[0]
+        return 0 if last is None else last + 1
+
     def write(self, df, files=None):
         """Append envelopes; ``files`` spreads them evenly over that many files, whatever their keys."""
         df = df.select(*ENVELOPE_SCHEMA.names)

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from fleetlake.operators.filters import split_valid
 from fleetlake.schema import ARRIVAL, KEY
 
+# Groups of tasks that deduplicate a stream apart first.
+SALTS = 16
+
 
 def write_stream(df, checkpoint, each_batch, available_now=True, interval=None):
     """Run ``each_batch(batch_df, batch_id)`` on every micro-batch, in append mode.
@@ -74,10 +77,10 @@ def append_stream(df, path, checkpoint, available_now=True):
 def dedup_stream(df, event_time, delay, key=tuple(KEY)):
     """Keep one row per key among rows at most ``delay`` apart, with bounded state.
 
-    Rows are first reduced per key and reading task, then per key, so a key with very
-    many rows is not sent to one task as a whole. ``event_time`` must be a
-    timestamp with zone; a zone-less one is cast first.
+    Rows are first reduced per key and one of ``SALTS`` groups of reading tasks, then per key, so a key
+    with very many rows is not sent to one task as a whole and the state holds at most SALTS + 1 rows
+    of a key. ``event_time`` must be a timestamp with zone; a zone-less one is cast first.
     """
     timed = df.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
-    spread = timed.withColumn("_task", F.spark_partition_id())
+    spread = timed.withColumn("_task", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
     return spread.dropDuplicatesWithinWatermark([*key, "_task"]).drop("_task").dropDuplicatesWithinWatermark(list(key))

@@ -2,6 +2,8 @@
 
 import datetime
 
+import pytest
+
 from fleetlake.session import object_store_conf
 from fleetlake.sinks.table import JdbcTable
 from fleetlake.sources.jdbc import day_predicates, read_table_query
@@ -64,11 +66,23 @@ def test_database_merge_goes_through_staging(spark, samples, monkeypatch):
     monkeypatch.setattr(JdbcTable, "_execute", lambda self, *statements: done.extend(statements))
     monkeypatch.setattr(JdbcTable, "_append", append)
     table = JdbcTable(spark, "jdbc:postgresql://h/db", "lake")
-    table.insert_if_absent(samples([("m", "1", "train", 5, 5.0), ("m", "1", "train", 2, 2.0)]), 7, writer="a-b")
-    assert done == [
-        "CREATE TABLE IF NOT EXISTS lake_staging_a_b (LIKE lake)",
-        "TRUNCATE lake_staging_a_b",
-        ("lake_staging_a_b", [("m", "1", 2.0)]),
-        table.merge_sql("lake_staging_a_b"),
-        "DROP TABLE lake_staging_a_b",
-    ]
+    rows = samples([("m", "1", "train", 5, 5.0), ("m", "1", "train", 2, 2.0)])
+    table.insert_if_absent(rows, 7, writer="a-b")
+    staging = done[2][0]
+    assert staging.startswith("lake_staging_")
+    assert done == [*table.staging_sql(staging), (staging, [("m", "1", 2.0)]), table.merge_sql(staging), f"DROP TABLE IF EXISTS {staging}"]
+    table.insert_strict(rows)
+    assert done[7][0] != staging and done[8] == table.copy_sql(done[7][0])
+
+
+def test_staging_is_dropped_after_a_failure(spark, samples, monkeypatch):
+    done = []
+
+    def fail(self, rows, table):
+        raise OSError("lost")
+
+    monkeypatch.setattr(JdbcTable, "_execute", lambda self, *statements: done.extend(statements))
+    monkeypatch.setattr(JdbcTable, "_append", fail)
+    with pytest.raises(OSError):
+        JdbcTable(spark, "jdbc:postgresql://h/db", "lake").insert_if_absent(samples([("m", "1", "train", 5, 5.0)]))
+    assert done[-1].startswith("DROP TABLE IF EXISTS lake_staging_")

@@ -76,3 +76,10 @@ def test_rank_features(spark):
     information, loadings = jobs.rank_features(frame, k=3), jobs.rank_features(frame, "component", k=3)
     assert information.first().feature == loadings.first().feature == FEATURE_NAMES[0]
     assert information.count() == loadings.count() == 3
+
+
+def test_infinite_values_fall_into_the_outer_bins(spark):
+    rows = [(float(v), int(v > 0)) for v in (-1, 0, 1, 2)] + [(float("inf"), 1), (float("-inf"), 0)]
+    found = mutual_information(spark.createDataFrame(rows, "a double, label int"), ["a"], bins=3).first().mi
+    same = [(v if abs(v) < 9 else (2.0 if v > 0 else -1.0), y) for v, y in rows]
+    assert found == pytest.approx(mutual_information(spark.createDataFrame(same, "a double, label int"), ["a"], bins=3).first().mi)

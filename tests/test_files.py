@@ -86,6 +86,31 @@ def test_file_order_decides_the_first(spark, tmp_path):
     assert [r.col_0 for r in first_wins(rows, ["timestamp"], files.FILE_ORDER).collect()] == [1.0]
 
 
+def test_rows_are_numbered_by_path_and_line(spark, tmp_path):
+    for name, n in (("a", 1), ("b", 199), ("c", 40)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.csv").write_text("\n".join([HEADER, *[line(name, i, i) for i in range(n)]]) + "\n")
+    rows = files.numbered(files.read_train_csv(spark, tmp_path, pattern="*/*.csv"), start=5).collect()
+    assert [(r.timestamp, int(r.col_0)) for r in sorted(rows, key=lambda r: r.arrival)] == [(n, i) for n, k in (("a", 1), ("b", 199), ("c", 40)) for i in range(k)]
+    assert sorted(r.arrival for r in rows) == list(range(5, 245))
+
+
+def test_a_second_load_comes_after_the_first(spark, data, tmp_path):
+    topic = FileTopic(spark, scratch(spark, "topic"))
+    for value in (1.0, 2.0):
+        (tmp_path / "machine-1-1" / "a_train.csv").write_text("\n".join([HEADER, line("1", 0, value)]) + "\n")
+        jobs.csv_to_topic(files.read_train_csv(spark, tmp_path, pattern="machine-1-1/*_train.csv"), topic, "2024-02-01 00:00:00")
+    kept = first_wins(decode_strict(topic.read(), keep=["partition", "offset"])).collect()
+    assert [r.col_0 for r in kept] == [1.0]
+
+
+def test_machines_without_the_prefix(spark, tmp_path):
+    for name in ("server7", "db-2", "a b+c%"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x_test.csv").write_text("\n".join([HEADER, line("1", 0, 1.0)]) + "\n")
+    assert sorted(r.machine for r in files.read_test_csv(spark, tmp_path, "*").collect()) == ["a b+c%", "db-2", "server7"]
+
+
 def test_machine_files_roundtrip(spark, samples):
     path = scratch(spark, "csv")
     rows = samples([(f"machine-{i % 3}", str(i), "train", i, i / 7) for i in range(30)])

@@ -6,7 +6,7 @@ from fleetlake.operators.dedup import first_wins
 from fleetlake.operators.merge import DuplicateKeyError, KeyProfile, conflicts, ignored_rows, new_rows, not_in_target
 from fleetlake.schema import KEY, TABLE_SCHEMA
 from fleetlake.session import broadcast_limit, scratch
-from fleetlake.sinks.table import KeyedTable
+from fleetlake.sinks.table import ConcurrentLoadError, KeyedTable
 
 ROWS = st.lists(
     st.tuples(st.sampled_from(["m1", "m2"]), st.sampled_from(["1", "2", "3"]), st.sampled_from(["train", "test"])),
@@ -155,3 +155,23 @@ def test_scratch_uses_the_shared_folder(spark, tmp_path):
     Session.sparkContext.applicationId = "app-2"
     with pytest.raises(ValueError):
         scratch(Session, "x")
+
+
+def test_rows_without_a_key_are_refused(spark, samples):
+    table = KeyedTable(spark, scratch(spark, "table")).ensure()
+    for load in (table.append, table.insert_if_absent, table.insert_strict):
+        with pytest.raises(Exception, match="a row without timestamp cannot be stored"):
+            load(samples([("m", None, "train", 1, 1.0)]))
+    assert table.read().isEmpty()
+    table.append(samples([("m", "1", "train", 1, 1.0)]))
+    assert table.read().count() == 1
+
+
+def test_two_loads_cannot_take_one_number(spark, samples):
+    table = KeyedTable(spark, scratch(spark, "table")).ensure()
+    with table._claimed(None, "loads") as batch:
+        with pytest.raises(ConcurrentLoadError):
+            table.append(samples([("m", "1", "train", 1, 1.0)]))
+    table.release(batch)
+    table.append(samples([("m", "1", "train", 1, 1.0)]))
+    assert table.read().count() == 1

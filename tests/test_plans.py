@@ -40,13 +40,9 @@ def test_conflicts_count_before_the_shuffle(spark):
     assert "partial_sum" in text and "Join" not in text
 
 
-def test_long_series_are_sliced(spark, monkeypatch):
-    run = entry.queries()["counter_rate"]
-    assert "_slice" not in plan(run(spark, SF))
-    whole = sorted(map(tuple, run(spark, SF).collect()))
-    monkeypatch.setattr("fleetlake.operators.metrics.SAMPLES_PER_SLICE", 1)
-    assert "_slice" in plan(run(spark, SF))
-    assert sorted(map(tuple, run(spark, SF).collect())) == whole
+def test_newest_values_scan_only_the_look_back(spark):
+    text = plan(entry.queries()["lag_by_group"](spark, SF))
+    assert "GreaterThan(ts," in text and "LessThanOrEqual(ts," in text
 
 
 def test_a_hot_key_is_split_in_a_conflict_join(spark, samples):

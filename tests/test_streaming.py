@@ -122,7 +122,11 @@ def test_dedup_stream_across_batches(spark, messages, place):
 def test_backfill_jobs(spark, messages, selective):
     topic = messages([payload("a", "1", 1), payload("a", "1", 2), payload("b", "1", 3), "junk", payload("c", None, 4), payload("d", "1", 5, send_timestamp="2023-01-01T00:00:00")])
     table = KeyedTable(spark, scratch(spark, "table"))
-    jobs.backfill_append(topic, table, "2024-01-02 00:00:00", 1, selective)
+    bad = scratch(spark, "bad")
+    jobs.backfill_append(topic, table, "2024-01-02 00:00:00", 1, selective, bad)
+    assert sorted(r.reason for r in spark.read.parquet(bad).collect()) == ["machine,timestamp,usage,send_timestamp", "timestamp"]
+    with pytest.raises(Exception, match="a row without timestamp cannot be stored"):
+        jobs.backfill_append(topic, KeyedTable(spark, scratch(spark, "refused")), "2024-01-02 00:00:00", 1, selective)
     assert stored(table) == {("a", "1"): 1.0, ("b", "1"): 3.0}
     more = messages([payload("b", "1", 6), payload("e", "1", 7)], start=50)
     jobs.backfill_merge(more, table, "2024-01-02 00:00:00", 1, selective)
