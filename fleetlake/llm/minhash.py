@@ -9,10 +9,11 @@ is confirmed on both full sets.
 
 Linear work on large groups. Equal sets are one representative each, so copies cost a row. Then each
 representative is compared with the best of its buckets' smallest members, one pair each, and
-components are formed: a group of thousands of near copies is one component after that. Only
-buckets whose members still lie in different components are looked at again, in blocks of bounded
-size, and only for pairs across components, the likeliest first, until no candidate is left untested.
-So every candidate pair is either confirmed, refuted, or inside one component already.
+components are formed: most of a group of thousands of near copies is one component after that. Only
+buckets whose members still lie in different components are looked at again, in pairs of blocks of bounded
+size that hold the texts; a task tests pairs across components, the likeliest first, and sends only the links that
+join two of them. So every candidate pair is confirmed, refuted, or inside one component already, and no task
+sends more links than it has members.
 
 Rows: a null or empty text, or one without words, has an empty set and no link. A null doc_id takes no
 part; its component is null and it counts as kept. Rows that repeat a document are one in
@@ -29,7 +30,7 @@ from fleetlake.llm.common import Memo, components, map_batches, sorted_groups, s
 WIDTH, BANDS, ROWS, BITS = 5, 24, 4, 2
 PERMUTATIONS = BANDS * ROWS
 #: Members of a bucket that one task compares with as many others at once.
-BLOCK = 2048
+BLOCK = 1024
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _SCALE = _RANDOM.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _RANDOM.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
@@ -149,51 +150,77 @@ def confirmed(pairs, bodies, percent):
     return map_batches(both.select("a", "b", "text_a", "text_b"), judge, "a long, b long, linked boolean")
 
 
-def across(members, tested, limit, cut):
-    """Untested pairs of a bucket's members in different components, ``limit`` of the likeliest per member.
+def across(members, bodies, percent):
+    """Links (a, b) between members of a bucket that lie in different components.
 
-    ``members``: (band, id, component, signature). A large bucket is cut into blocks by a hash of the
-    id, and each pair of blocks is compared by itself.
+    ``members``: (band, place, id, component, signature, bands). A large bucket is cut into blocks by a hash of
+    the id, and each pair of blocks is compared by itself, with its texts. A pair is tested in the first
+    band it shares, the likeliest first, and only while it joins two components that no earlier link of the task has
+    joined: whatever is not tested is below the estimate's bound, tested elsewhere, or connected already.
     """
+    cut = least_agreement(percent / 100)
     sizes = members.groupBy("band").agg(F.ceil(F.count("id") / BLOCK).alias("blocks"))
-    rows = members.join(sizes, "band").join(tested, "id", "left")
+    rows = members.join(sizes, "band").join(bodies.select(F.col("doc_id").alias("id"), "text").hint("merge"), "id")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     first, second = F.least("block", "other"), F.greatest("block", "other")
-    rows = rows.select(F.xxhash64("band", first, second).alias("key"), (F.col("block") == first).alias("left"), (F.col("block") == second).alias("right"), "id", "component", "signature", "partners")
+    rows = rows.select(
+        F.xxhash64("band", first, second).alias("key"), (F.col("block") == first).alias("left"), (F.col("block") == second).alias("right"),
+        "place", "id", "component", "signature", "bands", "text",
+    )
 
     def compare(batches):
         import pandas as pd
 
-        left, right = [], []
+        hashes, links = word_hashes(), []
         for _, group in sorted_groups(batches, "key"):
-            ids, parts = group["id"].to_numpy(), group["component"].to_numpy()
-            codes = np.stack(group["signature"].to_numpy()).view(np.uint64)
-            done = [set() if p is None else set(p) for p in group["partners"]]
-            mine, theirs = np.flatnonzero(group["left"].to_numpy()), np.flatnonzero(group["right"].to_numpy())
-            for i in mine.tolist():
-                x = codes[i] ^ codes[theirs]
-                for shift in range(1, BITS):
-                    x |= (codes[i] ^ codes[theirs]) >> np.uint64(shift)
-                agreeing = PERMUTATIONS - np.bitwise_count(x & np.uint64(_LOWEST)).sum(axis=1, dtype=np.int64)
-                found = np.flatnonzero((agreeing >= cut) & (parts[theirs] != parts[i]))
-                taken = 0
-                for j in found[np.argsort(-agreeing[found], kind="stable")].tolist():
-                    other = int(ids[theirs[j]])
-                    if other in done[i]:
-                        continue
-                    left.append(max(int(ids[i]), other))
-                    right.append(min(int(ids[i]), other))
-                    taken += 1
-                    if taken == limit:
-                        break
-            if len(left) >= 50_000:
-                yield pd.DataFrame({"a": left, "b": right}, dtype="int64")
-                left, right = [], []
-        yield pd.DataFrame({"a": left, "b": right}, dtype="int64")
+            links += joined(group, hashes, cut, percent)
+            if len(links) >= 50_000:
+                yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+                links = []
+        yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     n = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return rows.repartition(int(n), "key").sortWithinPartitions("key").mapInPandas(compare, "a long, b long").distinct()
+    return rows.repartition(int(n), "key").sortWithinPartitions("key").mapInPandas(compare, "a long, b long")
+
+
+def joined(group, hashes, cut, percent):
+    """Links that join components within one pair of blocks."""
+    ids, place = group["id"].to_numpy(), int(group["place"].iloc[0])
+    codes, keys = np.stack(group["signature"].to_numpy()).view(np.uint64), np.stack(group["bands"].to_numpy())
+    texts, mine = group["text"].tolist(), np.flatnonzero(group["left"].to_numpy())
+    theirs, parts = np.flatnonzero(group["right"].to_numpy()), group["component"].to_numpy()
+    sets, parent = Memo(lambda i: shingle_set(space_words(texts[i]), hashes), 4096), {}
+
+    def root(part):
+        while (above := parent.get(part, part)) != part:
+            part = above
+        return part
+
+    pairs = []
+    for i in mine.tolist():
+        open_ = theirs[parts[theirs] != parts[i]]
+        x = codes[i] ^ codes[open_]
+        for shift in range(1, BITS):
+            x |= (codes[i] ^ codes[open_]) >> np.uint64(shift)
+        agreeing = PERMUTATIONS - np.bitwise_count(x & np.uint64(_LOWEST)).sum(axis=1, dtype=np.int64)
+        open_, agreeing = open_[agreeing >= cut], agreeing[agreeing >= cut]
+        here = (keys[open_] == keys[i]).argmax(axis=1) == place
+        pairs.append(np.stack([agreeing[here], np.full(here.sum(), i), open_[here]], axis=1))
+    pairs = np.concatenate(pairs)
+    links = []
+    for _, i, j in pairs[np.argsort(-pairs[:, 0], kind="stable")].tolist():
+        a, b = root(parts[i]), root(parts[j])
+        if a == b:
+            continue
+        n, m = len(sets[i]), len(sets[j])
+        if 100 * min(n, m) < percent * max(n, m):
+            continue
+        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        if 100 * both >= percent * (n + m - both):
+            parent[max(a, b)] = min(a, b)
+            links.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
+    return links
 
 
 def classes(docs, percent=85):
@@ -207,7 +234,7 @@ def classes(docs, percent=85):
     owners = stored(usable.groupBy("fingerprint").agg(F.min("doc_id").alias("id")), "owners")
     reps = usable.join(owners.select("fingerprint", F.col("id").alias("doc_id")), ["fingerprint", "doc_id"]).dropDuplicates(["doc_id"])
     reps = stored(reps.select(F.col("doc_id").alias("id"), "bands", "signature"), "representatives")
-    buckets = reps.select("id", F.explode("bands").alias("band"))
+    buckets = reps.select("id", F.posexplode("bands").alias("place", "band"))
     shared = buckets.groupBy("band").agg(F.min("id").alias("centre"), F.count("id").alias("n")).where("n > 1")
     members = stored(buckets.join(shared.select("band", "centre").hint("merge"), "band"), "buckets")
     codes = reps.select("id", "signature")
@@ -219,20 +246,15 @@ def classes(docs, percent=85):
     bodies = texts(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     bodies = stored(bodies, "bodies")
     judged = stored(confirmed(pairs, bodies, percent), "judged")
-    limit = 8
-    while True:
-        labels = stored(components(judged.where("linked").select("a", "b")), "labels")
-        open_ = members.select("band", "id").join(labels, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
-        mixed = open_.groupBy("band").agg((F.min("component") < F.max("component")).alias("mixed")).where("mixed")
-        open_ = open_.join(mixed.select("band"), "band", "left_semi").join(codes, "id")
-        refuted = judged.where("not linked")
-        tested = refuted.select(F.col("a").alias("id"), F.col("b").alias("p")).union(refuted.select(F.col("b").alias("id"), F.col("a").alias("p")))
-        tested = tested.groupBy("id").agg(F.collect_set("p").alias("partners"))
-        more = stored(across(open_, tested, limit, cut), "pairs")
-        if more.isEmpty():
-            break
-        judged = stored(judged.union(confirmed(more, bodies, percent)), "judged")
-        limit *= 8
+    links = judged.where("linked").select("a", "b")
+    labels = stored(components(links), "labels")
+    placed = members.select("band", "place", "id").join(labels, "id", "left")
+    placed = placed.select("band", "place", "id", F.coalesce("component", "id").alias("component"))
+    mixed = placed.groupBy("band").agg((F.min("component") < F.max("component")).alias("mixed")).where("mixed")
+    open_ = placed.join(mixed.select("band").hint("merge"), "band", "left_semi").join(reps.hint("merge"), "id")
+    more = stored(across(open_.select(*placed.columns, "signature", "bands"), bodies, percent), "links")
+    if not more.isEmpty():
+        labels = stored(components(links.union(more)), "labels")
     whole = sketch.join(owners, "fingerprint", "left").join(labels, "id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
     return whole.select(
