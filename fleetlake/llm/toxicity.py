@@ -21,13 +21,14 @@ empty result. Of the documents only doc_id and text are read, of the labels only
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import Memo, alnum_words, map_batches, stored, texts
 
-SAMPLE, SAMPLE_BYTES, FEATURES = 8_000, 40_000_000, 2048
+SAMPLE, SAMPLE_BYTES, FEATURES = 8_000, 32_000_000, 2048
 BEGINNINGS = range(3, 9)
 THRESHOLD = 0.3
 _ENDS = re.compile(rb"[.!?\n]+|\xe3\x80\x82|\xef\xbc[\x81\x9f]")
@@ -90,10 +91,9 @@ def sampled(docs, labels, sample=SAMPLE, sample_bytes=SAMPLE_BYTES):
     return ahead.where(F.col("ahead") <= sample_bytes).select("toxic", "text").toPandas()
 
 
-def expanded(sizes, flat, codes):
-    """For each code the values of its list, ``sizes`` long, in ``flat``: (place of the code, value)."""
-    first = np.cumsum(sizes) - sizes
-    n = sizes[codes]
+def expanded(sizes, first, flat, codes):
+    """For each code the values of its list, ``sizes`` long from ``first`` on in ``flat``: (place of the code, value)."""
+    n = sizes[codes].astype(np.int64)
     at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[codes], n)
     return np.repeat(np.arange(len(codes)), n), flat[at]
 
@@ -103,23 +103,24 @@ def fit(sample, features=FEATURES, rounds=300, penalty=1e-4, least_gap=2.5):
     labels = sample["toxic"].to_numpy(np.float64) > 0
     if not len(sample) or labels.all() or not labels.any():
         return Model({}, -60.0)
-    vocabulary, codes, sentence, of_sentence = {}, [], [], []
+    vocabulary, codes, lengths, of_sentence, ends = {}, array("i"), array("i"), array("i"), [0]
     for doc, text in enumerate(sample["text"]):
         for words in sentence_words(bytes(text)):
-            codes += [vocabulary.setdefault(word, len(vocabulary)) for word in words]
-            sentence += [len(of_sentence)] * len(words)
+            codes.extend([vocabulary.setdefault(word, len(vocabulary)) for word in words])
+            lengths.append(len(words))
             of_sentence.append(doc)
-    codes, sentence, of_sentence = (np.array(x, np.int64) for x in (codes, sentence, of_sentence))
-    n_docs = len(labels)
-    sizes = np.fromiter((len(features_of(word)) for word in vocabulary), np.int64, len(vocabulary))
-    flat = np.fromiter((number for word in vocabulary for number in features_of(word)), np.int64, int(sizes.sum()))
+        ends.append(len(codes))
+    codes, lengths, of_sentence = (np.array(x, np.int32) for x in (codes, lengths, of_sentence))
+    sentence, n_docs = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), len(labels)
+    sizes = np.fromiter((len(features_of(word)) for word in vocabulary), np.int32, len(vocabulary))
+    flat = np.fromiter((number for word in vocabulary for number in features_of(word)), np.uint32, int(sizes.sum()))
+    vocabulary.clear()
     numbers, flat = np.unique(flat, return_inverse=True)
-    pairs = np.unique(codes * n_docs + of_sentence[sentence])
-    at, held = expanded(sizes, flat, pairs // n_docs)
-    pairs = np.unique(held * n_docs + (pairs % n_docs)[at])
-    held, of = pairs // n_docs, pairs % n_docs
-    df = np.bincount(held, minlength=len(numbers)).astype(float)
-    bad = np.bincount(held, weights=labels[of], minlength=len(numbers))
+    df, bad, first = np.zeros(len(numbers)), np.zeros(len(numbers)), np.cumsum(sizes, dtype=np.int64) - sizes
+    for doc in range(n_docs):  # one document's features at a time
+        held = np.unique(expanded(sizes, first, flat, np.unique(codes[ends[doc]:ends[doc + 1]]))[1])
+        df[held] += 1
+        bad[held] += labels[doc]
     rate = labels.mean()
     gap = np.abs(bad - df * rate) / np.sqrt(df * rate * (1 - rate) * (1 - df / (n_docs + 1)) + 1)
     gap[df < 2] = 0
@@ -129,7 +130,7 @@ def fit(sample, features=FEATURES, rounds=300, penalty=1e-4, least_gap=2.5):
     place[best] = np.arange(len(best))
     chosen = place[flat] >= 0
     sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[chosen], minlength=len(sizes))
-    at, held = expanded(sizes, place[flat[chosen]], codes)
+    at, held = expanded(sizes, np.cumsum(sizes) - sizes, place[flat[chosen]], codes)
     rows, row = np.unique(sentence[at], return_inverse=True)  # only sentences that hold a chosen feature differ
     owner = of_sentence[rows]
     plain = np.bincount(of_sentence, minlength=n_docs) - np.bincount(owner, minlength=n_docs)
