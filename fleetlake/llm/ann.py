@@ -96,10 +96,13 @@ class Index:
         own = (unit * np.where(signs, 1, -1)).sum(axis=1) / np.sqrt(self.size)
         return np.packbits(signs, axis=1), length, np.where(length > 0, own, 1)
 
-    def bounds(self, codes, length, own, query, centre):
+    def signs(self, codes):
+        """The codes' bits as 1 and -1."""
+        return np.unpackbits(codes, axis=1, count=self.size).astype(np.float32) * 2 - 1
+
+    def bounds(self, signs, length, own, query, centre):
         """Upper bounds of the inner products of a query with encoded vectors of one cell."""
         turned = query @ self.turn
-        signs = np.unpackbits(codes, axis=1, count=self.size).astype(np.float32) * 2 - 1
         estimate = (signs @ turned.astype(np.float32)) / np.sqrt(self.size) / own
         error = ERRORS * np.sqrt(np.maximum(0, 1 - own**2)) / own * np.linalg.norm(query) / np.sqrt(max(1, self.size - 1))
         return float(centre @ query) + length * (estimate + error)
@@ -194,12 +197,12 @@ def nearest(embeddings, queries, k=20):
                 continue
             centre = found.centres[int(group["cell"].iloc[0])]
             vectors = np.stack([np.frombuffer(v, "<f8") for v in held["vector"]])
-            codes = np.stack([np.frombuffer(c, np.uint8) for c in held["code"]])
+            signs = found.signs(np.stack([np.frombuffer(c, np.uint8) for c in held["code"]]))
             length, own = held["length"].to_numpy(float), held["own"].to_numpy(float)
             ids = held["ids"].tolist()
             for query_id, v in zip(asks["query_id"].astype("int64"), asks["vector"]):
                 query = np.frombuffer(v, "<f8")
-                for score, vec_id in best_of(found, centre, vectors, codes, length, own, ids, query, query_id, k):
+                for score, vec_id in best_of(found, centre, vectors, signs, length, own, ids, query, query_id, k):
                     out.append((query_id, vec_id, score))
             if len(out) > 20_000:
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
@@ -212,13 +215,13 @@ def nearest(embeddings, queries, k=20):
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def best_of(index, centre, vectors, codes, length, own, ids, query, query_id, k):
+def best_of(index, centre, vectors, signs, length, own, ids, query, query_id, k):
     """The k best (score, id) of a block for one query.
 
     Vectors are reranked by falling upper bound, some at a time, until no bound left reaches the
     k-th best exact score.
     """
-    upper = index.bounds(codes, length, own, query, centre)
+    upper = index.bounds(signs, length, own, query, centre)
     order = np.argsort(-upper, kind="stable")
     best = []
     for start in range(0, len(order), 64):
