@@ -1,31 +1,32 @@
 """Main text of web pages by deducing each host's template from equivalence classes of tokens.
 
 Method. A page is a sequence of tokens: elements, named by their path of structural tags and classes, and
-text runs, named by the path they stand in and their text. A token's occurrence vector tells how often it
-occurs on each page of a host. Tokens of one host with equal vectors form an equivalence class; vectors are compared by
-a hash that adds up over pages. A class is valid if it stands on at least ``SUPPORT`` of the host's pages, its
-elements occur once on each of those, in the same order on all of them, and if the elements around each of its elements
-are in a valid class too, so that classes nest. The valid classes make the template. What lies directly in
-one template element is a slot. Slots in an article or main element hold the main text, without those in
-menus, headers, footers, sidebars, notices, adverts, forms and comments; a host whose template names no such
-element gets its main text from slots that are mostly text outside links and differ from page to page, with
-template text left out. Pages of hosts with fewer than ``FEW`` pages share one template.
-
-Scale. Tokens are added up per task before the shuffle, so a host with a third of all pages sends a row per
-token and task, and tokens on less than SUPPORT of a host's pages are dropped before its template is
-formed: a template is bounded by the length of a page. Templates are joined to pages by host, adaptive execution
-splits a host with many pages.
+blocks of text, named by the path they stand in, their text and their number among equal ones. Pages of a host with equal html
+count once. A token's occurrence vector tells how often it occurs on each page of a host. Tokens of one host with
+equal vectors form an equivalence class; vectors are compared by a hash that adds up over pages. A class is valid if
+it stands on at least ``SUPPORT`` of the host's pages, once on each. The valid classes make the template, as far as the elements around
+each of its elements and texts are in it too. What lies directly in one template element is a slot. Slots in an article or main
+element hold the main text, without those in menus, headers, footers, sidebars, notices, adverts, forms and comments; a host whose
+template names no such element gets its main text from slots that are mostly text outside links and mostly new from page to page, with
+template text left out. Pages of hosts with fewer than ``FEW`` distinct pages
+share one template, that of all pages.
+
+Scale. Tokens are packed and brought together by the html's digest, then added up per task before the shuffle, so a host with a third of
+all pages sends a row per token and task. Tokens on less than SUPPORT of a host's pages are dropped before its template is
+formed: a template is bounded by the length of a page. Templates are joined to pages by host; adaptive execution splits a host with many pages.
 
 Text. Character references are decoded, white space in a block becomes one space, blocks are joined in page
 order by one space. Markup that ends in the middle is read as far as it goes.
 
 Rows: null or empty html gives an empty text. A null url, or one without "://", has the empty host. Repeated
-rows are extracted each and counted each. An empty table gives an empty result. Only page_id, url and
+rows are extracted each and counted once. An empty table gives an empty result. Only page_id, url and
 html are read.
 """
 
 import html
+import json
 import re
+import zlib
 
 import numpy as np
 import xxhash
@@ -150,74 +151,101 @@ def clean(run):
     return " ".join(html.unescape(run).split())
 
 
-def _key(page_id, row):
-    """A page's number in occurrence vectors: its place in the input tells repeated rows apart."""
-    return xxhash.xxh3_64_intdigest(f"{page_id}/{row}")
+def pieces(page):
+    """The page as (path, off, value, links): elements with an empty value, and blocks of text that nothing marks as aside."""
+    block, of, linked = [], "", 0
+    for kind, path, off, run, link in (*tokens(page), ("break", "", False, "", False)):
+        if kind == "text":
+            if not off:
+                block.append(run)
+                of, linked = path, linked + len(clean(run)) * link
+            continue
+        value = clean("".join(block)) if block else ""
+        if value:
+            yield of, False, value, min(linked, len(value))
+        block, linked = [], 0
+        if kind == "tag":
+            yield path, off, "", 0
+
+
+def numbered(page):
+    """The page's tokens as (path, value, off, size, links, text). Equal blocks in one path are told apart by their number."""
+    seen = {}
+    for path, off, text, links in pieces(page):
+        value = ""
+        if text:
+            value = text if len(text) <= 64 else xxhash.xxh3_128_hexdigest(text)
+            seen[path, value] = n = seen.get((path, value), 0) + 1
+            value = f"{value}#{n}"
+        yield path, value, off, len(text), links, text
+
+
+def contents(pages):
+    """One row per distinct html: its digest, its tokens packed, and the hosts it stands on."""
+
+    def pack(batches):
+        import pandas as pd
+
+        for batch in batches:
+            made = {}
+            for host, page in zip(batch["host"], batch["html"]):
+                page = page or ""
+                content = xxhash.xxh3_128_hexdigest(page)
+                if (host, content) not in made:
+                    made[host, content] = zlib.compress(json.dumps([t[:5] for t in numbered(page)]).encode(), 1)
+            yield pd.DataFrame([(*k, v) for k, v in made.items()], columns=["host", "content", "tokens"], dtype=object)
 
+    rows = pages.select("host", "html").mapInPandas(pack, "host string, content string, tokens binary")
+    return rows.groupBy("content").agg(F.min("tokens").alias("tokens"), F.collect_set("host").alias("hosts"))
 
-def occurrences(pages):
-    """Per host and token, added up per task: pages, hash of the occurrence vector, order and lengths."""
+
+def occurrences(found):
+    """Per host and token, added up per task: pages, hash of the occurrence vector, order and lengths. Host "" has all pages."""
 
     def count(batches):
         import pandas as pd
 
         for batch in batches:
             found = {}
-            for row, (page_id, host, page) in enumerate(zip(batch["page_id"], batch["host"], batch["html"])):
-                own, order = {}, 0
-                for kind, path, off, run, linked in tokens(page or ""):
-                    if kind == "break":
-                        continue
-                    value = "" if kind == "tag" else clean(run)
-                    if kind == "text" and not value:
-                        continue
-                    token = (path, value if len(value) <= 64 else xxhash.xxh3_128_hexdigest(value))
-                    order += 1
-                    n, first, _, size, links = own.get(token, (0, order, off, 0, 0))
-                    own[token] = (n + 1, first, off, size + len(value), links + len(value) * linked)
-                mine = _key(page_id, row)
+            for content, packed, hosts in zip(batch["content"], batch["tokens"], batch["hosts"]):
+                own = {}
+                for order, (path, value, off, size, links) in enumerate(json.loads(zlib.decompress(packed))):
+                    n, first, _, _, _ = own.get((path, value), (0, order, off, 0, 0))
+                    own[path, value] = (n + 1, first, off, size, links)
                 for (path, value), (n, first, off, size, links) in own.items():
-                    seen = xxhash.xxh3_64_intdigest(f"{mine}/{n}")
-                    for of in (host, ""):
-                        state = found.setdefault((of, path, value), [0, 0, 0, off, 0, 0, 0, 0])
+                    seen = xxhash.xxh3_64_intdigest(f"{content}/{n}")
+                    for of in {*hosts, ""}:
+                        state = found.setdefault((of, path, value), [0, 0, 0, off, 0, 0, 0])
                         state[0] += 1
                         state[1] ^= seen
                         state[2] += first
                         state[4] += size
                         state[5] += links
                         state[6] = max(state[6], n)
-                        state[7] += 1
             rows = [(*token, s[0], np.uint64(s[1]).astype(np.int64), s[2], bool(s[3]), s[4], s[5], s[6]) for token, s in found.items()]
             yield pd.DataFrame(rows, columns=["host", "path", "value", "pages", "vector", "order", "off", "size", "links", "most"], dtype=object)
 
     schema = "host string, path string, value string, pages long, vector long, order long, off boolean, size long, links long, most long"
-    rows = pages.mapInPandas(count, schema)
-    return rows.groupBy("host", "path", "value").agg(
+    return found.mapInPandas(count, schema).groupBy("host", "path", "value").agg(
         F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("order").alias("order"), F.max("off").alias("off"),
         F.sum("size").alias("size"), F.sum("links").alias("links"), F.max("most").alias("most"),
     )
 
 
 def templates(pages):
-    """One row per host: elements of its template, the paths of its main slots, and its template text."""
-    found = stored(occurrences(pages), "tokens")
-    counts = stored(pages.groupBy("host").agg(F.count(F.lit(1)).alias("of")).union(
-        pages.agg(F.lit("").alias("host"), F.count(F.lit(1)).alias("of"))
-    ).groupBy("host").agg(F.max("of").alias("of")), "hosts")
-    # What a path holds, however its text varies: sizes, and how much of it repeats on the host.
+    """One row per host: elements of its template, its template text, and its main slots."""
+    held = stored(contents(pages), "contents")
+    found = stored(occurrences(held), "tokens")
+    counts = held.select(F.explode(F.array_union("hosts", F.array(F.lit("")))).alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("of"))
+    counts = stored(counts, "hosts")
+    # What a path holds, however its text varies: sizes, and how much of it had been on the host before.
     paths = found.groupBy("host", "path").agg(
-        F.max("off").alias("off"), F.sum("size").alias("size"), F.sum("links").alias("links"),
-        F.sum(F.when(F.col("pages") > 1, F.col("size")).otherwise(0)).alias("again"),
-    )
-    often = found.join(counts, "host").where(F.col("pages") >= SUPPORT * F.col("of"))
-    often = often.where((F.col("value") != "") | (F.col("most") == 1))
-    # Classes by vector; the vectors of the tokens in a class are equal, so each stands on the same pages.
-    classes = often.groupBy("host", "vector", "pages").agg(
-        F.array_sort(F.collect_list(F.struct("order", "path", "value"))).alias("members")
+        F.max("off").alias("off"), F.sum("size").alias("size"), F.sum("links").alias("links"), F.sum(F.col("size") * (1 - 1 / F.col("pages"))).alias("again"),
     )
-    nested = F.filter("members", lambda m: m["value"] == "")
-    elements = classes.groupBy("host").agg(F.flatten(F.collect_list(F.transform(nested, lambda m: m["path"]))).alias("elements"),
-        F.flatten(F.collect_list(F.transform(F.filter("members", lambda m: m["value"] != ""), lambda m: F.concat_ws("\n", m["path"], m["value"])))).alias("fixed"))
+    often = found.join(counts, "host").where((F.col("pages") >= SUPPORT * F.col("of")) & (F.col("most") == 1))
+    classes = often.groupBy("host", "vector", "pages").agg(F.collect_list(F.struct("path", "value")).alias("members"))
+    elements = classes.groupBy("host").agg(F.flatten(F.collect_list("members")).alias("members"))
+    elements = elements.withColumn("elements", F.transform(F.filter("members", lambda m: m["value"] == ""), lambda m: m["path"]))
 
     def around(path):
         """Whether every element around one of the template is in the template."""
@@ -227,6 +255,8 @@ def templates(pages):
         )
 
     elements = elements.withColumn("elements", F.filter("elements", around))
+    fixed = F.filter("members", lambda m: (m["value"] != "") & F.array_contains("elements", m["path"]))
+    elements = elements.select("host", "elements", F.transform(fixed, lambda m: F.concat_ws("\n", m["path"], m["value"])).alias("fixed"))
     # A path's slot is its longest beginning among the template's elements.
     slots = paths.join(elements, "host").withColumn("slot", F.reverse(F.filter(
         F.transform(F.sequence(F.lit(1), F.size(F.split("path", ">"))), lambda n: F.array_join(F.slice(F.split("path", ">"), 1, n), ">")),
@@ -236,44 +266,32 @@ def templates(pages):
         F.max(F.when(F.col("path") == F.col("slot"), F.col("off"))).alias("off"), F.sum("size").alias("size"), F.sum("links").alias("links"), F.sum("again").alias("again")
     )
     told = F.coalesce("off", F.lit(False))
-    named = F.exists(F.split("slot", ">"), lambda step: F.split(step, r"\.")[0].isin(*CONTENT))
     varied = (F.col("links") < 0.4 * F.col("size")) & (F.col("again") < 0.6 * F.col("size"))
+    called = F.exists(F.split("slot", ">"), lambda step: F.split(step, r"\.")[0].isin(*CONTENT))
     main = slots.groupBy("host").agg(
-        F.collect_set(F.when(~told & named, F.col("slot"))).alias("named"), F.collect_set(F.when(~told & varied, F.col("slot"))).alias("varied")
+        F.collect_set(F.when(~told & called, F.col("slot"))).alias("called"), F.collect_set(F.when(~told & varied, F.col("slot"))).alias("varied")
     )
     return elements.join(main, "host").join(counts, "host").select(
-        "host", "of", "elements", "fixed", "named", "varied"
+        "host", "of", "elements", F.when(F.size("called") > 0, F.array().cast("array<string>")).otherwise(F.col("fixed")).alias("fixed"),
+        F.when(F.size("called") > 0, F.col("called")).otherwise(F.col("varied")).alias("main"),
     )
 
 
-def main_text(page, elements, fixed, named, varied):
+def main_text(page, elements, fixed, main):
     """The text in a page's main slots."""
-    elements, fixed = set(elements), set(fixed)
-    named = set(named)
-    main = named or set(varied)
-    blocks, block = [], []
-    slots = {}
-    for kind, path, off, run, _ in tokens(page):
-        if kind != "text":
-            if block:
-                blocks.append(clean("".join(block)))
-                block = []
+    elements, fixed, main = set(elements), set(fixed), set(main)
+    blocks, slots = [], {}
+    for path, value, _, _, _, text in numbered(page):
+        if not text:
             continue
         if path not in slots:
             steps = path.split(">")
             slot = next((p for p in (">".join(steps[:n]) for n in range(len(steps), 0, -1)) if p in elements), "")
             # A page that departs from its host's template may still name its article.
             slots[path] = slot in main or any(step.split(".")[0] in CONTENT for step in steps)
-        if off or not slots[path]:
-            continue
-        if not named:
-            value = clean(run)
-            if f"{path}\n{value if len(value) <= 64 else xxhash.xxh3_128_hexdigest(value)}" in fixed:
-                continue
-        block.append(run)
-    if block:
-        blocks.append(clean("".join(block)))
-    return " ".join(b for b in blocks if b)
+        if slots[path] and f"{path}\n{value}" not in fixed:
+            blocks.append(text)
+    return " ".join(blocks)
 
 
 def extracted(pages):
@@ -282,7 +300,7 @@ def extracted(pages):
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html")).withColumn("host", host)
     made = stored(templates(rows), "templates")
     own = made.where((F.col("of") >= FEW) & (F.col("host") != ""))
-    common = made.where("host = ''").select([F.col(c).alias(f"all_{c}") for c in ("elements", "fixed", "named", "varied")])
+    common = made.where("host = ''").select([F.col(c).alias(f"all_{c}") for c in ("elements", "fixed", "main")])
     shared = common.first()  # one row, bounded by a page's length
     joined = rows.join(own.drop("of"), "host", "left")
 
@@ -291,13 +309,13 @@ def extracted(pages):
 
         for batch in batches:
             texts = []
-            for page, *template in zip(batch["html"], batch["elements"], batch["fixed"], batch["named"], batch["varied"]):
+            for page, *template in zip(batch["html"], batch["elements"], batch["fixed"], batch["main"]):
                 if template[0] is None:
-                    template = list(shared) if shared else [(), (), (), ()]
+                    template = list(shared) if shared else [(), (), ()]
                 texts.append(main_text(page or "", *template))
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": pd.Series(texts, dtype=object), "n_chars": [len(t) for t in texts]})
 
     kind = dict(pages.dtypes)
-    return joined.select("page_id", "url", "html", "elements", "fixed", "named", "varied").mapInPandas(
+    return joined.select("page_id", "url", "html", "elements", "fixed", "main").mapInPandas(
         extract, f"page_id {kind['page_id']}, url {kind['url']}, text string, n_chars long"
     )

@@ -253,3 +253,19 @@ def test_stages_take_any_rows(spark, tmp_path, docs, nothing, name):
     if name == "near dedup":
         assert sorted((r.doc_id or 0) for r in found) == sorted((i or 0) for i in {i for i, _ in ROWS} - {2, 3, 8, 10})
     assert stage(spark, nothing, str(tmp_path)).collect() == []
+
+
+def extracted_texts(spark, rows):
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in template.extracted(frame).collect()}
+
+
+def test_html_repeated_pages_count_once(spark):
+    """A host without article or main whose pages were all crawled twice, and one whose pages are mostly copies of one."""
+    plain = "<div><p>Plain words number {0} of this page</p><p>and more {0}</p></div>"
+    rows = [(10 * k + i, f"http://twice.org/{i}", page(plain.format(i))) for i in range(6) for k in range(2)]
+    rows += [(100 + i, f"http://copied.org/{i}", page(plain.format(max(0, i - 20)))) for i in range(26)]
+    found = extracted_texts(spark, rows)
+    for page_id, text in found.items():
+        i = page_id % 10 if page_id < 100 else max(0, page_id - 120)
+        assert text == f"Plain words number {i} of this page and more {i}"
