@@ -3,8 +3,11 @@
 Method. A page is a sequence of tokens: elements, named by their path of structural tags and classes, and
 blocks of text, named by the path they stand in, their text and their number among equal ones. Pages of a host with equal html
 count once. A token's occurrence vector tells how often it occurs on each page of a host. Tokens of one host with
-equal vectors form an equivalence class; vectors are compared by a hash that adds up over pages. A class is valid if
-it stands on at least ``SUPPORT`` of the host's pages, once on each. The valid classes make the template, as far as the elements around
+equal vectors form an equivalence class; vectors are compared by a hash that adds up over pages. A token is
+frequent if it stands on at least ``SUPPORT`` of the host's pages, once on each. The class on the most pages is
+the outermost; the others nest in its gaps: tokens of one vector in one gap are a class, a token that changes
+gaps belongs to none. A class loses what does not keep the order of its members on every page, and is valid if
+``MEMBERS`` are left; what is merely frequent is no template. The valid classes make the template, as far as the elements around
 each of its elements and texts are in it too. What lies directly in one template element is a slot. Slots in an article or main
 element hold the main text, without those in menus, headers, footers, sidebars, notices, adverts, forms and comments; a host whose
 template names no such element gets its main text from slots that are mostly text outside links and mostly new from page to page, with
@@ -13,7 +16,8 @@ share one template, that of all pages.
 
 Scale. Tokens are packed and brought together by the html's digest, then added up per task before the shuffle, so a host with a third of
 all pages sends a row per token and task. Tokens on less than SUPPORT of a host's pages are dropped before its template is
-formed: a template is bounded by the length of a page. Templates are joined to pages by host; adaptive execution splits a host with many pages.
+formed: a template is bounded by the length of a page. Frequent tokens, and later templates, are joined to pages by host;
+adaptive execution splits a host with many pages.
 
 Text. Character references are decoded, white space in a block becomes one space, blocks are joined in page
 order by one space. Markup that ends in the middle is read as far as it goes.
@@ -23,6 +27,7 @@ rows are extracted each and counted once. An empty table gives an empty result.
 html are read.
 """
 
+import bisect
 import html
 import json
 import re
@@ -35,7 +40,7 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import stored
 from fleetlake.llm.urls import parsed
 
-SUPPORT, FEW = 0.6, 5
+SUPPORT, FEW, MEMBERS = 0.6, 5, 2
 
 # Elements as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -232,6 +237,70 @@ def occurrences(found):
     )
 
 
+def outside(places):
+    """Which of ``places`` lie outside a longest increasing run of them."""
+    ends, at, before = [], [], []
+    for k, place in enumerate(places):
+        n = bisect.bisect_left(ends, place)
+        ends[n:n + 1], at[n:n + 1] = [place], [k]
+        before.append(at[n - 1] if n else -1)
+    k, inside = at[-1] if at else -1, set()
+    while k >= 0:
+        inside.add(k)
+        k = before[k]
+    return [k for k in range(len(places)) if k not in inside]
+
+
+def ranked(members):
+    """{(path, value): (class, place in it)} of a host's frequent tokens; class 0 is on the most pages, then the largest."""
+    classes = {}
+    for m in members:
+        classes.setdefault((m["vector"], m["pages"]), []).append(m)
+    order = sorted(classes.items(), key=lambda c: (-c[0][1], -len(c[1]), c[0]))
+    return {
+        (m["path"], m["value"]): (k, place) for k, (_, own) in enumerate(order)
+        for place, m in enumerate(sorted(own, key=lambda m: (m["order"] / m["pages"], m["path"], m["value"])))
+    }
+
+
+def tested(found, frequent):
+    """Per host and frequent token, over all its pages: whether it ever leaves the order of its class, and the gaps of class 0 it stands in."""
+    members = stored(frequent.groupBy("host").agg(F.collect_list(F.struct("path", "value", "vector", "pages", "order")).alias("members")), "members")
+    common = members.where("host = ''").first()  # one row, bounded by a page's length
+    shared = ranked([m.asDict() for m in common["members"]]) if common else {}
+    spread = found.select("tokens", F.posexplode("hosts").alias("nth", "host"))
+    joined = spread.join(members.where("host <> ''"), "host", "left").select("host", "nth", "tokens", "members")
+
+    def place(batches):
+        import pandas as pd
+
+        known, of = {}, None
+        for batch in batches:
+            state = {}
+            for host, nth, packed, own in zip(batch["host"], batch["nth"], batch["tokens"], batch["members"]):
+                if own is not None and host != of:
+                    known, of = ranked(own), host
+                page = json.loads(zlib.decompress(packed))
+                for name, classes in ((host, known if own is not None else {}), ("", shared if nth == 0 else {})):
+                    runs, gap = {}, -1
+                    for path, value, *_ in page if classes else ():
+                        if (path, value) not in classes:
+                            continue
+                        k, at = classes[path, value]
+                        runs.setdefault(k, []).append((at, path, value, gap if k else -2))
+                        gap = gap if k else at
+                    for run in runs.values():
+                        astray = set(outside([r[0] for r in run]))
+                        for n, (_, path, value, stands) in enumerate(run):
+                            token = state.setdefault((name, path, value), [False, stands, stands])
+                            token[0] |= n in astray
+                            token[1], token[2] = min(token[1], stands), max(token[2], stands)
+            yield pd.DataFrame([(*k, *v) for k, v in state.items()], columns=["host", "path", "value", "astray", "low", "high"], dtype=object)
+
+    placed = joined.mapInPandas(place, "host string, path string, value string, astray boolean, low long, high long")
+    return placed.groupBy("host", "path", "value").agg(F.max("astray").alias("astray"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+
 def templates(pages):
     """One row per host: elements of its template, its template text, and its main slots."""
     held = stored(contents(pages), "contents")
@@ -243,7 +312,12 @@ def templates(pages):
         F.max("off").alias("off"), F.sum("size").alias("size"), F.sum("links").alias("links"), F.sum(F.col("size") * (1 - 1 / F.col("pages"))).alias("again"),
     )
     often = found.join(counts, "host").where((F.col("pages") >= SUPPORT * F.col("of")) & (F.col("most") == 1))
-    classes = often.groupBy("host", "vector", "pages").agg(F.collect_list(F.struct("path", "value")).alias("members"))
+    often = stored(often.select("host", "path", "value", "vector", "pages", "order"), "frequent")
+    orderly = tested(held, often).where("not astray and low = high")
+    # Classes by vector and gap; a token that no other goes with is merely frequent.
+    classes = often.join(orderly, ["host", "path", "value"]).groupBy("host", "vector", "pages", "low").agg(
+        F.collect_list(F.struct("path", "value")).alias("members")
+    ).where(F.size("members") >= MEMBERS)
     elements = classes.groupBy("host").agg(F.flatten(F.collect_list("members")).alias("members"))
     elements = elements.withColumn("elements", F.transform(F.filter("members", lambda m: m["value"] == ""), lambda m: m["path"]))
 

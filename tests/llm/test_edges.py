@@ -260,6 +260,24 @@ def extracted_texts(spark, rows):
     return {r.page_id: r.text for r in template.extracted(frame).collect()}
 
 
+def test_html_classes_hold_what_goes_together(spark):
+    """Texts that are frequent, but neither on the same pages as others nor in one order with them, are no template."""
+    def moving(i):
+        parts = ["<div class=up>The box says so</div>", f"<div class=own><h2>Words</h2><p>Page {i} alone has these</p></div>"]
+        return f"<div class=all>Lead of page {i} in many words" + "".join(parts[::-1] if i % 2 else parts) + "</div>"
+
+    found = extracted_texts(spark, [(i, f"http://move.org/{i}", page(moving(i))) for i in range(8)])
+    for i in range(8):
+        said = ["The box says so", f"Page {i} alone has these"]
+        assert found[i] == " ".join([f"Lead of page {i} in many words", *(said[::-1] if i % 2 else said)])
+
+    def frequent(i, name):
+        return f"Sentence {name}" if (i + ord(name)) % 3 else f"Words that page {i} has by itself at {name}"
+
+    rows = [(i, f"http://freq.org/{i}", page("".join(f"<div class={name}>{frequent(i, name)}</div>" for name in "xyz"))) for i in range(9)]
+    assert extracted_texts(spark, rows) == {i: " ".join(frequent(i, name) for name in "xyz") for i in range(9)}
+
+
 def test_html_repeated_pages_count_once(spark):
     """A host without article or main whose pages were all crawled twice, and one whose pages are mostly copies of one."""
     plain = "<div><p>Plain words number {0} of this page</p><p>and more {0}</p></div>"
