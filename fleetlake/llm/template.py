@@ -8,10 +8,10 @@ frequent if it stands on at least ``SUPPORT`` of the host's pages, once on each.
 the outermost; the others nest in its gaps: tokens of one vector in one gap are a class, a token that changes
 gaps belongs to none. A class loses what does not keep the order of its members on every page, and is valid if
 ``MEMBERS`` are left; what is merely frequent is no template. The valid classes make the template, as far as the elements around
-each of its elements and texts are in it too. What lies directly in one template element is a slot. Slots in an article or main
-element hold the main text, without those in menus, headers, footers, sidebars, notices, adverts, forms and comments; a host whose
-template names no such element gets its main text from slots that are mostly text outside links and mostly new from page to page, with
-template text left out. Pages of hosts with fewer than ``FEW`` distinct pages
+each of its elements and texts are in it too. What lies directly in one template element is a slot. The main text is in the slots that
+are mostly text outside links and mostly new from page to page, without template text, whatever their elements are called, and
+without what names itself a menu, header, footer, sidebar, notice, advert, form or comment. Only where no valid
+template is found do article and main elements tell the main text. Pages of hosts with fewer than ``FEW`` distinct pages
 share one template, that of all pages.
 
 Scale. Tokens are packed and brought together by the html's digest, then added up per task before the shuffle, so a host with a third of
@@ -341,28 +341,27 @@ def templates(pages):
     )
     told = F.coalesce("off", F.lit(False))
     varied = (F.col("links") < 0.4 * F.col("size")) & (F.col("again") < 0.6 * F.col("size"))
-    called = F.exists(F.split("slot", ">"), lambda step: F.split(step, r"\.")[0].isin(*CONTENT))
-    main = slots.groupBy("host").agg(
-        F.collect_set(F.when(~told & called, F.col("slot"))).alias("called"), F.collect_set(F.when(~told & varied, F.col("slot"))).alias("varied")
-    )
-    return elements.join(main, "host").join(counts, "host").select(
-        "host", "of", "elements", F.when(F.size("called") > 0, F.array().cast("array<string>")).otherwise(F.col("fixed")).alias("fixed"),
-        F.when(F.size("called") > 0, F.col("called")).otherwise(F.col("varied")).alias("main"),
+    main = slots.groupBy("host").agg(F.collect_set(F.when(~told & varied, F.col("slot"))).alias("main"))
+    return elements.join(main, "host", "left").join(counts, "host").select(
+        "host", "of", "elements", "fixed", F.coalesce("main", F.array().cast("array<string>")).alias("main")
     )
 
 
 def main_text(page, elements, fixed, main):
-    """The text in a page's main slots."""
+    """The text in a page's main slots, without template text; without a template, what its article or main element holds, or else all."""
     elements, fixed, main = set(elements), set(fixed), set(main)
-    blocks, slots = [], {}
-    for path, value, _, _, _, text in numbered(page):
+    held, slots = list(numbered(page)), {}
+    named = not elements and any(step.split(".")[0] in CONTENT for path, *_ in held for step in path.split(">"))
+    blocks = []
+    for path, value, _, _, _, text in held:
         if not text:
             continue
         if path not in slots:
             steps = path.split(">")
-            slot = next((p for p in (">".join(steps[:n]) for n in range(len(steps), 0, -1)) if p in elements), "")
-            # A page that departs from its host's template may still name its article.
-            slots[path] = slot in main or any(step.split(".")[0] in CONTENT for step in steps)
+            if elements:
+                slots[path] = next((p for p in (">".join(steps[:n]) for n in range(len(steps), 0, -1)) if p in elements), "") in main
+            else:
+                slots[path] = not named or any(step.split(".")[0] in CONTENT for step in steps)
         if slots[path] and f"{path}\n{value}" not in fixed:
             blocks.append(text)
     return " ".join(blocks)

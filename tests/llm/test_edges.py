@@ -260,6 +260,13 @@ def extracted_texts(spark, rows):
     return {r.page_id: r.text for r in template.extracted(frame).collect()}
 
 
+def test_html_template_decides_inside_an_article(spark):
+    """An unmarked box that all articles of a host repeat is template text, though it stands in the article."""
+    body = "<article><h1>Title {0}</h1><p>Words of page {0} alone<p>and {0} more<div class=box><b>Read our magazine</b> every week</div></article>"
+    found = extracted_texts(spark, [(i, f"http://box.org/{i}", page(body.format(i))) for i in range(6)])
+    assert found == {i: f"Title {i} Words of page {i} alone and {i} more" for i in range(6)}
+
+
 def test_html_classes_hold_what_goes_together(spark):
     """Texts that are frequent, but neither on the same pages as others nor in one order with them, are no template."""
     def moving(i):
