@@ -9,7 +9,9 @@ Words count as themselves and by their beginnings of ``BEGINNINGS`` letters, so
 
 Training rows. Only labelled rows whose crc32 of the doc_id's text is not 2 modulo 4 (``held_out``). The
 classifier is fitted on at most ``SAMPLE`` documents and ``SAMPLE_BYTES`` bytes of them, the smallest by a
-hash of the id; that bound holds whatever the size of the input. At most ``FEATURES`` words and beginnings,
+hash of the id; that bound holds whatever the size of the input. Of the ``SAMPLE`` first of each label a document
+that does not fit is left out and the next one tried. The first ``LEAST`` documents of either label come before all others, within half of the bytes each; if none of
+a label fits there, its shortest is taken whole, so both labels are there. At most ``FEATURES`` words and beginnings,
 those that tell the labels apart best in the sample, get a weight; weights are held small by a
 quadratic penalty. Scoring is one pass over whole texts without a shuffle.
 
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm.common import Memo, alnum_words, map_batches, stored, texts
 
-SAMPLE, SAMPLE_BYTES, FEATURES = 8_000, 32_000_000, 2048
+SAMPLE, SAMPLE_BYTES, FEATURES, LEAST = 20_000, 40_000_000, 4096, 100
 BEGINNINGS = range(3, 9)
 THRESHOLD = 0.3
 _ENDS = re.compile(rb"[.!?\n]+|\xe3\x80\x82|\xef\xbc[\x81\x9f]")
@@ -78,17 +80,41 @@ def probability(margins):
     return float(-np.expm1(-np.logaddexp(0, margins).sum())) if len(margins) else 0.0
 
 
+def fitting(rows, sample, sample_bytes):
+    """The ids of ``rows``, in the order of their turns, that make the sample; see the module's docstring."""
+    taken, held = {}, 0
+    for toxic in (True, False):
+        own, used = [r for r in rows if (r["toxic"] > 0) == toxic], 0
+        for r in own[:min(LEAST, sample // 2)]:
+            if used + r["bytes"] <= sample_bytes // 2:
+                taken[r["doc_id"]] = None
+                used += r["bytes"]
+        if own and not used:
+            fits = [r for r in own if r["bytes"] <= sample_bytes // 2]
+            r = fits[0] if fits else min(own, key=lambda r: r["bytes"])
+            taken[r["doc_id"]] = None
+            used = r["bytes"]
+        held += used
+    for r in rows:
+        if r["doc_id"] not in taken and len(taken) < sample and held + r["bytes"] <= sample_bytes:
+            taken[r["doc_id"]] = None
+            held += r["bytes"]
+    return list(taken)
+
+
 def sampled(docs, labels, sample=SAMPLE, sample_bytes=SAMPLE_BYTES):
     """The training sample: (toxic, text), at most ``sample`` rows with ``sample_bytes`` of text."""
     known = labels.where("toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("turn", F.xxhash64("doc_id"))
-    chosen = known.orderBy("turn", "doc_id").limit(sample)  # at most `sample` rows of three numbers
+    kinds = [known.where(kind).orderBy("turn", "doc_id").limit(sample) for kind in ("toxic > 0", "toxic <= 0")]
+    chosen = kinds[0].union(kinds[1])  # at most twice `sample` rows of three numbers
     rows = texts(docs).where("text is not null").join(F.broadcast(chosen), "doc_id")
     rows = rows.dropDuplicates(["doc_id"]).withColumn("bytes", F.octet_length("text"))
     rows = stored(rows, "toxic-sample")
-    ahead = rows.selectExpr("toxic", "text", "sum(bytes) over (order by turn, doc_id rows unbounded preceding) as ahead")
-    return ahead.where(F.col("ahead") <= sample_bytes).select("toxic", "text").toPandas()
+    sizes = rows.select("doc_id", "toxic", "bytes", "turn").orderBy("turn", "doc_id").collect()  # rows of four numbers
+    fits = docs.sparkSession.createDataFrame([(i,) for i in fitting(sizes, sample, sample_bytes)], "doc_id long")
+    return rows.join(F.broadcast(fits), "doc_id", "left_semi").orderBy("turn", "doc_id").select("toxic", "text").toPandas()
 
 
 def expanded(sizes, first, flat, codes):

@@ -294,3 +294,15 @@ def test_html_repeated_pages_count_once(spark):
     for page_id, text in found.items():
         i = page_id % 10 if page_id < 100 else max(0, page_id - 120)
         assert text == f"Plain words number {i} of this page and more {i}"
+
+
+def test_toxic_sample_goes_on_after_a_long_document(spark):
+    """The first document by hash does not fit; the next ones do. A rare label is in a sample smaller than the others of its like."""
+    ids = [r.id for r in spark.range(1, 400).withColumnRenamed("id", "doc_id").where(~toxicity.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).select(F.col("doc_id").alias("id")).collect()]
+    labels = spark.createDataFrame([(i, int(k == len(ids) - 1)) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    rows = [(i, "word " * (2000 if k in (0, 5) else 10)) for k, i in enumerate(ids)]
+    sample = toxicity.sampled(spark.createDataFrame(rows, "doc_id long, text string"), labels, sample=50, sample_bytes=4000)
+    # The 50 first of the plain label without the two that do not fit, and the one of the other.
+    assert sorted(sample["toxic"]) == [0] * 48 + [1] and sum(map(len, sample["text"])) == 49 * 50
+    only = toxicity.sampled(spark.createDataFrame([(ids[-1], "word " * 2000), (ids[1], "word")], "doc_id long, text string"), labels, sample_bytes=4000)
+    assert sorted(only["toxic"]) == [0, 1]
