@@ -5,8 +5,9 @@ initial state. A file's words run through it: after each word the state and the
 longest run of words, ending there, that stands in some template. A base phrase stands where it is a suffix
 of the match. Runs that cannot be extended and are ``MIN_RUN`` words or longer are matches; those of one
 template are chained, in order on both sides and at most ``GAP`` words apart in the file. The chain that
-covers most of a template is its span, and its share of the template's words the score; from ``COVER`` on the
-template's label is given.
+covers most of a template is its span, and its share of the template's words the score. A span names its label
+if it covers ``COVER`` of the template and all its numbers (they tell versions apart), and if it does not lie
+within a span of another label that covers more words, or as many of a shorter template: the wordings of sibling licences differ by a word.
 
 Scale. One pass over whole texts without a shuffle. The automaton is built from the given templates alone
 (``TEMPLATE_WORDS`` bounds them) and sent to the tasks. A word outside all templates resets
@@ -39,6 +40,14 @@ TEMPLATES = [
     ("cc-by", "Licensed under CC BY 4.0."),
     ("cc-by-sa", "Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+    ("cc-by-nc-sa", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nd", "Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nc-nd", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("cc-by-nc-nd", "Licensed under CC BY-NC-ND 4.0."),
+    ("gpl-2", "GNU General Public License version 2"),
+    ("gpl-3", "GNU General Public License version 3"),
     ("gpl-2", "This work is licensed under the GNU General Public License, version 2."),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
@@ -70,6 +79,8 @@ class Automaton:
         for number, (_, words) in enumerate(self.templates):
             for start in range(len(words) - MIN_RUN + 1):
                 self.places.setdefault(tuple(words[start:start + MIN_RUN]), []).append((number, start))
+        numeric = {code for word, code in self.words.items() if word.isdigit()}
+        self.numbers = [frozenset(i for i, word in enumerate(words) if word in numeric) for _, words in self.templates]
 
     def coded(self, text):
         return [self.words.setdefault(word, len(self.words)) for word in alnum_words(text.encode())]
@@ -139,7 +150,7 @@ class Automaton:
         return places, runs
 
     def scan(self, text):
-        """(words, base places, spans); a span is (template, first word, words up to its end, share covered)."""
+        """(words, base places, spans); see ``chained`` for spans."""
         words = alnum_words(text)
         get = self.words.get
         codes = np.fromiter((get(word, -1) for word in words), np.int64, len(words))
@@ -154,32 +165,55 @@ class Automaton:
                 runs += found[1]
         return len(words), sorted(places), self.chained(codes, runs)
 
+    def pieces(self, codes, runs):
+        """For each template the places where a run and the template agree: (start, place in the template, words), longest possible."""
+        found = {}
+        for start, size in runs:
+            going = {}
+            for i in range(start, start + size - MIN_RUN + 1):
+                for number, at in self.places.get(tuple(codes[i:i + MIN_RUN].tolist()), ()):
+                    if going.get((number, at - i), -1) >= i:
+                        continue
+                    template = self.templates[number][1]
+                    n = MIN_RUN
+                    while i + n < start + size and at + n < len(template) and codes[i + n] == template[at + n]:
+                        n += 1
+                    going[number, at - i] = i + n - MIN_RUN
+                    found.setdefault(number, set()).add((i, at, n))
+        return found
+
     def chained(self, codes, runs):
-        """The best chain of matches per template: matches in order on both sides, at most GAP words apart."""
-        matches = {}
-        for start, size in sorted(runs):
-            for number, at in self.places.get(tuple(codes[start:start + MIN_RUN].tolist()), ()):
-                template = self.templates[number][1]
-                n = 0
-                while n < size and at + n < len(template) and codes[start + n] == template[at + n]:
-                    n += 1
-                matches.setdefault(number, []).append((start, at, n))
+        """The best chain of each template, matches in order on both sides and at most GAP words apart.
+
+        A span is (template, first word, words up to its end, share covered, named or not).
+        """
         spans = []
-        for number, found in matches.items():
-            best = (0, 0, 0)
-            open_ = []  # chains that may go on: (covered, first, end in the file, end in the template)
-            for start, at, n in found:
-                covered, first = n, start
+        for number, found in self.pieces(codes, runs).items():
+            best = (0, 0, 0, frozenset())
+            open_ = []  # chains that may go on: (covered, first, end in the file, end in the template, numbers covered)
+            for start, at, n in sorted(found):
+                numbers = self.numbers[number].intersection(range(at, at + n))
+                chain = (n, start, start + n, at + n, numbers)
                 open_ = [c for c in open_ if start - c[2] <= GAP]
                 for c in open_:
-                    if c[2] <= start and c[3] <= at and c[0] + n > covered:
-                        covered, first = c[0] + n, c[1]
-                open_.append((covered, first, start + n, at + n))
-                if covered > best[0]:
-                    best = (covered, first, start + n)
-            spans.append((number, best[1], best[2] - best[1], best[0] / len(self.templates[number][1])))
+                    if c[2] <= start and c[3] <= at and c[0] + n > chain[0]:
+                        chain = (c[0] + n, c[1], start + n, at + n, c[4] | numbers)
+                open_.append(chain)
+                if (chain[0], len(chain[4])) > (best[0], len(best[3])):
+                    best = (chain[0], chain[1], chain[2], chain[4])
+            spans.append((number, best[1], best[2] - best[1], best[0] / len(self.templates[number][1]), best[0], best[3] == self.numbers[number]))
         return sorted(spans, key=lambda s: (-s[3], s[1], s[0]))
 
+    def named(self, spans, cover):
+        """The spans that name their template's label: see the module's text."""
+        full = [s for s in spans if s[3] >= cover and s[5]]
+
+        def better(s, t):
+            inside = t[1] <= s[1] and s[1] + s[2] <= t[1] + t[2]
+            return inside and (t[4], t[3]) > (s[4], s[3]) and self.templates[t[0]][0] != self.templates[s[0]][0]
+
+        return [s for s in full if not any(better(s, t) for t in full)]
+
 
 def automaton(templates=None, base=None):
     return Automaton(TEMPLATES if templates is None else templates, BASE if base is None else base)
@@ -195,11 +229,11 @@ def scanned(docs, templates=None, base=None, cover=COVER):
         for doc_id, text in zip(columns["doc_id"], columns["text"]):
             n, places, spans = found.scan(text)
             base_labels = {found.base[k][0] for _, k in places}
-            full = [s for s in spans if s[3] >= cover]
+            full = found.named(spans, cover)
             labels = base_labels | {found.templates[s[0]][0] for s in full}
             row = (
                 doc_id, n, [at for at, _ in places], sorted(base_labels), sorted(labels),
-                [{"label": found.templates[k][0], "first_word": at, "words": size, "covered": share} for k, at, size, share in full],
+                [{"label": found.templates[k][0], "first_word": at, "words": size, "covered": share} for k, at, size, share, *_ in full],
                 1.0 if base_labels else (spans[0][3] if spans else 0.0),
             )
             for name, value in zip(out, row):

@@ -190,6 +190,30 @@ def test_licenses(docs, nothing, spark):
     assert (found[5].n_base, found[5].first_word) == (1, 5)
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("This work is licensed under the GNU General Public License, version 2.", "gpl-2"),
+    ("GNU General Public License version 2", "gpl-2"), ("the gnu general public license, version 3 or later", "gpl-3"),
+    ("Licensed under the Apache License, Version 1.1", ""), ("Licensed under the Apache License, Version 2.0", "apache-2"),
+    ("Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "cc-by-nc-sa"),
+    ("Licensed under CC BY 4.0.", "cc-by"), ("Licensed under CC BY-SA 4.0.", "cc-by-sa"), ("Licensed under CC BY-ND 4.0.", "cc-by-nd"),
+    ("GNU General Public License version 2. x y z GNU General Public License version 3", "gpl-2,gpl-3"),
+])
+def test_sibling_licences(text, labels):
+    found = licenses.automaton()
+    _, places, spans = found.scan(text.encode())
+    named = {found.templates[s[0]][0] for s in found.named(spans, licenses.COVER)} | {found.base[k][0] for _, k in places}
+    assert ",".join(sorted(named)) == labels
+
+
+def test_inner_parts_of_a_run_count_for_other_templates():
+    found = licenses.automaton([("long", "a b c d e f g h"), ("inner", "d e f g")], {})
+    _, _, spans = found.scan(b"x a b c d e f g h y")
+    assert {(found.templates[s[0]][0], s[1], s[2], s[3]) for s in spans} == {("long", 1, 8, 1.0), ("inner", 4, 4, 1.0)}
+
+
 def test_urls(spark):
     texts = ["http://A.Example.com/en/1?x#y", "no scheme", None, "://", "http://x.com", "http://notcom/", "ftp://net/es/", "http://b.net?/es/", "http://a.org/" + "long/" * 3000]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0]])], "page_id long, url string").withColumn("verdict", F.lit("x")).withColumn("id", F.lit(1))
@@ -214,7 +238,7 @@ def test_chat(spark):
     back = {r.conv_id: [tuple(t) for t in r.turns] for r in made.select("conv_id", chat.turns(F.col("formatted")).alias("turns")).collect()}
     assert back[1] == [("system", ""), ("user", "a\\<|im_end|>b"), ("user", "<\\|x"), ("assistant", "é<|turn|>😀"), ("assistant", "\n")]
     assert back[2] == [("", "x"), ("assistant", "y"), ("assistant", "y"), ("assistant\n<|im_start|>", "y")] and back[None] == [("user", "z")]
-    assert {r.conv_id: r.loss_chars for r in chat.digests(made).collect()} == {1: 12, 2: 2, None: 0}
+    assert {r.conv_id: r.loss_chars for r in chat.digests(made).collect()} == {1: 11, 2: 2, None: 0}
     assert made.where("conv_id = 1").first().formatted.count("<|im_start|>") == 3
     assert chat.formatted(frame.limit(0)).collect() == []
 
