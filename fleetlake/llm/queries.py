@@ -3,8 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from fleetlake.llm import ann, chat, decontam, licenses, lines, minhash, packing, template, toxicity, urls
+from fleetlake.llm import ann, chat, decontam, licenses, lines, minhash, packing, template, tokenfile, toxicity, urls
 from fleetlake.llm.common import table
+from fleetlake.session import scratch
 
 # The rules of the URL query as (host, path, verdict).
 URL_RULES = [
@@ -71,10 +72,17 @@ def op10_line_dedup(spark, sf_dir):
     return lines.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_token_files(spark, sf_dir):
+    """Place, number and checksum of each document's tokens, read back from Huffman-coded files."""
+    path = scratch(spark, "token-files")
+    tokenfile.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenfile.digests(spark, path)
+
+
 REGISTERED = {
     function.__name__: function
     for function in (
         op1_near_dedup, op2_html_text, op3_url_filter, op4_toxicity, op5_best_fit_packing, op6_nearest_neighbours,
-        op7_license_scan, op8_decontamination, op9_chat_format, op10_line_dedup,
+        op7_license_scan, op8_decontamination, op9_chat_format, op10_line_dedup, op12_token_files,
     )
 }
