@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from fleetlake.llm import ann, chat, decontam, licenses, lines, minhash, packing, template, tokenfile, toxicity, urls
+from fleetlake.llm import ann, chat, decontam, fptree, licenses, lines, minhash, packing, spelling, template, tokenfile, toxicity, urls
 from fleetlake.llm.common import table
 from fleetlake.session import scratch
 
@@ -72,6 +72,11 @@ def op10_line_dedup(spark, sf_dir):
     return lines.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    """Near words of every frequent word, its more frequent form and where forms lead."""
+    return spelling.grouped(table(spark, sf_dir, "documents"))
+
+
 def op12_token_files(spark, sf_dir):
     """Place, number and checksum of each document's tokens, read back from Huffman-coded files."""
     path = scratch(spark, "token-files")
@@ -79,10 +84,16 @@ def op12_token_files(spark, sf_dir):
     return tokenfile.digests(spark, path)
 
 
+def op13_ranked_search(spark, sf_dir):
+    """The 20 best documents of each benchmark item."""
+    return fptree.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 REGISTERED = {
     function.__name__: function
     for function in (
         op1_near_dedup, op2_html_text, op3_url_filter, op4_toxicity, op5_best_fit_packing, op6_nearest_neighbours,
-        op7_license_scan, op8_decontamination, op9_chat_format, op10_line_dedup, op12_token_files,
+        op7_license_scan, op8_decontamination, op9_chat_format, op10_line_dedup, op11_spelling_variants, op12_token_files,
+        op13_ranked_search,
     )
 }

