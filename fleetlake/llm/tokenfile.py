@@ -55,8 +55,8 @@ def simple(char):
 class Encoder:
     """Ids of texts as bytes. Pieces of a byte-level vocabulary are encoded once per worker and looked up after that."""
 
-    #: Pieces a worker remembers; it starts anew beyond.
-    BOUND = 1_000_000
+    #: Pieces a worker remembers; it starts anew beyond. Code points cut at a time.
+    BOUND, SLICE = 500_000, 2_000_000
 
     def __init__(self, path):
         from tokenizers import Tokenizer
@@ -72,7 +72,18 @@ class Encoder:
         return [np.array(encoding.ids, self.kind).tobytes() for encoding in found]
 
     def __call__(self, many):
-        """Ids of each text; texts that the pattern may cut otherwise than the library go to it whole."""
+        """Ids of each text."""
+        found, waiting, held = [], [], 0
+        for text in many:
+            waiting.append(text)
+            held += len(text)
+            if held > self.SLICE:
+                found += self.some(waiting)
+                waiting, held = [], 0
+        return found + self.some(waiting)
+
+    def some(self, many):
+        """The same for texts that may be in pieces at once. Texts that the pattern may cut otherwise than the library go to it whole."""
         cut = [
             PIECES.findall(text) if self.bytewise and "<|" not in text and all(map(simple, set(text))) else None
             for text in many
