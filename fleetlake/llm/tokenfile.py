@@ -43,6 +43,9 @@ LIMIT = 18
 # Fixed pattern: how byte-level vocabularies cut a text, for texts of the characters that ``simple`` lets through.
 PIECES = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
+# White space other than space and line feed, and marks that a letter before them never joins.
+UNEVEN, MARKS = frozenset("\t\r\xa0"), ".,;:!?"
+
 
 @functools.cache
 def simple(char):
@@ -53,24 +56,108 @@ def simple(char):
 
 
 class Encoder:
-    """Ids of texts as bytes. Pieces of a byte-level vocabulary are encoded once per worker and looked up after that."""
+    """Ids of texts as bytes.
+
+    A byte-level vocabulary's cutter never joins what stands on both sides of a single space between other
+    characters. So a text is cut there first, and the ids of each part, with the space before it, are remembered per worker;
+    a new part is made of pieces, which are remembered as well.
+    """
 
-    #: Pieces a worker remembers; it starts anew beyond. Code points cut at a time.
-    BOUND, SLICE = 500_000, 2_000_000
+    #: Parts, and pieces, that a worker remembers; it starts anew beyond. Code points cut at a time.
+    BOUND, SLICE = 400_000, 2_000_000
 
     def __init__(self, path):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.pieces = {}
+        size = self.tokenizer.get_vocab_size()
+        self.kind = "<u2" if size <= 1 << 16 else "<u4"
+        self.parts, self.pieces = {}, {}
         cutter = self.tokenizer.pre_tokenizer
         self.bytewise = type(cutter).__name__ == "ByteLevel" and not cutter.add_prefix_space and self.tokenizer.normalizer is None
+        # How the vocabulary spells a space; no id but a piece's first begins with it.
+        self.opening = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
 
     def whole(self, many):
         found = self.tokenizer.encode_batch_fast(many, add_special_tokens=False)
         return [np.array(encoding.ids, self.kind).tobytes() for encoding in found]
 
+    def spaced(self, many):
+        """Ids of pieces that are a space and letters, all encoded as one text."""
+        (ids,) = self.whole(["".join(many)])
+        starts = np.flatnonzero(self.opening[np.frombuffer(ids, self.kind)])
+        if len(starts) != len(many):
+            return self.whole(many)
+        wide = np.dtype(self.kind).itemsize
+        ends = [*(wide * starts[1:]).tolist(), len(ids)]
+        return [ids[a:b] for a, b in zip((wide * starts).tolist(), ends)]
+
+    def learn(self, pieces):
+        """Encode those pieces that are not known yet."""
+        new = pieces.difference(self.pieces)
+        if len(self.pieces) + len(new) > self.BOUND:
+            self.pieces, new = {}, pieces
+        words = [piece for piece in new if piece[0] == " " and piece[1:].isalpha()]
+        others = list(new.difference(words))
+        for encode, some in ((self.spaced, words), (self.whole, others)):
+            for start in range(0, len(some), 5000):
+                run = some[start:start + 5000]
+                self.pieces.update(zip(run, encode(run)))
+
+    def cut(self, many):
+        """Ids of texts of ``simple`` characters by way of their pieces."""
+        cut = [PIECES.findall(text) for text in many]
+        self.learn(set().union(*cut))
+        return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cut]
+
+    def some(self, many):
+        """Ids of each text, for texts that may be in parts at once."""
+        kinds = {"parts": [], "pieces": [], "whole": []}
+        for place, text in enumerate(many):
+            used = set(text)
+            if not self.bytewise or "<|" in text or not all(map(simple, used)):
+                kind = "whole"  # the pattern may cut it otherwise than the library
+            elif not UNEVEN.isdisjoint(used) or "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ":
+                kind = "pieces"
+            else:
+                kind = "parts"
+            kinds[kind].append(place)
+        found = [b""] * len(many)
+        for kind, encode in (("parts", self.by_parts), ("pieces", self.cut), ("whole", self.whole)):
+            for place, ids in zip(kinds[kind], encode([many[place] for place in kinds[kind]])):
+                found[place] = ids
+        return found
+
+    def by_parts(self, many):
+        """Ids of texts in which a single space stands between two other characters that are not white space, wherever one stands."""
+        cut = [text.split(" ") for text in many]
+        firsts = self.cut([parts.pop(0) for parts in cut])
+        wanted = set().union(*cut)
+        known = self.parts
+        new = [part for part in wanted if part not in known]
+        if len(known) + len(new) > self.BOUND:  # what this run needs stays
+            known = self.parts = {part: known[part] for part in wanted if part in known}
+        words, marked, others = set(), [], []
+        for part in new:
+            word = part.rstrip(MARKS)
+            if not word.isalpha():
+                others.append(part)
+                continue
+            if word not in known:
+                words.add(word)
+            if word != part:
+                marked.append((part, word))
+        words = list(words)
+        for start in range(0, len(words), 5000):
+            run = words[start:start + 5000]
+            known.update(zip(run, self.spaced([" " + word for word in run])))
+        marks = list({part[len(word):] for part, word in marked})
+        ids = dict(zip(marks, self.cut(marks)))
+        for part, word in marked:
+            known[part] = known[word] + ids[part[len(word):]]
+        known.update(zip(others, self.cut([" " + part for part in others])))
+        return [first + b"".join(map(known.__getitem__, parts)) for first, parts in zip(firsts, cut)]
+
     def __call__(self, many):
         """Ids of each text."""
         found, waiting, held = [], [], 0
@@ -82,23 +169,6 @@ class Encoder:
                 waiting, held = [], 0
         return found + self.some(waiting)
 
-    def some(self, many):
-        """The same for texts that may be in pieces at once. Texts that the pattern may cut otherwise than the library go to it whole."""
-        cut = [
-            PIECES.findall(text) if self.bytewise and "<|" not in text and all(map(simple, set(text))) else None
-            for text in many
-        ]
-        rest = iter(self.whole([text for text, pieces in zip(many, cut) if pieces is None]))
-        wanted = set().union(*[pieces for pieces in cut if pieces is not None])
-        new = wanted.difference(self.pieces)
-        if len(self.pieces) + len(new) > self.BOUND:
-            self.pieces, new = {}, wanted
-        new = list(new)
-        for start in range(0, len(new), 5000):
-            some = new[start:start + 5000]
-            self.pieces.update(zip(some, self.whole(some)))
-        return [next(rest) if pieces is None else b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cut]
-
 
 @functools.cache
 def encoder(path):
@@ -130,11 +200,10 @@ def id_counts(tokens, kind):
 
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), kind))
-                if len(found) > len(total):
-                    total, found = found, total
-                total[:len(found)] += found
+            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
+            if len(found) > len(total):
+                total, found = found, total
+            total[:len(found)] += found
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
