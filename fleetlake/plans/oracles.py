@@ -33,6 +33,11 @@ MERGED = f"""WITH {T}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY machine, tick, split
     ORDER BY CASE WHEN event_type IN ({_listed(EARLIER)}) THEN 0 ELSE 1 END, event_id) AS nth FROM t)
 SELECT {_STORED} FROM ranked WHERE nth = 1"""
+# The same with every kind of event a batch of its own.
+BY_KIND = f"""WITH {T}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY machine, tick, split ORDER BY CASE WHEN event_type IN ({_listed(EARLIER)}) THEN 0 ELSE 1 END,
+    CASE WHEN event_type IN ({_listed(EARLIER)}) THEN 0 ELSE list_position(['click', 'purchase', 'signup'], event_type) END, event_id) AS nth FROM t)
+SELECT {_STORED} FROM ranked WHERE nth = 1"""
 DEDUPED = f"WITH {T}, {FIRST} SELECT {_STORED} FROM firsts"
 _KEYS = f"WITH {T}, {FIRST} SELECT machine, tick, split FROM firsts"
 
@@ -166,6 +171,9 @@ ORACLES = {
     "scan_metric_samples": f"WITH {M} SELECT ts, metric, topic, part, consumergroup, value FROM m",
     "sink_append": f"WITH {T} SELECT {_STORED} FROM t",
     "merge_insert_if_absent": MERGED,
+    "merge_bucketed": MERGED,
+    "merge_compacted": BY_KIND,
+    "stream_merge_runs": MERGED,
     "merge_into_empty": DEDUPED,
     "merge_twice": DEDUPED,
     "sink_insert_strict_conflicts": f"""WITH {T}, {EARLY}, counted AS (

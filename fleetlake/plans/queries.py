@@ -13,6 +13,7 @@ from fleetlake.plans import adapter, jobs
 from fleetlake.schema import ARRIVAL, FEATURES, KEY, message_fields
 from fleetlake.session import scratch
 from fleetlake.sinks import export as exports
+from fleetlake.sinks.runs import RunTable
 from fleetlake.sinks.table import KeyedTable
 from fleetlake.sources import files, jdbc
 from fleetlake.sources import metrics as metric_source
@@ -212,6 +213,42 @@ def merge_twice(spark, sf_dir):
     return _stored(table)
 
 
+def _run_table(spark, name, **options):
+    return RunTable(spark, scratch(spark, name), **options).ensure()
+
+
+@query
+def merge_bucketed(spark, sf_dir):
+    """The earlier load, then the whole topic, into a target of bucketed runs."""
+    table, rows = _run_table(spark, "runs"), _samples(spark, sf_dir)
+    table.append(first_wins(adapter.earlier(rows), order=["event_id"]))
+    table.insert_if_absent(rows, order=["event_id"])
+    return _stored(table)
+
+
+@query
+def merge_compacted(spark, sf_dir):
+    """The earlier load, each kind of event as a batch, one of them twice; compacted and expired on the way."""
+    table, rows = _run_table(spark, "runs", fanout=2), _samples(spark, sf_dir)
+    table.append(first_wins(adapter.earlier(rows), order=["event_id"]))
+    for batch_id, kind in enumerate(["click", "purchase", "click", "signup", "error", "view"]):
+        table.insert_if_absent(rows.filter(F.col("event_type") == kind), max(batch_id - 2, 0) if kind == "click" else batch_id, ["event_id"], writer="kinds")
+        table.compact()
+    table.expire()
+    return _stored(table)
+
+
+@query
+def stream_merge_runs(spark, sf_dir):
+    """The topic as it fills up, streamed into a target of bucketed runs, which is compacted between two starts."""
+    table, topic, checkpoint = _run_table(spark, "streamed", fanout=2), _topic(spark, "topic"), _checkpoint(spark)
+    for segment in adapter.segments(spark, sf_dir):
+        topic.write(segment)
+        jobs.stream_ingest(topic.read_stream(), table, checkpoint).awaitTermination()
+        table.compact()
+    return _stored(table)
+
+
 @query
 def sink_insert_strict_conflicts(spark, sf_dir):
     target = _earlier_table(spark, sf_dir, "target").read()

@@ -86,6 +86,30 @@ def claim(spark, path):
     return True
 
 
+def put_new(spark, path, text):
+    """Write ``text`` to a new file; False if the file is there already."""
+    files, place = _files(spark, path)
+    try:
+        stream = files.create(place, False)
+    except Exception:
+        if files.exists(place):
+            return False
+        raise
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def read_text(spark, path):
+    """The text of a small file."""
+    files, place = _files(spark, path)
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def exists(spark, path):
     """Whether a file or folder is there."""
     files, place = _files(spark, path)
