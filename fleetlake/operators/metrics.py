@@ -57,7 +57,7 @@ def latest_gauges(df, metrics, as_of, **newest):
     return latest_per_series(df.filter(F.col("metric").isin(*metrics)), as_of, **newest)
 
 
-def _step(now, before):
+def growth(now, before):
     """Growth of a counter between two samples; a fall means it restarted at zero."""
     return F.when(now >= before, now - before).when(now < before, now)
 
@@ -81,13 +81,13 @@ def counter_rate(df, labels=("topic", "part"), window="5 minutes", metric=OFFSET
     rows = df.withColumn("window_start", F.window("ts", window)["start"]).select(*group, "value", *order)
     ranged = rows.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id())
     before = F.lag("value").over(Window.partitionBy(*group, "_range").orderBy(*order))
-    steps = ranged.withColumn("_grown", _step(F.col("value"), before)).withColumn("_at", F.struct(*order))
+    steps = ranged.withColumn("_grown", growth(F.col("value"), before)).withColumn("_at", F.struct(*order))
     parts = steps.groupBy(*group, "_range").agg(
         F.sum("_grown").alias("_grown"), F.min("ts").alias("_from"), F.max("ts").alias("_to"),
         F.min_by("value", "_at").alias("_first"), F.max_by("value", "_at").alias("_last"),
     )
     before = F.lag("_last").over(Window.partitionBy(*group).orderBy("_range"))
-    chained = parts.withColumn("_gap", _step(F.col("_first"), before))
+    chained = parts.withColumn("_gap", growth(F.col("_first"), before))
     added = F.coalesce("_grown", F.lit(0.0)) + F.coalesce("_gap", F.lit(0.0))
     totals = chained.groupBy(*group).agg(
         F.sum(added).alias("_grown"), F.min("_from").alias("_from"), F.max("_to").alias("_to")
@@ -111,11 +111,16 @@ def alert_rows(df, rules, as_of, **newest):
     ``("lag", LAG, "consumergroup", lambda total: total >= 10000)``. A metric may have several rules.
     """
     values = latest_per_series(df.filter(F.col("metric").isin(*[metric for _, metric, _, _ in rules])), as_of, **newest)
+    return fired(values, rules)
+
+
+def fired(values, rules, by=()):
+    """The alerts of ``rules`` among newest values, apart for each value of the columns ``by``."""
     asked, fires = [], F
     for title, metric, label, condition in rules:
         mine = F.struct(F.lit(title).alias("rule"), F.col(label).cast("string").alias("name"))
         asked.append(F.when(F.col("metric") == metric, mine))
         fires = fires.when(F.col("rule") == title, condition(F.col("total")))
-    each = values.select("value", F.explode(F.array_compact(F.array(*asked))).alias("_asked"))
-    totals = each.groupBy("_asked.rule", "_asked.name").agg(F.sum("value").alias("total"))
+    each = values.select(*by, "value", F.explode(F.array_compact(F.array(*asked))).alias("_asked"))
+    totals = each.groupBy("_asked.rule", "_asked.name", *by).agg(F.sum("value").alias("total"))
     return totals.filter(fires)

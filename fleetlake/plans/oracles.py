@@ -101,6 +101,20 @@ rates AS (
   FROM steps GROUP BY ALL HAVING max(ts) > min(ts))"""
 
 
+# Every step of a grid, and what was newest at each.
+STEPS = f"""{M}, steps AS (
+  SELECT unnest(generate_series((SELECT min(ts) FROM events), (SELECT max(ts) FROM events), INTERVAL 2 HOUR)) AS step)"""
+NEWEST_STEPS = f"""{STEPS}, newest AS (
+  SELECT step, m.* FROM steps JOIN m ON m.ts <= step AND m.ts > step - INTERVAL 6 HOUR QUALIFY row_number() OVER (
+    PARTITION BY step, metric, topic, part, consumergroup ORDER BY ts DESC, event_id DESC) = 1)"""
+RATE_STEPS = f"""{STEPS}, inside AS (
+  SELECT step, topic, part, ts, value, lag(value) OVER (PARTITION BY step, topic, part ORDER BY ts, event_id) AS before
+  FROM steps JOIN m ON m.ts <= step AND m.ts > step - INTERVAL 5 HOUR WHERE metric = '{OFFSET}')
+SELECT topic, part, step, round(sum(CASE WHEN before IS NULL THEN 0 WHEN value >= before THEN value - before ELSE value END)
+    / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6), 9) AS rate
+FROM inside GROUP BY ALL HAVING max(ts) > min(ts)"""
+
+
 def _sums(labels, metric):
     return f"SELECT {labels}, sum(value) AS total FROM newest WHERE metric = '{metric}' GROUP BY {labels}"
 
@@ -235,6 +249,14 @@ UNION ALL SELECT 1, count(*) FROM events WHERE event_type NOT IN ({_listed(EARLI
     "lag_by_group_topic": f"WITH {M}, {NEWEST} {_sums('consumergroup, topic', LAG)}",
     "under_replicated_by_topic": f"WITH {M}, {NEWEST} {_sums('topic', UNDER_REPLICATED)}",
     "counter_rate": f"WITH {RATE} SELECT topic, part, window_start, round(rate, 9) AS rate FROM rates",
+    "latest_by_series_steps": f"""WITH {NEWEST_STEPS} SELECT metric, topic, part, consumergroup, step, ts, value FROM newest
+WHERE metric IN ('{UNDER_REPLICATED}', '{MEMBERS}')""",
+    "lag_by_group_steps": f"WITH {NEWEST_STEPS} {_sums('consumergroup, step', LAG)}",
+    "alert_steps": f"""WITH {NEWEST_STEPS}, lag AS ({_sums('consumergroup, step', LAG)}), replicas AS ({_sums('topic, step', UNDER_REPLICATED)})
+SELECT 'lag' AS rule, consumergroup AS name, step, total FROM lag WHERE total >= 3000
+UNION ALL SELECT 'high lag', consumergroup, step, total FROM lag WHERE total >= 4000
+UNION ALL SELECT 'under_replicated', topic, step, total FROM replicas WHERE total > 0""",
+    "counter_rate_steps": f"WITH {RATE_STEPS}",
     "topic_rate": f"WITH {RATE} SELECT topic, window_start, round(sum(rate), 9) AS rate FROM rates GROUP BY ALL",
     "alert_rows": f"""WITH {M}, {NEWEST}, lag AS ({_sums('consumergroup', LAG)}), replicas AS ({_sums('topic', UNDER_REPLICATED)})
 SELECT 'lag' AS rule, consumergroup AS name, total FROM lag WHERE total >= 500

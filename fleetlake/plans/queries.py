@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions import catalog, decode, shape
 from fleetlake.operators import counts, features, filters, merge, metrics
+from fleetlake.operators import steps as grids
 from fleetlake.operators.dedup import first_wins
 from fleetlake.plans import adapter, jobs
 from fleetlake.schema import ARRIVAL, FEATURES, KEY, message_fields
@@ -587,6 +588,51 @@ def alert_rows(spark, sf_dir):
     return metrics.alert_rows(samples, rules, **_newest(spark, sf_dir))
 
 
+# The same over a grid of steps
+
+# A step of the grid, and the sliding window of a rate.
+STEP, WINDOW = "2 hours", "5 hours"
+
+
+def _grid(spark, sf_dir):
+    """Steps from the first event to the last."""
+    first, last = adapter.events(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
+    return grids.Grid(first, last, STEP)
+
+
+_NEWEST = {"lookback": LOOKBACK, "order": ["ts", "event_id"]}
+
+
+@query
+def latest_by_series_steps(spark, sf_dir):
+    samples = adapter.metric_samples(spark, sf_dir, [metric_source.UNDER_REPLICATED, metric_source.MEMBERS])
+    return grids.latest_steps(samples, _grid(spark, sf_dir), **_NEWEST)
+
+
+@query
+def lag_by_group_steps(spark, sf_dir):
+    samples = adapter.metric_samples(spark, sf_dir, [metric_source.LAG])
+    return grids.lag_by_group_steps(samples, _grid(spark, sf_dir), **_NEWEST)
+
+
+@query
+def alert_steps(spark, sf_dir):
+    rules = [
+        ("lag", metric_source.LAG, "consumergroup", lambda total: total >= 3000),
+        ("high lag", metric_source.LAG, "consumergroup", lambda total: total >= 4000),
+        ("under_replicated", metric_source.UNDER_REPLICATED, "topic", lambda total: total > 0),
+    ]
+    samples = adapter.metric_samples(spark, sf_dir, sorted({metric for _, metric, _, _ in rules}))
+    return grids.alert_steps(samples, rules, _grid(spark, sf_dir), **_NEWEST)
+
+
+@query
+def counter_rate_steps(spark, sf_dir):
+    samples = adapter.metric_samples(spark, sf_dir, [metric_source.OFFSET])
+    rates = grids.counter_rate_steps(samples, _grid(spark, sf_dir), window=WINDOW, order=["ts", "event_id"])
+    return rates.withColumn("rate", F.round("rate", 9))
+
+
 # Feature analysis
 
 
