@@ -39,6 +39,12 @@ def _has_key(key):
     return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in key])
 
 
+def with_reason(df, key=tuple(KEY)):
+    """All rows with ``reason``: which of ``key`` are missing, NULL where none is."""
+    missing = F.concat_ws(",", *[F.when(F.col(name).isNull(), F.lit(name)) for name in key])
+    return df.withColumn("reason", F.when(~_has_key(key), missing))
+
+
 def split_valid(df, key=tuple(KEY)):
     """Rows with a complete key, and the others with a ``reason`` naming what is missing."""
     missing = F.concat_ws(",", *[F.when(F.col(name).isNull(), F.lit(name)) for name in key])

@@ -5,10 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from fleetlake.schema import KEY
-from fleetlake.session import broadcast_limit
-
-# Rough cost of one row in a broadcast table besides its key text.
-ROW_OVERHEAD = 64
+from fleetlake.session import ROW_OVERHEAD, broadcast_limit
 
 
 class DuplicateKeyError(ValueError):

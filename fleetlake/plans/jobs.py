@@ -13,30 +13,32 @@ from fleetlake.functions.shape import fill_missing, rename_features, stamp_send_
 from fleetlake.operators.counts import counted, throughput
 from fleetlake.operators.dedup import first_wins
 from fleetlake.operators.features import mutual_information, pca_loadings, top_k
-from fleetlake.operators.filters import cutoff, guard_empty, only_split, recent, split_valid
+from fleetlake.operators.filters import cutoff, guard_empty, only_split, recent, with_reason
 from fleetlake.schema import ARRIVAL, FEATURE_NAMES, KEY
+from fleetlake.session import scratch
 from fleetlake.sinks.export import export, export_path
 from fleetlake.sinks.topic import envelope
 from fleetlake.sources.files import FILE_ORDER, numbered
 from fleetlake.streaming.ingest import merge_stream
 
 
-def complete_and_bad(samples):
-    """Samples with a whole key and a readable send time, parsed; and the others with a ``reason``."""
-    return split_valid(parse_send_timestamp(samples), [*KEY, "send_timestamp"])
-
-
-def set_aside(samples, quarantine):
+def set_aside(samples, quarantine, wanted=None):
     """The good samples, once the bad ones are in the folder ``quarantine`` (replacing an earlier run's).
 
-    Without a folder all are handed on, and the table refuses a row that has no key: the job fails, and no
-    row is lost without a trace.
+    Bad is what lacks a part of the key or a readable send time; ``reason`` names it. The samples are decoded once: what is bad, and
+    what is good and meets the condition ``wanted``, is staged, and both are taken from there, so a message that arrives
+    meanwhile is in neither. Without a folder all are handed on, and the table refuses a row that has no key: the job
+    fails, and no row is lost without a trace.
     """
+    parsed = parse_send_timestamp(samples)
     if not quarantine:
-        return parse_send_timestamp(samples)
-    good, bad = complete_and_bad(samples)
-    bad.write.mode("overwrite").parquet(quarantine)
-    return good
+        return parsed if wanted is None else parsed.filter(wanted)
+    marked = with_reason(parsed, [*KEY, "send_timestamp"])
+    path = scratch(samples.sparkSession, "decoded")
+    (marked if wanted is None else marked.filter(F.col("reason").isNotNull() | wanted)).write.parquet(path)
+    staged = samples.sparkSession.read.schema(marked.schema).parquet(path)
+    staged.filter(F.col("reason").isNotNull()).write.mode("overwrite").parquet(quarantine)
+    return staged.filter(F.col("reason").isNull()).drop("reason")
 
 
 def recent_samples(messages, as_of, days=1, selective=False, quarantine=None):
@@ -49,7 +51,7 @@ def recent_samples(messages, as_of, days=1, selective=False, quarantine=None):
         sent = F.try_to_timestamp(F.from_json(F.col("value").cast("string"), "send_timestamp string")["send_timestamp"])
         late = sent >= cutoff(as_of, days)
         messages = messages.filter(sent.isNull() | late if quarantine else late)
-    return recent(set_aside(decode_strict(messages, keep=ARRIVAL), quarantine), as_of, days)
+    return set_aside(decode_strict(messages, keep=ARRIVAL), quarantine, F.col("send_timestamp") >= cutoff(as_of, days))
 
 
 def backfill_append(messages, table, as_of, days=1, selective=False, quarantine=None):

@@ -7,6 +7,9 @@ from pyspark.sql import SparkSession
 
 _folders = {}
 
+# Rough cost of one row in a broadcast table besides its text.
+ROW_OVERHEAD = 64
+
 
 def build_session(app_name, zone="Asia/Seoul", master=None, **conf):
     """A session with the settings these jobs rely on; ``conf`` uses ``__`` for dots.

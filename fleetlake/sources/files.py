@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from fleetlake.functions.shape import conform, machine_from_path, parse_fields, sniffed_number, tag_split
 from fleetlake.schema import CSV_SCHEMA
+from fleetlake.session import ROW_OVERHEAD, broadcast_limit, scratch
 
 TRAIN_PATTERN = "machine-*/*_train.csv"
 TEST_PATTERN = "{machine}/*_test.csv"
@@ -87,12 +88,24 @@ FILE_ORDER = ["_path", "_block", "_row"]
 def numbered(df, name="arrival", start=0):
     """Rows of ``file_order`` numbered from ``start`` in reading order; its columns go.
 
-    Rows are counted per file range. Only those counts, one for each range that a task reads, are added up
-    in order; a row's place in its range is the distance to the range's first row id.
+    A row's place in the file range that its task read is the distance to the range's first row, and a range takes as many numbers as
+    lie between its first and last row. So numbers are unique and in order, with gaps where rows were filtered out. The files
+    are read once, into a staging folder. Only the ranges, a few numbers for each, are gathered and added up; they are handed to the
+    rows' tasks if they measure below the session's broadcast threshold, and merged in by range otherwise.
     """
-    ranges = df.groupBy("_path", "_block").agg(F.count("*").alias("n"), F.min("_row").alias("_first"))
+    spark = df.sparkSession
+    path = scratch(spark, "read-files")
+    df.write.parquet(path)
+    df = spark.read.schema(df.schema).parquet(path)
+    row = F.col("_row")
+    ranges = df.groupBy("_path", "_block").agg(F.min(row).alias("_first"), (F.max(row) - F.min(row) + 1).alias("_width"))
     earlier = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranges.select("_path", "_block", "_first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+    placed = ranges.select("_path", "_block", "_first", F.coalesce(F.sum("_width").over(earlier), F.lit(0)).alias("_before"))
+    path = scratch(spark, "file-ranges")
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+    size = placed.agg(F.sum(F.octet_length("_path") + F.lit(ROW_OVERHEAD))).first()[0] or 0
+    placed = F.broadcast(placed) if size <= broadcast_limit(spark) else placed.hint("merge")
     number = F.lit(start) + F.col("_before") + F.col("_row") - F.col("_first")
     return df.join(placed, ["_path", "_block"]).withColumn(name, number).drop("_first", "_before", *FILE_ORDER)
 

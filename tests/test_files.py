@@ -162,3 +162,32 @@ def test_export_roundtrip(spark, data, fmt):
 def test_export_refuses_other_formats(spark, tmp_path):
     with pytest.raises(ValueError):
         export(spark.range(1), str(tmp_path / "x"), "orc")
+
+
+def test_numbers_stay_apart_after_a_filter(spark, tmp_path):
+    for machine in range(4):
+        (tmp_path / f"machine-{machine}").mkdir()
+        lines = [f"{i},0," + ",".join(["0.5"] * 38) for i in range(30)]
+        (tmp_path / f"machine-{machine}" / f"machine-{machine}_train.csv").write_text("\n".join([",".join(files.CSV_SCHEMA.names), *lines]))
+    rows = files.read_train_csv(spark, str(tmp_path)).filter("timestamp % 3 <> 1 and not (machine = 'machine-1' and timestamp < 20)")
+    found = files.numbered(rows, start=100).orderBy("arrival").collect()
+    wanted = [(f"machine-{m}", str(i)) for m in range(4) for i in range(30) if i % 3 != 1 and not (m == 1 and i < 20)]
+    assert [(r.machine, r.timestamp) for r in found] == wanted
+    assert len({r.arrival for r in found}) == len(wanted) and found[0].arrival == 100
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert files.numbered(rows, start=100).orderBy("arrival").collect() == found
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_message_is_set_aside_or_handed_on_never_lost(spark, messages, tmp_path):
+    from fleetlake.plans import jobs
+
+    good = '{"send_timestamp": "2024-01-02T00:00:00", "machine": "m", "timestamp": "1", "usage": "train", "label": 0.0}'
+    old, bad = good.replace("2024-01-02", "2023-01-02"), good.replace('"machine": "m", ', "")
+    frame = messages([good, old, bad, "no json", good.replace("T00:00:00", "Tx")])
+    kept = jobs.recent_samples(frame, "2024-01-02 12:00:00", 1, quarantine=f"{tmp_path}/bad").collect()
+    aside = {r.offset: r.reason for r in spark.read.parquet(f"{tmp_path}/bad").collect()}
+    assert [r.offset for r in kept] == [0] and "reason" not in kept[0].asDict()
+    assert aside == {2: "machine", 3: "machine,timestamp,usage,send_timestamp", 4: "send_timestamp"}
