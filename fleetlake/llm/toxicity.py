@@ -23,7 +23,6 @@ empty result. Of the documents only doc_id and text are read, of the labels only
 
 import re
 import zlib
-from array import array
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -103,7 +102,7 @@ def fitting(rows, sample, sample_bytes):
 
 
 def sampled(docs, labels, sample=SAMPLE, sample_bytes=SAMPLE_BYTES):
-    """The training sample: (toxic, text), at most ``sample`` rows with ``sample_bytes`` of text."""
+    """The training sample: (doc_id, toxic, text), at most ``sample`` rows with ``sample_bytes`` of text."""
     known = labels.where("toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("turn", F.xxhash64("doc_id"))
@@ -114,74 +113,117 @@ def sampled(docs, labels, sample=SAMPLE, sample_bytes=SAMPLE_BYTES):
     rows = stored(rows, "toxic-sample")
     sizes = rows.select("doc_id", "toxic", "bytes", "turn").orderBy("turn", "doc_id").collect()  # rows of four numbers
     fits = docs.sparkSession.createDataFrame([(i,) for i in fitting(sizes, sample, sample_bytes)], "doc_id long")
-    return rows.join(F.broadcast(fits), "doc_id", "left_semi").orderBy("turn", "doc_id").select("toxic", "text").toPandas()
+    return rows.join(F.broadcast(fits), "doc_id", "left_semi").select("doc_id", "toxic", "text")
+
+
+def feature_counts(sample):
+    """(number, df, bad) of each feature: in how many documents it is, and in how many toxic ones. A task adds up its own first."""
+
+    def count(batches):
+        import pyarrow as pa
+
+        found = {}
+
+        def send():
+            columns = [pa.array(list(found), pa.int64()), *(pa.array([each[k] for each in found.values()], pa.int64()) for k in (0, 1))]
+            return pa.RecordBatch.from_arrays(columns, ["number", "df", "bad"])
+
+        features = Memo(features_of, 100_000)
+        for batch in batches:
+            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = {word for sentence in sentence_words(text) for word in sentence}
+                for number in {number for word in words for number in features[word]}:
+                    each = found.setdefault(number, [0, 0])
+                    each[0] += 1
+                    each[1] += toxic > 0
+            if len(found) > 300_000:
+                yield send()
+                found.clear()
+        yield send()
+
+    counted = sample.select("toxic", "text").mapInArrow(count, "number long, df long, bad long")
+    return counted.groupBy("number").agg(F.sum("df").alias("df"), F.sum("bad").alias("bad"))
+
+
+def told_apart(counts, n_docs, n_toxic, features, least_gap):
+    """The numbers of the features that tell the labels apart best."""
+    rate = n_toxic / n_docs
+    spread = F.sqrt(F.col("df") * rate * (1 - rate) * (1 - F.col("df") / (n_docs + 1)) + 1)
+    gap = F.abs(F.col("bad") - F.col("df") * rate) / spread
+    best = counts.where("df >= 2").withColumn("gap", gap).where(F.col("gap") >= least_gap).orderBy(F.desc("gap"), "number").limit(features)
+    return np.array([row.number for row in best.select("number").collect()], np.int64)
+
+
+def indexed(sample, numbers):
+    """Per document, in order of its id: toxic, its sentences without a chosen feature, how many each other sentence holds, and which."""
+    told = sample.sparkSession.sparkContext.broadcast({int(number): place for place, number in enumerate(numbers)})
+
+    def index(columns):
+        places = told.value
+        held = Memo(lambda word: [places[number] for number in features_of(word) if number in places], 100_000)
+        out = {"doc_id": columns["doc_id"], "toxic": columns["toxic"], "plain": [], "sizes": [], "held": []}
+        for text in columns["text"]:
+            sentences = [[place for word in words for place in held[word]] for words in sentence_words(text)]
+            some = [found for found in sentences if found]
+            out["plain"].append(len(sentences) - len(some))
+            out["sizes"].append(np.array([len(found) for found in some], "<i4").tobytes())
+            out["held"].append(np.array([place for found in some for place in found], "<i4").tobytes())
+        return out
+
+    return map_batches(sample, index, "doc_id long, toxic int, plain long, sizes binary, held binary").orderBy("doc_id")
+
 
+#: Entries of a sum at a time.
+SLICE = 1_000_000
 
-def expanded(sizes, first, flat, codes):
-    """For each code the values of its list, ``sizes`` long from ``first`` on in ``flat``: (place of the code, value)."""
-    n = sizes[codes].astype(np.int64)
-    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[codes], n)
-    return np.repeat(np.arange(len(codes)), n), flat[at]
+
+def summed(keys, values, size):
+    """For each key the sum of its values; ``values`` is a function of a slice, so no array of all of them is made."""
+    found = np.zeros(size)
+    for start in range(0, len(keys), SLICE):
+        part = slice(start, start + SLICE)
+        found += np.bincount(keys[part], weights=values(part), minlength=size)
+    return found
 
 
 def fit(sample, features=FEATURES, rounds=300, penalty=1e-4, least_gap=2.5):
-    """The model that fits document labels best under the noisy-or, by Adam steps."""
-    labels = sample["toxic"].to_numpy(np.float64) > 0
-    if not len(sample) or labels.all() or not labels.any():
+    """The model that fits document labels best under the noisy-or, by Adam steps.
+
+    Words are cut and features counted in tasks; of the sample only the places of chosen features reach the driver.
+    """
+    n_docs, n_toxic = sample.agg(F.count("*"), F.count_if(F.col("toxic") > 0)).first()
+    if not n_toxic or n_toxic == n_docs:
         return Model({}, -60.0)
-    vocabulary, codes, lengths, of_sentence, ends = {}, array("i"), array("i"), array("i"), [0]
-    for doc, text in enumerate(sample["text"]):
-        for words in sentence_words(bytes(text)):
-            codes.extend([vocabulary.setdefault(word, len(vocabulary)) for word in words])
-            lengths.append(len(words))
-            of_sentence.append(doc)
-        ends.append(len(codes))
-    codes, lengths, of_sentence = (np.array(x, np.int32) for x in (codes, lengths, of_sentence))
-    sentence, n_docs = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), len(labels)
-    sizes = np.fromiter((len(features_of(word)) for word in vocabulary), np.int32, len(vocabulary))
-    flat = np.fromiter((number for word in vocabulary for number in features_of(word)), np.uint32, int(sizes.sum()))
-    vocabulary.clear()
-    numbers, flat = np.unique(flat, return_inverse=True)
-    df, bad, first = np.zeros(len(numbers)), np.zeros(len(numbers)), np.cumsum(sizes, dtype=np.int64) - sizes
-    for doc in range(n_docs):  # one document's features at a time
-        held = np.unique(expanded(sizes, first, flat, np.unique(codes[ends[doc]:ends[doc + 1]]))[1])
-        df[held] += 1
-        bad[held] += labels[doc]
-    rate = labels.mean()
-    gap = np.abs(bad - df * rate) / np.sqrt(df * rate * (1 - rate) * (1 - df / (n_docs + 1)) + 1)
-    gap[df < 2] = 0
-    best = np.argsort(-gap, kind="stable")[:features]
-    best = best[gap[best] >= least_gap]
-    place = np.full(len(numbers), -1)
-    place[best] = np.arange(len(best))
-    chosen = place[flat] >= 0
-    sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[chosen], minlength=len(sizes))
-    at, held = expanded(sizes, np.cumsum(sizes) - sizes, place[flat[chosen]], codes)
-    rows, row = np.unique(sentence[at], return_inverse=True)  # only sentences that hold a chosen feature differ
-    owner = of_sentence[rows]
-    plain = np.bincount(of_sentence, minlength=n_docs) - np.bincount(owner, minlength=n_docs)
-    weights, bias = np.zeros(len(best)), -7.0
-    first, second = np.zeros(len(best) + 1), np.zeros(len(best) + 1)
+    numbers = told_apart(feature_counts(sample), n_docs, n_toxic, features, least_gap)
+    rows = indexed(sample, numbers).toPandas()
+    labels, plain = rows["toxic"].to_numpy(np.float64) > 0, rows["plain"].to_numpy(np.float64)
+    sizes = np.frombuffer(b"".join(rows["sizes"]), "<i4")
+    held = np.frombuffer(b"".join(rows["held"]), "<i4")
+    owner = np.repeat(np.arange(n_docs, dtype=np.int32), [len(each) // 4 for each in rows["sizes"]])
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    del rows
+    weights, bias = np.zeros(len(numbers)), -7.0
+    first, second = np.zeros(len(numbers) + 1), np.zeros(len(numbers) + 1)
     for step in range(1, rounds + 1):
-        margin = bias + np.bincount(row, weights=weights[held], minlength=len(rows))
+        margin = bias + summed(row, lambda part: weights[held[part]], len(sizes))
         clean = -np.bincount(owner, weights=np.logaddexp(0, margin), minlength=n_docs) - plain * np.logaddexp(0, bias)
         safe = np.clip(clean, -500, -1e-6)
         slope = np.where(labels, -1 / np.expm1(-safe), 1.0)  # of the loss by each sentence's softplus
         pull = slope[owner] / (1 + np.exp(-np.clip(margin, -500, 500)))
         slopes = np.append(
-            np.bincount(held, weights=pull[row], minlength=len(best)) / n_docs + penalty * weights,
+            summed(held, lambda part: pull[row[part]], len(numbers)) / n_docs + penalty * weights,
             (pull.sum() + (slope * plain).sum() / (1 + np.exp(-bias))) / n_docs,
         )
         first, second = 0.9 * first + 0.1 * slopes, 0.99 * second + 0.01 * slopes**2
         move = 0.15 / (1 + step / 100) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         weights = weights - move[:-1]
         bias -= move[-1]
-    return Model({int(numbers[k]): float(w) for k, w in zip(best, weights) if w}, float(bias))
+    return Model({int(number): float(w) for number, w in zip(numbers, weights) if w}, float(bias))
 
 
 def train(docs, labels):
     """The model of the labelled rows that may be learnt from."""
-    return fit(sampled(docs, labels))
+    return fit(stored(sampled(docs, labels), "toxic-fit"))
 
 
 def scored(docs, model):

@@ -325,8 +325,41 @@ def test_toxic_sample_goes_on_after_a_long_document(spark):
     ids = [r.id for r in spark.range(1, 400).withColumnRenamed("id", "doc_id").where(~toxicity.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).select(F.col("doc_id").alias("id")).collect()]
     labels = spark.createDataFrame([(i, int(k == len(ids) - 1)) for k, i in enumerate(ids)], "doc_id long, toxic int")
     rows = [(i, "word " * (2000 if k in (0, 5) else 10)) for k, i in enumerate(ids)]
-    sample = toxicity.sampled(spark.createDataFrame(rows, "doc_id long, text string"), labels, sample=50, sample_bytes=4000)
+    sample = toxicity.sampled(spark.createDataFrame(rows, "doc_id long, text string"), labels, sample=50, sample_bytes=4000).toPandas()
     # The 50 first of the plain label without the two that do not fit, and the one of the other.
     assert sorted(sample["toxic"]) == [0] * 48 + [1] and sum(map(len, sample["text"])) == 49 * 50
-    only = toxicity.sampled(spark.createDataFrame([(ids[-1], "word " * 2000), (ids[1], "word")], "doc_id long, text string"), labels, sample_bytes=4000)
+    only = toxicity.sampled(spark.createDataFrame([(ids[-1], "word " * 2000), (ids[1], "word")], "doc_id long, text string"), labels, sample_bytes=4000).toPandas()
     assert sorted(only["toxic"]) == [0, 1]
+
+
+def test_toxicity_fit_equals_a_plain_one(spark):
+    """The same likelihood, its slopes by hand for each sentence, the same steps."""
+    draw = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(30)] + ["nasty"]
+    rows = []
+    for i in range(60):
+        text = ". ".join(" ".join(draw.choice(words[:30], 5)) for _ in range(3))
+        rows.append((i, int(i % 3 == 0), (text + (". nasty w1 nasty" if i % 3 == 0 and i % 9 else "")).encode()))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, toxic int, text binary").repartition(3), features=6, rounds=40)
+    docs = [([[n for w in s for n in toxicity.features_of(w)] for s in toxicity.sentence_words(t)], y) for _, y, t in rows]
+    rate, gaps = sum(y for _, y in docs) / len(docs), {}
+    for number in {n for d, _ in docs for s in d for n in s}:
+        inside = [y for d, y in docs if any(number in s for s in d)]
+        df, bad = len(inside), sum(inside)
+        if df >= 2:
+            gaps[number] = abs(bad - df * rate) / np.sqrt(df * rate * (1 - rate) * (1 - df / (len(docs) + 1)) + 1)
+    chosen = [n for n in sorted(gaps, key=lambda n: (-gaps[n], n))[:6] if gaps[n] >= 2.5]
+    assert set(model.weights) == set(chosen) and chosen
+    point, first, second = np.append(np.zeros(len(chosen)), -7.0), 0, 0
+    for step in range(1, 41):
+        slopes = np.append(1e-4 * point[:-1], 0.0)
+        for sentences, toxic in docs:
+            counts = [np.array([s.count(n) for n in chosen] + [1.0]) for s in sentences]
+            chance = [1 / (1 + np.exp(-c @ point)) for c in counts]
+            clean = min(np.prod([1 - p for p in chance]), np.exp(-1e-6))
+            for c, p in zip(counts, chance):
+                slopes += c * p * (-clean / (1 - clean) if toxic else 1.0) / len(docs)
+        first, second = 0.9 * first + 0.1 * slopes, 0.99 * second + 0.01 * slopes**2
+        point = point - 0.15 / (1 + step / 100) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+    assert model.bias == pytest.approx(point[-1], abs=1e-6)
+    assert [model.weights[n] for n in chosen] == pytest.approx(point[:-1].tolist(), abs=1e-6)
