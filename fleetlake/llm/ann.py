@@ -4,8 +4,9 @@ Method. Vectors are partitioned into cells around centres. A vector's difference
 a random orthogonal matrix and stored as the signs of the result, packed into bits, with two
 correction scalars: the difference's length, and its inner product with its own code. The rotated query is
 quantised to no bits at all; bits and scalars give an unbiased estimate of the inner product, and
-the scalars a bound on its error that holds with high probability. A vector is reranked on its original components, in
-double precision, if its upper bound reaches the k-th best exact value so far; no other rerank is cut.
+the scalars a bound on its error that holds with high probability. A block of vectors is estimated for a block of
+queries at once. A vector is reranked on its original components, in double precision, if its upper bound reaches the
+k-th best exact value among the most promising ones of its block; no other rerank is cut.
 
 Index. Centres are fitted on at most ``SAMPLE`` vectors, the smallest by a hash of the id; every vector is
 indexed. How many cells a query probes is calibrated on ``PROBED`` sample queries: the fewest that hold at
@@ -17,9 +18,11 @@ about ``BLOCK`` entries and the queries that probe a cell into blocks of ``QUERI
 block of each. Best lists per block are merged by Spark's limit per group, which runs before
 its shuffle.
 
-Rows: vectors that are null, of another length than the first by vec_id, all zero, or with a null or
-non-finite component take no part, as do null ids. Rows that repeat an id and vector are one; ids must
-not repeat with different vectors. Ties go to the smaller vec_id. An empty table gives an empty result.
+Every twentieth row is a query and a query probes a share of the cells that the data's own spread sets, so where vectors
+lie evenly in all directions, comparisons grow as rows times queries; only their cost is kept low.
+
+Rows: vectors that are null, of another length than most (of equally frequent lengths the smallest), all zero, or with a null or
+non-finite component take no part, as do null ids. Of several vectors of one id the smallest in byte order counts. Ties go to the smaller vec_id. An empty table gives an empty result.
 Only vec_id and embedding are read.
 """
 
@@ -100,12 +103,13 @@ class Index:
         """The codes' bits as 1 and -1."""
         return np.unpackbits(codes, axis=1, count=self.size).astype(np.float32) * 2 - 1
 
-    def bounds(self, signs, length, own, query, centre):
-        """Upper bounds of the inner products of a query with encoded vectors of one cell."""
-        turned = query @ self.turn
-        estimate = (signs @ turned.astype(np.float32)) / np.sqrt(self.size) / own
-        error = ERRORS * np.sqrt(np.maximum(0, 1 - own**2)) / own * np.linalg.norm(query) / np.sqrt(max(1, self.size - 1))
-        return float(centre @ query) + length * (estimate + error)
+    def bounds(self, signs, length, own, queries, centre):
+        """Upper bounds of the inner products of encoded vectors of one cell (rows) with queries (columns)."""
+        turned = (queries @ self.turn).astype(np.float32)
+        estimate = (signs @ turned.T) / (np.sqrt(self.size) * own).astype(np.float32)[:, None]
+        spread = ERRORS * np.sqrt(np.maximum(0, 1 - own**2)) / own / np.sqrt(max(1, self.size - 1))
+        error = spread.astype(np.float32)[:, None] * np.linalg.norm(queries, axis=1).astype(np.float32)
+        return (queries @ centre).astype(np.float32) + length.astype(np.float32)[:, None] * (estimate + error)
 
 
 def usable(embeddings):
@@ -115,8 +119,9 @@ def usable(embeddings):
     finite = F.forall("vector", lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(x))
     some = F.exists("vector", lambda x: x != 0)
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite & some)
-    first = rows.agg(F.min_by(F.size("vector"), "vec_id").alias("size")).first()["size"]
-    return rows.where(F.size("vector") == (first or 0)), first
+    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
+    usual = sizes["size"] if sizes else 0
+    return rows.where(F.size("vector") == usual), usual
 
 
 def packed_vector(rows):
@@ -141,9 +146,9 @@ def nearest(embeddings, queries, k=20):
     rows, size = usable(embeddings)
     if not size:
         return spark.createDataFrame([], schema)
-    rows = stored(packed_vector(rows), "vectors")
+    rows = stored(packed_vector(rows).groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
     few = W.partitionBy("vector").orderBy("vec_id")
-    ids = rows.distinct().withColumn("place", F.row_number().over(few)).where(F.col("place") <= k + 1)
+    ids = rows.withColumn("place", F.row_number().over(few)).where(F.col("place") <= k + 1)
     entries = stored(ids.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "entries")
     # At most SAMPLE vectors reach the driver.
     sample = entries.orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).select("vector").toPandas()
@@ -168,7 +173,7 @@ def nearest(embeddings, queries, k=20):
             yield pd.DataFrame({"query_id": batch["vec_id"], "query": batch["vector"], "cells": cells})
 
     coded = stored(entries.mapInPandas(assign, "cell int, vector binary, ids array<long>, code binary, length double, own double"), "codes")
-    asked = rows.where(queries).distinct().mapInPandas(probe, "query_id long, query binary, cells array<int>")
+    asked = rows.where(queries).mapInPandas(probe, "query_id long, query binary, cells array<int>")
     asked = stored(asked.select("query_id", "query", F.explode("cells").alias("cell")), "probes")
     blocks = coded.groupBy("cell").agg(F.ceil(F.count("length") / BLOCK).alias("blocks"))
     groups = asked.groupBy("cell").agg(F.ceil(F.count("query_id") / QUERIES).alias("groups"))
@@ -199,11 +204,12 @@ def nearest(embeddings, queries, k=20):
             vectors = np.stack([np.frombuffer(v, "<f8") for v in held["vector"]])
             signs = found.signs(np.stack([np.frombuffer(c, np.uint8) for c in held["code"]]))
             length, own = held["length"].to_numpy(float), held["own"].to_numpy(float)
-            ids = held["ids"].tolist()
-            for query_id, v in zip(asks["query_id"].astype("int64"), asks["vector"]):
-                query = np.frombuffer(v, "<f8")
-                for score, vec_id in best_of(found, centre, vectors, signs, length, own, ids, query, query_id, k):
-                    out.append((query_id, vec_id, score))
+            query_ids = asks["query_id"].astype("int64").tolist()
+            wanted = np.stack([np.frombuffer(v, "<f8") for v in asks["vector"]])
+            for start in range(0, len(wanted), QUERIES):
+                some = slice(start, start + QUERIES)
+                upper = found.bounds(signs, length, own, wanted[some], centre)
+                out += best_of(upper, vectors, held["ids"].tolist(), wanted[some], query_ids[some], k)
             if len(out) > 20_000:
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
                 out = []
@@ -215,20 +221,40 @@ def nearest(embeddings, queries, k=20):
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def best_of(index, centre, vectors, signs, length, own, ids, query, query_id, k):
-    """The k best (score, id) of a block for one query.
+def pair_products(vectors, queries, rows, columns):
+    """Inner products of pairs of rows, some at a time."""
+    found = np.empty(len(rows))
+    for start in range(0, len(rows), 50_000):
+        part = slice(start, start + 50_000)
+        found[part] = inner(vectors[rows[part]], queries[columns[part]])
+    return found
+
+
+def best_of(upper, vectors, ids, queries, query_ids, k):
+    """The k best (query, id, score) of a block for each query.
 
-    Vectors are reranked by falling upper bound, some at a time, until no bound left reaches the
-    k-th best exact score.
+    The exact products of those with the highest upper bounds set what a query's k-th best is at least; every
+    vector whose bound reaches that is reranked.
     """
-    upper = index.bounds(signs, length, own, query, centre)
-    order = np.argsort(-upper, kind="stable")
-    best = []
-    for start in range(0, len(order), 64):
-        some = order[start:start + 64]
-        if len(best) >= k and upper[some[0]] < best[k - 1][0]:
-            break
-        for at, score in zip(some.tolist(), inner(vectors[some], query).tolist()):
-            best += [(score, i) for i in ids[at] if i != query_id]
-        best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-    return best
+    n, m = upper.shape
+    holder = {i: row for row, each in enumerate(ids) for i in each}
+    alone = {c: holder[q] for c, q in enumerate(query_ids) if q in holder and len(ids[holder[q]]) == 1}
+    least = np.full(m, -np.inf)
+    if n > k:
+        top = np.argpartition(-upper, k, axis=0)[:k + 1]
+        columns = np.tile(np.arange(m), (k + 1, 1))
+        exact = pair_products(vectors, queries, top.ravel(), columns.ravel()).reshape(top.shape)
+        for c, row in alone.items():  # a query is no candidate of its own
+            exact[top[:, c] == row, c] = -np.inf
+        least = np.partition(exact, 1, axis=0)[1]
+    rows, columns = np.nonzero(upper >= least)
+    scores = pair_products(vectors, queries, rows, columns)
+    good = scores >= least[columns]
+    rows, columns, scores = rows[good], columns[good], scores[good]
+    order = np.lexsort((-scores, columns))
+    rows, columns, scores = rows[order].tolist(), columns[order], scores[order].tolist()
+    found, cuts = [], np.searchsorted(columns, np.arange(m + 1)).tolist()
+    for c, query_id in enumerate(query_ids):
+        best = [(-scores[at], i) for at in range(cuts[c], cuts[c + 1]) for i in ids[rows[at]] if i != query_id]
+        found += [(query_id, i, -score) for score, i in sorted(best)[:k]]
+    return found

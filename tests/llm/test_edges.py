@@ -173,6 +173,25 @@ def test_neighbours(spark):
         assert [(r, i, -s) for r, i, s in sorted(got)] == [(k + 1, i, s) for k, (s, i) in enumerate(best)]
     assert ann.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).collect() == []
     assert len(ann.nearest(frame.where("vec_id in (0, 1, 2)"), F.col("vec_id") == 0).collect()) == 2
+    short = spark.createDataFrame([(-5, [1.0]), (3, [9.0, 9.0, 9.0])], "vec_id long, embedding array<float>")  # before all others; a second vector of an id
+    again = ann.nearest(frame.select("vec_id", "embedding").union(short), F.col("vec_id") % 20 == 0, 5).collect()
+    assert {r.query_id for r in again} == {0, 20, 40} and -5 not in {r.vec_id for r in again}
+
+
+def test_neighbours_recall(spark):
+    """At the largest test size, against all inner products."""
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = frame.collect()
+    ids, matrix = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    found = {}
+    for r in ann.nearest(frame, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    right = 0
+    for query in ids[ids % 20 == 0]:
+        scores = (matrix * matrix[ids == query]).sum(axis=1)
+        order = [int(ids[k]) for k in np.lexsort((ids, -scores)) if ids[k] != query][:20]
+        right += len(found[int(query)].intersection(order))
+    assert right >= 0.95 * 20 * len(found)
 
 
 def test_licenses(docs, nothing, spark):
