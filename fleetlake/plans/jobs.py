@@ -14,6 +14,7 @@ from fleetlake.operators.counts import counted, throughput
 from fleetlake.operators.dedup import first_wins
 from fleetlake.operators.features import mutual_information, pca_loadings, top_k
 from fleetlake.operators.filters import cutoff, guard_empty, only_split, recent, with_reason
+from fleetlake.operators.neighbours import neighbour_information
 from fleetlake.schema import ARRIVAL, FEATURE_NAMES, KEY
 from fleetlake.session import scratch
 from fleetlake.sinks.export import export, export_path
@@ -126,11 +127,13 @@ def timed_load(samples, load):
 
 
 def rank_features(samples, method="information", label="label", bins=10, k=10):
-    """The ``k`` most telling metrics, by mutual information with the label or by ``component``
-    (their share in the first principal component)."""
+    """The ``k`` most telling metrics, by mutual information with the label, from bins or from nearest ``neighbours``, or by
+    ``component`` (their share in the first principal component)."""
     named = rename_features(fill_missing(samples))
     if method == "information":
         return top_k(mutual_information(named, FEATURE_NAMES, label, bins), "mi", k, tie=["feature"])
+    if method == "neighbours":
+        return top_k(neighbour_information(named, FEATURE_NAMES, label), "mi", k, tie=["feature"])
     if method == "component":
         return top_k(pca_loadings(named, FEATURE_NAMES), "importance", k, tie=["feature"])
     raise ValueError(f"unknown method: {method!r}")

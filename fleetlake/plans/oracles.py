@@ -151,6 +151,35 @@ _NAMES, _VALUES = f"UNNEST([{_listed(FEATURES)}])", f"UNNEST([{', '.join(FEATURE
 _LABELLED = f"SELECT label, {_NAMES} AS feature, {_VALUES} AS x FROM t"
 _TRAIN_STORED = f"WITH {T} SELECT {_STORED} FROM t WHERE split = 'train'"
 
+def _neighbours(source, k=3):
+    """Mutual information by the ``k`` nearest rows of a label, of rows ``(feature, x, label)``."""
+    return f"""source AS ({source}),
+cells AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY feature, label ORDER BY x) AS i FROM (
+  SELECT feature, label, x, count(*) AS n, sum(count(*)) OVER (PARTITION BY feature, label) AS of_label FROM source GROUP BY feature, label, x)
+  WHERE of_label > 1),
+offs AS (SELECT unnest(range(-{k}, {k + 1})) AS off),
+around AS MATERIALIZED (SELECT c.feature, c.label, c.x, c.n, o.x AS ox, abs(o.x - c.x) AS d,
+    coalesce(sum(o.n) OVER (PARTITION BY c.feature, c.label, c.x ORDER BY abs(o.x - c.x), o.x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + c.n - 1 AS seen
+  FROM (SELECT *, i + off AS j FROM cells, offs WHERE off <> 0) c JOIN cells o ON o.feature = c.feature AND o.label = c.label AND o.i = c.j),
+radii AS (SELECT c.feature, c.label, c.x, c.n, c.of_label, coalesce(max(a.d) FILTER (a.seen < {k}), 0) AS r
+  FROM cells c LEFT JOIN around a ON a.feature = c.feature AND a.label = c.label AND a.x = c.x GROUP BY ALL),
+spans AS MATERIALIZED (SELECT r.feature, r.label, r.x, r.n, r.of_label, r.r,
+    CASE WHEN r.r = 0 THEN r.x ELSE coalesce(max(a.ox) FILTER (a.d = r.r AND a.ox < a.x), r.x - r.r) END AS low,
+    CASE WHEN r.r = 0 THEN r.x ELSE coalesce(min(a.ox) FILTER (a.d = r.r AND a.ox > a.x), r.x + r.r) END AS high
+  FROM radii r LEFT JOIN around a ON a.feature = r.feature AND a.label = r.label AND a.x = r.x
+  GROUP BY r.feature, r.label, r.x, r.n, r.of_label, r.r),
+below AS MATERIALIZED (SELECT feature, x AS v, sum(sum(n)) OVER (PARTITION BY feature ORDER BY x) AS upto, sum(n) AS here FROM cells GROUP BY feature, x),
+lows AS (SELECT s.*, coalesce(b.upto, 0) AS to_low FROM spans s ASOF LEFT JOIN below b ON s.feature = b.feature AND s.low >= b.v),
+both_ends AS (SELECT s.*, b.upto AS to_high FROM lows s ASOF LEFT JOIN below b ON s.feature = b.feature AND s.high > b.v),
+within AS (SELECT s.*, CASE WHEN r = 0 THEN b.here ELSE to_high - to_low END AS m FROM both_ends s JOIN below b ON s.feature = b.feature AND s.x = b.v),
+psi AS MATERIALIZED (SELECT i, -0.57721566490153286::DOUBLE + coalesce(sum(1.0::DOUBLE / i) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p
+  FROM (SELECT unnest(range(1, (SELECT count(*) + 2 FROM source))) AS i)),
+totals AS (SELECT feature, sum(n) AS whole FROM cells GROUP BY feature),
+information AS (SELECT feature, greatest(0.0::DOUBLE, max(pn.p) + sum(n * (pk.p - pl.p - pm.p)) / max(whole)) AS mi
+  FROM within JOIN totals USING (feature) JOIN psi pn ON pn.i = whole JOIN psi pm ON pm.i = m
+  JOIN psi pl ON pl.i = of_label JOIN psi pk ON pk.i = least({k}, of_label - 1) GROUP BY feature)"""
+
+
 def _component(source, k=10):
     """Absolute loadings in the first principal component of rows ``(id, feature, x)``: the covariance matrix,
     squared and normalised 20 times, leaves that component in each column."""
@@ -267,6 +296,9 @@ UNION ALL SELECT 'under_replicated', topic, total FROM replicas WHERE total > 0"
         "SELECT 'd' || (generate_subscripts(embedding, 1) - 1) AS feature, CAST(unnest(embedding) AS DOUBLE) AS x, label FROM embeddings", 4
     )
     + " SELECT feature, round(mi, 9) AS mi FROM information",
+    "neighbour_information": "WITH "
+    + _neighbours("SELECT 'd' || (generate_subscripts(embedding, 1) - 1) AS feature, CAST(unnest(embedding) AS DOUBLE) AS x, label FROM embeddings")
+    + " SELECT feature, round(mi, 9) AS mi FROM information",
     "topk_features": f"""WITH {T}, means AS (SELECT machine, avg(col_0) AS mean FROM t GROUP BY machine)
 SELECT machine, round(mean, 6) AS mean FROM means ORDER BY means.mean DESC, machine LIMIT 10""",
     "file_order": f"""WITH {T} SELECT machine, tick, event_id FROM t
@@ -299,5 +331,10 @@ FROM firsts WHERE split = 'train'""",
     + _information(_LABELLED, 10)
     + f", named(col, feature_name) AS (VALUES {', '.join(f'({c!r}, {n!r})' for c, n in NAME_OF.items())})"
     + """ SELECT feature_name AS feature, round(mi, 9) AS mi FROM information JOIN named ON feature = col
+ORDER BY information.mi DESC, feature_name LIMIT 10""",
+    "job_feature_rank_neighbours": f"WITH {T}, "
+    + _neighbours(_LABELLED)
+    + f", named(col, feature_name) AS (VALUES {', '.join(f'({c!r}, {n!r})' for c, n in NAME_OF.items())})"
+    + """ SELECT feature_name AS feature, round(mi, 9) AS mi FROM information JOIN named ON feature = col
 ORDER BY information.mi DESC, feature_name LIMIT 10""",
 }

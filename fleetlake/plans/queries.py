@@ -10,6 +10,7 @@ from fleetlake.functions import catalog, decode, shape
 from fleetlake.operators import counts, features, filters, merge, metrics
 from fleetlake.operators import steps as grids
 from fleetlake.operators.dedup import first_wins
+from fleetlake.operators.neighbours import neighbour_information as near_information
 from fleetlake.plans import adapter, jobs
 from fleetlake.schema import ARRIVAL, FEATURES, KEY, message_fields
 from fleetlake.session import scratch
@@ -659,6 +660,12 @@ def mutual_information(spark, sf_dir):
     return features.mutual_information(rows, names, bins=4).withColumn("mi", F.round("mi", 9))
 
 
+@query
+def neighbour_information(spark, sf_dir):
+    names, rows = _embeddings(spark, sf_dir)
+    return near_information(rows, names).withColumn("mi", F.round("mi", 9))
+
+
 @query
 def topk_features(spark, sf_dir):
     means = adapter.samples(spark, sf_dir).groupBy("machine").agg(F.avg("col_0").alias("mean"))
@@ -860,6 +867,12 @@ def job_feature_rank(spark, sf_dir):
     return information.withColumn("mi", F.round("mi", 9))
 
 
+@query
+def job_feature_rank_neighbours(spark, sf_dir):
+    information = jobs.rank_features(adapter.samples(spark, sf_dir), "neighbours")
+    return information.withColumn("mi", F.round("mi", 9))
+
+
 @query
 def job_feature_rank_component(spark, sf_dir):
     ranked = jobs.rank_features(adapter.samples(spark, sf_dir), "component")
