@@ -92,6 +92,11 @@ def export_split(stored, base, as_of, days=1, split="train", fmt="csv"):
     return export(only_split(recent(stored, as_of, days), split), export_path(base, as_of), fmt)
 
 
+def publish_split(stored, publication, as_of, days=1, split="train", **publish):
+    """The same, published whole under the name of the split and ``as_of``; a run that is repeated writes nothing again."""
+    return publication.publish(only_split(recent(stored, as_of, days), split), f"{split}-{as_of}-{days}", **publish)
+
+
 def csv_to_topic(samples, topic, as_of, **envelope_options):
     """Samples read from files, stamped, encoded and sent to a topic in reading order, after what it holds."""
     rows = stamp_send_time(samples, as_of)

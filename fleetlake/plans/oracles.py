@@ -209,6 +209,7 @@ ORACLES = {
     "scan_csv_test": f"WITH {T} SELECT machine, tick, label, col_0 FROM t WHERE split = 'test'",
     "scan_csv_by_name": f"WITH {T} SELECT machine, tick, label, col_0, col_37 FROM t WHERE split = 'test'",
     "scan_table_query": f"WITH {T} SELECT machine, tick, split, col_0 FROM t WHERE split = 'train' AND col_0 >= 10",
+    "scan_table_ranges": f"WITH {T} SELECT {_STORED} FROM t",
     "scan_table": f"WITH {T} SELECT {_STORED} FROM t",
     "scan_table_pushdown": f"{_TRAIN_STORED} AND send_ts >= {CUT}",
     "scan_metric_samples": f"WITH {M} SELECT ts, metric, topic, part, consumergroup, value FROM m",
@@ -226,6 +227,8 @@ FROM counted LEFT JOIN (SELECT machine, tick, split FROM early) e USING (machine
 WHERE n > 1 OR e.machine IS NOT NULL""",
     "ensure_table_idempotent": f"WITH {T}, {EARLY} SELECT count(*) AS n FROM early",
     "sink_topic_envelope": f"WITH {T} SELECT 'telemetry' AS topic, event_id AS \"offset\", machine || '-' || split AS msg_key, send_text FROM t",
+    "export_published": f"WITH {T} SELECT {_STORED}, label FROM t WHERE split = 'train'",
+    "export_published_csv": f"WITH {T} SELECT {_STORED}, label FROM t WHERE split = 'train'",
     "export_csv_roundtrip": f"WITH {T} SELECT {_STORED}, label FROM t WHERE split = 'train'",
     "export_parquet_roundtrip": f"WITH {T} SELECT {_STORED}, label FROM t WHERE split = 'train'",
     "preview_topn": f"WITH {T} SELECT machine, tick, split, event_id FROM t ORDER BY machine, tick, split, event_id LIMIT 10",

@@ -15,6 +15,7 @@ from fleetlake.plans import adapter, jobs
 from fleetlake.schema import ARRIVAL, FEATURES, KEY, message_fields
 from fleetlake.session import scratch
 from fleetlake.sinks import export as exports
+from fleetlake.sinks.published import Publication
 from fleetlake.sinks.runs import RunTable
 from fleetlake.sinks.table import KeyedTable
 from fleetlake.sources import files, jdbc
@@ -166,6 +167,14 @@ def scan_table(spark, sf_dir):
     return _stored(table)
 
 
+@query
+def scan_table_ranges(spark, sf_dir):
+    """A table read in ranges of its send time (S6, S7): every row in one range only."""
+    table = _table(spark, "ranged")
+    table.append(_samples(spark, sf_dir))
+    return jdbc.read_table_ranges(table, "send_timestamp", 8).select(*_keys(), _sent(), "col_0")
+
+
 @query
 def scan_table_pushdown(spark, sf_dir):
     table = _table(spark, "pushed")
@@ -277,6 +286,26 @@ def _exported(spark, sf_dir, fmt):
     return exports.read_export(spark, path, fmt).select(*_keys(), _sent(), "label", "col_0")
 
 
+def _published(spark, sf_dir, fmt):
+    """The earlier load's export, then that of all train samples, which is the one that is read."""
+    publication = Publication(spark, scratch(spark, f"published-{fmt}"), fmt)
+    whole = filters.only_split(_samples(spark, sf_dir))
+    publication.publish(adapter.earlier(whole), "earlier", max_rows=2000)
+    publication.publish(whole, "all", max_rows=2000)
+    publication.expire()
+    return publication.read().select(*_keys(), _sent(), "label", "col_0")
+
+
+@query
+def export_published(spark, sf_dir):
+    return _published(spark, sf_dir, "parquet")
+
+
+@query
+def export_published_csv(spark, sf_dir):
+    return _published(spark, sf_dir, "csv")
+
+
 @query
 def export_csv_roundtrip(spark, sf_dir):
     return _exported(spark, sf_dir, "csv")

@@ -125,6 +125,12 @@ def list_folder(spark, path):
     return [item.getPath().getName() for item in files.listStatus(folder)]
 
 
+def file_sizes(spark, path):
+    """Bytes of each file of a folder, by name."""
+    files, folder = _files(spark, path)
+    return {item.getPath().getName(): item.getLen() for item in files.listStatus(folder) if item.isFile()}
+
+
 def broadcast_limit(spark):
     """Largest side, in bytes, that this library broadcasts after measuring it."""
     return max(0, spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

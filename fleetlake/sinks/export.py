@@ -14,15 +14,17 @@ def export_path(base, as_of):
     return f"{base}/export_{as_of:%Y%m%d_%H%M%S}"
 
 
-def export(df, path, fmt="csv", rebalance=False):
+def export(df, path, fmt="csv", rebalance=False, max_rows=None):
     """Write a directory of CSV (with header) or Parquet files, replacing what is there.
 
     ``rebalance`` evens out file sizes with one more shuffle; worth it when a filter
-    left little of many scan tasks.
+    left little of many scan tasks. No file has more than ``max_rows`` rows.
     """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown export format: {fmt!r}")
     writer = (df.hint("rebalance") if rebalance else df).write.mode("overwrite")
+    if max_rows:
+        writer = writer.option("maxRecordsPerFile", max_rows)
     if fmt == "csv":
         writer.option("header", True).option("timestampFormat", CSV_TIMES).csv(path)
     else:
@@ -31,11 +33,11 @@ def export(df, path, fmt="csv", rebalance=False):
 
 
 def read_export(spark, path, fmt="csv", schema=TABLE_SCHEMA):
-    """An export read back."""
+    """An export read back: its directory, or a list of its files."""
     reader = spark.read.schema(schema)
     if fmt == "csv":
         return reader.option("header", True).option("timestampFormat", CSV_TIMES).csv(path)
-    return reader.parquet(path)
+    return reader.parquet(*path if isinstance(path, list) else [path])
 
 
 def preview(df, n=10, order=()):
