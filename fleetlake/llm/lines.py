@@ -1,20 +1,24 @@
 """Repeated passages by content-defined chunks of lines, in Spark expressions only.
 
-Method. A text is cut into lines, and each line is hashed. A rolling hash over the hashes of two
-neighbouring lines decides whether a chunk ends after the second, so a boundary depends on the lines
-around it alone and moves with them: a passage copied into another text is cut at the same places there.
-A line of more than ``LONG_LINE`` words is a passage by itself and has a boundary on either side. Chunks
-that occur more than once in the corpus, whether in other documents or in the same, are compared byte by
-byte; the first occurrence by (doc_id, place) stays, the others go. A chunk goes if it has two lines or
-more, or is one such long line. Shorter single lines stay, however often they occur.
+Method. A text is cut into lines that are not blank; blank lines belong to the line before them and are not
+compared. Each line is hashed. A rolling hash over the hashes of two neighbouring lines decides whether a chunk
+ends after the second, so a boundary depends on the lines around it alone and moves with them: a passage copied
+into another text is cut at the same places there. Such chunks miss the ends of a copied passage, and its chunks
+of one line say little alone. So content also bounds chunks that overlap: from each line on, and back from each
+line, the fewest lines that hold more than ``PASSAGE`` words. Whatever run of more words than that two places
+share, these chunks of it cover all its lines. Chunks of several lines, and single lines of more than ``PASSAGE``
+words, that occur more than once in the corpus, in other documents or in the same, are compared byte by byte. The
+first occurrence by (doc_id, line) stays, the lines of the others go. Single lines outside such runs stay, however
+often they occur.
 
 Scale. Texts are cut once and the chunks stored. What is shuffled to find repeats is a hash and
 two places per chunk, combined per task first, so a passage in a third of all texts costs a row per
-task; so does the comparison, which groups by the chunk's text. Texts are shuffled once, to drop chunks from them.
-Joins with what grows with the corpus are merge joins at every size.
+task; so does the comparison, which groups by the chunk's text and meets repeated chunks alone. Texts are
+shuffled once, to drop lines from them. A line is stored once for each of its chunks: three to five times if lines are
+long, up to twice the words of a passage if each is a word. Joins with what grows with the corpus are merge joins at every size.
 
 Rows: a null text stays null and an empty one empty; neither has lines. A null doc_id takes no part
-and its row is returned as it is. Rows that repeat a document lose the same chunks. A text that
+and its row is returned as it is. Rows that repeat a document lose the same lines. A text that
 loses all its lines is empty. An empty table gives an empty result. Only doc_id and text are
 read; other columns are passed on whatever their names.
 """
@@ -23,9 +27,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm.common import stored
 
-LONG_LINE, DIVISOR = 50, 2
-#: An escape and a mark that escaped text cannot hold: between two chunks of one text.
-_ESCAPE, _ESCAPED, _MARK = "\x01", "\x01\x02", "\x01\x01"
+PASSAGE, DIVISOR = 50, 2
 
 
 def line_hash(line):
@@ -33,46 +35,58 @@ def line_hash(line):
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def long_line(line):
-    """Whether a line has more than LONG_LINE words."""
-    return F.rlike(line, F.lit(rf"^\s*+(?:\S++\s++){{{LONG_LINE}}}\S"))
+def cut_lines(text):
+    """The lines of a text that are not blank, each with the blank lines behind it; blank lines at the very start are one more."""
+    return F.split(text, r"\n(?=[^\n]*\S)")
 
 
-def with_chunks(frame, name, divisor=DIVISOR, text="text"):
-    """``frame`` with a column ``name``: the chunks of ``text`` as an array; lines in a chunk stay joined by line ends.
+def _range(start, end):
+    return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"))
+
+
+def with_chunks(frame, divisor=DIVISOR):
+    """``frame`` with ``lines``, those of ``text``, and ``chunks``, the first and last line of each chunk to compare.
 
     A chunk ends after line i where (hash of line i + 31 * hash of line i - 1), shifted by 3 bits, is a
-    multiple of the divisor (the line before the first has hash 0), and before and after a long line.
+    multiple of the divisor (the line before the first has hash 0). For chunks that overlap, an array holds
+    the line of each word; what lies ``PASSAGE`` words on is looked up there, so a text of n words costs n steps.
     The steps are columns of their own, so each is computed once.
     """
-    lines, facts, marked = f"{name}_lines", f"{name}_facts", f"{name}_marked"
-    frame = frame.withColumn(lines, F.split(F.replace(text, F.lit(_ESCAPE), F.lit(_ESCAPED)), "\n"))
-    # One number a line: its hash, doubled, plus 1 if it is long.
-    frame = frame.withColumn(facts, F.transform(lines, lambda x: line_hash(x) * 2 + long_line(x).cast("long")))
+    frame = frame.withColumn("lines", F.transform(cut_lines("text"), lambda x: F.substring_index(x, "\n", 1)))
+    frame = frame.withColumn("hashes", F.transform("lines", line_hash))
+    last = F.size("lines") - 1
+
+    def ended(i):
+        rolled = F.shiftright(F.get("hashes", i) + 31 * F.coalesce(F.get("hashes", i - 1), F.lit(0).cast("long")), 3)
+        return (rolled % divisor == 0) | (i == last)
 
-    def ended(line, i):
-        now, before, after = (F.coalesce(F.get(facts, i + k), F.lit(0).cast("long")) for k in (0, -1, 1))
-        rolled = F.shiftright(F.shiftright(now, 1) + 31 * F.shiftright(before, 1), 3)
-        end = (rolled % divisor == 0) | (now % 2 == 1) | (after % 2 == 1)
-        last = i == F.size(facts) - 1
-        return F.concat(line, F.when(last, F.lit("")).when(end, F.lit(_MARK)).otherwise(F.lit("\n")))
+    frame = frame.withColumn("ends", F.filter(F.sequence(F.lit(0), last), ended))
+    cut = F.transform("ends", lambda e, k: _range(F.coalesce(F.get("ends", k - 1) + 1, F.lit(0)), e))
+    several = F.filter(cut, lambda c: c["start"] < c["end"])
 
-    frame = frame.withColumn(marked, F.array_join(F.transform(lines, ended), ""))
-    chunks = F.transform(F.split(marked, _MARK), lambda c: F.replace(c, F.lit(_ESCAPED), F.lit(_ESCAPE)))
-    return frame.withColumn(name, chunks).drop(lines, facts, marked)
+    frame = frame.withColumn("of_word", F.flatten(F.transform("lines", lambda x, i: F.array_repeat(i, F.regexp_count(x, F.lit(r"\S+"))))))
 
+    def other(k, j):
+        return ~F.get("of_word", k).eqNullSafe(F.get("of_word", j))
 
-def passage(chunk):
-    """Whether a chunk may be removed: several lines, or one long line."""
-    return F.contains(chunk, F.lit("\n")) | long_line(chunk)
+    # Words that begin a line, or are PASSAGE words before one that ends a line.
+    places = F.filter(
+        F.sequence(F.lit(0), F.size("of_word") - 1 - PASSAGE), lambda k: other(k, k - 1) | other(k + PASSAGE, k + PASSAGE + 1)
+    )
+    overlapping = F.transform(places, lambda k: _range(F.get("of_word", k), F.get("of_word", k + PASSAGE)))
+    frame = frame.withColumn("overlapping", F.when(F.size("of_word") > PASSAGE, overlapping))
+    chunks = F.array_union(several, F.coalesce("overlapping", F.filter(several, lambda c: F.lit(False))))
+    return frame.withColumn("chunks", chunks).drop("hashes", "ends", "of_word", "overlapping")
 
 
 def repeats(docs, divisor):
-    """(doc_id, drop): places of the chunks of each document that occurred before, compared byte by byte."""
+    """(doc_id, drop): lines of each document in chunks that occurred before, compared byte by byte."""
     whole = docs.select("doc_id", "text").where("doc_id is not null and text <> ''")
     # The outer form: for the inner one Spark would test the size first, below the columns that hold the steps.
-    places = with_chunks(whole, "chunks", divisor).select("doc_id", F.posexplode_outer("chunks").alias("place", "chunk"))
-    places = stored(places.where(passage(F.col("chunk"))).withColumn("key", F.xxhash64("chunk")), "chunks")
+    places = with_chunks(whole, divisor).select("doc_id", "lines", F.explode_outer("chunks").alias("place")).where("place is not null")
+    length = F.col("place.end") - F.col("place.start") + 1
+    places = places.select("doc_id", "place", F.array_join(F.slice("lines", F.col("place.start") + 1, length), "\n").alias("chunk"))
+    places = stored(places.withColumn("key", F.xxhash64("chunk")), "chunks")
     often = places.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("a"), F.max(F.struct("doc_id", "place")).alias("b"))
     often = stored(often.where("a <> b").select("key"), "repeated-keys")
     found = stored(places.join(often.hint("merge"), "key", "left_semi"), "repeated-chunks")
@@ -81,7 +95,8 @@ def repeats(docs, divisor):
     unlike = first.groupBy("key").agg(F.count("first").alias("texts"))
     first = first.join(unlike, "key").select("key", "first", F.when(F.col("texts") > 1, F.col("chunk")).alias("only"))
     later = found.join(first, "key").where("(only is null or only = chunk) and struct(doc_id, place) <> first")
-    return later.groupBy("doc_id").agg(F.collect_set("place").alias("drop"))
+    gone = later.select("doc_id", F.explode(F.sequence("place.start", "place.end")).alias("line"))
+    return gone.groupBy("doc_id").agg(F.collect_set("line").alias("drop"))
 
 
 def without_repeats(docs, divisor=DIVISOR):
@@ -89,8 +104,9 @@ def without_repeats(docs, divisor=DIVISOR):
     gone = stored(repeats(docs, divisor).select(F.col("doc_id").alias("_of"), F.col("drop").alias("_drop")), "repeats")
     inner = docs.select(docs["doc_id"].alias("_id"), docs["text"], F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("_rest"))
     joined = inner.join(gone.hint("merge"), F.col("_id") == F.col("_of"), "left")
-    # Only texts that lose something are cut into chunks again.
-    cut = with_chunks(joined.withColumn("_cut", F.when(F.col("_drop").isNotNull(), F.col("text"))), "_chunks", divisor, "_cut")
-    kept = F.array_join(F.filter("_chunks", lambda c, i: ~F.array_contains("_drop", i)), "\n")
+    # Only texts that lose something are cut into lines again.
+    cut = joined.withColumn("_lines", F.when(F.col("_drop").isNotNull() & (F.col("text") != ""), cut_lines("text")))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_drop")
+    kept = F.when(F.col("_lines").isNotNull(), F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n"))
     both = cut.select("_rest", F.coalesce(kept, "text").alias("text"))
     return both.select([F.col("text") if c == "text" else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns])

@@ -76,23 +76,36 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM written GROUP BY conv_id
 """
 
+# A line is joined to the nearest one that makes more than 50 words with it, ahead and back.
 LINE_DEDUP = r"""
 WITH parts AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
   FROM documents WHERE text <> ''
-), facts AS (
-  SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h, len(regexp_extract_all(line, '[^ \t\n\x0B\f\r]+')) > 50 AS long FROM parts
-), ends AS (
-  SELECT *, ((h + 31 * lag(h, 1, 0) OVER w) >> 3) % 2 = 0 OR long OR lead(long, 1, false) OVER w AS ended
-  FROM facts WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), counted AS (
+  SELECT *, len(regexp_extract_all(line, '[^ \t\n\x0B\f\r]+')) AS w FROM parts
+), numbered AS (
+  SELECT *, sum((w > 0)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS u FROM counted
+), units AS (
+  SELECT doc_id, u, string_agg(line, chr(10) ORDER BY i) AS unit, split_part(unit, chr(10), 1) AS line, sum(w) AS w FROM numbered GROUP BY 1, 2
+), hashed AS (
+  SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h, sum(w) OVER (PARTITION BY doc_id ORDER BY u) AS upto, upto - w AS before FROM units
+), ended AS (
+  SELECT *, ((h + 31 * lag(h, 1, 0) OVER (PARTITION BY doc_id ORDER BY u)) >> 3) % 2 = 0 AS boundary FROM hashed
 ), placed AS (
-  SELECT *, coalesce(sum(ended::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-  FROM ends
+  SELECT *, coalesce(sum(boundary::INT) OVER (PARTITION BY doc_id ORDER BY u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM ended
+), filled AS (SELECT doc_id, u, upto, before FROM hashed WHERE w > 0
 ), chunks AS (
-  SELECT doc_id, place, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) > 1 OR bool_or(long) AS passage FROM placed GROUP BY 1, 2
-), numbered AS (
-  SELECT *, CASE WHEN passage THEN row_number() OVER (PARTITION BY chunk, passage ORDER BY doc_id, place) ELSE 1 END AS nth FROM chunks
-), kept AS (SELECT doc_id, string_agg(chunk, chr(10) ORDER BY place) FILTER (nth = 1) AS text FROM numbered GROUP BY 1)
+  SELECT doc_id, min(u) AS a, max(u) AS z FROM placed GROUP BY doc_id, place HAVING count(*) > 1
+  UNION SELECT x.doc_id, x.u, y.u FROM filled x ASOF JOIN filled y ON x.doc_id = y.doc_id AND x.before + 51 <= y.upto
+  UNION SELECT y.doc_id, x.u, y.u FROM filled y ASOF JOIN filled x ON x.doc_id = y.doc_id AND y.upto - 51 >= x.before
+), texts AS (
+  SELECT c.doc_id, a, z, string_agg(line, chr(10) ORDER BY u) AS chunk FROM chunks c JOIN units p ON p.doc_id = c.doc_id AND u BETWEEN a AND z GROUP BY 1, 2, 3
+), later AS (
+  SELECT doc_id, a, z FROM texts QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY doc_id, a) > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(a::BIGINT, z::BIGINT + 1)) AS u FROM later
+), kept AS (
+  SELECT doc_id, string_agg(unit, chr(10) ORDER BY u) AS text FROM units ANTI JOIN gone USING (doc_id, u) GROUP BY 1
+)
 SELECT d.doc_id, CASE WHEN d.text <> '' THEN coalesce(kept.text, '') ELSE d.text END AS text FROM documents d LEFT JOIN kept USING (doc_id)
 """
 

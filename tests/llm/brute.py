@@ -44,33 +44,52 @@ def near_classes(rows, percent):
     return {i: root(i) for i in sets}
 
 
-def line_chunks(text):
-    lines = text.split("\n")
-    hashes = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-    long = [len(re.findall(r"[^ \t\n\x0B\f\r]+", x)) > 50 for x in lines]
-    chunks, now = [], []
-    for i, x in enumerate(lines):
-        now.append(x)
-        rolled = (hashes[i] + 31 * (hashes[i - 1] if i else 0)) >> 3
-        if rolled % 2 == 0 or long[i] or (i + 1 < len(lines) and long[i + 1]) or i + 1 == len(lines):
-            chunks.append(("\n".join(now), len(now) > 1 or any(long[i + 1 - len(now):i + 1])))
-            now = []
-    return chunks
+def cut_lines(text):
+    """Lines that are not blank with the blank ones behind them; blank ones at the start are one more."""
+    units = []
+    for line in text.split("\n"):
+        if not units or re.search(r"[^ \t\n\x0B\f\r]", line):
+            units.append([line])
+        else:
+            units[-1].append(line)
+    return [(u[0], "\n".join(u)) for u in units]
+
+
+def line_chunks(lines):
+    """(first, last) line of the chunks of several lines between boundaries."""
+    hashes = [0] + [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
+    start = 0
+    for i in range(len(lines)):
+        if (hashes[i + 1] + 31 * hashes[i] >> 3) % 2 == 0 or i + 1 == len(lines):
+            if i > start:
+                yield start, i
+            start = i + 1
 
 
 def without_repeats(rows):
-    """{doc_id: text} after repeated passages are cut."""
-    seen, out = {}, {}
-    for i, text in sorted(rows):
-        if not text:
-            out[i] = text
-            continue
-        kept = []
-        for place, (chunk, passage) in enumerate(line_chunks(text)):
-            if not passage or seen.setdefault(chunk, (i, place)) == (i, place):
-                kept.append(chunk)
-        out[i] = "\n".join(kept)
-    return out
+    """{doc_id: text} after repeated passages are cut: chunks of several lines, and any run of over 50 words, by comparing all places."""
+    cut = {i: cut_lines(text) for i, text in sorted(rows) if text}
+    bare = {i: [x for x, _ in units] for i, units in cut.items()}
+    gone, seen = {i: set() for i in cut}, {}
+    for i, lines in bare.items():
+        for a, b in line_chunks(lines):
+            if seen.setdefault(tuple(lines[a:b + 1]), (i, a)) != (i, a):
+                gone[i].update(range(a, b + 1))
+    places = [(i, a) for i, lines in bare.items() for a in range(len(lines))]
+    for n, (i, a) in enumerate(places):
+        for j, b in places[:n]:
+            if a and b and bare[i][a - 1] == bare[j][b - 1]:
+                continue
+            size = 0
+            while a + size < len(bare[i]) and b + size < len(bare[j]) and bare[i][a + size] == bare[j][b + size]:
+                size += 1
+            run = list(range(a, a + size))
+            while run and not bare[i][run[0]].strip():
+                run.pop(0)
+            if sum(len(re.findall(r"[^ \t\n\x0B\f\r]+", bare[i][k])) for k in run) > 50:
+                gone[i].update(run)
+    out = {i: text for i, text in rows if not text}
+    return out | {i: "\n".join(unit for k, (_, unit) in enumerate(units) if k not in gone[i]) for i, units in cut.items()}
 
 
 def contamination(text, items):

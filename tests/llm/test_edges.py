@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +75,33 @@ def test_lines(spark, docs, nothing):
     assert lines.without_repeats(nothing).collect() == []
 
 
+def test_lines_of_a_passage_in_short_lines_all_go(spark):
+    draw = random.Random(4)
+    line = lambda n=10: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    rows = []
+    for k, size in enumerate([6, 7, 10, 20] * 8):
+        passage = [line() for _ in range(size)]
+        rows += [(i, "\n".join([*(line() for _ in range(3)), *passage, *(line() for _ in range(2))])) for i in (2 * k, 2 * k + 1)]
+        rows[-1] = (rows[-1][0], rows[-1][1].replace("\n", "\n\n"))
+    found = {r.doc_id: r.text for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [len(found[i].split()) for i, _ in rows if i % 2] == [50] * 32
+    assert all(found[i] == text for i, text in rows if i % 2 == 0)
+    # A run of 50 words stays, one more word and it goes; single lines and the order of other lines do not matter.
+    first, second = line(25), line(25)
+    rows = [(1, f"{first}\n{second}"), (2, f"x\n{first}\ny\n{second}"), (3, f"{second} z"), (4, f"{line(51)}\nown"), (5, "\n  \nown\n\n")]
+    rows += [(6, rows[3][1].split("\n")[0] + "\n\n\nmine")]
+    found = {r.doc_id: r.text for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == dict(rows) | {6: "mine"}
+
+
+def test_lines_of_few_kinds_equal_the_comparison_of_all_places(spark):
+    draw = random.Random(9)
+    kinds = ["", " ", "a", "b c", "d " * 20, "e " * 30, "f " * 49 + "f", "g " * 51, "\x0c", "\u00a0 h"]
+    rows = [(i, "\n".join(draw.choices(kinds, k=draw.randrange(1, 14)))) for i in range(60)] + [(90, "a\n" * 300), (91, "a\nb c\n" * 90)]
+    found = {r.doc_id: r.text for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert found == brute.without_repeats(rows)
+
+
 def test_decontamination(spark, docs, nothing):
     items = [(1, PROSE), (2, "alpha beta"), (2, "alpha beta"), (3, ""), (4, None), (None, "seven eight nine"), (10, "word1x1 word2x2 word3x3")]
     frame = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
