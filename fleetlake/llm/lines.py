@@ -7,15 +7,15 @@ into another text is cut at the same places there. Such chunks miss the ends of
 of one line say little alone. So content also bounds chunks that overlap: from each line on, and back from each
 line, the fewest lines that hold more than ``PASSAGE`` words. Whatever run of more words than that two places
 share, these chunks of it cover all its lines. Chunks of several lines, and single lines of more than ``PASSAGE``
-words, that occur more than once in the corpus, in other documents or in the same, are compared byte by byte. The
-first occurrence by (doc_id, line) stays, the lines of the others go. Single lines outside such runs stay, however
-often they occur.
+words, that occur more than once in the corpus, in other documents or in the same, are found by hash. The first
+occurrence by (doc_id, line) stays, the lines of the others go once they are compared, byte by byte, with lines they
+repeat; a line whose bytes differ stays. Single lines outside such runs stay, however often they occur.
 
-Scale. Texts are cut once and the chunks stored. What is shuffled to find repeats is a hash and
-two places per chunk, combined per task first, so a passage in a third of all texts costs a row per
-task; so does the comparison, which groups by the chunk's text and meets repeated chunks alone. Texts are
-shuffled once, to drop lines from them. A line is stored once for each of its chunks: three to five times if lines are
-long, up to twice the words of a passage if each is a word. Joins with what grows with the corpus are merge joins at every size.
+Scale. What is stored and shuffled to find repeats is a hash and a range of lines per chunk, combined per task
+first, so a passage in a third of all texts costs a row per task. Texts are shuffled once, to the lines they lose
+and those that others lose for theirs; for the comparison such lines alone are, combined per task. A text of n words
+costs n steps; hashing reads a line once for each of its chunks, up to twice the words of a passage if each line is
+a word. Joins with what grows with the corpus are merge joins at every size.
 
 Rows: a null text stays null and an empty one empty; neither has lines. A null doc_id takes no part
 and its row is returned as it is. Rows that repeat a document lose the same lines. A text that
@@ -79,34 +79,58 @@ def with_chunks(frame, divisor=DIVISOR):
     return frame.withColumn("chunks", chunks).drop("hashes", "ends", "of_word", "overlapping")
 
 
+def passage_key(chunk):
+    """64 bits of a chunk's text."""
+    return F.xxhash64(chunk)
+
+
 def repeats(docs, divisor):
-    """(doc_id, drop): lines of each document in chunks that occurred before, compared byte by byte."""
+    """(doc_id, drop, want): per document its lines in chunks that occurred before, each with a line it repeats, and those lines where they stand."""
     whole = docs.select("doc_id", "text").where("doc_id is not null and text <> ''")
     # The outer form: for the inner one Spark would test the size first, below the columns that hold the steps.
-    places = with_chunks(whole, divisor).select("doc_id", "lines", F.explode_outer("chunks").alias("place")).where("place is not null")
-    length = F.col("place.end") - F.col("place.start") + 1
-    places = places.select("doc_id", "place", F.array_join(F.slice("lines", F.col("place.start") + 1, length), "\n").alias("chunk"))
-    places = stored(places.withColumn("key", F.xxhash64("chunk")), "chunks")
-    often = places.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("a"), F.max(F.struct("doc_id", "place")).alias("b"))
-    often = stored(often.where("a <> b").select("key"), "repeated-keys")
-    found = stored(places.join(often.hint("merge"), "key", "left_semi"), "repeated-chunks")
-    # Grouping by the text itself is the comparison of bytes: equal hashes of unlike chunks part here.
-    first = found.groupBy("key", "chunk").agg(F.min(F.struct("doc_id", "place")).alias("first"))
-    unlike = first.groupBy("key").agg(F.count("first").alias("texts"))
-    first = first.join(unlike, "key").select("key", "first", F.when(F.col("texts") > 1, F.col("chunk")).alias("only"))
-    later = found.join(first, "key").where("(only is null or only = chunk) and struct(doc_id, place) <> first")
-    gone = later.select("doc_id", F.explode(F.sequence("place.start", "place.end")).alias("line"))
-    return gone.groupBy("doc_id").agg(F.collect_set("line").alias("drop"))
+    places = with_chunks(whole, divisor).select("doc_id", "lines", F.explode_outer("chunks").alias("place"))
+    places = places.where("place is not null").select("doc_id", "lines", "place.start", "place.end")
+    chunk = F.array_join(F.slice("lines", F.col("start") + 1, F.col("end") - F.col("start") + 1), "\n")
+    places = stored(places.select("doc_id", "start", "end", passage_key(chunk).alias("key")), "chunks")
+    place = F.struct("doc_id", "start")
+    first = places.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
+    later = places.join(first.hint("merge"), "key").where(place != F.col("first"))
+    later = later.select("doc_id", "start", "first", F.explode(F.sequence("start", "end")).alias("line"))
+    of = F.struct(F.col("first.doc_id").alias("doc"), (F.col("line") - F.col("start") + F.col("first.start")).alias("line"))
+    found = stored(later.groupBy("doc_id", "line").agg(F.min(of).alias("of")), "repeated-lines")
+    want = found.select("of").distinct().select(F.col("of.doc").alias("doc_id"), F.col("of.line").alias("want"))
+    both = found.select("doc_id", F.struct("line", "of").alias("drop")).unionByName(want, allowMissingColumns=True)
+    return both.groupBy("doc_id").agg(F.collect_set("drop").alias("drop"), F.collect_set("want").alias("want"))
+
+
+def unlike(marked):
+    """(_id, _stay): lines whose bytes are not those of the line they are to repeat; no row, or hashes met by chance."""
+    text = cut_lines("text")
+    lines = marked.where("size(_drop) > 0 or size(_want) > 0").withColumn("_lines", F.transform(text, lambda x: F.substring_index(x, "\n", 1)))
+    own = F.transform("_drop", lambda d: F.struct(
+        d["of"].alias("of"), F.get("_lines", d["line"]).alias("bytes"), F.lit(False).alias("source"), d["line"].alias("line")))
+    source = F.transform("_want", lambda w: F.struct(
+        F.struct(F.col("_id").alias("doc"), w.alias("line")).alias("of"), F.get("_lines", w).alias("bytes"), F.lit(True).alias("source"), w.alias("line")))
+    lines = lines.select("_id", F.explode(F.concat(own, source)).alias("l")).select("_id", "l.*")
+    alone = stored(lines.groupBy("of", "bytes").agg(F.max("source").alias("like")).where("not like").drop("like"), "unlike")
+    if alone.isEmpty():
+        return None
+    stay = lines.where("not source").join(alone.hint("merge"), ["of", "bytes"], "left_semi")
+    return stay.groupBy("_id").agg(F.collect_set("line").alias("_stay"))
 
 
 def without_repeats(docs, divisor=DIVISOR):
     """The rows of ``docs``, with repeated passages cut out of ``text``; see the module's docstring."""
-    gone = stored(repeats(docs, divisor).select(F.col("doc_id").alias("_of"), F.col("drop").alias("_drop")), "repeats")
+    gone = repeats(docs, divisor).select(F.col("doc_id").alias("_of"), F.col("drop").alias("_drop"), F.col("want").alias("_want"))
     inner = docs.select(docs["doc_id"].alias("_id"), docs["text"], F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("_rest"))
-    joined = inner.join(gone.hint("merge"), F.col("_id") == F.col("_of"), "left")
+    marked = stored(inner.join(gone.hint("merge"), F.col("_id") == F.col("_of"), "left").drop("_of"), "marked")
+    drop, stay = F.transform("_drop", lambda d: d["line"]), unlike(marked)
+    if stay is not None:
+        marked = marked.join(stay.withColumnRenamed("_id", "_of").hint("merge"), F.col("_id") == F.col("_of"), "left")
+        drop = F.when(F.col("_stay").isNull(), drop).otherwise(F.array_except(drop, "_stay"))
     # Only texts that lose something are cut into lines again.
-    cut = joined.withColumn("_lines", F.when(F.col("_drop").isNotNull() & (F.col("text") != ""), cut_lines("text")))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_drop")
+    cut = marked.withColumn("_lines", F.when((F.size("_drop") > 0) & (F.col("text") != ""), cut_lines("text")))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), drop)
     kept = F.when(F.col("_lines").isNotNull(), F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n"))
     both = cut.select("_rest", F.coalesce(kept, "text").alias("text"))
     return both.select([F.col("text") if c == "text" else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns])

@@ -102,6 +102,13 @@ def test_lines_of_few_kinds_equal_the_comparison_of_all_places(spark):
     assert found == brute.without_repeats(rows)
 
 
+def test_lines_that_share_a_hash_alone_stay(spark, monkeypatch):
+    monkeypatch.setattr(lines, "passage_key", lambda chunk: F.length(chunk))
+    rows = [(k, f"{'a' if k == 2 else 'b'} " * 60 + "\nx") for k in range(4)]
+    found = {r.doc_id: r.text for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[k].startswith(text[:9]) for k, text in rows] == [True, False, True, False] and found[2].startswith("a " * 60)
+
+
 def test_decontamination(spark, docs, nothing):
     items = [(1, PROSE), (2, "alpha beta"), (2, "alpha beta"), (3, ""), (4, None), (None, "seven eight nine"), (10, "word1x1 word2x2 word3x3")]
     frame = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
