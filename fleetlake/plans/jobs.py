@@ -97,12 +97,18 @@ def publish_split(stored, publication, as_of, days=1, split="train", **publish):
     return publication.publish(only_split(recent(stored, as_of, days), split), f"{split}-{as_of}-{days}", **publish)
 
 
-def csv_to_topic(samples, topic, as_of, **envelope_options):
-    """Samples read from files, stamped, encoded and sent to a topic in reading order, after what it holds."""
+def csv_to_topic(samples, topic, as_of, writer=None, batch=0, **envelope_options):
+    """Samples read from files, stamped, encoded and sent to a topic in reading order, after what it holds.
+
+    With a ``writer``, ``topic`` is a ``SentTopic``: the job may be run again, and other writers may be at work.
+    """
     rows = stamp_send_time(samples, as_of)
     if set(FILE_ORDER) <= set(samples.columns):
         rows, envelope_options = numbered(rows), {"offset": "arrival", **envelope_options}
-    topic.write(envelope(rows, start=topic.next_offset(), **envelope_options))
+    if writer:
+        topic.send(envelope(rows, **envelope_options), writer, batch)
+    else:
+        topic.write(envelope(rows, start=topic.next_offset(), **envelope_options))
     return topic
 
 

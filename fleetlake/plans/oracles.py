@@ -227,6 +227,10 @@ FROM counted LEFT JOIN (SELECT machine, tick, split FROM early) e USING (machine
 WHERE n > 1 OR e.machine IS NOT NULL""",
     "ensure_table_idempotent": f"WITH {T}, {EARLY} SELECT count(*) AS n FROM early",
     "sink_topic_envelope": f"WITH {T} SELECT 'telemetry' AS topic, event_id AS \"offset\", machine || '-' || split AS msg_key, send_text FROM t",
+    "sink_topic_sent_once": f"""WITH {T}, parted AS (
+  SELECT *, event_type IN ({_listed(EARLIER)}) AS old FROM t
+), span AS (SELECT coalesce(max(event_id) + 1, 0) AS width FROM parted WHERE old)
+SELECT 'telemetry' AS topic, event_id + CASE WHEN old THEN 0 ELSE width END AS "offset", machine || '-' || split AS msg_key, send_text FROM parted, span""",
     "export_published": f"WITH {T} SELECT {_STORED}, label FROM t WHERE split = 'train'",
     "export_published_csv": f"WITH {T} SELECT {_STORED}, label FROM t WHERE split = 'train'",
     "export_csv_roundtrip": f"WITH {T} SELECT {_STORED}, label FROM t WHERE split = 'train'",

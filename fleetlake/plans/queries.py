@@ -17,6 +17,7 @@ from fleetlake.session import scratch
 from fleetlake.sinks import export as exports
 from fleetlake.sinks.published import Publication
 from fleetlake.sinks.runs import RunTable
+from fleetlake.sinks.sends import SentTopic
 from fleetlake.sinks.table import KeyedTable
 from fleetlake.sources import files, jdbc
 from fleetlake.sources import metrics as metric_source
@@ -280,6 +281,17 @@ def sink_topic_envelope(spark, sf_dir):
     return topic.read().select("topic", "offset", F.col("key").cast("string").alias("msg_key"), value)
 
 
+@query
+def sink_topic_sent_once(spark, sf_dir):
+    """Two writers' sends, each repeated."""
+    topic = SentTopic(spark, scratch(spark, "sent"))
+    for _ in range(2):
+        for writer, messages in zip(("early", "late"), adapter.segments(spark, sf_dir)):
+            topic.send(messages, writer)
+    value = F.get_json_object(F.col("value").cast("string"), "$.send_timestamp").alias("send_text")
+    return topic.read().select("topic", "offset", F.col("key").cast("string").alias("msg_key"), value)
+
+
 def _exported(spark, sf_dir, fmt):
     train = filters.only_split(_samples(spark, sf_dir)).select(*shape.COLUMNS)
     path = exports.export(train, scratch(spark, f"export-{fmt}"), fmt)

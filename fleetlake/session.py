@@ -125,6 +125,13 @@ def list_folder(spark, path):
     return [item.getPath().getName() for item in files.listStatus(folder)]
 
 
+def move(spark, path, target):
+    """Give a file a new name that no other file has."""
+    files, place = _files(spark, path)
+    if not files.rename(place, _files(spark, target)[1]):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def file_sizes(spark, path):
     """Bytes of each file of a folder, by name."""
     files, folder = _files(spark, path)
