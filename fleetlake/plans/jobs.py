@@ -19,7 +19,7 @@ from fleetlake.schema import ARRIVAL, FEATURE_NAMES, KEY
 from fleetlake.session import scratch
 from fleetlake.sinks.export import export, export_path
 from fleetlake.sinks.topic import envelope
-from fleetlake.sources.files import FILE_ORDER, numbered
+from fleetlake.sources.files import FILE_ORDER, numbered, staged
 from fleetlake.streaming.ingest import merge_stream
 
 
@@ -116,9 +116,10 @@ def csv_to_table(samples, table, as_of, quarantine=None, corrupt=None):
     """Samples read from files straight into a table; a key that is taken stops the job.
 
     Bad samples are set aside; with ``corrupt`` also lines that the reader kept in the column of that name
-    because some text in them is no number. Nothing is written when nothing is left.
+    because some text in them is no number. Nothing is written when nothing is left. The files are read once, into a
+    staging folder, from which all of that is taken.
     """
-    samples = stamp_send_time(samples, as_of)
+    samples = staged(stamp_send_time(samples, as_of).drop(*FILE_ORDER))
     if corrupt and quarantine:
         broken = samples.filter(F.col(corrupt).isNotNull())
         broken.write.mode("overwrite").parquet(f"{quarantine}/lines")

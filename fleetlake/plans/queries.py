@@ -32,8 +32,9 @@ DAYS = 7
 # How long a metric sample counts when the newest values are asked for.
 LOOKBACK = "6 hours"
 
-# Files of a topic that is read in chunks, and files in a chunk.
-FILES, CHUNK = 8, 2
+# Files of a topic that is read in chunks, and files in a chunk; both are multiplied for each further ``MANY`` messages, so that
+# there are as many chunks and no file is written or read by a task that grows with the topic.
+FILES, CHUNK, MANY = 8, 2, 4_000_000
 
 
 def query(run):
@@ -533,8 +534,9 @@ def stream_merge(spark, sf_dir):
 def stream_merge_chunked(spark, sf_dir):
     table, topic = _table(spark, "chunked"), _topic(spark, "topic")
     messages = adapter.messages(spark, sf_dir)
-    topic.write(messages, FILES)
-    jobs.consume_merge(topic.read_group(max_files=CHUNK), table, _checkpoint(spark)).awaitTermination()
+    times = 1 + messages.count() // MANY
+    topic.write(messages, FILES * times)
+    jobs.consume_merge(topic.read_group(max_files=CHUNK * times), table, _checkpoint(spark)).awaitTermination()
     return table.read().select(*_keys())
 
 
@@ -813,15 +815,8 @@ def _ordered_files(spark, sf_dir, split, kinds=None):
     rows = filters.only_split(adapter.samples(spark, sf_dir, keep=["event_id", "event_type"]), split)
     if kinds:
         rows = rows.filter(F.col("event_type").isin(*kinds))
-    (
-        shape.conform(rows, files.CSV_SCHEMA, keep=["machine", "event_id"])
-        .repartitionByRange("machine", "event_id")
-        .sortWithinPartitions("machine", "event_id")
-        .drop("event_id")
-        .write.option("header", True)
-        .partitionBy("machine")
-        .csv(path)
-    )
+    rows = shape.conform(rows, files.CSV_SCHEMA, keep=["machine", "event_id"]).repartitionByRange("machine", "event_id")
+    files.write_folders(rows, path, order=["event_id"])
     return path
 
 
@@ -840,7 +835,7 @@ def job_csv_to_topic(spark, sf_dir):
 def job_csv_to_table(spark, sf_dir):
     """All train files, whose keys are repeated, stop at their conflicts; the first of each key load."""
     table = _table(spark, "direct")
-    rows = files.read_train_csv(spark, _ordered_files(spark, sf_dir, "train"), pattern="machine=machine-*")
+    rows = files.staged(files.read_train_csv(spark, _ordered_files(spark, sf_dir, "train"), pattern="machine=machine-*"))
     try:
         jobs.csv_to_table(rows, table, "2024-02-01 00:00:00")
     except merge.DuplicateKeyError:
@@ -852,7 +847,7 @@ def job_csv_to_table(spark, sf_dir):
 def job_csv_conflicts(spark, sf_dir):
     """What a second load of the same files would stop at."""
     table = _table(spark, "direct")
-    rows = files.read_train_csv(spark, _ordered_files(spark, sf_dir, "train"), pattern="machine=machine-*")
+    rows = files.staged(files.read_train_csv(spark, _ordered_files(spark, sf_dir, "train"), pattern="machine=machine-*"))
     jobs.csv_to_table(first_wins(rows, order=files.FILE_ORDER), table, "2024-02-01 00:00:00")
     return merge.conflicts(rows, table.read()).select(*_keys(), "n", "in_target")
 
@@ -864,10 +859,9 @@ def job_csv_quarantine(spark, sf_dir):
     rows = adapter.samples(spark, sf_dir, keep=["event_id", "event_type"])
     text = F.when(F.col("event_type") == "error", F.concat(F.lit("bad-"), "event_id")).otherwise(F.col("col_0").cast("string"))
     wide = rows.withColumns({"label": F.col("label").cast("int"), "col_0": text}).select("machine", *files.CSV_SCHEMA.names)
-    wide.write.option("header", True).partitionBy("machine").csv(path)
+    files.write_machine_files(wide, path)
     read = files.read_test_csv(spark, path, "machine=machine-*", pattern="{machine}", corrupt="_line")
-    first = read.dropDuplicates([*KEY, "_line"]).filter("_line IS NOT NULL").unionByName(read.filter("_line IS NULL").dropDuplicates(KEY))
-    jobs.csv_to_table(first, _table(spark, "direct"), "2024-02-01 00:00:00", bad, "_line")
+    jobs.csv_to_table(read.dropDuplicates([*KEY, "_line"]), _table(spark, "direct"), "2024-02-01 00:00:00", bad, "_line")
     return spark.read.parquet(f"{bad}/lines").select("machine", F.col("timestamp").alias("tick"), F.split("_line", ",")[2].alias("text"))
 
 
@@ -888,7 +882,7 @@ def scan_csv_headers(spark, sf_dir):
     for split, columns in (("train", ["timestamp", "col_1", "event_type"]), ("test", ["label", "timestamp", "col_0"])):
         paths.append(scratch(spark, f"csv-{split}"))
         named = filters.only_split(rows, split).select("machine", *columns)
-        named.write.option("header", True).partitionBy("machine").csv(paths[-1])
+        files.write_machine_files(named, paths[-1])
     read = files.read_csv_folders(spark, paths, "machine=machine-*")
     read = files.sniff_unknown(read, [*KEY, "label", *FEATURES])
     return read.select("machine", F.col("timestamp").alias("tick"), "label", "col_0", "col_1", F.col("event_type.kind").alias("kind"), F.col("event_type.text").alias("text"))

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -10,6 +11,12 @@ _folders = {}
 # Rough cost of one row in a broadcast table besides its text.
 ROW_OVERHEAD = 64
 
+# Tasks for each core that list folders.
+LISTING_TASKS = 8
+
+# Bytes that are read in about the time that it takes to open a file.
+OPEN_COST = 256 * 1024
+
 
 def build_session(app_name, zone="Asia/Seoul", master=None, **conf):
     """A session with the settings these jobs rely on; ``conf`` uses ``__`` for dots.
@@ -71,6 +78,35 @@ def _files(spark, path):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def local_path(spark, path):
+    """The path as programs of a machine name it, or None if it lies on no mounted file system."""
+    files, folder = _files(spark, path)
+    place = files.makeQualified(folder).toUri()
+    return place.getPath() if place.getScheme() == "file" else None
+
+
+@contextmanager
+def _at_most(spark, name, value):
+    """Meanwhile a session setting is no larger than ``value``."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before.rstrip("b")), value) if before.rstrip("b").isdigit() else value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def few_listing_tasks(spark):
+    """Meanwhile very many folders are listed by a few tasks for each core, not by one task for each folder."""
+    tasks = LISTING_TASKS * spark.sparkContext.defaultParallelism
+    return _at_most(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", tasks)
+
+
+def packed_files(spark):
+    """Meanwhile a job's tasks take many small files each: a task of a shuffle has a cost for every task that follows."""
+    return _at_most(spark, "spark.sql.files.openCostInBytes", OPEN_COST)
+
+
 def drop_scratch(spark, path):
     """Remove a folder that ``scratch`` named."""
     files, folder = _files(spark, path)

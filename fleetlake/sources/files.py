@@ -1,18 +1,30 @@
 """Sample files: CSV with a header, one directory per machine."""
 
+import os
+import re
 from functools import reduce
+from itertools import groupby
+from operator import itemgetter
 
+from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions.shape import conform, machine_from_path, parse_fields, sniffed_number, tag_split
 from fleetlake.schema import CSV_SCHEMA
-from fleetlake.session import ROW_OVERHEAD, broadcast_limit, scratch
+from fleetlake.session import ROW_OVERHEAD, broadcast_limit, drop_scratch, few_listing_tasks, local_path, packed_files, scratch
 
 TRAIN_PATTERN = "machine-*/*_train.csv"
 TEST_PATTERN = "{machine}/*_test.csv"
 
+# Characters of a parser's buffer, which is allotted anew for every file; longer lines fill it several times.
+BUFFER = 64 * 1024
+
+# How Spark's partition layout names a missing value, and the characters that it escapes.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
 
 def read_csv(spark, path, schema=CSV_SCHEMA, pattern=None, mode="PERMISSIVE", corrupt=None):
     """CSV files below ``path`` whose place matches ``pattern``.
@@ -21,11 +33,16 @@ def read_csv(spark, path, schema=CSV_SCHEMA, pattern=None, mode="PERMISSIVE", co
     unreadable text into NULL (and keeps the line in the column ``corrupt`` when named),
     FAILFAST raises.
     """
-    reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", mode)
+    reader = _reader(spark).option("mode", mode)
     if corrupt:
         schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt)
-    return reader.schema(schema).csv(f"{path}/{pattern}" if pattern else path)
+    with few_listing_tasks(spark):
+        return reader.schema(schema).csv(f"{path}/{pattern}" if pattern else path)
+
+
+def _reader(spark):
+    return spark.read.options(header=True, enforceSchema=False, inputBufferSize=BUFFER)
 
 
 def read_csv_by_name(spark, path, pattern=None):
@@ -35,8 +52,9 @@ def read_csv_by_name(spark, path, pattern=None):
     text for ``sniff_number``, or typed by it with ``sniff_unknown``. All files must have the header of the first;
     see ``read_csv_folders`` for others.
     """
-    reader = spark.read.option("header", True).option("enforceSchema", False)
-    return machine_from_path(reader.csv(f"{path}/{pattern}" if pattern else path)).transform(parse_fields)
+    with few_listing_tasks(spark):
+        rows = _reader(spark).csv(f"{path}/{pattern}" if pattern else path)
+    return machine_from_path(rows).transform(parse_fields)
 
 
 def sniff_unknown(df, known):
@@ -84,52 +102,106 @@ def file_order(df):
 
 FILE_ORDER = ["_path", "_block", "_row"]
 
+# File ranges as ``numbered`` keeps them: the first row's id, how many numbers it takes, the task that held it.
+RANGES = "_path string, _block long, _first long, _width long, _part int"
+
+
+def staged(df):
+    """The rows of a frame that reads files, which are read once, into a staging folder."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, "read-files")
+    with packed_files(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
 
 def numbered(df, name="arrival", start=0):
     """Rows of ``file_order`` numbered from ``start`` in reading order; its columns go.
 
     A row's place in the file range that its task read is the distance to the range's first row, and a range takes as many numbers as
     lie between its first and last row. So numbers are unique and in order, with gaps where rows were filtered out. The files
-    are read once, into a staging folder. Only the ranges, a few numbers for each, are gathered and added up; they are handed to the
-    rows' tasks if they measure below the session's broadcast threshold, and merged in by range otherwise.
+    are read once, into a staging folder. Only the ranges, a few numbers for each, are put in order and added up, in tasks that hold
+    some of them each and then over those tasks; they are handed to the rows' tasks if they measure below the session's broadcast
+    threshold, and merged in by range otherwise.
     """
     spark = df.sparkSession
-    path = scratch(spark, "read-files")
-    df.write.parquet(path)
-    df = spark.read.schema(df.schema).parquet(path)
+    df = staged(df)
     row = F.col("_row")
     ranges = df.groupBy("_path", "_block").agg(F.min(row).alias("_first"), (F.max(row) - F.min(row) + 1).alias("_width"))
-    earlier = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranges.select("_path", "_block", "_first", F.coalesce(F.sum("_width").over(earlier), F.lit(0)).alias("_before"))
     path = scratch(spark, "file-ranges")
-    placed.write.parquet(path)
-    placed = spark.read.schema(placed.schema).parquet(path)
-    size = placed.agg(F.sum(F.octet_length("_path") + F.lit(ROW_OVERHEAD))).first()[0] or 0
+    ranges.repartitionByRange("_path", "_block").withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    ranges = spark.read.schema(RANGES).parquet(path)
+    parts = ranges.groupBy("_part").agg(F.sum("_width").alias("_sum"))
+    parts = parts.select("_part", _sum_before("_sum", Window.orderBy("_part")).alias("_earlier"))
+    before = F.col("_earlier") + _sum_before("_width", Window.partitionBy("_part").orderBy("_path", "_block"))
+    placed = ranges.join(F.broadcast(parts), "_part").select("_path", "_block", "_first", before.alias("_before"))
+    size = ranges.agg(F.sum(F.octet_length("_path") + F.lit(ROW_OVERHEAD))).first()[0] or 0
     placed = F.broadcast(placed) if size <= broadcast_limit(spark) else placed.hint("merge")
     number = F.lit(start) + F.col("_before") + F.col("_row") - F.col("_first")
     return df.join(placed, ["_path", "_block"]).withColumn(name, number).drop("_first", "_before", *FILE_ORDER)
 
 
+def _sum_before(name, window):
+    """The sum of a column over all earlier rows of a window."""
+    return F.coalesce(F.sum(name).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def union_splits(*frames):
     """All rows of all frames, matched by column name."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def write_machine_csv(df, path):
-    """Write raw sample files below one directory per machine (``machine=<name>``).
+    """Write raw sample files below one directory per machine (``machine=<name>``)."""
+    write_machine_files(conform(df, CSV_SCHEMA, keep=["machine"]), path)
+
+
+def write_machine_files(df, path):
+    """Write whatever columns a frame has besides ``machine`` below one directory per machine, replacing what was there.
 
     Range partitions are cut by row count: a task gets some whole machines, and so few files are
     opened, while a machine with very many rows is cut into several tasks, by tick and, where
     one tick has very many, at random.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (
-        conform(df, CSV_SCHEMA, keep=["machine"])
-        .withColumn("_cut", F.rand(seed=1))
-        .repartitionByRange(tasks, "machine", "timestamp", "_cut")
-        .drop("_cut")
-        .write.mode("overwrite")
-        .option("header", True)
-        .partitionBy("machine")
-        .csv(path)
+    cut = df.withColumn("_cut", F.rand(seed=1)).repartitionByRange(tasks, "machine", "timestamp", "_cut")
+    write_folders(cut.drop("_cut"), path)
+
+
+def write_folders(df, path, order=(), by="machine"):
+    """CSV files with a header in one directory per value of ``by``, as Spark's partition layout names it, replacing what was there.
+
+    Every task writes one file for each value that it holds, with the rows by ``order``, whose columns are not written; files are
+    numbered as the partitions of ``df``. Hadoop's local file system starts a process for the mode of each folder and file that it
+    creates, which takes far longer than its rows. So on a mounted file system the tasks themselves write the lines that Spark
+    formats; a file gets its name when it is whole, and the same name if its task is repeated. Elsewhere Spark's writer does it.
+    """
+    names = [name for name in df.columns if name not in (by, *order)]
+    place, spark = local_path(df.sparkSession, path), df.sparkSession
+    if place is None:
+        rows = df.sortWithinPartitions(by, *order).select(by, *names)
+        rows.write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
+        return
+    drop_scratch(spark, path)
+    os.makedirs(place)
+    header = spark.range(1).select(F.to_csv(F.struct(*[F.lit(name).alias(name) for name in names]))).first()[0]
+    folder = F.coalesce(F.nullif(F.col(by).cast("string"), F.lit("")), F.lit(NO_VALUE))
+    lines = (
+        df.withColumn("_folder", folder)
+        .sortWithinPartitions("_folder", *order)
+        .select("_folder", F.to_csv(F.struct(*[F.col(name) for name in names])))
     )
+
+    def save(batches):
+        task = TaskContext.get()
+        rows = (row for batch in batches for row in zip(*[column.to_pylist() for column in batch.columns]))
+        for value, group in groupby(rows, itemgetter(0)):
+            target = f"{place}/{by}={ESCAPED.sub(lambda found: f'%{ord(found[0]):02X}', value)}"
+            os.makedirs(target, exist_ok=True)
+            hidden = f"{target}/.{task.taskAttemptId()}.csv"
+            with open(hidden, "w", encoding="utf-8", newline="") as out:
+                out.write(f"{header}\n")
+                out.writelines(f"{line}\n" for _, line in group)
+            os.replace(hidden, f"{target}/part-{task.partitionId():08d}.csv")
+        yield from ()
+
+    lines.mapInArrow(save, "done long").write.format("noop").mode("overwrite").save()

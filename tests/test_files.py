@@ -191,3 +191,92 @@ def test_a_message_is_set_aside_or_handed_on_never_lost(spark, messages, tmp_pat
     aside = {r.offset: r.reason for r in spark.read.parquet(f"{tmp_path}/bad").collect()}
     assert [r.offset for r in kept] == [0] and "reason" not in kept[0].asDict()
     assert aside == {2: "machine", 3: "machine,timestamp,usage,send_timestamp", 4: "send_timestamp"}
+
+
+def test_few_files_and_listing_tasks_for_many_machines(spark, samples):
+    """Before, each task wrote its own file for each machine, and each folder was listed by a task of its own."""
+    from fleetlake.plans import queries
+
+    n = 300
+    events = spark.range(n * 4).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", f"id % {n} AS user_id",
+        "element_at(array('error', 'view', 'click', 'purchase'), int(id % 4) + 1) AS event_type", "0.5D AS value", "'{\"k\": 1}' AS props",
+    )
+    base = scratch(spark, "tables")
+    events.write.parquet(f"{base}/events.parquet")
+    seen = []
+    real = files.read_test_csv
+    try:
+        files.read_test_csv = lambda spark, path, *a, **k: seen.append(path) or real(spark, path, *a, **k)
+        assert queries.job_csv_quarantine(spark, base).count() == n
+    finally:
+        files.read_test_csv = real
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = [name for _, _, names in os.walk(seen[0].replace("file:", "")) for name in names if name.startswith("part-")]
+    assert n <= len(found) <= n + 2 * tasks
+
+
+def test_folders_are_named_and_lines_formatted_as_by_spark(spark):
+    names = ["plain", "a b+c%", "q'\"#:=?*[x]^{}\\", "", None, "é世"]
+    texts = ["x", "a,b", 'say "y"', "", None, " z "]
+    rows = spark.createDataFrame([(m, t, i, i / 7) for i, m in enumerate(names) for t in texts], "machine string, `timestamp` string, n int, v double")
+    ours, theirs = scratch(spark, "ours"), scratch(spark, "theirs")
+    for _ in range(2):
+        files.write_folders(rows.repartition(3, "timestamp"), ours, order=["n"])
+    rows.drop("n").write.option("header", True).partitionBy("machine").csv(theirs)
+
+    def held(path):
+        found = {}
+        for folder, _, names in os.walk(path.replace("file:", "")):
+            for name in names:
+                if name.startswith("part-"):
+                    with open(f"{folder}/{name}", encoding="utf-8", newline="") as file:
+                        header, *lines = file.read().split("\n")
+                    assert header == "timestamp,v"
+                    found.setdefault(os.path.basename(folder), []).extend(lines)
+        return {name: sorted(lines) for name, lines in found.items()}
+
+    def without_ends(found):
+        return {name: [line for line in lines if line] for name, lines in found.items()}
+
+    assert without_ends(held(ours)) == without_ends(held(theirs))
+
+
+def test_settings_for_reading_are_put_back(spark, data):
+    names = ["spark.sql.files.openCostInBytes", "spark.sql.sources.parallelPartitionDiscovery.parallelism"]
+    before = [spark.conf.get(name) for name in names]
+    assert files.staged(files.read_train_csv(spark, data)).count() == 3
+    assert [spark.conf.get(name) for name in names] == before
+
+
+def test_a_load_reads_its_files_once(spark, tmp_path):
+    """Before, the files were read for the first row, for staging, and for what follows."""
+    (tmp_path / "machine-1").mkdir()
+    (tmp_path / "machine-1" / "x_train.csv").write_text("\n".join([HEADER, *[line(str(i), 0, 1.0) for i in range(50)]]) + "\n")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    rows = files.read_train_csv(spark, tmp_path)
+    rows = rows.withColumn("timestamp", counted.asNondeterministic()("timestamp"))
+    jobs.csv_to_table(first_wins(rows, order=files.FILE_ORDER), KeyedTable(spark, scratch(spark, "table")), "2024-02-01 00:00:00")
+    assert seen.value == 50
+
+
+def test_numbers_without_all_ranges_in_one_task(spark, tmp_path):
+    """Before, one window without partitions put all file ranges in order in one task."""
+    for machine in range(12):
+        (tmp_path / f"machine-{machine:02d}").mkdir()
+        (tmp_path / f"machine-{machine:02d}" / "x_train.csv").write_text("\n".join([HEADER, *[line(str(i), 0, 1.0) for i in range(machine % 3 + 1)]]) + "\n")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = files.numbered(files.read_train_csv(spark, tmp_path), start=7)
+        assert "windowspecdefinition(_path" not in rows._jdf.queryExecution().optimizedPlan().toString()
+        found = rows.orderBy("arrival").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.arrival for r in found] == list(range(7, 31))
+    assert [(r.machine, r.timestamp) for r in found] == [(f"machine-{m:02d}", str(i)) for m in range(12) for i in range(m % 3 + 1)]
