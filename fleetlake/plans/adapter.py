@@ -74,10 +74,9 @@ def damaged_messages(spark, sf_dir):
     """
     whole = samples(spark, sf_dir, keep=["event_id", "event_type"])
     text = F.expr(f"to_json(struct({', '.join(COLUMNS)}))")
-    machine = F.expr("to_json(struct(machine))")
-    opened = F.left(machine, F.length(machine) - 1)
+    opened = F.rtrim(F.expr("to_json(struct(machine))"), F.lit("}"))
     body = (
-        F.when(F.col("event_type") == "click", F.left(text, F.length(text) - 1))
+        F.when(F.col("event_type") == "click", F.rtrim(text, F.lit("}")))
         .when(F.col("event_type") == "view", F.concat(opened, F.lit(',"label":1}')))
         .when(F.col("event_type") == "purchase", F.concat(opened, F.lit(',"label":"x","col_0":0.25}')))
         .when(F.col("event_type") == "signup", F.concat(opened, F.lit(',"label":" 1 ","col_0":NaN}')))
