@@ -67,3 +67,41 @@ def test_a_hot_key_is_split_in_a_conflict_join(spark, samples):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def _events(spark, n):
+    from fleetlake.session import scratch
+
+    base = scratch(spark, "tables")
+    spark.range(n).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "id % 7 AS user_id",
+        "element_at(array('error', 'view', 'click', 'purchase', 'signup'), int(id % 5) + 1) AS event_type", "0.5D AS value", "'{\"k\": 1}' AS props",
+    ).write.parquet(f"{base}/events.parquet")
+    spark.createDataFrame([(1, "prose")], "doc_id long, text string").write.parquet(f"{base}/documents.parquet")
+    return base
+
+
+def test_chunk_files_grow_in_number_not_in_size(spark, monkeypatch):
+    """Before, a topic of any size was written as eight files, each by one task."""
+    from fleetlake.plans import queries
+    from fleetlake.sources.topic import FileTopic
+
+    asked, write, group = [], FileTopic.write, FileTopic.read_group
+    monkeypatch.setattr(FileTopic, "write", lambda self, df, files=None: asked.append(files) or write(self, df, files))
+    monkeypatch.setattr(FileTopic, "read_group", lambda self, max_files=None: asked.append(max_files) or group(self, max_files))
+    base = _events(spark, 70)
+    assert queries.stream_merge_chunked(spark, base).count() == 14
+    monkeypatch.setattr(queries, "MANY", 30)
+    assert queries.stream_merge_chunked(spark, base).count() == 14
+    assert asked == [8, 2, 24, 6]
+
+
+def test_damaged_messages_are_encoded_once(spark):
+    """Before, a text that loses its last character was encoded twice, the second time for its length."""
+    from fleetlake.plans import adapter
+
+    frame = adapter.damaged_messages(spark, _events(spark, 5))
+    assert frame._jdf.queryExecution().optimizedPlan().toString().count("StructsToJsonEvaluator") == 5
+    found = {row.offset: row.value.decode() for row in frame.collect()}
+    assert found[-2] == '{"machine":"machine-1","label":1}' and found[-1] == '{"machine":"machine-0","timestamp":123}'
+    assert found[-3].startswith('{"send_timestamp":') and found[-3].count("}") == 0
