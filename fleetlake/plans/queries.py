@@ -34,7 +34,7 @@ LOOKBACK = "6 hours"
 
 # Files of a topic that is read in chunks, and files in a chunk; both are multiplied for each further ``MANY`` messages, so that
 # there are as many chunks and no file is written or read by a task that grows with the topic.
-FILES, CHUNK, MANY = 8, 2, 4_000_000
+FILES, CHUNK, MANY = 8, 2, 400_000
 
 
 def query(run):

@@ -143,3 +143,26 @@ def test_empty_topic_gives_empty_table(spark, messages):
 def test_watermark_takes_zoneless_times(spark, place):
     rows = spark.readStream.format("rate").load().withColumn("t", F.col("timestamp").cast("timestamp_ntz"))
     assert ingest.dedup_stream(rows.withColumn("k", F.lit(1)), "t", "1 hour", ["k"]).isStreaming
+
+
+@pytest.mark.parametrize("n", [100_000, 600_000, 6_000_000, 36_000_000])
+def test_messages_of_a_file_do_not_grow_with_the_topic(spark, monkeypatch, n):
+    """Before, a file took five times as many messages of a topic of 6,000,000 as of one of 600,000."""
+    from fleetlake.plans import adapter, queries
+    from fleetlake.sources.topic import FileTopic
+
+    class Written(Exception):
+        pass
+
+    class Messages:
+        def count(self):
+            return n
+
+    def write(self, messages, files):
+        raise Written(files)
+
+    monkeypatch.setattr(adapter, "messages", lambda spark, sf_dir: Messages())
+    monkeypatch.setattr(FileTopic, "write", write)
+    with pytest.raises(Written) as found:
+        queries.stream_merge_chunked(spark, "")
+    assert n / found.value.args[0] <= 50_000
