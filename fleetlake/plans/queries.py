@@ -128,28 +128,28 @@ def stream_resume(spark, sf_dir):
 
 def _machine_files(spark, sf_dir, split):
     path = scratch(spark, f"csv-{split}")
-    files.write_machine_csv(filters.only_split(adapter.samples(spark, sf_dir), split), path)
+    files.write_machine_csv(filters.only_split(adapter.samples(spark, sf_dir), split), path, apart=True)
     return path
 
 
 def _train_files(spark, sf_dir):
-    return files.read_train_csv(spark, _machine_files(spark, sf_dir, "train"), pattern="machine=machine-*")
+    return files.read_train_csv(spark, _machine_files(spark, sf_dir, "train"), pattern="*/machine=machine-*", many=True)
 
 
 def _test_files(spark, sf_dir):
-    return files.read_test_csv(spark, _machine_files(spark, sf_dir, "test"), "machine=machine-*", pattern="{machine}")
+    return files.read_test_csv(spark, _machine_files(spark, sf_dir, "test"), "machine=machine-*", pattern="*/{machine}", many=True)
 
 
 @query
 def scan_csv_train(spark, sf_dir):
     rows = _train_files(spark, sf_dir)
-    return rows.select("machine", F.col("timestamp").alias("tick"), F.col("label").cast("int").alias("label"), "col_0")
+    return files.staged(rows.select("machine", F.col("timestamp").alias("tick"), F.col("label").cast("int").alias("label"), "col_0"))
 
 
 @query
 def scan_csv_test(spark, sf_dir):
     rows = _test_files(spark, sf_dir)
-    return rows.select("machine", F.col("timestamp").alias("tick"), "label", "col_0")
+    return files.staged(rows.select("machine", F.col("timestamp").alias("tick"), "label", "col_0"))
 
 
 @query
@@ -738,14 +738,14 @@ def file_order(spark, sf_dir):
 @query
 def scan_csv_by_name(spark, sf_dir):
     path = _machine_files(spark, sf_dir, "test")
-    rows = files.read_csv_by_name(spark, path, "machine=machine-*")
-    return rows.select("machine", F.col("timestamp").alias("tick"), "label", "col_0", "col_37")
+    rows = files.read_csv_by_name(spark, path, "*/machine=machine-*")
+    return files.staged(rows.select("machine", F.col("timestamp").alias("tick"), "label", "col_0", "col_37"))
 
 
 @query
 def union_splits(spark, sf_dir):
     rows = files.union_splits(_train_files(spark, sf_dir), _test_files(spark, sf_dir))
-    return rows.select("machine", F.col("timestamp").alias("tick"), F.col("usage").alias("split"), "label", "col_0")
+    return files.staged(rows.select("machine", F.col("timestamp").alias("tick"), F.col("usage").alias("split"), "label", "col_0"))
 
 
 # Whole pipelines
@@ -816,7 +816,7 @@ def _ordered_files(spark, sf_dir, split, kinds=None):
     if kinds:
         rows = rows.filter(F.col("event_type").isin(*kinds))
     rows = shape.conform(rows, files.CSV_SCHEMA, keep=["machine", "event_id"]).repartitionByRange("machine", "event_id")
-    files.write_folders(rows, path, order=["event_id"])
+    files.write_folders(rows, path, order=["event_id"], apart=True)
     return path
 
 
@@ -825,7 +825,7 @@ def job_csv_to_topic(spark, sf_dir):
     topic = _topic(spark, "topic")
     for kinds in (adapter.EARLIER, None):
         path = _ordered_files(spark, sf_dir, "train", kinds)
-        rows = files.read_train_csv(spark, path, pattern="machine=machine-*")
+        rows = files.read_train_csv(spark, path, pattern="*/machine=machine-*", many=True)
         jobs.csv_to_topic(rows, topic, "2024-02-01 00:00:00")
     rows = decode.decode_strict(topic.read(), message_fields(*KEY, "label", "col_0"), keep=ARRIVAL)
     return first_wins(rows).select(*_keys(), "label", "col_0")
@@ -835,7 +835,7 @@ def job_csv_to_topic(spark, sf_dir):
 def job_csv_to_table(spark, sf_dir):
     """All train files, whose keys are repeated, stop at their conflicts; the first of each key load."""
     table = _table(spark, "direct")
-    rows = files.staged(files.read_train_csv(spark, _ordered_files(spark, sf_dir, "train"), pattern="machine=machine-*"))
+    rows = files.staged(files.read_train_csv(spark, _ordered_files(spark, sf_dir, "train"), pattern="*/machine=machine-*", many=True))
     try:
         jobs.csv_to_table(rows, table, "2024-02-01 00:00:00")
     except merge.DuplicateKeyError:
@@ -847,7 +847,7 @@ def job_csv_to_table(spark, sf_dir):
 def job_csv_conflicts(spark, sf_dir):
     """What a second load of the same files would stop at."""
     table = _table(spark, "direct")
-    rows = files.staged(files.read_train_csv(spark, _ordered_files(spark, sf_dir, "train"), pattern="machine=machine-*"))
+    rows = files.staged(files.read_train_csv(spark, _ordered_files(spark, sf_dir, "train"), pattern="*/machine=machine-*", many=True))
     jobs.csv_to_table(first_wins(rows, order=files.FILE_ORDER), table, "2024-02-01 00:00:00")
     return merge.conflicts(rows, table.read()).select(*_keys(), "n", "in_target")
 
@@ -859,8 +859,8 @@ def job_csv_quarantine(spark, sf_dir):
     rows = adapter.samples(spark, sf_dir, keep=["event_id", "event_type"])
     text = F.when(F.col("event_type") == "error", F.concat(F.lit("bad-"), "event_id")).otherwise(F.col("col_0").cast("string"))
     wide = rows.withColumns({"label": F.col("label").cast("int"), "col_0": text}).select("machine", *files.CSV_SCHEMA.names)
-    files.write_machine_files(wide, path)
-    read = files.read_test_csv(spark, path, "machine=machine-*", pattern="{machine}", corrupt="_line")
+    files.write_machine_files(wide, path, apart=True)
+    read = files.read_test_csv(spark, path, "machine=machine-*", pattern="*/{machine}", corrupt="_line")
     jobs.csv_to_table(read.dropDuplicates([*KEY, "_line"]), _table(spark, "direct"), "2024-02-01 00:00:00", bad, "_line")
     return spark.read.parquet(f"{bad}/lines").select("machine", F.col("timestamp").alias("tick"), F.split("_line", ",")[2].alias("text"))
 
@@ -870,9 +870,9 @@ def machine_of_any_folder(spark, sf_dir):
     """Test files whose folders are named after regions, without the usual prefix."""
     path = scratch(spark, "csv-named")
     rows = filters.only_split(adapter.samples(spark, sf_dir), "test").withColumn("machine", F.concat(F.lit("db "), F.substring("machine", 9, 99)))
-    files.write_machine_csv(rows, path)
-    read = files.read_test_csv(spark, path, "machine=*", pattern="{machine}")
-    return read.select("machine", F.col("timestamp").alias("tick"), "label", "col_0")
+    files.write_machine_csv(rows, path, apart=True)
+    read = files.read_test_csv(spark, path, "machine=*", pattern="*/{machine}", many=True)
+    return files.staged(read.select("machine", F.col("timestamp").alias("tick"), "label", "col_0"))
 
 
 @query
@@ -882,10 +882,10 @@ def scan_csv_headers(spark, sf_dir):
     for split, columns in (("train", ["timestamp", "col_1", "event_type"]), ("test", ["label", "timestamp", "col_0"])):
         paths.append(scratch(spark, f"csv-{split}"))
         named = filters.only_split(rows, split).select("machine", *columns)
-        files.write_machine_files(named, paths[-1])
-    read = files.read_csv_folders(spark, paths, "machine=machine-*")
+        files.write_machine_files(named, paths[-1], apart=True)
+    read = files.read_csv_folders(spark, paths, "*/machine=machine-*")
     read = files.sniff_unknown(read, [*KEY, "label", *FEATURES])
-    return read.select("machine", F.col("timestamp").alias("tick"), "label", "col_0", "col_1", F.col("event_type.kind").alias("kind"), F.col("event_type.text").alias("text"))
+    return files.staged(read.select("machine", F.col("timestamp").alias("tick"), "label", "col_0", "col_1", F.col("event_type.kind").alias("kind"), F.col("event_type.text").alias("text")))
 
 
 @query

@@ -15,7 +15,7 @@ ROW_OVERHEAD = 64
 LISTING_TASKS = 8
 
 # Bytes that are read in about the time that it takes to open a file.
-OPEN_COST = 256 * 1024
+OPEN_COST = 64 * 1024
 
 
 def build_session(app_name, zone="Asia/Seoul", master=None, **conf):

@@ -21,24 +21,71 @@ TEST_PATTERN = "{machine}/*_test.csv"
 # Characters of a parser's buffer, which is allotted anew for every file; longer lines fill it several times.
 BUFFER = 64 * 1024
 
+# Bytes of a file that is taken whole, as one row that is cut into lines, where very many files are read.
+SMALL = 1 << 20
+
+# Fixed value: what Spark's reader takes for blank in a line that holds nothing else.
+BLANKS = "".join(map(chr, range(33)))
+
+# Names of compressed files, which Spark's reader unpacks.
+PACKED = r"\.(gz|gzip|bz2|deflate|snappy|lz4|zst|zstd|xz|lzo)$"
+
 # How Spark's partition layout names a missing value, and the characters that it escapes.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
-def read_csv(spark, path, schema=CSV_SCHEMA, pattern=None, mode="PERMISSIVE", corrupt=None):
+def read_csv(spark, path, schema=CSV_SCHEMA, pattern=None, mode="PERMISSIVE", corrupt=None, many=False):
     """CSV files below ``path`` whose place matches ``pattern``.
 
     Columns are taken by place, and a header with other names is an error. PERMISSIVE turns
     unreadable text into NULL (and keeps the line in the column ``corrupt`` when named),
-    FAILFAST raises.
+    FAILFAST raises. Files of which there are very ``many`` are read by ``_small_files``,
+    but where broken lines are asked for: Spark's reader judges a line by the columns that are used.
     """
-    reader = _reader(spark).option("mode", mode)
+    reader, place = _reader(spark).option("mode", mode), f"{path}/{pattern}" if pattern else path
     if corrupt:
         schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt)
     with few_listing_tasks(spark):
-        return reader.schema(schema).csv(f"{path}/{pattern}" if pattern else path)
+        if many and not corrupt and mode == "PERMISSIVE":
+            return _small_files(spark, place, schema)
+        return reader.schema(schema).csv(place)
+
+
+def _small_files(spark, place, schema):
+    """The same rows of very many files, and ``_metadata`` as a column, with a file's path and the start of its range.
+
+    To open a file as text costs Spark's reader more than a thousand short lines do. So files of up to ``SMALL`` bytes are taken whole,
+    cut into lines where the reader cuts them, and parsed by the same parser; what is larger or compressed is left to the reader.
+    """
+    found = spark.read.format("binaryFile").load(place)
+    small = (F.col("length") <= SMALL) & ~F.lower("path").rlike(PACKED)
+    text = F.expr("cast(if(startswith(content, X'EFBBBF'), substring(content, 4), content) AS string)")
+    text = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
+    meta = F.struct(F.col("_metadata.file_path").alias("file_path"), F.lit(0).cast("long").alias("file_block_start"))
+    # An outer generator: for others the optimizer makes a filter, which would cut every file a second time.
+    cut = found.where(small).select(meta.alias("_metadata"), F.posexplode_outer(lines).alias("_place", "_line"))
+
+    # A header that is not spelled just as the schema is parsed, and asked for one name more, which has to be missing.
+    names = F.from_csv("_line", ", ".join(f"_{i} string" for i in range(len(schema) + 1)))
+    same = (lambda name: name) if spark.conf.get("spark.sql.caseSensitive") == "true" else F.lower
+    read = F.transform(F.array(*[names[f"_{i}"] for i in range(len(schema) + 1)]), same)
+    fits = read.eqNullSafe(F.array(*[same(F.lit(name)) for name in schema.names], F.lit(None).cast("string")))
+    refused = F.raise_error(F.concat(F.lit("the CSV header does not conform to the schema: "), F.col("_metadata.file_path")))
+    wanted = F.when(F.col("_line").isNull(), False).when(F.col("_place") > 0, True)
+    wanted = wanted.when(F.col("_line") == ",".join(schema.names), False).when(fits, False).otherwise(refused.cast("boolean"))
+
+    ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+    rows = cut.where(wanted).select("_metadata", F.from_csv("_line", ddl).alias("_fields")).select("_metadata", "_fields.*")
+    with packed_files(spark):
+        if not found.where(~small).limit(1).count():
+            return rows
+    reader = _reader(spark).schema(schema)
+    meta = F.struct(*[F.col(f"_metadata.{name}").alias(name) for name in ("file_path", "file_block_start")])
+    large = (F.col("_metadata.file_size") > SMALL) | F.lower("_metadata.file_path").rlike(PACKED)
+    return rows.unionByName(reader.csv(place).where(large).select(meta.alias("_metadata"), *schema.names))
 
 
 def _reader(spark):
@@ -76,13 +123,13 @@ def read_csv_folders(spark, paths, pattern=None):
 
 def read_train_csv(spark, base, pattern=TRAIN_PATTERN, **options):
     """The train samples of all machines, with their reading order (see ``file_order``)."""
-    return tag_split(machine_from_path(file_order(read_csv(spark, base, pattern=pattern, **options))), "train")
+    return tag_split(machine_from_path(file_order(read_csv(spark, base, pattern=pattern, **options))), "train").drop("_metadata")
 
 
 def read_test_csv(spark, base, machine, pattern=TEST_PATTERN, **options):
     """The test samples of one machine, or of several with a wildcard."""
     rows = read_csv(spark, base, pattern=pattern.format(machine=machine), **options)
-    return tag_split(machine_from_path(rows), "test")
+    return tag_split(machine_from_path(rows), "test").drop("_metadata")
 
 
 def file_order(df):
@@ -150,36 +197,41 @@ def union_splits(*frames):
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def write_machine_csv(df, path):
+def write_machine_csv(df, path, apart=False):
     """Write raw sample files below one directory per machine (``machine=<name>``)."""
-    write_machine_files(conform(df, CSV_SCHEMA, keep=["machine"]), path)
+    write_machine_files(conform(df, CSV_SCHEMA, keep=["machine"]), path, apart)
 
 
-def write_machine_files(df, path):
+def write_machine_files(df, path, apart=False):
     """Write whatever columns a frame has besides ``machine`` below one directory per machine, replacing what was there.
 
     Range partitions are cut by row count: a task gets some whole machines, and so few files are
     opened, while a machine with very many rows is cut into several tasks, by tick and, where
-    one tick has very many, at random.
+    one tick has very many, at random. ``apart`` as in ``write_folders``.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = df.withColumn("_cut", F.rand(seed=1)).repartitionByRange(tasks, "machine", "timestamp", "_cut")
-    write_folders(cut.drop("_cut"), path)
+    write_folders(cut.drop("_cut"), path, apart=apart)
 
 
-def write_folders(df, path, order=(), by="machine"):
+def write_folders(df, path, order=(), by="machine", apart=False):
     """CSV files with a header in one directory per value of ``by``, as Spark's partition layout names it, replacing what was there.
 
     Every task writes one file for each value that it holds, with the rows by ``order``, whose columns are not written; files are
     numbered as the partitions of ``df``. Hadoop's local file system starts a process for the mode of each folder and file that it
     creates, which takes far longer than its rows. So on a mounted file system the tasks themselves write the lines that Spark
     formats; a file gets its name when it is whole, and the same name if its task is repeated. Elsewhere Spark's writer does it.
+
+    A file system makes the folders within one folder one after the other, whoever asks. For very many values, ``apart`` gives each task
+    a folder of its own (``task=<partition>``) that holds its values' folders; they are read by a pattern that begins with ``*/``.
     """
     names = [name for name in df.columns if name not in (by, *order)]
     place, spark = local_path(df.sparkSession, path), df.sparkSession
     if place is None:
-        rows = df.sortWithinPartitions(by, *order).select(by, *names)
-        rows.write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
+        folders = {"task": F.format_string("%08d", F.spark_partition_id())} if apart else {}
+        rows = df.withColumns(folders) if apart else df
+        rows = rows.sortWithinPartitions(by, *order).select(*folders, by, *names)
+        rows.write.mode("overwrite").option("header", True).partitionBy(*folders, by).csv(path)
         return
     drop_scratch(spark, path)
     os.makedirs(place)
@@ -193,9 +245,10 @@ def write_folders(df, path, order=(), by="machine"):
 
     def save(batches):
         task = TaskContext.get()
+        base = f"{place}/task={task.partitionId():08d}" if apart else place
         rows = (row for batch in batches for row in zip(*[column.to_pylist() for column in batch.columns]))
         for value, group in groupby(rows, itemgetter(0)):
-            target = f"{place}/{by}={ESCAPED.sub(lambda found: f'%{ord(found[0]):02X}', value)}"
+            target = f"{base}/{by}={ESCAPED.sub(lambda found: f'%{ord(found[0]):02X}', value)}"
             os.makedirs(target, exist_ok=True)
             hidden = f"{target}/.{task.taskAttemptId()}.csv"
             with open(hidden, "w", encoding="utf-8", newline="") as out:

@@ -280,3 +280,50 @@ def test_numbers_without_all_ranges_in_one_task(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert [r.arrival for r in found] == list(range(7, 31))
     assert [(r.machine, r.timestamp) for r in found] == [(f"machine-{m:02d}", str(i)) for m in range(12) for i in range(m % 3 + 1)]
+
+
+def test_many_small_files_are_read_as_by_spark(spark, tmp_path, monkeypatch):
+    """Small files whole, larger and compressed ones by Spark's reader: the same rows, order and errors."""
+    import gzip
+
+    def put(name, *lines, end="\n", header=HEADER, before=b""):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        text = before + end.join([header, *lines]).encode()
+        (tmp_path / name).write_bytes(gzip.compress(text) if name.endswith(".gz") else text)
+
+    put("a/machine-1/x.csv", line("1", 0, 0.5), "", "  ", line("2", 1, "bad"), "3,1", line('" 4,""x"', 0, "NaN"), line("5", 0, 1) + ",9,9")
+    put("a/machine-1/y.csv", line("6", 0, 2.5), line("", "", ""), ",", end="\r\n")
+    put("a/machine 2+%/x.csv", line("ü", 0, 0.25), '"open,1', before=b"\xef\xbb\xbf")
+    put("b/machine-3/x.csv", header="\n" + ",".join(f'"{name.upper()}"' for name in CSV_SCHEMA.names))
+    put("b/machine-3/empty.csv", header="")
+    put("b/machine-4/x.csv.gz", line("7", 0, 7.0))
+    put("b/machine-5/x.csv", *[line(str(i), 0, i / 7) for i in range(2000)])
+    monkeypatch.setattr(files, "SMALL", 100_000)
+
+    def held(many):
+        train = files.read_train_csv(spark, tmp_path, pattern="*/machine*", many=many)
+        test = files.read_test_csv(spark, tmp_path, "machine*", pattern="*/{machine}", many=many)
+        ordered = [row[:-3] for row in sorted(train.select(*[n for n in train.columns if n not in files.FILE_ORDER], *files.FILE_ORDER).collect(), key=lambda row: row[-3:])]
+        return train.columns, test.columns, str(ordered), sorted(map(str, test.collect()))
+
+    assert held(True) == held(False)
+    for many in (False, True):
+        with pytest.raises(Exception, match="MALFORMED|malformed"):
+            files.read_train_csv(spark, tmp_path, pattern="*/machine*", mode="FAILFAST", many=many).collect()
+    assert files.read_train_csv(spark, tmp_path, pattern="*/machine-1", many=True).filter("col_0 = 2.5").select("machine").first() == ("machine-1",)
+    names = CSV_SCHEMA.names
+    for header, checked in (([names[1], names[0], *names[2:]], (False, True)), ([*names, "more"], (True,)), (names[:-1], (True,))):
+        put("c/machine-6/x.csv", line("1", 0, 1.0), header=",".join(header))
+        for many in checked:
+            with pytest.raises(Exception, match="header"):
+                files.read_train_csv(spark, tmp_path, pattern="c/machine*", many=many).collect()
+
+
+def test_tasks_have_folders_of_their_own(spark, samples):
+    """Before, all tasks made their folders in one folder, which a file system does one after the other."""
+    path = scratch(spark, "csv")
+    rows = samples([(f"machine-{i % 9}", str(i), "train", i, i / 7) for i in range(90)])
+    files.write_machine_csv(rows, path, apart=True)
+    assert all(name.startswith("task=") for name in os.listdir(path))
+    back = files.read_train_csv(spark, path, pattern="*/machine=machine-*", many=True).collect()
+    assert sorted((r.machine, int(r.timestamp), r.col_0) for r in back) == sorted((f"machine-{i % 9}", i, i / 7) for i in range(90))
