@@ -43,9 +43,6 @@ LIMIT = 18
 # Fixed pattern: how byte-level vocabularies cut a text, for texts of the characters that ``simple`` lets through.
 PIECES = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
-# White space other than space and line feed, and marks that a letter before them never joins.
-UNEVEN, MARKS = frozenset("\t\r\xa0"), ".,;:!?"
-
 
 @functools.cache
 def simple(char):
@@ -55,24 +52,34 @@ def simple(char):
     return char < "ɐ" and char.isalpha() or char < "←" and unicodedata.category(char)[0] in "PS"
 
 
+# Arrow's patterns. Texts that ``PIECES`` may cut otherwise than the library; texts with white space other than line feeds within
+# words and single spaces between them; the letters that start a part, and what follows them.
+ODD = f"[^{re.escape(''.join(filter(simple, map(chr, range(ord('←'))))))}]|<\\|"
+UNEVEN = "[\t\r\xa0]|  | \n|\n |\\A | \\z"
+LETTERS = "".join(filter(str.isalpha, map(chr, range(ord("ɐ")))))
+WORD = f"^(?P<word>[{LETTERS}]*)(?P<rest>(?s:[^{LETTERS}].*)?)$"
+
+
 class Encoder:
     """Ids of texts as bytes.
 
     A byte-level vocabulary's cutter never joins what stands on both sides of a single space between other
-    characters. So a text is cut there first, and the ids of each part, with the space before it, are remembered per worker;
-    a new part is made of pieces, which are remembered as well.
+    characters. So a text is cut there first, and each distinct part of some texts into its leading letters, a word, and the
+    rest. The ids of words, with the space before them, are remembered per worker, in Arrow arrays; a rest is made of pieces,
+    which are remembered as well. Texts with other white space are cut into pieces as a whole.
     """
 
-    #: Parts, and pieces, that a worker remembers; it starts anew beyond. Code points cut at a time.
-    BOUND, SLICE = 400_000, 2_000_000
+    #: Words that a worker remembers, and pieces; it starts anew beyond. Code points cut at a time. Words encoded at a time.
+    WORDS, BOUND, SLICE, RUN = 1_000_000, 400_000, 8_000_000, 5000
 
     def __init__(self, path):
+        import pyarrow as pa
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
-        self.parts, self.pieces = {}, {}
+        self.words, self.word_ids, self.pieces = pa.array([], pa.large_string()), pa.array([], pa.large_binary()), {}
         cutter = self.tokenizer.pre_tokenizer
         self.bytewise = type(cutter).__name__ == "ByteLevel" and not cutter.add_prefix_space and self.tokenizer.normalizer is None
         # How the vocabulary spells a space; no id but a piece's first begins with it.
@@ -82,15 +89,14 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(many, add_special_tokens=False)
         return [np.array(encoding.ids, self.kind).tobytes() for encoding in found]
 
-    def spaced(self, many):
-        """Ids of pieces that are a space and letters, all encoded as one text."""
-        (ids,) = self.whole(["".join(many)])
+    def spaced(self, text, n):
+        """Ids of ``n`` words, each with a space before it, in one text: their bytes, and where each begins and the last ends."""
+        (ids,) = self.whole([text])
         starts = np.flatnonzero(self.opening[np.frombuffer(ids, self.kind)])
-        if len(starts) != len(many):
-            return self.whole(many)
-        wide = np.dtype(self.kind).itemsize
-        ends = [*(wide * starts[1:]).tolist(), len(ids)]
-        return [ids[a:b] for a, b in zip((wide * starts).tolist(), ends)]
+        if len(starts) == n:
+            return ids, np.append(np.dtype(self.kind).itemsize * starts, len(ids))
+        each = self.whole([" " + word for word in text[1:].split(" ")])
+        return b"".join(each), np.cumsum([0, *map(len, each)])
 
     def learn(self, pieces):
         """Encode those pieces that are not known yet."""
@@ -99,10 +105,14 @@ class Encoder:
             self.pieces, new = {}, pieces
         words = [piece for piece in new if piece[0] == " " and piece[1:].isalpha()]
         others = list(new.difference(words))
-        for encode, some in ((self.spaced, words), (self.whole, others)):
-            for start in range(0, len(some), 5000):
-                run = some[start:start + 5000]
-                self.pieces.update(zip(run, encode(run)))
+        for start in range(0, len(words), self.RUN):
+            run = words[start:start + self.RUN]
+            ids, bounds = self.spaced("".join(run), len(run))
+            bounds = bounds.tolist()
+            self.pieces.update(zip(run, (ids[a:b] for a, b in zip(bounds, bounds[1:]))))
+        for start in range(0, len(others), self.RUN):
+            run = others[start:start + self.RUN]
+            self.pieces.update(zip(run, self.whole(run)))
 
     def cut(self, many):
         """Ids of texts of ``simple`` characters by way of their pieces."""
@@ -112,51 +122,70 @@ class Encoder:
 
     def some(self, many):
         """Ids of each text, for texts that may be in parts at once."""
-        kinds = {"parts": [], "pieces": [], "whole": []}
-        for place, text in enumerate(many):
-            used = set(text)
-            if not self.bytewise or "<|" in text or not all(map(simple, used)):
-                kind = "whole"  # the pattern may cut it otherwise than the library
-            elif not UNEVEN.isdisjoint(used) or "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ":
-                kind = "pieces"
-            else:
-                kind = "parts"
-            kinds[kind].append(place)
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pa.array(many, pa.large_string())
+        odd, uneven = (pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False) for pattern in (ODD, UNEVEN))
+        kinds = np.where(odd | (not self.bytewise), 2, uneven)
         found = [b""] * len(many)
-        for kind, encode in (("parts", self.by_parts), ("pieces", self.cut), ("whole", self.whole)):
-            for place, ids in zip(kinds[kind], encode([many[place] for place in kinds[kind]])):
+        for kind, encode in enumerate((self.by_parts, self.cut, self.whole)):
+            places = np.flatnonzero(kinds == kind).tolist()
+            for place, ids in zip(places, encode([many[place] for place in places])):
                 found[place] = ids
         return found
 
+    def of_words(self, words):
+        """Ids of distinct words, each with a space before it."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        at = pc.index_in(words, value_set=self.words)
+        unknown = at.is_null()
+        new, known, known_ids = words.filter(unknown), self.words, self.word_ids
+        if len(new):
+            found = [known_ids]
+            for start in range(0, len(new), self.RUN):
+                run = new.slice(start, self.RUN)
+                ids, bounds = self.spaced(" " + " ".join(run.to_numpy(zero_copy_only=False)), len(run))
+                buffers = [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids)]
+                found.append(pa.Array.from_buffers(pa.large_binary(), len(run), buffers))
+            known, known_ids = pa.concat_arrays([known, new]), pa.concat_arrays(found)
+            places = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            places[unknown.to_numpy(zero_copy_only=False)] = np.arange(len(self.words), len(known))
+            at = pa.array(places)
+        ids = known_ids.take(at)
+        self.words, self.word_ids = (known, known_ids) if len(known) <= self.WORDS else (words, ids)  # what these texts need stays
+        return ids
+
     def by_parts(self, many):
         """Ids of texts in which a single space stands between two other characters that are not white space, wherever one stands."""
-        cut = [text.split(" ") for text in many]
-        firsts = self.cut([parts.pop(0) for parts in cut])
-        wanted = set().union(*cut)
-        known = self.parts
-        new = [part for part in wanted if part not in known]
-        if len(known) + len(new) > self.BOUND:  # what this run needs stays
-            known = self.parts = {part: known[part] for part in wanted if part in known}
-        words, marked, others = set(), [], []
-        for part in new:
-            word = part.rstrip(MARKS)
-            if not word.isalpha():
-                others.append(part)
-                continue
-            if word not in known:
-                words.add(word)
-            if word != part:
-                marked.append((part, word))
-        words = list(words)
-        for start in range(0, len(words), 5000):
-            run = words[start:start + 5000]
-            known.update(zip(run, self.spaced([" " + word for word in run])))
-        marks = list({part[len(word):] for part, word in marked})
-        ids = dict(zip(marks, self.cut(marks)))
-        for part, word in marked:
-            known[part] = known[word] + ids[part[len(word):]]
-        known.update(zip(others, self.cut([" " + part for part in others])))
-        return [first + b"".join(map(known.__getitem__, parts)) for first, parts in zip(firsts, cut)]
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not many:
+            return []
+        cut = [text.partition(" ") for text in many]
+        firsts = self.cut([first for first, _, _ in cut])
+        lists = pc.split_pattern(pa.array([more if space else None for _, space, more in cut], pa.large_string()), " ")
+        parts = lists.values.dictionary_encode()
+        words, rests = (field.cast(pa.large_string()) for field in pc.extract_regex(parts.dictionary, WORD).flatten())
+        bare = pc.equal(words, "")
+        none, space, nothing = (pa.scalar(value, pa.large_string()) for value in (None, " ", ""))
+        words = pc.if_else(bare, none, words).dictionary_encode()
+        rests = pc.binary_join_element_wise(pc.if_else(bare, space, nothing), rests, nothing).dictionary_encode()
+        word_ids = self.of_words(words.dictionary).take(words.indices)
+        rest_ids = pa.array(self.cut(rests.dictionary.to_pylist()), pa.large_binary()).take(rests.indices)
+        ids = pc.binary_join_element_wise(
+            word_ids, rest_ids, pa.scalar(b"", pa.large_binary()), null_handling="replace", null_replacement=b""
+        )
+        joined = ids.take(parts.indices)
+        if not len(joined):
+            return firsts
+        _, offsets, data = joined.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[lists.offsets.to_numpy()].tolist()
+        data = memoryview(data)
+        return [first + data[a:b] for first, a, b in zip(firsts, bounds, bounds[1:])]
 
     def __call__(self, many):
         """Ids of each text."""
@@ -182,7 +211,7 @@ def encoded(docs, tokenizer_path, end=END):
     def encode(columns):
         tokens = encoder(tokenizer_path)
         last = np.array([end], tokens.kind).tobytes()
-        ids = [each + last for each in tokens([text.decode() if text else "" for text in columns["text"]])]
+        ids = [each + last for each in tokens(text.decode() if text else "" for text in columns["text"])]
         wide = [np.frombuffer(each, tokens.kind).astype("<u4") for each in ids]
         return {
             "doc_id": columns["doc_id"], "n": [len(each) for each in wide],
@@ -270,12 +299,13 @@ class Codebook:
         lengths = self.length[ids]
         ends = np.cumsum(lengths)
         starts = ends - lengths
-        word = self.code[ids] << (32 - (starts & 7) - lengths).astype(np.uint32)
-        byte, size = starts >> 3, (int(ends[-1]) + 7 >> 3) + 4
-        payload = np.zeros(size)
-        for k in range(4):  # codes share no bit, so adding them is the same as setting their bits
-            payload += np.bincount(byte + k, weights=(word >> np.uint32(24 - 8 * k)) & np.uint32(255), minlength=size)
-        return payload[:-4].astype(np.uint8).tobytes(), starts[::BLOCK]
+        # Codes lie in cells of 32 bits and reach into the next one at most; none is longer than a cell, so every cell begins one.
+        words = self.code[ids].astype(np.uint64) << (64 - (starts & 31) - lengths).astype(np.uint64)
+        firsts = np.flatnonzero(np.diff(starts >> 5, prepend=-1))
+        sums = np.append(np.add.reduceat(words, firsts), np.uint64(0))  # codes share no bit, so adding them is the same as setting their bits
+        cells = sums >> np.uint64(32)
+        cells[1:] |= sums[:-1] & np.uint64(0xFFFFFFFF)
+        return cells.astype(">u4").tobytes()[:int(ends[-1]) + 7 >> 3], starts[::BLOCK]
 
     def decode(self, payload, checkpoints):
         """The ids of whole blocks, each from its checkpoint on; what follows the last id of a chunk is noise."""

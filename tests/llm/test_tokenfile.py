@@ -51,6 +51,44 @@ def test_encoder_equals_the_library(parts):
     assert np.frombuffer(ids, "<u2").tolist() == library(text)[:-1]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.one_of(WORDS, st.text("abé.,'-1 ", max_size=6)), max_size=8).map(" ".join), max_size=12))
+def test_encoder_with_small_bounds_equals_the_library(many):
+    many = ["".join(text).encode("utf-8", "replace").decode() for text in many]
+    tokens = small_encoder()
+    assert [np.frombuffer(ids, "<u2").tolist() for ids in tokens(iter(many))] == [library(text)[:-1] for text in many]
+
+
+@functools.cache
+def small_encoder():
+    tokens = tokenfile.Encoder(BYTES)
+    tokens.WORDS, tokens.BOUND, tokens.SLICE, tokens.RUN = 5, 5, 20, 2
+    return tokens
+
+
+def test_a_word_goes_to_the_library_once_whatever_follows_it():
+    tokens, given_to_library = tokenfile.Encoder(BYTES), []
+    whole = tokens.whole
+    tokens.whole = lambda many: given_to_library.extend(many) or whole(many)
+    text = "so zebrafish zebrafish, zebrafish$$$ zebrafish-2 (zebrafish zebrafish.\nSo zebrafish's"
+    for _ in range(2):
+        (ids,) = tokens([text])
+        assert np.frombuffer(ids, "<u2").tolist() == library(text)[:-1]
+    assert " ".join(given_to_library).split().count("zebrafish") == 2  # one of them without a space before it
+
+
+def test_patterns_agree_with_the_table_of_characters():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    chars = [chr(i) for i in [*range(0xD800), *range(0xE000, 0x11000)]]
+    column = pa.array(chars, pa.large_string())
+    assert pc.match_substring_regex(column, tokenfile.ODD).to_pylist() == [not tokenfile.simple(char) for char in chars]
+    words = pc.extract_regex(column, tokenfile.WORD).field("word").to_pylist()
+    assert [bool(word) for word in words] == [char in tokenfile.LETTERS for char in chars]
+    assert [char for char in chars if tokenfile.simple(char) and char.isalpha()] == list(filter(tokenfile.simple, tokenfile.LETTERS))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 10**6), min_size=1, max_size=40), st.integers(6, 12))
 def test_code_lengths_are_limited_complete_and_best(counts, limit):
@@ -94,6 +132,16 @@ LONG = " ".join(f"word{i % 997}x{i % 89}" for i in range(120_000))
 ROWS = [(5, "b"), (3, None), (4, ""), (None, "first"), (3, "a a a"), (9, LONG), (7, "twice"), (7, "twice"), (8, "<|endoftext|> 中 \x00\n"), (-2, "minus")]
 
 
+def test_bits_of_the_longest_codes():
+    ids = np.arange(26)
+    book = tokenfile.Codebook(ids, np.minimum(ids + 1, 25))  # codes of 1 to 25 bits
+    many = np.random.default_rng(3).integers(0, 26, 5000)
+    payload, checkpoints = book.encode(many)
+    bits = "".join(f"{book.code[i]:0{book.length[i]}b}" for i in many)
+    assert payload == int(bits.ljust(-len(bits) // 8 * -8, "0"), 2).to_bytes(-(-len(bits) // 8))
+    assert (book.decode(payload, checkpoints)[:len(many)] == many).all()
+
+
 def test_rows_of_every_kind(spark):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string").withColumn("n", F.lit("clash")).withColumn("start", F.lit(1)).repartition(5)
     path = tokenfile.write(docs, scratch(spark, "tokens"), BYTES)
