@@ -212,11 +212,9 @@ def encoded(docs, tokenizer_path, end=END):
         tokens = encoder(tokenizer_path)
         last = np.array([end], tokens.kind).tobytes()
         ids = [each + last for each in tokens(text.decode() if text else "" for text in columns["text"])]
-        wide = [np.frombuffer(each, tokens.kind).astype("<u4") for each in ids]
-        return {
-            "doc_id": columns["doc_id"], "n": [len(each) for each in wide],
-            "crc": [zlib.crc32(each) for each in wide], "ids": ids,
-        }
+        width = np.dtype(tokens.kind).itemsize
+        crc = [zlib.crc32(np.frombuffer(each, tokens.kind).astype("<u4")) for each in ids]
+        return {"doc_id": columns["doc_id"], "n": [len(each) // width for each in ids], "crc": crc, "ids": ids}
 
     return map_batches(texts(docs), encode, "doc_id long, n long, crc long, ids binary")
 
